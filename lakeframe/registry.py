@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ("lakeframe.plans.media", "lakeframe.plans.streams")
+PLAN_MODULES = ("lakeframe.plans.media", "lakeframe.plans.streams", "lakeframe.plans.catalog")
 
 
 def _collect(attr: str) -> dict:
