@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ("lakeframe.plans.media", "lakeframe.plans.streams", "lakeframe.plans.catalog")
+PLAN_MODULES = ("lakeframe.plans.media", "lakeframe.plans.streams", "lakeframe.plans.catalog",
+                "lakeframe.plans.objects")
 
 
 def _collect(attr: str) -> dict:
