@@ -25,13 +25,13 @@ def basename(path: str | Column) -> Column:
 
 
 def extension(name: str | Column) -> Column:
-    """Extension of a base name including the dot, '' when there is none."""
-    return F.regexp_extract(_col(name), EXTENSION_PATTERN, 1)
+    """Extension of the last path component including the dot, '' when there is none."""
+    return F.regexp_extract(basename(name), EXTENSION_PATTERN, 1)
 
 
 def format_name(ext: str | Column) -> Column:
     """'.jpg' -> 'JPEG', '.png' -> 'PNG' (X9)."""
-    bare = F.upper(F.trim(_col(ext), "."))
+    bare = F.upper(F.trim(_col(ext), F.lit(".")))
     out = bare
     for k, v in FORMAT_ALIASES.items():
         out = F.when(bare == F.lit(k), F.lit(v)).otherwise(out)

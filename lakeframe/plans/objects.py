@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from lakeframe.functions.headers import metadata_projection
 from lakeframe.functions.pixels import encode_png
@@ -40,7 +41,7 @@ def bulk_copy_status(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("copied_bytes") == F.col("n_bytes")).alias("verified"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _png(values: pd.Series, label: pd.Series) -> pd.Series:
     out = []
     for v, lab in zip(values, label):
