@@ -60,9 +60,9 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def ensure_state_store(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB provider; set it only if the session has none."""
-    current = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    if not current or "RocksDB" not in current:
+    """Prefer the RocksDB state store (state on local disk, not executor heap) unless the
+    session already names a provider.  transformWithState requires it."""
+    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 

@@ -1,17 +1,22 @@
 """Stateful reassembly of media from a frame stream.
 
-``groupBy(media_name).transformWithStateInPandas(FrameAssembler(mode))`` keeps per media:
-  * a MapState ``frame_id -> (digest part, bytes)``; in ``complete`` mode redelivered
-    frames collapse on their id; each micro-batch writes only its new frames,
-  * a ValueState with counters and the completing frame's fps/height/width.
-State lives in the RocksDB state store, so a long media is not held in memory; frame
-bytes are not kept in state at all (the landing table holds them).
+Plan:
+  1. (``complete`` mode) ``dropDuplicates(media_name, frame_id)``: Spark's own stateful
+     de-duplication, keyed by frame, so redelivered frames are dropped in the JVM and a
+     media with very many frames is spread over all state partitions;
+  2. ``groupBy(media_name).transformWithStateInPandas(FrameAssembler(mode))`` keeps one
+     small ValueState per media: frame count, lowest/highest id, the last frame's
+     id/fps/height/width and a running order-aware digest (sum of per-frame digests).
+
+No frame bytes are kept in state and the state per media does not grow with its length;
+the frames themselves are landed by the table sink and can be read back in order
+(:func:`lakeframe.operators.frames.ordered_frames`).
 
 Modes:
   ``complete`` (default): emit when the last frame was seen and every id ``0..last`` is
-  present; frame order across partitions and micro-batches does not matter.
-  ``on_last``: emit whatever arrived once the last frame arrives (duplicates kept), and
-  start a new entry for frames that come after it; rows of a micro-batch are applied in
+  present; arrival order across partitions and micro-batches does not matter.
+  ``on_last``: emit whatever arrived once the last frame arrives (duplicates counted) and
+  start a new entry for frames after it; rows of a micro-batch are applied in
   ``(partition, offset)`` order.
 """
 
@@ -28,8 +33,51 @@ from lakeframe.functions.headers import LAST_YES
 from lakeframe.operators.frames import frame_digest
 from lakeframe.schemas import ASSEMBLED
 
-_META = "n long, min_id int, max_id int, last_id int, fps int, height int, width int, seq long"
+_META = "n long, min_id int, max_id int, last_id int, fps int, height int, width int, digest string"
 _OUT_COLS = [f.name for f in ASSEMBLED.fields]
+_EMPTY = (0, None, None, None, None, None, None, "0")
+
+
+def _fold(mode: str, m: list, pdf: pd.DataFrame) -> tuple[list, list[list]]:
+    """Apply one micro-batch of a media's frames to its summary ``m``.
+
+    Returns the new summary and the summaries to emit (the state update rule shared by
+    both state engines)."""
+    digest = int(m[7])
+    done = []
+    if mode == "complete":
+        ids = pdf["frame_id"].astype("int64")
+        m[0] += len(pdf)
+        m[1] = int(ids.min()) if m[1] is None else min(m[1], int(ids.min()))
+        m[2] = int(ids.max()) if m[2] is None else max(m[2], int(ids.max()))
+        digest += sum(int(p) for p in pdf["part"])
+        last = pdf[pdf["last_frame"] == LAST_YES]
+        if len(last):
+            r = last.iloc[0]
+            m[3], m[4], m[5], m[6] = int(r.frame_id), int(r.fps), int(r.height), int(r.width)
+        m[7] = str(digest)
+        if m[3] is not None and m[1] == 0 and m[2] == m[3] and m[0] == m[3] + 1:
+            done.append(m)
+            m = list(_EMPTY)
+        return m, done
+    pdf = pdf.sort_values(["partition", "offset"], kind="stable")
+    for r in pdf.itertuples(index=False):
+        fid = int(r.frame_id)
+        m[0] += 1
+        m[1] = fid if m[1] is None else min(m[1], fid)
+        m[2] = fid if m[2] is None else max(m[2], fid)
+        digest += int(r.part)
+        if r.last_frame == LAST_YES:
+            m[3], m[4], m[5], m[6], m[7] = fid, int(r.fps), int(r.height), int(r.width), str(digest)
+            done.append(m)
+            m, digest = list(_EMPTY), 0
+    m[7] = str(digest)
+    return m, done
+
+
+def _out(name, done: list[list]) -> pd.DataFrame:
+    return pd.DataFrame([{"media_name": name, "n_frames": int(m[0]), "last_frame_id": m[3], "fps": m[4],
+                          "height": m[5], "width": m[6], "digest": m[7]} for m in done], columns=_OUT_COLS)
 
 
 class FrameAssembler(StatefulProcessor):
@@ -39,73 +87,54 @@ class FrameAssembler(StatefulProcessor):
         self.mode = mode
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        key = "frame_id int" if self.mode == "complete" else "seq long"
-        value = "part long, frame_id int"
-        self.frames = handle.getMapState("frames", key, value)
         self.meta = handle.getValueState("meta", _META)
 
-    def _load(self):
-        if self.meta.exists():
-            return list(self.meta.get())
-        return [0, None, None, None, None, None, None, 0]
-
-    def _emit(self, name, meta) -> dict:
-        total = 0
-        for (part, _fid) in self.frames.values():
-            total += int(part)
-        self.frames.clear()
-        self.meta.clear()
-        return {"media_name": name, "n_frames": int(meta[0]), "last_frame_id": meta[3], "fps": meta[4],
-                "height": meta[5], "width": meta[6], "digest": str(total)}
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        name = key[0]
         pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["partition", "offset"], kind="stable")
-        meta = self._load()
-        out = []
-        if self.mode == "complete":
-            pdf = pdf.drop_duplicates("frame_id", keep="first")
-            for r in pdf.itertuples(index=False):
-                fid = int(r.frame_id)
-                if r.last_frame == LAST_YES:
-                    meta[3], meta[4], meta[5], meta[6] = fid, int(r.fps), int(r.height), int(r.width)
-                if self.frames.containsKey((fid,)):
-                    continue
-                self.frames.updateValue((fid,), (int(r.part), fid))
-                meta[0] += 1
-                meta[1] = fid if meta[1] is None else min(meta[1], fid)
-                meta[2] = fid if meta[2] is None else max(meta[2], fid)
-            last = meta[3]
-            if last is not None and meta[1] == 0 and meta[2] == last and meta[0] == last + 1:
-                out.append(self._emit(name, meta))
-            else:
-                self.meta.update(tuple(meta))
-        else:
-            for r in pdf.itertuples(index=False):
-                fid = int(r.frame_id)
-                self.frames.updateValue((int(meta[7]),), (int(r.part), fid))
-                meta[7] += 1
-                meta[0] += 1
-                if r.last_frame == LAST_YES:
-                    meta[3], meta[4], meta[5], meta[6] = fid, int(r.fps), int(r.height), int(r.width)
-                    out.append(self._emit(name, meta))
-                    meta = [0, None, None, None, None, None, None, 0]
-            if meta[0] > 0:
-                self.meta.update(tuple(meta))
-        if out:
-            yield pd.DataFrame(out, columns=_OUT_COLS)
+        current = self.meta.get()
+        m, done = _fold(self.mode, list(current) if current is not None else list(_EMPTY), pdf)
+        if m[0] > 0:
+            self.meta.update(tuple(m))
+        elif current is not None:
+            self.meta.clear()
+        if done:
+            yield _out(key[0], done)
 
     def close(self) -> None:
         pass
 
 
-def assemble_stream(frames: DataFrame, mode: str = "complete") -> DataFrame:
+def _group_fn(mode: str):
+    from pyspark.sql.streaming.state import GroupState
+
+    def run(key, pdfs, state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        m, done = _fold(mode, list(state.get) if state.exists else list(_EMPTY), pdf)
+        if m[0] > 0:
+            state.update(tuple(m))
+        elif state.exists:
+            state.remove()
+        if done:
+            yield _out(key[0], done)
+    return run
+
+
+def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state") -> DataFrame:
     """Frame stream (``media_name, frame_id, last_frame, fps, height, width, payload,
-    partition, offset``) -> one row per assembled media, append mode (T1)."""
+    partition, offset``) -> one row per assembled media, append mode (T1).
+
+    ``engine="group_state"`` (default) runs ``applyInPandasWithState``: the small
+    per-media summary travels with the Arrow batch.  ``engine="tws"`` runs the same
+    rule as a ``transformWithStateInPandas`` processor (needs the RocksDB state store),
+    which pays a state round trip per media and micro-batch."""
     slim = frames.select(
         "media_name", "frame_id", "last_frame", "fps", "height", "width", "partition", "offset",
         frame_digest(F.col("frame_id"), F.col("payload")).alias("part"),
     )
-    return slim.groupBy("media_name").transformWithStateInPandas(
-        statefulProcessor=FrameAssembler(mode), outputStructType=ASSEMBLED, outputMode="Append", timeMode="None")
+    if mode == "complete":
+        slim = slim.dropDuplicates(["media_name", "frame_id"])
+    grouped = slim.groupBy("media_name")
+    if engine == "tws":
+        return grouped.transformWithStateInPandas(
+            statefulProcessor=FrameAssembler(mode), outputStructType=ASSEMBLED, outputMode="Append", timeMode="None")
+    return grouped.applyInPandasWithState(_group_fn(mode), ASSEMBLED, _META, "append", "NoTimeout")
