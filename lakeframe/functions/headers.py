@@ -32,9 +32,14 @@ def _col(c: str | Column) -> Column:
 
 
 def header_bytes(key: str, headers: str | Column = "headers") -> Column:
-    """Value bytes of header ``key``; the last duplicate wins; NULL if absent."""
-    matches = F.filter(_col(headers), lambda h: h.getField("key") == F.lit(key))
-    return F.try_element_at(matches, F.lit(-1)).getField("value")
+    """Value bytes of header ``key``; the last duplicate wins; NULL if absent.
+
+    Built from array expressions that generate code (no lambda), so header parsing stays
+    inside whole-stage codegen: the last match is the first match in the reversed keys.
+    """
+    h = _col(headers)
+    pos = F.array_position(F.reverse(h.getField("key")), F.lit(key))
+    return F.when(pos > 0, F.element_at(F.reverse(h.getField("value")), pos.cast("int")))
 
 
 def utf8_text(b: Column) -> Column:
@@ -59,7 +64,8 @@ def headers_map(headers: str | Column = "headers") -> Column:
     """Header array as ``map<string,binary>`` with last-wins duplicates.
 
     ``map_from_entries`` raises on duplicate keys under Spark 4 defaults, so the map is
-    built from the entries whose key does not reappear later in the array.
+    built from the entries whose key does not reappear later in the array.  Not on the
+    hot path: single headers are read with :func:`header_bytes`.
     """
     h = _col(headers)
     indexed = F.transform(h, lambda e, i: F.struct(e.getField("key").alias("k"), e.getField("value").alias("v"), i.alias("i")))
@@ -82,8 +88,11 @@ def build_headers(pairs: Iterable[tuple[str, Column | str | int | None]]) -> Col
     entries = []
     for key, value in pairs:
         v = value if isinstance(value, Column) else F.lit(value)
-        entries.append(F.struct(F.lit(key).alias("key"), F.encode(v.cast("string"), "UTF-8").alias("value")))
-    return F.filter(F.array(*entries), lambda h: h.getField("value").isNotNull())
+        encoded = F.encode(v.cast("string"), "UTF-8")
+        one = F.array(F.struct(F.lit(key).alias("key"), encoded.alias("value")))
+        # zero or one entry, without a lambda so the expression generates code
+        entries.append(F.slice(one, 1, F.when(encoded.isNull(), F.lit(0)).otherwise(F.lit(1))))
+    return F.concat(*entries) if len(entries) > 1 else entries[0]
 
 
 def media_columns(df: DataFrame, headers: str = "headers") -> DataFrame:
