@@ -104,6 +104,15 @@ def frame_digest(frame_id: Column, payload: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(prefix, payload)), 1, 15), 16, 10).cast("long")
 
 
+def arrival_order(partition: str = "partition", offset: str = "offset") -> Column:
+    """(partition, offset) as one exact ``decimal(38,0)`` (partition * 10^19 + offset).
+
+    Orders like the pair, and as a single numeric value it lets ``min``/``min_by`` run
+    in hash aggregation instead of the sort-based path a struct ordering needs."""
+    return (F.col(partition).cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(38,0)")
+            + F.col(offset).cast("decimal(38,0)")).cast("decimal(38,0)")
+
+
 def dedupe_frames(frames: DataFrame, key: str = "media_name") -> DataFrame:
     """One row per (media, frame_id): the earliest arrival by (partition, offset) wins.
 
@@ -121,22 +130,33 @@ def assemble_batch(frames: DataFrame, *, key: str = "media_name", strict: bool =
     """Per-media assembly summary (A1, A2, A4, O1).
 
     Input columns: ``key, frame_id, last_frame, fps, height, width, payload,
-    partition, offset``.  Frames are de-duplicated by ``frame_id``; a media is complete
-    when its last frame was seen and every id ``0..last`` is present (``strict``), or
-    as soon as its last frame was seen (``strict=False``).  fps/height/width come from
-    the completing frame.  Output: ``key, n_frames, last_frame_id, fps, height, width,
-    digest``.
+    partition, offset``.  Frames are de-duplicated by ``frame_id`` (earliest arrival
+    wins); a media is complete when its last frame was seen and every id ``0..last`` is
+    present (``strict``), or as soon as its last frame was seen (``strict=False``).
+    fps/height/width come from the completing frame.  Output: ``key, n_frames,
+    last_frame_id, fps, height, width, digest``.
+
+    The payload is reduced to its 60-bit digest before any shuffle, and every aggregate
+    buffer is numeric, so both aggregations run as partial hash aggregates.
     """
-    uniq = dedupe_frames(frames, key).withColumn("__part", frame_digest(F.col("frame_id"), F.col("payload")))
-    is_last = F.col("last_frame") == F.lit(LAST_YES)
-    last_order = F.when(is_last, F.col("frame_id"))
+    slim = frames.select(
+        key, "frame_id",
+        (F.col("last_frame") == F.lit(LAST_YES)).alias("is_last"),
+        "fps", "height", "width",
+        frame_digest(F.col("frame_id"), F.col("payload")).alias("part"),
+        arrival_order().alias("arrival"),
+    )
+    arrival = F.col("arrival")
+    uniq = slim.groupBy(key, "frame_id").agg(
+        *[F.min_by(c, arrival).alias(c) for c in ("is_last", "fps", "height", "width", "part")])
+    last_order = F.when(F.col("is_last"), F.col("frame_id"))
     summary = uniq.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_frames"),
         F.min("frame_id").alias("__min"),
         F.max("frame_id").alias("__max"),
         F.max(last_order).alias("last_frame_id"),
-        F.max_by(F.struct("fps", "height", "width"), last_order).alias("__props"),
-        F.sum(F.col("__part").cast("decimal(38,0)")).alias("__digest"),
+        *[F.max_by(c, last_order).alias(f"__{c}") for c in ("fps", "height", "width")],
+        F.sum(F.col("part").cast("decimal(38,0)")).alias("__digest"),
     )
     seen_last = F.col("last_frame_id").isNotNull()
     if strict:
@@ -148,9 +168,9 @@ def assemble_batch(frames: DataFrame, *, key: str = "media_name", strict: bool =
         key,
         "n_frames",
         F.col("last_frame_id").cast("int").alias("last_frame_id"),
-        F.col("__props.fps").cast("int").alias("fps"),
-        F.col("__props.height").cast("int").alias("height"),
-        F.col("__props.width").cast("int").alias("width"),
+        F.col("__fps").cast("int").alias("fps"),
+        F.col("__height").cast("int").alias("height"),
+        F.col("__width").cast("int").alias("width"),
         F.col("__digest").cast("string").alias("digest"),
     )
 

@@ -89,9 +89,10 @@ def frame_envelopes(spark: SparkSession, sf_dir: str, *, redeliver_role: str | N
     from lakeframe.operators.frames import frame_headers, number_frames
 
     frames = number_frames(frame_rows(spark, sf_dir), "conv_id", "frame_id")
-    frames = frames.withColumn("__copy", F.lit(0))
+    copies = F.array(F.lit(0))
     if redeliver_role is not None:
-        frames = frames.unionByName(frames.where(F.col("role") == redeliver_role).withColumn("__copy", F.lit(1)))
+        copies = F.when(F.col("role") == redeliver_role, F.array(F.lit(0), F.lit(1))).otherwise(copies)
+    frames = frames.withColumn("__copy", F.explode(copies))
     if min_payload_bytes is not None:
         frames = frames.where(F.octet_length("payload") >= min_payload_bytes)
     arrival = F.pmod(F.xxhash64("conv_id", "frame_id"), F.lit(ARRIVAL_SPACE)) + F.col("__copy") * F.lit(ARRIVAL_SPACE)
