@@ -191,3 +191,16 @@ def latest_per_name(df: DataFrame, name: str = "media_name",
     others = [c for c in df.columns if c != name]
     return (df.groupBy(name).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("__last"))
             .select(name, "__last.*"))
+
+
+def latest_rows(df: DataFrame, name: str = "media_name",
+                order: tuple[str, ...] = ("timestamp", "partition", "offset")) -> DataFrame:
+    """Last write wins per name for wide rows (A3), without moving payloads through an
+    aggregate: the winning ordering key per name is aggregated from the key columns only,
+    then the winning rows are selected with a join (AQE broadcasts the winners when they
+    are small, otherwise both sides are shuffled once).  ``(name, *order)`` must be unique.
+    """
+    win = F.max(F.struct(*order)).alias("__w")
+    winners = df.select(name, *order).groupBy(name).agg(win).select(name, *[F.col(f"__w.{c}").alias(c) for c in order])
+    return df.join(winners, [name, *order], "left_semi")
+

@@ -44,14 +44,20 @@ def work_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current.rstrip("/")
     # Unset: only the case for local runs and tests.
     local = tempfile.mkdtemp(prefix="lakeframe-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir().rstrip("/")
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir().rstrip("/")
+    return local
 
 
 def scratch(spark: SparkSession, name: str) -> str:

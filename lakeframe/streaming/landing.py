@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeframe.operators.frames import latest_per_name
+from lakeframe.operators.frames import latest_rows
 from lakeframe.sinks.objects import SINK_NAME, register
 
 
@@ -50,8 +51,8 @@ def object_stream(df: DataFrame, root: str, checkpoint: str, *, name: str = "med
     register(df.sparkSession)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_name(batch.select(name, content, *order), name, order)
-        (latest.select(latest[name].alias("name"), latest[content].alias("content"))
+        latest = latest_rows(batch.select(name, content, *order), name, order)
+        (latest.select(F.col(name).alias("name"), F.col(content).alias("content"))
          .write.format(SINK_NAME).mode("append").option("path", root).save())
 
     writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

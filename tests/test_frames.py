@@ -97,3 +97,12 @@ def test_latest_per_name_ties_broken_by_partition_offset(spark):
                                "media_name string, timestamp long, partition int, offset long, v string")
     got = {r.media_name: r.v for r in latest_per_name(df).collect()}
     assert got == {"x": "newest", "y": "only"}
+
+
+def test_latest_rows_keeps_whole_winning_rows(spark):
+    from lakeframe.operators.frames import latest_rows
+    df = spark.createDataFrame([("x", 1, 0, 5, b"old"), ("x", 2, 0, 1, b"new"), ("x", 2, 1, 0, b"newest"),
+                                ("y", 1, 0, 0, b"only")],
+                               "media_name string, timestamp long, partition int, offset long, image_data binary")
+    got = {r.media_name: bytes(r.image_data) for r in latest_rows(df).collect()}
+    assert got == {"x": b"newest", "y": b"only"}
