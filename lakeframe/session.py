@@ -39,6 +39,18 @@ def local_session(cores: int | str = "*", app: str = "lakeframe", extra: dict |
     return spark
 
 
+def catalog_session(warehouse: str, metastore: str, cores: int | str = "*", app: str = "lakeframe") -> SparkSession:
+    """A session whose catalog outlives the process (D6): Hive support with an embedded
+    Derby metastore in ``metastore`` and managed tables under ``warehouse``.  On a cluster,
+    point ``hive.metastore.uris`` at the shared metastore instead."""
+    builder = (SparkSession.builder.master(f"local[{cores}]").appName(app).enableHiveSupport()
+               .config("spark.sql.warehouse.dir", warehouse)
+               .config("javax.jdo.option.ConnectionURL", f"jdbc:derby:;databaseName={metastore};create=true"))
+    for k, v in LOCAL_CONF.items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for staged data: ``spark.checkpoint.dir`` when the cluster sets it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
