@@ -181,6 +181,12 @@ def ordered_frames(frames: DataFrame, key: str = "media_name") -> DataFrame:
     return frames.repartitionByRange(key, "frame_id").sortWithinPartitions(key, "frame_id")
 
 
+def write_ordered_frames(frames: DataFrame, path: str, key: str = "media_name") -> None:
+    """Land the assembled frame sequences as a table (K11): files are range-partitioned
+    and sorted by (media, frame_id), so a reader streams each media in order."""
+    ordered_frames(frames, key).write.mode("errorifexists").parquet(path)
+
+
 def latest_per_name(df: DataFrame, name: str = "media_name",
                     order: tuple[str, ...] = ("timestamp", "partition", "offset")) -> DataFrame:
     """Last write wins per object name (A3): ``max_by`` on (timestamp, partition, offset).

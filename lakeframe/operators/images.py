@@ -47,20 +47,29 @@ def image_envelopes(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def undecodable_images(spark: SparkSession, root: str) -> DataFrame:
+    """Image-named files the decoder rejects, with a reason."""
+    files = route_by_extension(list_objects(spark, root), "name").where("is_image")
+    files = files.withColumn("uri", norm_uri(F.col("path")))
+    return (files.join(image_dimensions(spark, root), "uri", "left_anti")
+            .select("path", "name", F.lit("undecodable").alias("reason")))
+
+
 RESIZED_SCHEMA = "uri string, height int, width int, n_channels int, r_sum long, g_sum long, b_sum long, md5 string"
 
 
-def _resizer(scale: float):
+def _resizer():
     import hashlib
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for uri, h, w, c, data in zip(pdf["uri"], pdf["height"], pdf["width"], pdf["n_channels"], pdf["data"]):
+            for uri, h, w, c, data, oh, ow in zip(pdf["uri"], pdf["height"], pdf["width"], pdf["n_channels"],
+                                                   pdf["data"], pdf["target_height"], pdf["target_width"]):
                 px = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), int(c))
                 if c == 4:
                     px = px[:, :, :3]
-                oh, ow = max(1, int(round(h * scale))), max(1, int(round(w * scale)))
+                oh, ow = max(1, int(oh)), max(1, int(ow))
                 rgb = bgr_to_rgb(resize_bilinear(px, oh, ow))
                 sums = [int(rgb[:, :, i].sum()) for i in range(3)] if rgb.shape[2] >= 3 else [int(rgb.sum())] * 3
                 out.append((uri, oh, ow, int(rgb.shape[2]), *sums, hashlib.md5(rgb.tobytes()).hexdigest()))
@@ -68,10 +77,32 @@ def _resizer(scale: float):
     return run
 
 
-def resize_images(spark: SparkSession, root: str, scale: float = 0.5) -> DataFrame:
-    """Decode, resize by ``scale`` (X14) and reorder BGR to RGB (X15), reported per image."""
+def decoded_images(spark: SparkSession, root: str) -> DataFrame:
     img = spark.read.format("image").option("dropInvalid", True).load(root)
-    rows = img.select(norm_uri(F.col("image.origin")).alias("uri"), F.col("image.height").alias("height"),
+    return img.select(norm_uri(F.col("image.origin")).alias("uri"), F.col("image.height").alias("height"),
                       F.col("image.width").alias("width"), F.col("image.nChannels").alias("n_channels"),
                       F.col("image.data").alias("data"))
-    return rows.mapInPandas(_resizer(scale), RESIZED_SCHEMA)
+
+
+def resize_rows(rows: DataFrame) -> DataFrame:
+    """Resize decoded rows (``uri, height, width, n_channels, data, target_height,
+    target_width``) bilinearly (X14) and reorder BGR to RGB (X15), reported per image.
+    Identity when the target equals the decoded size, as for the producer's own images."""
+    return rows.mapInPandas(_resizer(), RESIZED_SCHEMA)
+
+
+def resize_images(spark: SparkSession, root: str, scale: float = 0.5) -> DataFrame:
+    """Decode every image under ``root`` and resize it by ``scale``."""
+    rows = decoded_images(spark, root)
+    return resize_rows(rows.withColumns({
+        "target_height": F.round(F.col("height") * scale).cast("int"),
+        "target_width": F.round(F.col("width") * scale).cast("int")}))
+
+
+def resize_to_headers(spark: SparkSession, root: str, metadata: DataFrame) -> DataFrame:
+    """Resize each stored image to the ``original_height`` x ``original_width`` its
+    metadata row carries, matched on ``media_name`` = file name (X14 as the consumer does)."""
+    rows = decoded_images(spark, root).withColumn("media_name", F.substring_index("uri", "/", -1))
+    targets = metadata.select("media_name", F.col("original_height").alias("target_height"),
+                              F.col("original_width").alias("target_width"))
+    return resize_rows(rows.join(targets, "media_name").drop("media_name"))

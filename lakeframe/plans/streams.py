@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeframe.functions.headers import (
-    header_text, key_value_text, metadata_projection,
+    header_int, header_text, key_value_text, metadata_projection,
 )
+from lakeframe.operators.frames import latest_per_name
 from lakeframe.plans.standins import consumed_frames, document_envelopes, event_envelopes, frame_envelopes
 from lakeframe.session import ensure_state_store, scratch
 from lakeframe.sinks.objects import read_objects
@@ -104,15 +105,21 @@ def object_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = read_envelopes(spark, path=f"{root}/topic", files_per_trigger=1)
     images = stream.where(header_text("type") == F.lit("image")).select(
         header_text("media_name").alias("media_name"), F.col("value").alias("image_data"),
+        header_int("original_height").alias("original_height"), header_int("original_width").alias("original_width"),
         "timestamp", "partition", "offset")
-    q_objects = object_stream(images, f"{root}/objects", f"{root}/checkpoints/objects")
+    q_objects = object_stream(images, f"{root}/objects", f"{root}/checkpoints/objects",
+                              metadata=("media_name", "original_height", "original_width"),
+                              sidecar=f"{root}/object_metadata")
     q_table = append_stream(metadata_projection(stream), f"{root}/table", f"{root}/checkpoints/table")
     await_all([q_objects, q_table])
     objs = read_objects(spark, f"{root}/objects").select(
         "name", F.col("length").cast("int").alias("n_bytes"), F.md5("content").alias("md5"))
     meta = spark.read.parquet(f"{root}/table")
-    return meta.join(objs, meta["media_name"] == objs["name"]).select(
-        "media_name", "original_height", "original_width", "n_bytes", "md5")
+    sidecar = latest_per_name(spark.read.parquet(f"{root}/object_metadata"), "name", ("batch_id",)).select(
+        "name", F.col("metadata")["original_width"].cast("int").alias("object_width"))
+    return (meta.join(objs, meta["media_name"] == objs["name"]).drop("name")
+            .join(sidecar, F.col("media_name") == sidecar["name"], "left")
+            .select("media_name", "original_height", "original_width", "n_bytes", "md5", "object_width"))
 
 
 QUERIES = {
@@ -155,6 +162,7 @@ SELECT 'doc-' || CAST(doc_id AS VARCHAR) || '.jpg' AS media_name,
        CAST(n_chars AS INTEGER) AS original_height,
        CAST(strlen(text) AS INTEGER) AS original_width,
        CAST(strlen(text) AS INTEGER) AS n_bytes,
-       md5(text) AS md5
+       md5(text) AS md5,
+       CAST(strlen(text) AS INTEGER) AS object_width
 FROM documents""",
 }

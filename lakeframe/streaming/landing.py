@@ -41,19 +41,32 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, *, fmt: str = "parq
 
 def object_stream(df: DataFrame, root: str, checkpoint: str, *, name: str = "media_name",
                   content: str = "image_data", order: tuple[str, ...] = ("timestamp", "partition", "offset"),
+                  metadata: tuple[str, ...] = (), sidecar: str | None = None,
                   trigger: str | None = "availableNow") -> StreamingQuery:
     """Stream records to objects named by ``name``.
 
     Each micro-batch first keeps the last record per name by ``order`` (A3), so the
     object left behind is the latest one whatever order the tasks finish in; then the
-    executors write the objects.  A replayed batch rewrites the same bytes.
+    executors write the objects.  A replayed batch rewrites the same bytes.  The user
+    metadata of each object (``metadata`` columns as a ``map<string,string>``) goes to
+    the ``sidecar`` table, one folder per batch id, overwritten on replay.
     """
     register(df.sparkSession)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_rows(batch.select(name, content, *order), name, order)
-        (latest.select(F.col(name).alias("name"), F.col(content).alias("content"))
-         .write.format(SINK_NAME).mode("append").option("path", root).save())
+        latest = latest_rows(batch.select(name, content, *order, *metadata), name, order)
+        if sidecar and metadata:
+            latest.persist()
+        try:
+            (latest.select(F.col(name).alias("name"), F.col(content).alias("content"))
+             .write.format(SINK_NAME).mode("append").option("path", root).save())
+            if sidecar and metadata:
+                meta = F.create_map(*[x for m in metadata for x in (F.lit(m), F.col(m).cast("string"))])
+                (latest.select(F.col(name).alias("name"), meta.alias("metadata"))
+                 .write.mode("overwrite").parquet(f"{sidecar}/batch_id={batch_id}"))
+        finally:
+            if sidecar and metadata:
+                latest.unpersist()
 
     writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()

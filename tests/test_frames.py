@@ -106,3 +106,16 @@ def test_latest_rows_keeps_whole_winning_rows(spark):
                                "media_name string, timestamp long, partition int, offset long, image_data binary")
     got = {r.media_name: bytes(r.image_data) for r in latest_rows(df).collect()}
     assert got == {"x": b"newest", "y": b"only"}
+
+
+def test_write_ordered_frames(spark, tmp_path):
+    from lakeframe.operators.frames import write_ordered_frames
+    rows = _video("a.mp4", 12) + _video("b.mp4", 5)
+    random.Random(5).shuffle(rows)
+    path = str(tmp_path / "frames")
+    write_ordered_frames(_frames(spark, rows), path)
+    files = sorted(p for p in __import__("os").listdir(path) if p.endswith(".parquet"))
+    seen = []
+    for f in files:
+        seen += [(r.media_name, r.frame_id) for r in spark.read.parquet(f"{path}/{f}").collect()]
+    assert seen == sorted(seen) and len(seen) == 17

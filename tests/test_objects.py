@@ -69,3 +69,17 @@ def test_resize_2x_down_is_block_mean_and_identity():
     three = np.zeros((1, 1, 3), dtype=np.uint8)
     three[0, 0] = [1, 2, 3]
     assert bgr_to_rgb(three)[0, 0].tolist() == [3, 2, 1]
+
+
+def test_resize_to_header_size_and_undecodable(spark, tmp_path):
+    from lakeframe.operators.images import resize_to_headers, undecodable_images
+
+    d = tmp_path / "imgs"
+    d.mkdir()
+    (d / "a.png").write_bytes(encode_png(np.full((4, 6, 3), 9, dtype=np.uint8)))
+    (d / "b.jpg").write_bytes(b"\xff\xd8 truncated")
+    meta = spark.createDataFrame([("a.png", 2, 3)], "media_name string, original_height int, original_width int")
+    row = resize_to_headers(spark, str(d), meta).first()
+    assert (row.height, row.width, row.r_sum) == (2, 3, 9 * 6)
+    bad = [(r.name, r.reason) for r in undecodable_images(spark, str(d)).collect()]
+    assert bad == [("b.jpg", "undecodable")]

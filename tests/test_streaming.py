@@ -60,3 +60,29 @@ def test_on_last_emits_early_when_last_frame_overtakes(spark, tmp_path):
     reordered = [(r[0], r[1], r[2], r[3], r[4], r[5], r[6], 0, 10 if r[1] != 3 else 0) for r in a]
     got = _run(spark, tmp_path, [reordered], "on_last")
     assert got["a.mp4"].n_frames == 1
+
+
+def test_fan_out_batches_writes_every_sink_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lakeframe.sinks.objects import read_objects, register, SINK_NAME
+    from lakeframe.streaming.landing import fan_out_batches
+
+    src = str(tmp_path / "src")
+    rows = [(f"m{i}.jpg", f"payload-{i}".encode(), i) for i in range(30)]
+    spark.createDataFrame(rows, "media_name string, image_data binary, n int").repartition(3).write.parquet(src)
+    stream = spark.readStream.schema("media_name string, image_data binary, n int").option("maxFilesPerTrigger", 1).parquet(src)
+    register(spark)
+    table, objs = str(tmp_path / "table"), str(tmp_path / "objs")
+
+    def to_table(batch, batch_id):
+        batch.select("media_name", "n").write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+    def to_objects(batch, batch_id):
+        (batch.select(F.col("media_name").alias("name"), F.col("image_data").alias("content"))
+         .write.format(SINK_NAME).mode("append").option("path", objs).save())
+
+    await_all([fan_out_batches(stream, str(tmp_path / "ckpt"), [to_table, to_objects])])
+    assert spark.read.parquet(table).count() == 30
+    got = {r.name: bytes(r.content) for r in read_objects(spark, objs).collect()}
+    assert got == {n: p for n, p, _ in rows}
