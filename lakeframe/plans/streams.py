@@ -14,13 +14,18 @@ from lakeframe.operators.frames import latest_per_name
 from lakeframe.plans.standins import consumed_frames, document_envelopes, event_envelopes, frame_envelopes
 from lakeframe.session import ensure_state_store, scratch
 from lakeframe.sinks.objects import read_objects
-from lakeframe.sources.envelopes import high_water_marks, publish, read_envelopes, start_position
+from lakeframe.sources.envelopes import files_per_trigger, high_water_marks, publish, read_envelopes, start_position
 from lakeframe.streaming.landing import append_stream, await_all, object_stream
 from lakeframe.streaming.reassembly import assemble_stream as assemble_frames
 
 # Fixed value: the instant that splits the events into a first and a second drop.
 SECOND_DROP_FROM = "2024-01-16 00:00:00"
-TOPIC_FILES = 4
+TOPIC_FILES = 4  # minimum files of a stored topic
+TOPIC_BATCHES = 4  # micro-batches a replay is cut into
+
+
+def _replay(spark: SparkSession, topic: str) -> DataFrame:
+    return read_envelopes(spark, path=topic, files_per_trigger=files_per_trigger(spark, topic, TOPIC_BATCHES))
 
 
 def _first_drop():
@@ -36,8 +41,8 @@ def _kv(stream: DataFrame) -> DataFrame:
 def kv_text_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream -> key/value text -> Parquet with checkpoint."""
     root = scratch(spark, "kv_text_landing")
-    publish(event_envelopes(spark, sf_dir), f"{root}/topic", files=TOPIC_FILES)
-    stream = read_envelopes(spark, path=f"{root}/topic", files_per_trigger=1)
+    publish(event_envelopes(spark, sf_dir), f"{root}/topic", min_files=TOPIC_FILES)
+    stream = _replay(spark, f"{root}/topic")
     q = append_stream(key_value_text(stream), f"{root}/table", f"{root}/checkpoints/table")
     await_all([q])
     return spark.read.parquet(f"{root}/table")
@@ -46,8 +51,8 @@ def kv_text_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metadata_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream -> media metadata -> table with checkpoint (S1r, K1, T2, T3, T6)."""
     root = scratch(spark, "metadata_stream_landing")
-    publish(document_envelopes(spark, sf_dir), f"{root}/topic", files=TOPIC_FILES)
-    stream = read_envelopes(spark, path=f"{root}/topic", files_per_trigger=1)
+    publish(document_envelopes(spark, sf_dir), f"{root}/topic", min_files=TOPIC_FILES)
+    stream = _replay(spark, f"{root}/topic")
     q = append_stream(metadata_projection(stream), f"{root}/table", f"{root}/checkpoints/table")
     await_all([q])
     return spark.read.parquet(f"{root}/table")
@@ -59,11 +64,11 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "stream_restart")
     env = event_envelopes(spark, sf_dir)
     topic, table, ckpt = f"{root}/topic", f"{root}/table", f"{root}/checkpoints/table"
-    publish(env.where(_first_drop()), topic, files=2)
+    publish(env.where(_first_drop()), topic, min_files=2)
     for drop in (1, 2):
         if drop == 2:
-            publish(env.where(~_first_drop()), topic, files=2)
-        stream = read_envelopes(spark, path=topic, files_per_trigger=1)
+            publish(env.where(~_first_drop()), topic, min_files=2)
+        stream = _replay(spark, topic)
         await_all([append_stream(_kv(stream), table, ckpt)])
     return spark.read.parquet(table)
 
@@ -74,13 +79,13 @@ def start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "start_latest")
     env = event_envelopes(spark, sf_dir)
     topic = f"{root}/topic"
-    publish(env.where(_first_drop()), topic, files=2)
+    publish(env.where(_first_drop()), topic, min_files=2)
     # The snapshot is written, so a restarted query keeps the start position it began with.
     marks_path = f"{root}/marks"
     high_water_marks(spark, topic).write.parquet(marks_path)
     marks = spark.read.parquet(marks_path)
-    publish(env.where(~_first_drop()), topic, files=2)
-    stream = start_position(read_envelopes(spark, path=topic, files_per_trigger=1), marks)
+    publish(env.where(~_first_drop()), topic, min_files=2)
+    stream = start_position(_replay(spark, topic), marks)
     await_all([append_stream(_kv(stream), f"{root}/table", f"{root}/checkpoints/table")])
     return spark.read.parquet(f"{root}/table")
 
@@ -90,8 +95,8 @@ def assemble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     (T1, K11): same result as the batch assembly."""
     ensure_state_store(spark)
     root = scratch(spark, "assemble_stream")
-    publish(frame_envelopes(spark, sf_dir, redeliver_role="user"), f"{root}/topic", files=TOPIC_FILES)
-    stream = read_envelopes(spark, path=f"{root}/topic", files_per_trigger=1)
+    publish(frame_envelopes(spark, sf_dir, redeliver_role="user"), f"{root}/topic", min_files=TOPIC_FILES)
+    stream = _replay(spark, f"{root}/topic")
     out = assemble_frames(consumed_frames(stream), "complete")
     await_all([append_stream(out, f"{root}/table", f"{root}/checkpoints/table")])
     return spark.read.parquet(f"{root}/table")
@@ -101,8 +106,8 @@ def object_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stream, two sinks: image objects written by the executors and the metadata
     table (K3, K10, K13, T5); objects are read back as files (F4, S12)."""
     root = scratch(spark, "object_sink_roundtrip")
-    publish(document_envelopes(spark, sf_dir), f"{root}/topic", files=TOPIC_FILES)
-    stream = read_envelopes(spark, path=f"{root}/topic", files_per_trigger=1)
+    publish(document_envelopes(spark, sf_dir), f"{root}/topic", min_files=TOPIC_FILES)
+    stream = _replay(spark, f"{root}/topic")
     images = stream.where(header_text("type") == F.lit("image")).select(
         header_text("media_name").alias("media_name"), F.col("value").alias("image_data"),
         header_int("original_height").alias("original_height"), header_int("original_width").alias("original_width"),

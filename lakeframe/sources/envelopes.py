@@ -47,14 +47,34 @@ def to_envelopes(
     )
 
 
-def publish(envelopes: DataFrame, path: str, files: int | None = None) -> None:
-    """Append envelopes to a stored topic (K8 stand-in when Kafka is absent)."""
+def _num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
+        return None
+
+
+def publish(envelopes: DataFrame, path: str, min_files: int | None = None) -> None:
+    """Append envelopes to a stored topic (K8 stand-in when Kafka is absent).
+
+    Files follow the input's own parallelism, so a large topic is written by all tasks;
+    only an input with fewer than ``min_files`` partitions is spread over ``min_files``
+    (round-robin), which gives small test topics several files to replay."""
     out = envelopes.select(*[F.col(f.name).cast(f.dataType) for f in ENVELOPE.fields])
-    if files:
-        out = out.repartition(files)
+    if min_files:
+        n = _num_partitions(out)
+        if n is not None and n < min_files:
+            out = out.repartition(min_files)
     out.write.mode("append").parquet(path)
 
 
+def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
+    """``maxFilesPerTrigger`` that replays the files now in a stored topic in about
+    ``batches`` micro-batches (the listing is file metadata, not data)."""
+    n = len(spark.read.schema(ENVELOPE).parquet(path).inputFiles())
+    return max(1, -(-n // max(1, batches)))
+
+
 def publish_kafka(envelopes: DataFrame, servers: str, topic: str) -> None:
     """K8 with the Kafka connector: ``value`` and ``headers`` with a NULL key.
 

@@ -1,28 +1,32 @@
 """Stateful reassembly of media from a frame stream.
 
-Plan:
-  1. (``complete`` mode) ``dropDuplicates(media_name, frame_id)``: Spark's own stateful
-     de-duplication, keyed by frame, so redelivered frames are dropped in the JVM and a
-     media with very many frames is spread over all state partitions;
-  2. ``groupBy(media_name).transformWithStateInPandas(FrameAssembler(mode))`` keeps one
-     small ValueState per media: frame count, lowest/highest id, the last frame's
-     id/fps/height/width and a running order-aware digest (sum of per-frame digests).
+Plan (``complete`` mode, the default):
+  1. ``dropDuplicates(media_name, frame_id)``: Spark's own stateful de-duplication keyed
+     by frame, so redelivered frames are dropped in the JVM and a media with very many
+     frames is spread over all state partitions;
+  2. ``mapInPandas`` in the same tasks: each Arrow chunk is reduced to one partial summary
+     per media (count, lowest/highest id, digest sum, last-frame properties) — a map-side
+     combine, so a media holding a third of all frames sends one small row per chunk, not
+     its frames, to the next step;
+  3. ``groupBy(media_name).applyInPandasWithState`` folds the partial summaries into one
+     constant-size state per media and emits the media once every id ``0..last`` is present.
 
 No frame bytes are kept in state and the state per media does not grow with its length;
 the frames themselves are landed by the table sink and can be read back in order
-(:func:`lakeframe.operators.frames.ordered_frames`).
-
-Modes:
-  ``complete`` (default): emit when the last frame was seen and every id ``0..last`` is
-  present; arrival order across partitions and micro-batches does not matter.
-  ``on_last``: emit whatever arrived once the last frame arrives (duplicates counted) and
-  start a new entry for frames after it; rows of a micro-batch are applied in
-  ``(partition, offset)`` order.
+(:func:`lakeframe.operators.frames.write_ordered_frames`).
+
+``on_last`` mode reproduces the reference consumer: emit whatever arrived once the last
+frame arrives (duplicates counted) and start a new entry for frames after it; rows of a
+micro-batch are applied in ``(partition, offset)`` order.  Being order-dependent it cannot
+be pre-combined, so it receives the (slim) frame rows of a media in one task.
+
+``engine="tws"`` runs the same fold as a ``transformWithStateInPandas`` processor
+(RocksDB state store required); it pays a state round trip per media and micro-batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -34,33 +38,57 @@ from lakeframe.operators.frames import frame_digest
 from lakeframe.schemas import ASSEMBLED
 
 _META = "n long, min_id int, max_id int, last_id int, fps int, height int, width int, digest string"
+_PARTIAL = "media_name string, " + _META
+_META_COLS = ["n", "min_id", "max_id", "last_id", "fps", "height", "width", "digest"]
 _OUT_COLS = [f.name for f in ASSEMBLED.fields]
 _EMPTY = (0, None, None, None, None, None, None, "0")
 
 
-def _fold(mode: str, m: list, pdf: pd.DataFrame) -> tuple[list, list[list]]:
-    """Apply one micro-batch of a media's frames to its summary ``m``.
-
-    Returns the new summary and the summaries to emit (the state update rule shared by
-    both state engines)."""
-    digest = int(m[7])
+def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Map-side combine: one partial summary per media per Arrow chunk."""
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        g = pdf.groupby("media_name", sort=False)
+        out = g["frame_id"].agg(["size", "min", "max"]).rename(columns={"size": "n", "min": "min_id", "max": "max_id"})
+        out["digest"] = g["part"].agg(lambda s: str(sum(int(x) for x in s)))
+        last = pdf[pdf["last_frame"] == LAST_YES].drop_duplicates("media_name").set_index("media_name")
+        last = last[["frame_id", "fps", "height", "width"]].rename(columns={"frame_id": "last_id"})
+        out = out.join(last, how="left").reset_index()
+        for c in ("last_id", "fps", "height", "width"):
+            out[c] = out[c].astype("Int64")
+        yield out[["media_name", *_META_COLS]]
+
+
+def _combine(m: list, p) -> list:
+    m[0] += int(p.n)
+    m[1] = int(p.min_id) if m[1] is None else min(m[1], int(p.min_id))
+    m[2] = int(p.max_id) if m[2] is None else max(m[2], int(p.max_id))
+    m[7] = str(int(m[7]) + int(p.digest))
+    if not pd.isna(p.last_id):
+        m[3], m[4], m[5], m[6] = int(p.last_id), int(p.fps), int(p.height), int(p.width)
+    return m
+
+
+def _complete(m: list) -> bool:
+    return m[3] is not None and m[1] == 0 and m[2] == m[3] and m[0] == m[3] + 1
+
+
+def _fold(mode: str, m: list, chunks: Iterable[pd.DataFrame]) -> tuple[list, list[list]]:
+    """Apply one micro-batch of a media to its summary ``m``; returns the new summary and
+    the summaries to emit.  ``complete`` consumes partial summaries chunk by chunk;
+    ``on_last`` consumes slim frame rows."""
     done = []
     if mode == "complete":
-        ids = pdf["frame_id"].astype("int64")
-        m[0] += len(pdf)
-        m[1] = int(ids.min()) if m[1] is None else min(m[1], int(ids.min()))
-        m[2] = int(ids.max()) if m[2] is None else max(m[2], int(ids.max()))
-        digest += sum(int(p) for p in pdf["part"])
-        last = pdf[pdf["last_frame"] == LAST_YES]
-        if len(last):
-            r = last.iloc[0]
-            m[3], m[4], m[5], m[6] = int(r.frame_id), int(r.fps), int(r.height), int(r.width)
-        m[7] = str(digest)
-        if m[3] is not None and m[1] == 0 and m[2] == m[3] and m[0] == m[3] + 1:
+        for pdf in chunks:
+            for p in pdf.itertuples(index=False):
+                m = _combine(m, p)
+        if _complete(m):
             done.append(m)
             m = list(_EMPTY)
         return m, done
-    pdf = pdf.sort_values(["partition", "offset"], kind="stable")
+    pdf = pd.concat(list(chunks), ignore_index=True).sort_values(["partition", "offset"], kind="stable")
+    digest = int(m[7])
     for r in pdf.itertuples(index=False):
         fid = int(r.frame_id)
         m[0] += 1
@@ -90,9 +118,8 @@ class FrameAssembler(StatefulProcessor):
         self.meta = handle.getValueState("meta", _META)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
         current = self.meta.get()
-        m, done = _fold(self.mode, list(current) if current is not None else list(_EMPTY), pdf)
+        m, done = _fold(self.mode, list(current) if current is not None else list(_EMPTY), rows)
         if m[0] > 0:
             self.meta.update(tuple(m))
         elif current is not None:
@@ -108,8 +135,7 @@ def _group_fn(mode: str):
     from pyspark.sql.streaming.state import GroupState
 
     def run(key, pdfs, state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        m, done = _fold(mode, list(state.get) if state.exists else list(_EMPTY), pdf)
+        m, done = _fold(mode, list(state.get) if state.exists else list(_EMPTY), pdfs)
         if m[0] > 0:
             state.update(tuple(m))
         elif state.exists:
@@ -121,18 +147,15 @@ def _group_fn(mode: str):
 
 def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state") -> DataFrame:
     """Frame stream (``media_name, frame_id, last_frame, fps, height, width, payload,
-    partition, offset``) -> one row per assembled media, append mode (T1).
-
-    ``engine="group_state"`` (default) runs ``applyInPandasWithState``: the small
-    per-media summary travels with the Arrow batch.  ``engine="tws"`` runs the same
-    rule as a ``transformWithStateInPandas`` processor (needs the RocksDB state store),
-    which pays a state round trip per media and micro-batch."""
+    partition, offset``) -> one row per assembled media, append mode (T1)."""
+    if mode not in ("complete", "on_last"):
+        raise ValueError(mode)
     slim = frames.select(
         "media_name", "frame_id", "last_frame", "fps", "height", "width", "partition", "offset",
         frame_digest(F.col("frame_id"), F.col("payload")).alias("part"),
     )
     if mode == "complete":
-        slim = slim.dropDuplicates(["media_name", "frame_id"])
+        slim = slim.dropDuplicates(["media_name", "frame_id"]).mapInPandas(_partials, _PARTIAL)
     grouped = slim.groupBy("media_name")
     if engine == "tws":
         return grouped.transformWithStateInPandas(

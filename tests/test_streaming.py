@@ -86,3 +86,22 @@ def test_fan_out_batches_writes_every_sink_once(spark, tmp_path):
     assert spark.read.parquet(table).count() == 30
     got = {r.name: bytes(r.content) for r in read_objects(spark, objs).collect()}
     assert got == {n: p for n, p, _ in rows}
+
+
+def test_tws_engine_matches_group_state(spark, tmp_path):
+    from lakeframe.streaming import reassembly
+
+    a, b = _video("a.mp4", 6), _video("b.mp4", 3)
+    rows = a + b + [a[1]]
+    batches = _split(rows, 2, seed=11)
+    ensure_state_store(spark)
+    got = {}
+    for engine in ("group_state", "tws"):
+        src = str(tmp_path / engine / "src")
+        for part in batches:
+            spark.createDataFrame(part, FRAME_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(FRAME_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+        out = str(tmp_path / engine / "out")
+        await_all([append_stream(reassembly.assemble_stream(stream, "complete", engine), out, str(tmp_path / engine / "ck"))])
+        got[engine] = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got["group_state"] == got["tws"] and len(got["tws"]) == 2
