@@ -169,7 +169,7 @@ def zip_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def live_files_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data files of a written table with row counts."""
     root = scratch(spark, "live_files")
-    create_at_path(read_table(spark, sf_dir, "lineitem").repartition(4), f"{root}/lineitem")
+    create_at_path(read_table(spark, sf_dir, "lineitem"), f"{root}/lineitem")
     files = live_files(scan_path(spark, f"{root}/lineitem"))
     return files.select(F.substring_index("file_path", "/", -1).alias("file_name"), "n_rows")
 
