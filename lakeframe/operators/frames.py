@@ -109,8 +109,10 @@ def arrival_order(partition: str = "partition", offset: str = "offset") -> Colum
 
     Orders like the pair, and as a single numeric value it lets ``min``/``min_by`` run
     in hash aggregation instead of the sort-based path a struct ordering needs."""
-    return (F.col(partition).cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(38,0)")
-            + F.col(offset).cast("decimal(38,0)")).cast("decimal(38,0)")
+    arrival = (F.col(partition).cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(38,0)")
+               + F.col(offset).cast("decimal(38,0)")).cast("decimal(38,0)")
+    # rows without a position (not from a topic) still take part; copies then tie
+    return F.coalesce(arrival, F.lit(0).cast("decimal(38,0)"))
 
 
 def dedupe_frames(frames: DataFrame, key: str = "media_name") -> DataFrame:

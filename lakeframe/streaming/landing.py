@@ -89,9 +89,14 @@ def fan_out_batches(df: DataFrame, checkpoint: str, writers: list[Callable[[Data
 
 
 def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait for every query (T6); re-raise the first failure instead of hanging on it."""
+    """Wait for every query (T6); re-raise the first failure instead of hanging on it.
+    With ``timeout_s``, a query still running after it is stopped and reported."""
     for q in queries:
-        q.awaitTermination(timeout_s)
+        finished = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+        if timeout_s is not None and not finished:
+            for other in queries:
+                other.stop()
+            raise TimeoutError(f"streaming query {q.name or q.id} still running after {timeout_s}s")
     for q in queries:
         err = q.exception()
         if err is not None:

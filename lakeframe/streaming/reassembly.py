@@ -49,7 +49,7 @@ def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         if pdf.empty:
             continue
-        g = pdf.groupby("media_name", sort=False)
+        g = pdf.groupby("media_name", sort=False, dropna=False)
         out = g["frame_id"].agg(["size", "min", "max"]).rename(columns={"size": "n", "min": "min_id", "max": "max_id"})
         out["digest"] = g["part"].agg(lambda s: str(sum(int(x) for x in s)))
         last = pdf[pdf["last_frame"] == LAST_YES].drop_duplicates("media_name").set_index("media_name")
@@ -131,13 +131,19 @@ class FrameAssembler(StatefulProcessor):
         pass
 
 
-def _group_fn(mode: str):
+def _group_fn(mode: str, ttl_ms: int | None):
     from pyspark.sql.streaming.state import GroupState
 
     def run(key, pdfs, state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            # an incomplete media idle for longer than the TTL is evicted, not emitted
+            state.remove()
+            return
         m, done = _fold(mode, list(state.get) if state.exists else list(_EMPTY), pdfs)
         if m[0] > 0:
             state.update(tuple(m))
+            if ttl_ms:
+                state.setTimeoutDuration(ttl_ms)
         elif state.exists:
             state.remove()
         if done:
@@ -145,9 +151,15 @@ def _group_fn(mode: str):
     return run
 
 
-def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state") -> DataFrame:
+def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state",
+                    ttl_ms: int | None = None) -> DataFrame:
     """Frame stream (``media_name, frame_id, last_frame, fps, height, width, payload,
-    partition, offset``) -> one row per assembled media, append mode (T1)."""
+    partition, offset``) -> one row per assembled media, append mode (T1).
+
+    ``ttl_ms`` (off by default, as in the reference) evicts the state of a media that
+    received no frame for that long (processing time), bounding state held for media
+    that never complete.  Timeouts make every trigger run another batch, so use it with
+    a processing-time trigger (a long-running stream), not ``availableNow``."""
     if mode not in ("complete", "on_last"):
         raise ValueError(mode)
     slim = frames.select(
@@ -158,6 +170,9 @@ def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "gr
         slim = slim.dropDuplicates(["media_name", "frame_id"]).mapInPandas(_partials, _PARTIAL)
     grouped = slim.groupBy("media_name")
     if engine == "tws":
+        if ttl_ms:
+            raise ValueError("ttl_ms is supported by the group_state engine")
         return grouped.transformWithStateInPandas(
             statefulProcessor=FrameAssembler(mode), outputStructType=ASSEMBLED, outputMode="Append", timeMode="None")
-    return grouped.applyInPandasWithState(_group_fn(mode), ASSEMBLED, _META, "append", "NoTimeout")
+    timeout = "ProcessingTimeTimeout" if ttl_ms else "NoTimeout"
+    return grouped.applyInPandasWithState(_group_fn(mode, ttl_ms), ASSEMBLED, _META, "append", timeout)

@@ -105,3 +105,47 @@ def test_tws_engine_matches_group_state(spark, tmp_path):
         await_all([append_stream(reassembly.assemble_stream(stream, "complete", engine), out, str(tmp_path / engine / "ck"))])
         got[engine] = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert got["group_state"] == got["tws"] and len(got["tws"]) == 2
+
+
+def test_ttl_evicts_idle_incomplete_media(spark, tmp_path):
+    import json
+    import time
+
+    from lakeframe.streaming import reassembly
+
+    a = _video("a.mp4", 3)
+    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def drop(rows):
+        spark.createDataFrame(rows, FRAME_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+
+    def progress(q):
+        return [json.loads(p.json) if hasattr(p, "json") else p for p in q.recentProgress]
+
+    def wait_for(cond, limit=120):
+        end = time.time() + limit
+        while time.time() < end:
+            if cond():
+                return True
+            time.sleep(0.3)
+        return False
+
+    def state_rows(q):
+        last = progress(q)
+        ops = last[-1]["stateOperators"] if last else []
+        media_state = [o for o in ops if "dedup" not in o.get("operatorName", "").lower()]
+        return media_state[0]["numRowsTotal"] if media_state else None
+
+    drop([a[0], a[2]])
+    stream = spark.readStream.schema(FRAME_SCHEMA).parquet(src)
+    q = append_stream(reassembly.assemble_stream(stream, "complete", ttl_ms=800), out, ck, trigger="300 milliseconds")
+    try:
+        assert wait_for(lambda: any(p["numInputRows"] > 0 for p in progress(q)))
+        assert state_rows(q) == 1  # a.mp4 is waiting for frame 1
+        assert wait_for(lambda: state_rows(q) == 0)  # idle past its TTL: evicted by a timeout batch
+        drop([a[1]])  # too late: a.mp4 starts over and stays incomplete
+        drop([_video("z.mp4", 1)[0]])
+        assert wait_for(lambda: sum(p["numInputRows"] for p in progress(q)) >= 4 and state_rows(q) == 1)
+    finally:
+        q.stop()
+    assert {r.media_name for r in spark.read.parquet(out).collect()} == {"z.mp4"}
