@@ -10,16 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeframe.functions.headers import (
-    header_int, header_text, key_value_text, media_columns, metadata_projection, payload_projection,
-    build_headers,
+    build_headers, header_int, header_text, media_columns, metadata_projection, payload_projection,
 )
 from lakeframe.operators.frames import assemble_batch, latest_per_name, number_frames
 from lakeframe.operators.routing import branch_of, reject_reason, route_by_extension
-from lakeframe.plans.standins import (
-    consumed_frames, document_envelopes, event_envelopes, frame_envelopes, frame_rows,
-)
+from lakeframe.plans.standins import consumed_frames, document_envelopes, event_envelopes, frame_envelopes
 from lakeframe.session import read_table, scratch
-from lakeframe.sources.envelopes import delivery_report, publish
+from lakeframe.sources.envelopes import delivery_report, publish, to_envelopes
 from lakeframe.schemas import ENVELOPE
 
 
@@ -115,7 +112,6 @@ def reject_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split landed media into valid and rejected with a reason, counted."""
     docs = read_table(spark, sf_dir, "documents")
     ext = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in LANG_EXT.items()], F.lit(""))
-    from lakeframe.sources.envelopes import to_envelopes
     env = to_envelopes(docs, topic="documents", seq=F.col("doc_id"), value=F.encode("text", "UTF-8"),
                        headers=build_headers([
                            ("type", F.lit("image")),
