@@ -119,3 +119,26 @@ def test_write_ordered_frames(spark, tmp_path):
     for f in files:
         seen += [(r.media_name, r.frame_id) for r in spark.read.parquet(f"{path}/{f}").collect()]
     assert seen == sorted(seen) and len(seen) == 17
+
+
+def test_hot_media_is_split_across_buckets(spark):
+    from pyspark.sql import functions as F
+
+    n = 300_000
+    hot = spark.range(n).select(F.lit("hot.mp4").alias("media_name"), F.col("id").cast("int").alias("frame_id"))
+    cold = spark.range(10).select(F.lit("cold.mp4").alias("media_name"), F.col("id").cast("int").alias("frame_id"))
+    frames = hot.unionByName(cold)
+    numbered = number_frames(frames, "media_name", "frame_id", bucket_width=65_536)
+    bad = numbered.where((F.col("frame_seq") != F.col("frame_id"))
+                         | (F.col("is_last") != (F.col("frame_id") == F.when(F.col("media_name") == "hot.mp4", n - 1).otherwise(9))))
+    assert bad.count() == 0
+    buckets = frames.where("media_name = 'hot.mp4'").selectExpr("frame_id div 65536 AS b").distinct().count()
+    assert buckets == 5  # the hot media is ranked in 5 independent window partitions
+
+    as_frames = numbered.select(
+        "media_name", "frame_id", F.when(F.col("is_last"), "yes").otherwise("no").alias("last_frame"),
+        F.lit(25).alias("fps"), F.lit(4).alias("height"), F.lit(6).alias("width"),
+        F.encode(F.col("frame_id").cast("string"), "UTF-8").alias("payload"),
+        F.lit(0).alias("partition"), F.col("frame_id").cast("long").alias("offset"))
+    out = {r.media_name: r.n_frames for r in assemble_batch(as_frames).collect()}
+    assert out == {"hot.mp4": n, "cold.mp4": 10}
