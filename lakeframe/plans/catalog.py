@@ -21,13 +21,18 @@ def _ident(name: str) -> str:
     return f"`{name}`"
 
 
+def _literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _unique(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` (D1); ``location`` keeps managed tables in shared storage."""
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = f" LOCATION {_literal(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}{loc}")
 
 
@@ -45,7 +50,7 @@ def register_external(spark: SparkSession, table: str, path: str, fmt: str = "pa
                       database: str = "default") -> str:
     """Register an existing folder as a table, idempotently (D4).  Returns the three-part name."""
     full = f"spark_catalog.{_ident(database)}.{_ident(table)}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING {fmt} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING {_ident(fmt)} LOCATION {_literal(path)}")
     return full
 
 

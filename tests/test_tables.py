@@ -81,3 +81,19 @@ def test_parameters_are_not_text(spark):
     out = run_sql(spark, "SELECT id FROM IDENTIFIER(:t) WHERE id >= :lo", t="nums_t", lo=3)
     assert sorted(r.id for r in out.collect()) == [3, 4]
     assert run_sql(spark, "SELECT :v AS v", v="1; DROP TABLE x").first().v == "1; DROP TABLE x"
+
+
+def test_literal_escapes_quotes(spark, tmp_path):
+    from lakeframe.plans.catalog import _literal
+    assert spark.sql(f"SELECT {_literal(chr(39) + 'x' + chr(92))} AS v").first().v == "'x\\"
+    path = str(tmp_path / "it's here")
+    create_at_path(spark.range(2), path)
+    assert spark.table(register_external(spark, "quoted_t", path)).count() == 2
+
+
+def test_connector_pass_throughs_fail_clearly_without_packages(spark, tmp_path):
+    from lakeframe.sources.envelopes import read_envelopes
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_envelopes(spark, kind="kafka", servers="localhost:9", topic="t")
+    with pytest.raises(Exception, match="(?i)delta"):
+        create_at_path(spark.range(1), str(tmp_path / "d"), fmt="delta")
