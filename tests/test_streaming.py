@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from lakeframe.operators.frames import assemble_batch
@@ -149,3 +150,21 @@ def test_ttl_evicts_idle_incomplete_media(spark, tmp_path):
     finally:
         q.stop()
     assert {r.media_name for r in spark.read.parquet(out).collect()} == {"z.mp4"}
+
+
+
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_complete_mode_permutation_property(spark, tmp_path, seed):
+    """Shuffle, duplicate and split frames over micro-batches: the output never changes."""
+    rng = random.Random(seed)
+    videos = [_video(f"m{i}.mp4", rng.randint(1, 12), fps=20 + i) for i in range(5)]
+    rows = [r for v in videos for r in v]
+    rows += rng.sample(rows, k=len(rows) // 3)  # redelivered copies
+    # give every copy its own arrival position
+    rows = [(r[0], r[1], r[2], r[3], r[4], r[5], r[6], rng.randint(0, 3), i) for i, r in enumerate(rows)]
+    got = _run(spark, tmp_path, _split(rows, rng.randint(2, 4), seed), "complete")
+    want = {r.media_name: r.asDict() for r in assemble_batch(spark.createDataFrame(rows, FRAME_SCHEMA)).collect()}
+    assert {k: v.asDict() for k, v in got.items()} == want
+    assert set(want) == {f"m{i}.mp4" for i in range(5)}
