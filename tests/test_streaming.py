@@ -1,6 +1,7 @@
-import pytest
 import random
 
+import pytest
+
 from lakeframe.operators.frames import assemble_batch
 from lakeframe.session import ensure_state_store
 from lakeframe.streaming.landing import append_stream, await_all
