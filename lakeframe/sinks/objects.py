@@ -152,13 +152,17 @@ COPY_SCHEMA = "name string, n_bytes long, status string, error string"
 def _copier(dest: str, part_bytes: int):
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dfs, dbase = resolve_fs(dest)
+        made: set[str] = set()
         for pdf in batches:
             out = []
             for path, name in zip(pdf["path"], pdf["name"]):
                 try:
                     sfs, spath = resolve_fs(path)
                     target = f"{dbase}/{check_name(name)}"
-                    dfs.create_dir(dbase, recursive=True)
+                    parent = target.rsplit("/", 1)[0]
+                    if parent not in made:
+                        dfs.create_dir(parent, recursive=True)
+                        made.add(parent)
                     n = 0
                     with sfs.open_input_stream(spath) as src, dfs.open_output_stream(target) as dst:
                         while True:

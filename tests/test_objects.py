@@ -83,3 +83,12 @@ def test_resize_to_header_size_and_undecodable(spark, tmp_path):
     assert (row.height, row.width, row.r_sum) == (2, 3, 9 * 6)
     bad = [(r.name, r.reason) for r in undecodable_images(spark, str(d)).collect()]
     assert bad == [("b.jpg", "undecodable")]
+
+
+def test_listing_is_files_only_one_level(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.jpg").write_bytes(b"a")
+    (tmp_path / "sub" / "b.png").write_bytes(b"b")
+    (tmp_path / ".hidden").write_bytes(b"h")
+    assert sorted(r.name for r in list_objects(spark, str(tmp_path)).collect()) == ["a.jpg"]
+    assert sorted(r.name for r in list_objects(spark, str(tmp_path), recursive=True).collect()) == ["a.jpg", "b.png"]
