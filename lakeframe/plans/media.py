@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakeframe.functions.headers import (
     build_headers, header_int, header_text, media_columns, metadata_projection, payload_projection,
 )
+from lakeframe.functions.paths import format_name
 from lakeframe.operators.frames import assemble_batch, latest_per_name, number_frames
 from lakeframe.operators.routing import branch_of, reject_reason, route_by_extension
 from lakeframe.plans.standins import consumed_frames, document_envelopes, event_envelopes, frame_envelopes
@@ -90,8 +91,10 @@ def page_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_by_extension_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Route names to the image and video paths by extension."""
-    return route_by_extension(page_names(spark, sf_dir).drop("html"), "name")
+    """Route names to the image and video paths by extension, with the writer format
+    name the extension maps to (F1, X6-X10)."""
+    routed = route_by_extension(page_names(spark, sf_dir).drop("html"), "name")
+    return routed.withColumn("format", format_name(F.col("ext")))
 
 
 def split_by_type_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +230,9 @@ SELECT partition, "offset", raw, TRY_CAST(raw AS INTEGER) AS parsed FROM (
     "route_by_extension": """
 SELECT page_id, name, ext,
        lower(ext) IN ('.jpg', '.jpeg', '.png', '.bmp') AS is_image,
-       lower(ext) IN ('.mp4', '.avi', '.mov', '.mkv') AS is_video
+       lower(ext) IN ('.mp4', '.avi', '.mov', '.mkv') AS is_video,
+       CASE page_id % 8 WHEN 0 THEN 'JPEG' WHEN 1 THEN 'PNG' WHEN 2 THEN 'MP4' WHEN 3 THEN 'GZ'
+            WHEN 4 THEN 'TXT' WHEN 5 THEN '' WHEN 6 THEN '' ELSE 'MOV' END AS format
 FROM (
   SELECT page_id,
          CASE page_id % 8 WHEN 0 THEN 'page-' || page_id || '.jpg' WHEN 1 THEN 'page-' || page_id || '.PNG'
