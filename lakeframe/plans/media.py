@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeframe.functions.headers import (
-    build_headers, header_int, header_text, media_columns, metadata_projection, payload_projection,
+    build_headers, header_int, header_text, headers_map, media_columns, metadata_projection, payload_projection,
 )
 from lakeframe.functions.paths import format_name
 from lakeframe.operators.frames import assemble_batch, latest_per_name, number_frames
@@ -62,6 +62,18 @@ def header_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fps", "frame_id", "last_frame")
 
 
+def headers_as_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header arrays with duplicated, missing and NULL entries as a map, last value wins."""
+    env = event_envelopes(spark, sf_dir, headers=_variant_headers())
+    m = headers_map("headers")
+    return env.select(
+        "partition", "offset",
+        F.when(m.isNull(), F.lit(0)).otherwise(F.size(m)).alias("n_keys"),
+        F.make_valid_utf8(m["frame_id"].cast("string")).alias("frame_id"),
+        F.make_valid_utf8(m["type"].cast("string")).alias("media_type"),
+    )
+
+
 def _int_text():
     et = F.col("event_type")
     uid = F.col("user_id").cast("string")
@@ -173,6 +185,7 @@ QUERIES = {
     "media_payload": media_payload,
     "header_defaults": header_defaults,
     "header_int_malformed": header_int_malformed,
+    "headers_as_map": headers_as_map,
     "route_by_extension": route_by_extension_q,
     "split_by_type": split_by_type_q,
     "reject_empty": reject_empty,
@@ -217,6 +230,18 @@ SELECT CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS "offset",
        COALESCE(CAST(CASE WHEN event_type = 'click' THEN event_id // 4
                           WHEN event_type = 'view' THEN user_id END AS INTEGER), 0) AS frame_id,
        CASE WHEN event_type = 'click' THEN 'no' WHEN event_type = 'view' THEN 'yes' ELSE 'unknown' END AS last_frame
+FROM events""",
+    "headers_as_map": """
+SELECT CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS "offset",
+       CAST(CASE event_type
+              WHEN 'signup' THEN 1 + 3 * (user_id IS NOT NULL)::INTEGER
+              WHEN 'click' THEN 5 + (user_id IS NOT NULL)::INTEGER + (value IS NOT NULL)::INTEGER
+              WHEN 'view' THEN 3 + (user_id IS NOT NULL)::INTEGER
+              WHEN 'purchase' THEN (user_id IS NOT NULL)::INTEGER + (value IS NOT NULL)::INTEGER
+              ELSE 0 END AS INTEGER) AS n_keys,
+       CASE WHEN event_type = 'click' THEN CAST(event_id // 4 AS VARCHAR)
+            WHEN event_type = 'view' THEN COALESCE(CAST(user_id AS VARCHAR), 'x') END AS frame_id,
+       CASE WHEN event_type IN ('signup') THEN 'image' WHEN event_type IN ('click', 'view') THEN 'video' END AS media_type
 FROM events""",
     "header_int_malformed": """
 SELECT partition, "offset", raw, TRY_CAST(raw AS INTEGER) AS parsed FROM (
