@@ -13,7 +13,7 @@ from lakeframe.functions.headers import (
     build_headers, header_int, header_text, headers_map, media_columns, metadata_projection, payload_projection,
 )
 from lakeframe.functions.paths import format_name
-from lakeframe.operators.frames import assemble_batch, latest_per_name, number_frames
+from lakeframe.operators.frames import assemble_batch, explode_frames, latest_per_name, number_frames
 from lakeframe.operators.routing import branch_of, reject_reason, route_by_extension
 from lakeframe.plans.standins import consumed_frames, document_envelopes, event_envelopes, frame_envelopes
 from lakeframe.session import read_table, scratch
@@ -170,6 +170,19 @@ def frame_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.md5("value").alias("md5"))
 
 
+def lines_as_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded videos as frame arrays -> one record per frame (R2 array form, W1, W2, X11):
+    each document is a video whose frames are its lines, at 29.97 fps."""
+    docs = read_table(spark, sf_dir, "documents")
+    videos = docs.select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".mp4")).alias("media_name"),
+        F.lit(29.97).alias("fps"), F.lit(48).alias("height"), F.lit(64).alias("width"),
+        F.transform(F.split("text", "\n"), lambda line: F.encode(line, "UTF-8")).alias("frames"))
+    frames, _rejected = explode_frames(videos)
+    return frames.select("media_name", "frame_id", "last_frame", header_text("fps").alias("fps"),
+                         F.md5("payload").alias("md5"))
+
+
 def assemble_batch_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reassemble permuted, partly redelivered frames per media (A1, A2, A4, O1)."""
     return assemble_batch(consumed_frames(frame_envelopes(spark, sf_dir, redeliver_role="user")))
@@ -193,6 +206,7 @@ QUERIES = {
     "delivery_report": delivery_report_q,
     "frame_numbering": frame_numbering,
     "frame_explode": frame_explode,
+    "lines_as_frames": lines_as_frames,
     "assemble_batch": assemble_batch_q,
     "assemble_incomplete": assemble_incomplete,
 }
@@ -305,6 +319,14 @@ SELECT 'video' AS type, 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_n
        CASE WHEN turn = max(turn) OVER (PARTITION BY conv_id) THEN 'yes' ELSE 'no' END AS last_frame,
        md5(text) AS md5
 FROM conversations""",
+    "lines_as_frames": """
+SELECT 'doc-' || CAST(doc_id AS VARCHAR) || '.mp4' AS media_name,
+       CAST(i - 1 AS INTEGER) AS frame_id,
+       CASE WHEN i = len(lines) THEN 'yes' ELSE 'no' END AS last_frame,
+       '29' AS fps,
+       md5(lines[i]) AS md5
+FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+     LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)""",
     "assemble_batch": f"""
 SELECT {_ASSEMBLY_COLUMNS}
 FROM conversations GROUP BY conv_id""",
