@@ -107,6 +107,26 @@ def frame_envelopes(spark: SparkSession, sf_dir: str, *, redeliver_role: str | N
     )
 
 
+def keyed_frame_envelopes(spark: SparkSession, sf_dir: str, partitions: int = 4) -> DataFrame:
+    """conversations -> frame envelopes published with the media as key: all frames of a
+    media land in one topic partition in frame order (offset = conv_id * 2^20 + turn)."""
+    from lakeframe.operators.frames import frame_headers, number_frames
+
+    frames = number_frames(frame_rows(spark, sf_dir), "conv_id", "frame_id")
+    in_order = F.col("conv_id") * F.lit(1 << 20) + F.col("frame_seq")
+    return to_envelopes(
+        frames,
+        topic="frames",
+        seq=in_order * F.lit(partitions) + F.pmod(F.col("conv_id"), F.lit(partitions)),
+        key=F.encode(F.col("media_name"), "UTF-8"),
+        value=F.col("payload"),
+        timestamp=F.timestamp_seconds(F.lit(DOCUMENT_EPOCH) + F.col("conv_id")),
+        headers=frame_headers(F.col("media_name"), F.col("frame_seq"), F.col("is_last"), F.col("fps"),
+                              F.col("height"), F.col("width")),
+        partitions=partitions,
+    )
+
+
 def consumed_frames(envelopes: DataFrame) -> DataFrame:
     """Frame envelopes -> the columns assembly works on (consumer side of P4)."""
     from lakeframe.functions.headers import media_columns

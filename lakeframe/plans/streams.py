@@ -11,7 +11,9 @@ from lakeframe.functions.headers import (
     header_int, header_text, key_value_text, metadata_projection,
 )
 from lakeframe.operators.frames import latest_per_name
-from lakeframe.plans.standins import consumed_frames, document_envelopes, event_envelopes, frame_envelopes
+from lakeframe.plans.standins import (
+    consumed_frames, document_envelopes, event_envelopes, frame_envelopes, keyed_frame_envelopes,
+)
 from lakeframe.session import ensure_state_store, scratch
 from lakeframe.sinks.objects import read_objects
 from lakeframe.sources.envelopes import files_per_trigger, high_water_marks, publish, read_envelopes, start_position
@@ -102,6 +104,18 @@ def assemble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/table")
 
 
+def assemble_stream_on_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference consumer's rule (T1 ``on_last``): emit a media when its last frame
+    arrives.  With frames keyed by media (one partition, in order) it equals the complete
+    assembly."""
+    root = scratch(spark, "assemble_stream_on_last")
+    publish(keyed_frame_envelopes(spark, sf_dir), f"{root}/topic", min_files=TOPIC_FILES)
+    stream = read_envelopes(spark, path=f"{root}/topic", files_per_trigger=files_per_trigger(spark, f"{root}/topic", 1))
+    out = assemble_frames(consumed_frames(stream), "on_last")
+    await_all([append_stream(out, f"{root}/table", f"{root}/checkpoints/table")])
+    return spark.read.parquet(f"{root}/table")
+
+
 def object_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stream, two sinks: image objects written by the executors and the metadata
     table (K3, K10, K13, T5); objects are read back as files (F4, S12)."""
@@ -133,6 +147,7 @@ QUERIES = {
     "stream_restart": stream_restart,
     "start_latest": start_latest,
     "assemble_stream": assemble_stream,
+    "assemble_stream_on_last": assemble_stream_on_last,
     "object_sink_roundtrip": object_sink_roundtrip,
 }
 
@@ -161,6 +176,12 @@ SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name,
        count(*) AS n_frames, CAST(max(turn) AS INTEGER) AS last_frame_id,
        CAST((conv_id % 3) * 5 + 20 AS INTEGER) AS fps, 48 AS height, 64 AS width,
        CAST(sum(CAST(('0x' || substr(md5(CAST(turn AS VARCHAR) || ':' || text), 1, 15)) AS BIGINT)) AS VARCHAR) AS digest
+FROM conversations GROUP BY conv_id""",
+    "assemble_stream_on_last": """
+SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name,
+       count(*) AS n_frames, CAST(max(turn) AS INTEGER) AS last_frame_id,
+       CAST((conv_id % 3) * 5 + 20 AS INTEGER) AS fps, 48 AS height, 64 AS width,
+       CAST(sum(CAST(('0x' || substr(md5(CAST(turn AS VARCHAR) || ':' || text), 1, 15)) AS BIGINT)) AS VARCHAR) AS digest
 FROM conversations GROUP BY conv_id""",
     "object_sink_roundtrip": """
 SELECT 'doc-' || CAST(doc_id AS VARCHAR) || '.jpg' AS media_name,
