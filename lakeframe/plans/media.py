@@ -37,21 +37,40 @@ def _uid(suffix: str):
     return F.concat(F.lit("user-"), F.col("user_id").cast("string"), F.lit(suffix))
 
 
+# Separators of the compact header text the variant builder splits.
+_ENTRY_SEP, _KV_SEP = "\u001e", "\u001f"
+
+
+def _kv(key: str, value) -> F.Column:
+    return F.concat(F.lit(key + _KV_SEP), value.cast("string"))
+
+
 def _variant_headers():
     """Event headers with the malformed shapes consumers meet: image records, video
-    records, duplicated keys (last wins), missing keys and a NULL header array."""
+    records, duplicated keys (last wins), missing keys and a NULL header array.
+
+    Built as one delimited text per record (``concat_ws`` drops entries whose value is
+    NULL, i.e. omitted headers) split into entries: far less generated code than a CASE
+    over header arrays, which matters for whole-stage codegen."""
     et = F.col("event_type")
     fps = F.col("value").cast("int")
-    image = build_headers([("type", F.lit("image")), ("media_name", _uid(".jpg")),
-                           ("original_height", F.col("user_id")), ("original_width", F.col("user_id") * 2)])
-    video = build_headers([("type", F.lit("video")), ("media_name", _uid(".mp4")),
-                           ("original_height", F.lit(48)), ("original_width", F.lit(64)), ("fps", fps),
-                           ("frame_id", F.expr("event_id div 4")), ("last_frame", F.lit("no"))])
-    dup = build_headers([("type", F.lit("image")), ("type", F.lit("video")), ("media_name", _uid(".mp4")),
-                         ("frame_id", F.lit("x")), ("frame_id", F.col("user_id")), ("last_frame", F.lit("yes"))])
-    partial = build_headers([("original_height", F.col("user_id")), ("fps", fps)])
-    return (F.when(et == "signup", image).when(et == "click", video).when(et == "view", dup)
-            .when(et == "purchase", partial).otherwise(F.lit(None)))
+    uid = F.col("user_id")
+    text = (F.when(et == "signup", F.concat_ws(_ENTRY_SEP, _kv("type", F.lit("image")), _kv("media_name", _uid(".jpg")),
+                                                _kv("original_height", uid), _kv("original_width", uid * 2)))
+            .when(et == "click", F.concat_ws(_ENTRY_SEP, _kv("type", F.lit("video")), _kv("media_name", _uid(".mp4")),
+                                              _kv("original_height", F.lit(48)), _kv("original_width", F.lit(64)),
+                                              _kv("fps", fps), _kv("frame_id", F.expr("event_id div 4")),
+                                              _kv("last_frame", F.lit("no"))))
+            .when(et == "view", F.concat_ws(_ENTRY_SEP, _kv("type", F.lit("image")), _kv("type", F.lit("video")),
+                                             _kv("media_name", _uid(".mp4")), _kv("frame_id", F.lit("x")),
+                                             _kv("frame_id", uid), _kv("last_frame", F.lit("yes"))))
+            .when(et == "purchase", F.concat_ws(_ENTRY_SEP, _kv("original_height", uid), _kv("fps", fps))))
+    entries = F.filter(F.split(text, _ENTRY_SEP), lambda e: e != F.lit(""))
+
+    def entry(e):
+        key = F.substring_index(e, _KV_SEP, 1)
+        return F.struct(key.alias("key"), F.encode(F.substring(e, F.length(key) + 2, 1 << 30), "UTF-8").alias("value"))
+    return F.transform(entries, entry)
 
 
 def header_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
