@@ -64,19 +64,14 @@ def headers_map(headers: str | Column = "headers") -> Column:
     """Header array as ``map<string,binary>`` with last-wins duplicates.
 
     ``map_from_entries`` raises on duplicate keys under Spark 4 defaults, so the map is
-    built from the entries whose key does not reappear later in the array.  Not on the
-    hot path: single headers are read with :func:`header_bytes`.
+    built from the distinct keys of the reversed array (first there = last in the
+    original), each paired with its last value.
     """
     h = _col(headers)
-    indexed = F.transform(h, lambda e, i: F.struct(e.getField("key").alias("k"), e.getField("value").alias("v"), i.alias("i")))
-    last_only = F.filter(
-        indexed,
-        lambda e: ~F.exists(
-            F.filter(indexed, lambda o: o.getField("i") > e.getField("i")),
-            lambda o: o.getField("k") == e.getField("k"),
-        ),
-    )
-    return F.map_from_entries(F.transform(last_only, lambda e: F.struct(e.getField("k"), e.getField("v"))))
+    rkeys, rvals = F.reverse(h.getField("key")), F.reverse(h.getField("value"))
+    keys = F.array_distinct(rkeys)
+    values = F.transform(keys, lambda k: F.element_at(rvals, F.array_position(rkeys, k).cast("int")))
+    return F.map_from_arrays(keys, values)
 
 
 def build_headers(pairs: Iterable[tuple[str, Column | str | int | None]]) -> Column:
