@@ -9,9 +9,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from lakeframe.session import local_session
 
-    s = local_session(cores=4, extra={"spark.sql.shuffle.partitions": "8"})
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    s = local_session(cores=4, extra={"spark.sql.shuffle.partitions": "8", "spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
