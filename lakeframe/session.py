@@ -29,6 +29,35 @@ LOCAL_CONF = {
 }
 
 
+# Recommended runtime settings for large clusters (applied only where unset, see
+# apply_cluster_defaults).  Values are this build's choices, not Spark defaults.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    # a folder of many small objects: pack more files into one scan task
+    "spark.sql.files.openCostInBytes": str(1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # keyed state on local disk with incremental (changelog) checkpoints
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession, overrides: dict | None = None) -> dict:
+    """Set :data:`CLUSTER_CONF` entries the session has not set explicitly; returns what
+    was set.  Nothing is changed that the job or cluster already configured."""
+    applied = {}
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
 def local_session(cores: int | str = "*", app: str = "lakeframe", extra: dict | None = None) -> SparkSession:
     """A local session configured like the tests and bench expect."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

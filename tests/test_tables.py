@@ -97,3 +97,13 @@ def test_connector_pass_throughs_fail_clearly_without_packages(spark, tmp_path):
         read_envelopes(spark, kind="kafka", servers="localhost:9", topic="t")
     with pytest.raises(Exception, match="(?i)delta"):
         create_at_path(spark.range(1), str(tmp_path / "d"), fmt="delta")
+
+
+def test_cluster_defaults_respect_explicit_settings(spark):
+    from lakeframe.session import CLUSTER_CONF, apply_cluster_defaults
+    s = spark.newSession()
+    s.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "9")
+    applied = apply_cluster_defaults(s)
+    assert "spark.sql.adaptive.skewJoin.skewedPartitionFactor" not in applied
+    assert s.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "9"
+    assert set(applied) <= set(CLUSTER_CONF)
