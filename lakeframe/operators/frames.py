@@ -116,16 +116,18 @@ def arrival_order(partition: str = "partition", offset: str = "offset") -> Colum
 
 
 def dedupe_frames(frames: DataFrame, key: str = "media_name") -> DataFrame:
-    """One row per (media, frame_id): the earliest arrival by (partition, offset) wins.
+    """One row per (media, frame_id), whole rows kept: the earliest arrival by
+    (partition, offset) wins (e.g. before landing the ordered frame table, K11).
 
-    Grouped on the frame, not the media, so a hot media spreads over many tasks; the
-    aggregate is partial, so redelivered copies collapse before the shuffle.
+    The winner per frame is a hash aggregate over a numeric arrival key only, grouped on
+    the frame (a hot media spreads over all tasks); rows with their payloads are then
+    selected with a semi-join, so no payload enters an aggregation buffer.
+    ``(key, frame_id, partition, offset)`` must identify a row.
     """
-    fields = [c for c in frames.columns if c not in (key, "frame_id", "partition", "offset")]
-    first = F.min_by(F.struct(*fields), F.struct("partition", "offset")).alias("__first")
-    return (frames.groupBy(key, "frame_id").agg(first, F.min(F.struct("partition", "offset")).alias("__arrival"))
-            .select(key, "frame_id", "__first.*", F.col("__arrival.partition").alias("partition"),
-                    F.col("__arrival.offset").alias("offset")))
+    arrival = arrival_order()
+    tagged = frames.withColumn("__arrival", arrival)
+    winners = tagged.groupBy(key, "frame_id").agg(F.min("__arrival").alias("__arrival"))
+    return tagged.join(winners, [key, "frame_id", "__arrival"], "left_semi").drop("__arrival")
 
 
 def assemble_batch(frames: DataFrame, *, key: str = "media_name", strict: bool = True) -> DataFrame:

@@ -142,3 +142,13 @@ def test_hot_media_is_split_across_buckets(spark):
         F.lit(0).alias("partition"), F.col("frame_id").cast("long").alias("offset"))
     out = {r.media_name: r.n_frames for r in assemble_batch(as_frames).collect()}
     assert out == {"hot.mp4": n, "cold.mp4": 10}
+
+
+def test_dedupe_frames_keeps_earliest_whole_row(spark):
+    from lakeframe.operators.frames import dedupe_frames
+    a = _video("a.mp4", 3)
+    late_copy = (a[1][0], a[1][1], a[1][2], a[1][3], a[1][4], a[1][5], b"late", 2, 0)
+    early = (a[1][0], a[1][1], a[1][2], a[1][3], a[1][4], a[1][5], b"early", 0, 0)
+    rows = [a[0], a[2], late_copy, early]
+    out = {r.frame_id: bytes(r.payload) for r in dedupe_frames(_frames(spark, rows)).collect()}
+    assert out == {0: b"a.mp4:0", 1: b"early", 2: b"a.mp4:2"}
