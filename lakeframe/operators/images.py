@@ -12,9 +12,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lakeframe.functions.headers import TYPE_IMAGE, build_headers
-from lakeframe.functions.pixels import bgr_to_rgb, resize_bilinear
+from lakeframe.functions.pixels import bgr_to_rgb, header_size, resize_bilinear
 from lakeframe.operators.routing import route_by_extension
 from lakeframe.sinks.objects import list_objects, read_objects
 
@@ -32,13 +33,38 @@ def image_dimensions(spark: SparkSession, root: str) -> DataFrame:
                       F.col("image.width").alias("width"), F.col("image.nChannels").alias("n_channels"))
 
 
-def image_envelopes(spark: SparkSession, root: str) -> DataFrame:
+HEADER_PREFIX_BYTES = 256 * 1024
+
+
+@F.pandas_udf(StructType([StructField("height", IntegerType()), StructField("width", IntegerType())]))
+def _header_dims(content: pd.Series) -> pd.DataFrame:
+    sizes = [header_size(c) if c is not None else None for c in content]
+    return pd.DataFrame({"height": [s[0] if s else None for s in sizes],
+                         "width": [s[1] if s else None for s in sizes]}, dtype="Int32")
+
+
+def image_envelopes(spark: SparkSession, root: str, dims: str = "header") -> DataFrame:
     """Image files -> message envelopes with image headers (R1): listing, routing by
-    extension (F1), decoded dimensions and the stored bytes as the payload."""
+    extension (F1), dimensions and the stored bytes as the payload.
+
+    ``dims="header"`` (default) reads height and width from the file header in the task
+    that already holds the bytes: one scan, no join, no decode; files whose header is not
+    recognised are left out.  ``dims="decode"`` takes them from Spark's image source
+    (full decode, drops undecodable files) and joins on the file URI."""
     files = route_by_extension(read_objects(spark, root), "name").where("is_image")
-    files = files.withColumn("uri", norm_uri(F.col("path")))
-    dims = image_dimensions(spark, root)
-    joined = files.join(dims, "uri")
+    if dims == "header":
+        # Only a prefix goes to Python; a header not found in it (a JPEG with large
+        # metadata segments) is looked for again in the whole file, for those rows only.
+        prefix = F.substring(F.col("content"), 1, HEADER_PREFIX_BYTES)
+        sized = files.withColumn("__dims", _header_dims(prefix))
+        found = sized.where(F.col("__dims.height").isNotNull())
+        retried = (sized.where(F.col("__dims.height").isNull()).withColumn("__dims", _header_dims("content"))
+                   .where(F.col("__dims.height").isNotNull()))
+        joined = found.unionByName(retried).select(
+            "*", F.col("__dims.height").alias("height"), F.col("__dims.width").alias("width"))
+    else:
+        files = files.withColumn("uri", norm_uri(F.col("path")))
+        joined = files.join(image_dimensions(spark, root), "uri")
     return joined.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("content").alias("value"),

@@ -92,3 +92,45 @@ def test_listing_is_files_only_one_level(spark, tmp_path):
     (tmp_path / ".hidden").write_bytes(b"h")
     assert sorted(r.name for r in list_objects(spark, str(tmp_path)).collect()) == ["a.jpg"]
     assert sorted(r.name for r in list_objects(spark, str(tmp_path), recursive=True).collect()) == ["a.jpg", "b.png"]
+
+
+def test_header_size_formats():
+    import struct as st
+
+    from lakeframe.functions.pixels import header_size
+    assert header_size(encode_png(np.zeros((3, 7), dtype=np.uint8))) == (3, 7)
+    assert header_size(b"GIF89a" + st.pack("<HH", 11, 5) + b"\x00" * 4) == (5, 11)
+    assert header_size(b"BM" + b"\x00" * 16 + st.pack("<ii", 9, -4) + b"\x00" * 4) == (4, 9)
+    jpeg = (b"\xff\xd8" + b"\xff\xe0" + st.pack(">H", 16) + b"JFIF\x00" + b"\x00" * 9
+            + b"\xff\xc0" + st.pack(">HBHHB", 11, 8, 120, 160, 3) + b"\x00" * 9)
+    assert header_size(jpeg) == (120, 160)
+    assert header_size(b"not an image") is None and header_size(b"\xff\xd8\xff") is None
+
+
+def test_header_and_decode_dimensions_agree(spark, tmp_path):
+    from lakeframe.functions.headers import metadata_projection
+    from lakeframe.operators.images import image_envelopes
+    d = tmp_path / "imgs"
+    d.mkdir()
+    for i, shape in enumerate([(3, 4), (5, 2, 3), (8, 8)]):
+        (d / f"i{i}.png").write_bytes(encode_png(np.zeros(shape, dtype=np.uint8)))
+    (d / "bad.png").write_bytes(b"junk")
+    a = sorted(tuple(r) for r in metadata_projection(image_envelopes(spark, str(d), "header")).collect())
+    b = sorted(tuple(r) for r in metadata_projection(image_envelopes(spark, str(d), "decode")).collect())
+    assert a == b == [("i0.png", 3, 4), ("i1.png", 5, 2), ("i2.png", 8, 8)]
+
+
+def test_header_found_beyond_prefix(spark, tmp_path):
+    import struct as st
+
+    from lakeframe.functions.headers import metadata_projection
+    from lakeframe.operators import images
+    big_app = b"\xff\xe1" + st.pack(">H", 65535) + b"\x00" * 65533
+    jpeg = b"\xff\xd8" + big_app * 5 + b"\xff\xc0" + st.pack(">HBHHB", 11, 8, 30, 40, 3) + b"\x00" * 9
+    assert len(jpeg) > images.HEADER_PREFIX_BYTES
+    d = tmp_path / "imgs"
+    d.mkdir()
+    (d / "big.jpg").write_bytes(jpeg)
+    (d / "small.png").write_bytes(encode_png(np.zeros((2, 3), dtype=np.uint8)))
+    got = sorted(tuple(r) for r in metadata_projection(images.image_envelopes(spark, str(d))).collect())
+    assert got == [("big.jpg", 30, 40), ("small.png", 2, 3)]
