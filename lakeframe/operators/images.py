@@ -36,9 +36,23 @@ def image_dimensions(spark: SparkSession, root: str) -> DataFrame:
 HEADER_PREFIX_BYTES = 256 * 1024
 
 
+def _full_header_size(path: str):
+    """Header size read from the whole file, for the rare header beyond the prefix."""
+    from lakeframe.sinks.objects import resolve_fs
+
+    fs, p = resolve_fs(path)
+    with fs.open_input_stream(p) as f:
+        return header_size(f.read())
+
+
 @F.pandas_udf(StructType([StructField("height", IntegerType()), StructField("width", IntegerType())]))
-def _header_dims(content: pd.Series) -> pd.DataFrame:
-    sizes = [header_size(c) if c is not None else None for c in content]
+def _header_dims(prefix: pd.Series, path: pd.Series) -> pd.DataFrame:
+    sizes = []
+    for head, where in zip(prefix, path):
+        size = header_size(head) if head is not None else None
+        if size is None and head is not None and len(head) >= HEADER_PREFIX_BYTES:
+            size = _full_header_size(where)
+        sizes.append(size)
     return pd.DataFrame({"height": [s[0] if s else None for s in sizes],
                          "width": [s[1] if s else None for s in sizes]}, dtype="Int32")
 
@@ -54,13 +68,10 @@ def image_envelopes(spark: SparkSession, root: str, dims: str = "header") -> Dat
     files = route_by_extension(read_objects(spark, root), "name").where("is_image")
     if dims == "header":
         # Only a prefix goes to Python; a header not found in it (a JPEG with large
-        # metadata segments) is looked for again in the whole file, for those rows only.
+        # metadata segments) is read from the file by the same task, for that row only.
         prefix = F.substring(F.col("content"), 1, HEADER_PREFIX_BYTES)
-        sized = files.withColumn("__dims", _header_dims(prefix))
-        found = sized.where(F.col("__dims.height").isNotNull())
-        retried = (sized.where(F.col("__dims.height").isNull()).withColumn("__dims", _header_dims("content"))
-                   .where(F.col("__dims.height").isNotNull()))
-        joined = found.unionByName(retried).select(
+        sized = files.withColumn("__dims", _header_dims(prefix, F.col("path")))
+        joined = sized.where(F.col("__dims.height").isNotNull()).select(
             "*", F.col("__dims.height").alias("height"), F.col("__dims.width").alias("width"))
     else:
         files = files.withColumn("uri", norm_uri(F.col("path")))
