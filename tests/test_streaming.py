@@ -202,3 +202,26 @@ def test_object_stream_replay_is_idempotent(spark, tmp_path):
     side_rows = spark.read.parquet(side)
     assert side_rows.count() == side_rows.select("name", "batch_id").distinct().count()
     assert side_rows.select(F.max("batch_id")).first()[0] == commits[-1]
+
+
+def test_publish_keeps_input_parallelism_and_sizes_triggers(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from lakeframe.functions.headers import build_headers
+    from lakeframe.sources.envelopes import files_per_trigger, publish, to_envelopes
+
+    def env(n_parts):
+        df = spark.range(0, 400, 1, n_parts)
+        return to_envelopes(df, topic="t", seq=F.col("id"), value=F.encode(F.col("id").cast("string"), "UTF-8"),
+                            headers=build_headers([("type", F.lit("image"))]))
+
+    def files(path):
+        return [f for f in os.listdir(path) if f.endswith(".parquet")]
+
+    wide, narrow = str(tmp_path / "wide"), str(tmp_path / "narrow")
+    publish(env(12), wide, min_files=4)  # already wide: written by all 12 tasks, no repartition
+    publish(env(1), narrow, min_files=4)  # tiny input: spread to 4 files
+    assert len(files(wide)) == 12 and len(files(narrow)) == 4
+    assert files_per_trigger(spark, wide, 4) == 3 and files_per_trigger(spark, narrow, 4) == 1
