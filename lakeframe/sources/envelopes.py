@@ -141,3 +141,12 @@ def delivery_report(envelopes: DataFrame) -> DataFrame:
     return (envelopes.groupBy("topic", "partition")
             .agg(F.count(F.lit(1)).alias("n_records"), F.min("offset").alias("first_offset"),
                  F.max("offset").alias("last_offset")))
+
+
+def delivery_records(envelopes: DataFrame) -> DataFrame:
+    """Per-record delivery report (K9): where each stored record landed, or why it could
+    not be placed (no value, or no partition/offset)."""
+    placed = F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    status = (F.when(F.col("value").isNull(), F.lit("failed: no value"))
+              .when(~placed, F.lit("failed: no position")).otherwise(F.lit("delivered")))
+    return envelopes.select("topic", "partition", "offset", status.alias("status"))

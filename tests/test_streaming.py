@@ -225,3 +225,11 @@ def test_publish_keeps_input_parallelism_and_sizes_triggers(spark, tmp_path):
     publish(env(1), narrow, min_files=4)  # tiny input: spread to 4 files
     assert len(files(wide)) == 12 and len(files(narrow)) == 4
     assert files_per_trigger(spark, wide, 4) == 3 and files_per_trigger(spark, narrow, 4) == 1
+
+
+def test_delivery_records_per_record_status(spark):
+    from lakeframe.schemas import ENVELOPE
+    from lakeframe.sources.envelopes import delivery_records
+    rows = [(None, b"v", "t", 0, 5, None, 0, []), (None, None, "t", 1, 6, None, 0, []), (None, b"v", "t", None, None, None, 0, [])]
+    got = [r.status for r in delivery_records(spark.createDataFrame(rows, ENVELOPE)).collect()]
+    assert got == ["delivered", "failed: no value", "failed: no position"]
