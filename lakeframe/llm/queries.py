@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeframe.session import read_table
 
-from . import exact_dedup, language_id, mixing, packing, simhash
+from . import exact_dedup, language_id, mixing, packing, secret_scan, sharding, simhash, sketches, suffix_dedup, url_filter
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,47 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_simhash, op4_exact_dedup, op5_pack, op6_language_id)}
+def op3_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = sharding.reshard(read_table(spark, sf_dir, "documents"), shards=40)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return layout.rows.select(
+        "doc_id", F.col(sharding.SIZE).alias("size"), crc.alias("text_crc32"), F.lit("bytes").alias("law"),
+        F.col(sharding.SHARD).alias("shard"), F.col(sharding.SLOT).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.col(sharding.OLD).alias("old_shard"))
+
+
+def op7_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents")))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
+# Rules of the query: fixed values.
+URL_RULES = [url_filter.Rule("allow", "com/"), url_filter.Rule("block", "example.com/en/"),
+             url_filter.Rule("allow", "www.example.com/en/"), url_filter.Rule("block", "net/es/"), url_filter.Rule("block", "net/fr/")]
+
+# The small labelled table: every pairing of a topic with these forms of address.
+BLOCK_TOPICS = "cheap-pills casino-bonus free-porn xxx-cams viagra-shop lottery-winner payday-loans hot-singles replica-watches keygen-crack "                "bet-online poker-slots adult-video weight-loss-miracle get-rich-quick".split()
+ALLOW_TOPICS = "news wiki docs library university museum science history recipes weather gardening travel music-school health-clinic city-council "                "forum blog archive encyclopedia textbooks journal research sports film-review language-course community-garden".split()
+FORMS = ["http://www.{}.example.org/", "https://{}.example.com/en/101", "https://blog.{}.example.net/de/7.html", "http://m.example.org/{}/3"]
+
+
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    rows = [(form.format(topic), block) for topics, block in ((BLOCK_TOPICS, True), (ALLOW_TOPICS, False)) for topic in topics for form in FORMS]
+    return spark.createDataFrame(rows, "url string, block boolean")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), URL_RULES, url_filter.train(labelled_urls(spark)))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_simhash, op3_reshard, op4_exact_dedup, op5_pack, op6_language_id, op7_sketches,
+                                   op8_secret_scan, op9_suffix_dedup, op10_url_filter)}
 
 ORACLES = {"op1_mix_sources": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE}
