@@ -213,7 +213,8 @@ def _segment_batches(buckets: int):
                 rows["order"], rows["split"] = np.array(orders, dtype=np.int64)[text], many > 1
                 begin = (np.cumsum(sizes) - sizes)[text] + first
                 out = []
-                for bucket, r in _by(_bucket(anchor, bundle % many, buckets)):
+                part = (bundle + (bundle >> 33) * 7919) % many.astype(np.int64)  # ids count from each partition's 2**33
+                for bucket, r in _by(_bucket(anchor, part, buckets)):
                     body = data[_ragged(begin[r], count[r] + LENGTH - 1)].tobytes()
                     out.append((bucket, pack(len(r).to_bytes(8, "little") + rows[r].tobytes() + body)))
                 yield pa.RecordBatch.from_arrays(

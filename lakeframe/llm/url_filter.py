@@ -75,28 +75,41 @@ def features(host: str, path: str) -> np.ndarray:
 @dataclass
 class Model:
     weights: np.ndarray
+    rarity: np.ndarray  # inverse document frequency in the labelled table, 0 where unseen
     bias: float
 
     def probability(self, host: str, path: str) -> float:
-        f = features(host, path)
-        z = self.bias + (self.weights[f].sum() / np.sqrt(len(f)) if len(f) else 0.0)
-        return float(1 / (1 + np.exp(-z)))
+        f, v = _values(features(host, path), self.rarity)
+        return float(1 / (1 + np.exp(-self.bias - (self.weights[f] * v).sum())))
 
 
-def fit(rows: list[tuple[str, str, bool]], rounds: int = 500, rate: float = 20.0, penalty: float = 1e-4) -> Model:
-    """Full-batch gradient descent on the regularised log loss; features have unit length."""
+def _values(found: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The known n-grams and their values: a vector of unit length, rare ones weighing more."""
+    found = found[rarity[found] > 0]
+    value = rarity[found]
+    return found, value / max(np.sqrt((value * value).sum()), 1e-9)
+
+
+def fit(rows: list[tuple[str, str, bool]], rounds: int = 2000, rate: float = 10.0, penalty: float = 1e-4) -> Model:
+    """Full-batch gradient descent on the regularised log loss."""
     feats = [features(h, p) for h, p, _ in rows]
     y = np.array([float(b) for _, _, b in rows])
-    columns = np.concatenate([*feats, np.empty(0, np.int64)])
-    lines = np.repeat(np.arange(len(rows)), [len(f) for f in feats])
-    values = np.repeat([1 / np.sqrt(max(len(f), 1)) for f in feats], [len(f) for f in feats])
-    weights, bias = np.zeros(1 << BITS), 0.0
+    seen = np.bincount(np.concatenate([*feats, np.empty(0, np.int64)]), minlength=1 << BITS)
+    rarity = np.where(seen > 0, np.log((len(rows) + 1) / np.maximum(seen, 1)), 0.0)
+    pairs = [_values(f, rarity) for f in feats]
+    columns = np.concatenate([*(f for f, _ in pairs), np.empty(0, np.int64)])
+    values = np.concatenate([*(v for _, v in pairs), np.empty(0)])
+    lines = np.repeat(np.arange(len(rows)), [len(f) for f, _ in pairs])
+    used, column = np.unique(columns, return_inverse=True)  # only these weights ever move
+    own, bias = np.zeros(len(used)), 0.0
     for _ in range(rounds if len(rows) else 0):
-        z = np.bincount(lines, weights=weights[columns] * values, minlength=len(rows)) + bias
+        z = np.bincount(lines, weights=own[column] * values, minlength=len(rows)) + bias
         off = (1 / (1 + np.exp(-z)) - y) / len(rows)
-        weights -= rate * (np.bincount(columns, weights=off[lines] * values, minlength=1 << BITS) + penalty * weights)
+        own -= rate * (np.bincount(column, weights=off[lines] * values, minlength=len(used)) + penalty * own)
         bias -= rate * off.sum()
-    return Model(weights, bias)
+    weights = np.zeros(1 << BITS)
+    weights[used] = own
+    return Model(weights, rarity, bias)
 
 
 def train(labelled: DataFrame, url_col: str = "url", label_col: str = "block") -> Model:

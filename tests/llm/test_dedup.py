@@ -1,0 +1,184 @@
+"""Exact, SimHash and suffix-array dedup against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from lakeframe.llm import exact_dedup, simhash, suffix_dedup
+
+from .conftest import hard_rows, prose
+
+
+def plain(text):
+    return re.sub(r"[\x20\x09-\x0D]", "", text or "")
+
+
+def test_exact_dedup_equals_brute_force(hard):
+    rows = hard_rows()
+    groups = defaultdict(list)
+    for r in rows:
+        groups[plain(r[1])].append(r)
+    want = []
+    for text, own in groups.items():
+        best = min(own, key=lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0))[0]
+        want += [(r[0], best, len(own), hashlib.sha256(text.encode()).hexdigest()) for r in own]
+    got = exact_dedup.exact_dedup(hard).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == Counter(want)
+    kept = Counter(r.text_sha256 for r in got if r.kept)
+    assert set(kept.values()) == {1} and len(kept) == len(groups)
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
+
+
+def test_exact_dedup_of_an_empty_table(empty):
+    assert exact_dedup.exact_dedup(empty).collect() == []
+
+
+def test_a_hot_digest_meets_few_entries_in_each_merge(spark):
+    docs = spark.range(3000).selectExpr("id doc_id", "if(id % 3 < 2, 'copy', cast(id as string)) text")
+    got = exact_dedup.exact_dedup(docs)
+    assert got.where("kept").count() == 1001
+    assert got.where("keep_id = 0").count() == 2000 and got.where("group_size = 2000").count() == 2000
+
+
+# --- SimHash ----------------------------------------------------------------------------
+
+def reference_fingerprint(text, n=3):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    grams = [b" ".join(words[i:i + n]) for i in range(len(words) - n + 1)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(links, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+    for a, b in links:
+        root[find(a)] = find(b)
+    return {n: find(n) for n in nodes}
+
+
+def test_simhash_equals_brute_force(hard):
+    rows = hard_rows()
+    prints = [reference_fingerprint(r[1]) for r in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    of = classes(links, range(len(rows)))
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[of[i]] = min(least.get(of[i], r[0]), r[0])
+    want = Counter((r[0], f"{p:016x}", least.get(of[i])) for i, (r, p) in enumerate(zip(rows, prints)))
+    got = simhash.simhash_dedup(hard).collect()
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == want
+    assert sum(r.kept for r in got) == len(set(of.values()))
+
+
+def test_simhash_of_an_empty_table(empty):
+    assert simhash.simhash_dedup(empty).collect() == []
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])
+def test_bit_sliced_distances(radius):
+    rng = np.random.default_rng(radius)
+    values = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    values[100:] = values[:100] ^ (np.uint64(1) << rng.integers(0, 64, 100).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 100).astype(np.uint64))
+    near = simhash._lanes(simhash.within(simhash.bit_planes(values), values[:40], radius), 200)
+    want = np.array([[(int(q) ^ int(v)).bit_count() <= radius for v in values] for q in values[:40]])
+    assert (near == want).all()
+
+
+@pytest.mark.parametrize("limit", [4096, 8])
+def test_links_lose_no_pair_of_close_fingerprints(spark, monkeypatch, limit):
+    """Also where buckets are split again: many fingerprints share the same leading blocks."""
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", limit)
+    rng = random.Random(1)
+    base = [rng.getrandbits(64) for _ in range(30)]
+    prints = set(base)
+    for b in base[:20]:
+        for _ in range(10):
+            prints.add(b ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64))
+    prints |= {base[0] & ~0xFFFFFFFF | rng.getrandbits(32) for _ in range(300)}
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    nodes = spark.createDataFrame([(p,) for p in signed], "fp long")
+    found = [(r.a, r.b) for r in simhash.simhash_links(nodes).collect()]
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 2 for a, b in found)
+    links = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2]
+    want, got = classes(links, signed), classes(found, signed)
+    assert Counter(Counter(want.values()).values()) == Counter(Counter(got.values()).values())
+    assert all(got[a] == got[b] for a, b in links)
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1300)]
+    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got.get(i, i) == 0 for i in range(201)) and all(got.get(i, i) == 1000 for i in range(1000, 1300))
+
+
+# --- suffix arrays ----------------------------------------------------------------------
+
+def repeats(rows, length=100):
+    seen, out = set(), Counter()
+    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - length + 1):
+            window = data[p:p + length]
+            if window in seen:
+                gone[p:p + length] = b"\1" * length
+            seen.add(window)
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        out[(i, len(data), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())] += 1
+    return out
+
+
+def passages(seed=3):
+    rng = random.Random(seed)
+    shared = [prose(rng, "en", 60) for _ in range(4)]
+    rows = []
+    for i in range(120):
+        parts = [prose(rng, "de", rng.choice([0, 3, 40])), rng.choice(shared) if i % 2 else "", prose(rng, "en", 30)]
+        rows.append((i, " ".join(parts)))
+    return rows + [(200, "xyz" * 400), (201, "xyz" * 100), (202, "q" * 99), (203, "q" * 100), (204, "q" * 101), (205, "\0" * 250), (206, "é" * 130)]
+
+
+@pytest.mark.parametrize("hot, shard, bundle", [(4096, 1 << 20, 1 << 20), (1, 1 << 20, 3000), (2, 1500, 5000), (4096, 700, 4000)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, hot, shard, bundle):
+    monkeypatch.setattr(suffix_dedup, "BUNDLE_BYTES", bundle)
+    rows = passages()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, hot_bundles=hot, shard_bytes=shard)).collect()
+    assert Counter(tuple(r) for r in got) == repeats(rows)
+
+
+def test_suffix_dedup_of_hard_rows(hard):
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(hard)).collect()
+    want = repeats([(r[0], r[1]) for r in hard_rows()])
+    assert Counter(tuple(r)[:2] for r in got) == Counter({k[:2]: v for k, v in Counter(k[:2] for k in want.elements()).items()})
+    assert sum(r.n_removed for r in got) == sum(k[2] for k in want.elements())
+    # which of two rows with one id is the earlier one is open; all others are fixed
+    several = {i for i, n in Counter(r[0] for r in hard_rows()).items() if n > 1}
+    assert Counter(tuple(r) for r in got if r.doc_id not in several) == Counter(k for k in want.elements() if k[0] not in several)
+
+
+def test_suffix_dedup_of_an_empty_table(empty):
+    assert suffix_dedup.remove_repeats(empty).collect() == []
+
+
+@pytest.mark.parametrize("size, letters", [(1, 1), (300, 1), (2000, 2), (4000, 5)])
+def test_suffix_array_and_common_prefixes(size, letters):
+    data = np.random.default_rng(size).integers(97, 97 + letters, size).astype(np.uint8)
+    raw = data.tobytes()
+    sa = suffix_dedup.suffix_array(data)
+    assert list(sa) == sorted(range(size), key=lambda i: raw[i:])
+    found = suffix_dedup.common_prefixes(data, sa)
+    for r in range(1, size):
+        a, b = raw[sa[r - 1]:][:100], raw[sa[r]:][:100]
+        assert found[r] == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
