@@ -1,4 +1,4 @@
-"""Pixel helpers run inside Arrow-batched pandas tasks (X14, X15) and a tiny PNG encoder.
+"""Pixel helpers run inside Arrow-batched pandas tasks.
 
 Only per-image numpy work lives here; Spark partitions the images and decodes them with
 its own ``image`` source.
@@ -6,29 +6,8 @@ its own ``image`` source.
 
 from __future__ import annotations
 
-import struct
-import zlib
-
 import numpy as np
 
-PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
-
-
-def _chunk(tag: bytes, data: bytes) -> bytes:
-    return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
-
-
-def encode_png(pixels: np.ndarray) -> bytes:
-    """8-bit PNG from an ``(h, w)`` gray or ``(h, w, 3)`` RGB uint8 array."""
-    px = np.ascontiguousarray(pixels, dtype=np.uint8)
-    h, w = px.shape[:2]
-    color = 0 if px.ndim == 2 else 2
-    rows = px.reshape(h, -1)
-    raw = b"".join(b"\x00" + rows[r].tobytes() for r in range(h))
-    header = struct.pack(">IIBBBBB", w, h, 8, color, 0, 0, 0)
-    return PNG_SIGNATURE + _chunk(b"IHDR", header) + _chunk(b"IDAT", zlib.compress(raw)) + _chunk(b"IEND", b"")
-
-
 def resize_bilinear(img: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
     """Bilinear resize with half-pixel centres and edge clamping (the usual INTER_LINEAR
     convention); returns uint8 with rounding.  Identity when the size does not change."""
@@ -61,41 +40,3 @@ def bgr_to_rgb(img: np.ndarray) -> np.ndarray:
     if img.ndim == 3 and img.shape[2] == 3:
         return img[:, :, ::-1]
     return img
-
-
-def header_size(data: bytes) -> tuple[int, int] | None:
-    """``(height, width)`` read from an image file's header, without decoding pixels.
-
-    Knows PNG (IHDR), GIF (logical screen), BMP (DIB header) and JPEG (first SOFn
-    marker); ``None`` when the header is not recognised or truncated.
-    """
-    b = bytes(data or b"")
-    if b.startswith(PNG_SIGNATURE) and len(b) >= 24 and b[12:16] == b"IHDR":
-        w, h = struct.unpack(">II", b[16:24])
-        return h, w
-    if b[:6] in (b"GIF87a", b"GIF89a") and len(b) >= 10:
-        w, h = struct.unpack("<HH", b[6:10])
-        return h, w
-    if b[:2] == b"BM" and len(b) >= 26:
-        w, h = struct.unpack("<ii", b[18:26])
-        return abs(h), w
-    if b[:2] == b"\xff\xd8":
-        i = 2
-        while i + 4 <= len(b):
-            if b[i] != 0xFF:
-                return None
-            marker = b[i + 1]
-            if marker == 0xFF:  # fill byte
-                i += 1
-                continue
-            if marker in (0xD8, 0x01) or 0xD0 <= marker <= 0xD7:  # no length field
-                i += 2
-                continue
-            length = struct.unpack(">H", b[i + 2:i + 4])[0]
-            if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
-                if i + 9 > len(b):
-                    return None
-                h, w = struct.unpack(">HH", b[i + 5:i + 9])
-                return h, w
-            i += 2 + length
-    return None

@@ -6,7 +6,8 @@ media's frames into one row or one task:
     ranks inside a bucket with a window, and adds the counts of earlier buckets, which
     come from a small per-(media, bucket) aggregate;
   * assembly is a partial (map-side) aggregation per media over per-frame digests; the
-    frames themselves stay rows, written range-partitioned and sorted (:func:`ordered_frames`).
+    frames themselves stay rows (:func:`assembled_frames`), written range-partitioned and
+    sorted (:func:`write_ordered_frames`).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeframe.functions.headers import LAST_NO, LAST_YES, TYPE_VIDEO, build_headers
+from lakeframe.functions.headers import LAST_NO, LAST_YES, TYPE_VIDEO, build_headers, header_int, header_text, media_columns
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
 
@@ -33,25 +34,23 @@ def number_frames(
     the final row (W2), without putting a whole key into one window partition.
 
     ``order`` must be integral; ``(key, order, *tiebreak)`` should be unique so that
-    the numbering is deterministic on recomputation.
+    the numbering is deterministic on recomputation.  No row is lost: NULL keys form one
+    sequence of their own and NULL orders come first in theirs.
     """
-    staged = df.withColumn("__bucket", F.expr(f"`{order}` div {int(bucket_width)}"))
-    stats = staged.groupBy(key, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    # A struct equals another where its NULL fields meet, and is itself never NULL.
+    staged = df.withColumn("__at", F.struct(F.col(f"`{key}`").alias("k"), F.expr(f"`{order}` div {int(bucket_width)}").alias("b")))
+    stats = staged.groupBy("__at").agg(F.count(F.lit(1)).alias("__n"))
     stats = stats.select(
-        key,
-        "__bucket",
-        (F.sum("__n").over(Window.partitionBy(key).orderBy("__bucket")) - F.col("__n")).alias("__before"),
-        F.sum("__n").over(Window.partitionBy(key)).alias("__total"),
-    )
-    local = staged.withColumn(
-        "__local",
-        F.row_number().over(Window.partitionBy(key, "__bucket").orderBy(order, *tiebreak)) - 1,
+        "__at",
+        (F.sum("__n").over(Window.partitionBy("__at.k").orderBy("__at.b")) - F.col("__n")).alias("__before"),
+        F.sum("__n").over(Window.partitionBy("__at.k")).alias("__total"),
     )
+    local = staged.withColumn("__local", F.row_number().over(Window.partitionBy("__at").orderBy(order, *tiebreak)) - 1)
     seq = F.col("__before") + F.col("__local")
-    return (local.join(stats, [key, "__bucket"])
+    return (local.join(stats, "__at")
             .withColumn(seq_col, seq)
             .withColumn(last_col, seq == F.col("__total") - 1)
-            .drop("__bucket", "__before", "__total", "__local"))
+            .drop("__at", "__before", "__total", "__local"))
 
 
 def frame_headers(media_name: Column, frame_id: Column, is_last: Column, fps: Column,
@@ -93,6 +92,24 @@ def explode_frames(videos: DataFrame, frames_col: str = "frames") -> tuple[DataF
     return frames, rejected
 
 
+def split_frames(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Frame envelopes -> ``(frames, rejected)``: the columns assembly works on, and the records
+    that are no frames with a reason (``partition, offset, media_name, reason``).
+
+    A frame needs a payload, a media name and an id of 0 or more; without this split the typed
+    defaults (X13) would merge unrelated records into frame 0 of one media."""
+    name, frame_id = header_text("media_name"), header_int("frame_id")
+    reason = (F.when(F.col("value").isNull(), F.lit("null_payload"))
+              .when(F.coalesce(name, F.lit("")) == "", F.lit("missing_name"))
+              .when(frame_id.isNull(), F.lit("missing_frame_id"))
+              .when(frame_id < 0, F.lit("bad_frame_id")))
+    frames = media_columns(envelopes.where(reason.isNull())).select(
+        "media_name", "frame_id", "last_frame", "fps", F.col("original_height").alias("height"),
+        F.col("original_width").alias("width"), F.col("value").alias("payload"), "partition", "offset", "timestamp")
+    rejected = envelopes.where(reason.isNotNull()).select("partition", "offset", name.alias("media_name"), reason.alias("reason"))
+    return frames, rejected
+
+
 def frame_digest(frame_id: Column, payload: Column) -> Column:
     """Per-frame 60-bit digest of ``'<frame_id>:' || payload``.
 
@@ -124,10 +141,9 @@ def dedupe_frames(frames: DataFrame, key: str = "media_name") -> DataFrame:
     selected with a semi-join, so no payload enters an aggregation buffer.
     ``(key, frame_id, partition, offset)`` must identify a row.
     """
-    arrival = arrival_order()
-    tagged = frames.withColumn("__arrival", arrival)
-    winners = tagged.groupBy(key, "frame_id").agg(F.min("__arrival").alias("__arrival"))
-    return tagged.join(winners, [key, "frame_id", "__arrival"], "left_semi").drop("__arrival")
+    tagged = frames.withColumns({"__frame": F.struct(F.col(key), F.col("frame_id")), "__arrival": arrival_order()})
+    winners = tagged.groupBy("__frame").agg(F.min("__arrival").alias("__arrival"))
+    return tagged.join(winners, ["__frame", "__arrival"], "left_semi").drop("__frame", "__arrival")
 
 
 def assemble_batch(frames: DataFrame, *, key: str = "media_name", strict: bool = True) -> DataFrame:
@@ -179,6 +195,23 @@ def assemble_batch(frames: DataFrame, *, key: str = "media_name", strict: bool =
     )
 
 
+def assembled_frames(frames: DataFrame, *, key: str = "media_name", strict: bool = True) -> DataFrame:
+    """The frames of every complete media, one row each: ``key, pos, frame_id, payload, fps,
+    height, width`` (A1, O1); ``pos`` is the place in the sequence and fps, height and width
+    are those of the media's completing frame.  A media is never gathered: its frames stay
+    rows, spread by (media, frame).  Write them in order with :func:`write_ordered_frames`."""
+    media = assemble_batch(frames, key=key, strict=strict).select(
+        F.col(key).alias("__media"), F.col("fps").alias("__fps"), F.col("height").alias("__height"), F.col("width").alias("__width"))
+    rows = dedupe_frames(frames, key).join(media, F.col(key) == F.col("__media"))
+    rows = rows.select(key, "frame_id", "payload", F.col("__fps").alias("fps"), F.col("__height").alias("height"),
+                       F.col("__width").alias("width"))
+    if strict:  # complete: ids are 0..last, so an id is its place
+        rows = rows.withColumn("pos", F.col("frame_id"))
+    else:
+        rows = number_frames(rows, key, "frame_id", seq_col="pos", last_col="__last")
+    return rows.select(key, F.col("pos").cast("int").alias("pos"), "frame_id", "payload", "fps", "height", "width")
+
+
 def ordered_frames(frames: DataFrame, key: str = "media_name") -> DataFrame:
     """Frames range-partitioned and sorted by (media, frame_id) for writing the assembled
     sequence (K11): a long media spans several sorted files instead of one task."""
@@ -191,26 +224,46 @@ def write_ordered_frames(frames: DataFrame, path: str, key: str = "media_name")
     ordered_frames(frames, key).write.mode("errorifexists").parquet(path)
 
 
-def latest_per_name(df: DataFrame, name: str = "media_name",
-                    order: tuple[str, ...] = ("timestamp", "partition", "offset")) -> DataFrame:
-    """Last write wins per object name (A3): ``max_by`` on (timestamp, partition, offset).
+def position_order(timestamp: str = "timestamp", partition: str = "partition", offset: str = "offset",
+                   fields: dict[str, str] | None = None) -> Column:
+    """(timestamp, partition, offset) as one exact number, for hash aggregates with ``max``.
 
-    A partial aggregate, so a name that receives a third of all writes is reduced on the
-    map side before the shuffle.
-    """
-    others = [c for c in df.columns if c != name]
-    return (df.groupBy(name).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("__last"))
-            .select(name, "__last.*"))
+    ``(micros + 2^55) * 2^70 + (partition + 1) * 2^53 + offset + 1``: 126 bits in a
+    ``decimal(38,0)``.  A NULL part sorts before all others.  A part beyond its range (years
+    beyond 3000, 2^17 partitions, 2^53 offsets) raises instead of sorting wrongly."""
+    kind = (fields or {}).get(timestamp, "timestamp")
+    micros = F.unix_micros(F.col(timestamp)) if kind == "timestamp" else F.col(timestamp).cast("long")
+    t = F.coalesce(micros + F.lit(1 << 55), F.lit(0).cast("long"))
+    p = F.coalesce(F.col(partition).cast("long") + 1, F.lit(0).cast("long"))
+    o = F.coalesce(F.col(offset).cast("long") + 1, F.lit(0).cast("long"))
+    inside = t.between(0, (1 << 56) - 1) & p.between(0, (1 << 17) - 1) & o.between(0, (1 << 53) - 1)
+    wide = lambda c: c.cast("decimal(38,0)")
+    shift = lambda bits: F.lit(str(1 << bits)).cast("decimal(17,0)")
+    low = wide(p.cast("decimal(6,0)") * shift(53)) + wide(o)
+    high = wide((t.cast("decimal(17,0)") * F.lit(str(1 << 17)).cast("decimal(6,0)"))).cast("decimal(22,0)") * F.lit(str(1 << 53)).cast("decimal(16,0)")
+    return F.when(inside, wide(high) + low).otherwise(F.raise_error(F.lit("timestamp, partition or offset out of range")))
 
 
 def latest_rows(df: DataFrame, name: str = "media_name",
                 order: tuple[str, ...] = ("timestamp", "partition", "offset")) -> DataFrame:
-    """Last write wins per name for wide rows (A3), without moving payloads through an
-    aggregate: the winning ordering key per name is aggregated from the key columns only,
-    then the winning rows are selected with a join (AQE broadcasts the winners when they
-    are small, otherwise both sides are shuffled once).  ``(name, *order)`` must be unique.
-    """
-    win = F.max(F.struct(*order)).alias("__w")
-    winners = df.select(name, *order).groupBy(name).agg(win).select(name, *[F.col(f"__w.{c}").alias(c) for c in order])
-    return df.join(winners, [name, *order], "left_semi")
+    """Last write wins per name (A3), whole rows.
+
+    The winning position per name is a partial hash aggregate over the key columns only, so a
+    name that receives a third of all writes shrinks on the map side; the winning rows are
+    then selected with a semi-join.  Nothing is lost: a NULL name is a name, a NULL part of a
+    position the lowest.  ``(name, *order)`` must be unique; ``order`` is a triple (timestamp
+    or number, partition, offset) or one numeric column."""
+    kinds = dict(df.dtypes)
+    place = F.col(order[0]) if len(order) == 1 else position_order(*order, fields=kinds)
+    tagged = df.withColumns({"__name": F.struct(F.col(name)), "__place": place})
+    if len(order) == 1:
+        tagged = tagged.withColumn("__place", F.coalesce(F.col("__place").cast("decimal(38,0)"), F.lit(str(-(10 ** 30))).cast("decimal(38,0)")))
+    winners = tagged.groupBy("__name").agg(F.max("__place").alias("__place"))
+    return tagged.join(winners, ["__name", "__place"], "left_semi").drop("__name", "__place")
 
+
+def latest_per_name(df: DataFrame, name: str = "media_name",
+                    order: tuple[str, ...] = ("timestamp", "partition", "offset")) -> DataFrame:
+    """The latest row per object name (A3), name first."""
+    latest = latest_rows(df, name, order)
+    return latest.select(name, *[c for c in df.columns if c != name])

@@ -1,7 +1,8 @@
 """Image operators.
 
-Dimensions come from Spark's built-in ``image`` source (JVM decoder); resizing and the
-channel swap run in ``mapInPandas`` over decoded rows, one Arrow batch at a time.
+Whether a file is an image, and its dimensions, come from Spark's built-in ``image`` source
+(JVM decoder) alone; resizing and the channel swap run in ``mapInPandas`` over decoded rows,
+one Arrow batch at a time.
 """
 
 from __future__ import annotations
@@ -10,89 +11,52 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lakeframe.functions.headers import TYPE_IMAGE, build_headers
-from lakeframe.functions.pixels import bgr_to_rgb, header_size, resize_bilinear
+from lakeframe.functions.pixels import bgr_to_rgb, resize_bilinear
 from lakeframe.operators.routing import route_by_extension
-from lakeframe.sinks.objects import list_objects, read_objects
+from lakeframe.sinks.objects import qualify, read_objects
 
 
-def norm_uri(c):
-    """``file:/x`` (binaryFile) and ``file:///x`` (image source) name the same file."""
-    return F.regexp_replace(c, "^file:/+", "file:///")
+def _decoded(spark: SparkSession, root: str) -> DataFrame:
+    """Decodable image files directly under ``root``, by name."""
+    img = spark.read.format("image").option("dropInvalid", True).load(qualify(spark, root))
+    # an origin is URL-encoded
+    name = F.url_decode(F.replace(F.substring_index("image.origin", "/", -1), F.lit("+"), F.lit("%2B")))
+    return img.withColumn("name", name)
 
 
 def image_dimensions(spark: SparkSession, root: str) -> DataFrame:
-    """Height, width and channels of every decodable image file directly under ``root``
-    (S10, S14); undecodable files are dropped by the source."""
-    img = spark.read.format("image").option("dropInvalid", True).load(root)
-    return img.select(norm_uri(F.col("image.origin")).alias("uri"), F.col("image.height").alias("height"),
-                      F.col("image.width").alias("width"), F.col("image.nChannels").alias("n_channels"))
+    """``name, height, width, n_channels`` of every decodable image file directly under ``root``
+    (S10, S14).  The source skips files that it cannot decode and names that begin with ``_``
+    or ``.``; :func:`image_envelopes` reports them."""
+    return _decoded(spark, root).select("name", F.col("image.height").alias("height"), F.col("image.width").alias("width"),
+                                        F.col("image.nChannels").alias("n_channels"))
 
 
-HEADER_PREFIX_BYTES = 256 * 1024
+def image_envelopes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Image files -> ``(envelopes, rejected)`` (R1, F3): listing, routing by extension (F1),
+    dimensions from the decoder, the stored bytes as the payload.
 
-
-def _full_header_size(path: str):
-    """Header size read from the whole file, for the rare header beyond the prefix."""
-    from lakeframe.sinks.objects import resolve_fs
-
-    fs, p = resolve_fs(path)
-    with fs.open_input_stream(p) as f:
-        return header_size(f.read())
-
-
-@F.pandas_udf(StructType([StructField("height", IntegerType()), StructField("width", IntegerType())]))
-def _header_dims(prefix: pd.Series, path: pd.Series) -> pd.DataFrame:
-    sizes = []
-    for head, where in zip(prefix, path):
-        size = header_size(head) if head is not None else None
-        if size is None and head is not None and len(head) >= HEADER_PREFIX_BYTES:
-            size = _full_header_size(where)
-        sizes.append(size)
-    return pd.DataFrame({"height": [s[0] if s else None for s in sizes],
-                         "width": [s[1] if s else None for s in sizes]}, dtype="Int32")
-
-
-def image_envelopes(spark: SparkSession, root: str, dims: str = "header") -> DataFrame:
-    """Image files -> message envelopes with image headers (R1): listing, routing by
-    extension (F1), dimensions and the stored bytes as the payload.
-
-    ``dims="header"`` (default) reads height and width from the file header in the task
-    that already holds the bytes: one scan, no join, no decode; files whose header is not
-    recognised are left out.  ``dims="decode"`` takes them from Spark's image source
-    (full decode, drops undecodable files) and joins on the file URI."""
+    ``rejected`` has every image-named file that the decoder does not take, with a reason
+    (``name, n_bytes, reason``); each such file is in exactly one of the two.  The stored bytes
+    move once, to join the dimensions, unless those are small enough to be broadcast."""
     files = route_by_extension(read_objects(spark, root), "name").where("is_image")
-    if dims == "header":
-        # Only a prefix goes to Python; a header not found in it (a JPEG with large
-        # metadata segments) is read from the file by the same task, for that row only.
-        prefix = F.substring(F.col("content"), 1, HEADER_PREFIX_BYTES)
-        sized = files.withColumn("__dims", _header_dims(prefix, F.col("path")))
-        joined = sized.where(F.col("__dims.height").isNotNull()).select(
-            "*", F.col("__dims.height").alias("height"), F.col("__dims.width").alias("width"))
-    else:
-        files = files.withColumn("uri", norm_uri(F.col("path")))
-        joined = files.join(image_dimensions(spark, root), "uri")
-    return joined.select(
+    joined = files.join(image_dimensions(spark, root), "name", "left")
+    known = F.col("height").isNotNull()
+    envelopes = joined.where(known).select(
         F.lit(None).cast("binary").alias("key"),
         F.col("content").alias("value"),
         build_headers([("type", F.lit(TYPE_IMAGE)), ("media_name", F.col("name")),
                        ("original_height", F.col("height")), ("original_width", F.col("width"))]).alias("headers"),
     )
+    reason = F.when(F.col("length") == 0, F.lit("empty_payload")).otherwise(F.lit("undecodable"))
+    return envelopes, joined.where(~known).select("name", F.col("length").alias("n_bytes"), reason.alias("reason"))
 
 
-def undecodable_images(spark: SparkSession, root: str) -> DataFrame:
-    """Image-named files the decoder rejects, with a reason."""
-    files = route_by_extension(list_objects(spark, root), "name").where("is_image")
-    files = files.withColumn("uri", norm_uri(F.col("path")))
-    return (files.join(image_dimensions(spark, root), "uri", "left_anti")
-            .select("path", "name", F.lit("undecodable").alias("reason")))
-
-
-RESIZED_SCHEMA = "uri string, height int, width int, n_channels int, r_sum long, g_sum long, b_sum long, md5 string"
+RESIZED_SCHEMA = "name string, height int, width int, n_channels int, r_sum long, g_sum long, b_sum long, md5 string"
 
 
 def _resizer():
@@ -101,28 +65,26 @@ def _resizer():
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for uri, h, w, c, data, oh, ow in zip(pdf["uri"], pdf["height"], pdf["width"], pdf["n_channels"],
-                                                   pdf["data"], pdf["target_height"], pdf["target_width"]):
+            for name, h, w, c, data, oh, ow in zip(pdf["name"], pdf["height"], pdf["width"], pdf["n_channels"],
+                                                    pdf["data"], pdf["target_height"], pdf["target_width"]):
                 px = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), int(c))
                 if c == 4:
                     px = px[:, :, :3]
                 oh, ow = max(1, int(oh)), max(1, int(ow))
                 rgb = bgr_to_rgb(resize_bilinear(px, oh, ow))
                 sums = [int(rgb[:, :, i].sum()) for i in range(3)] if rgb.shape[2] >= 3 else [int(rgb.sum())] * 3
-                out.append((uri, oh, ow, int(rgb.shape[2]), *sums, hashlib.md5(rgb.tobytes()).hexdigest()))
-            yield pd.DataFrame(out, columns=["uri", "height", "width", "n_channels", "r_sum", "g_sum", "b_sum", "md5"])
+                out.append((name, oh, ow, int(rgb.shape[2]), *sums, hashlib.md5(rgb.tobytes()).hexdigest()))
+            yield pd.DataFrame(out, columns=["name", "height", "width", "n_channels", "r_sum", "g_sum", "b_sum", "md5"])
     return run
 
 
 def decoded_images(spark: SparkSession, root: str) -> DataFrame:
-    img = spark.read.format("image").option("dropInvalid", True).load(root)
-    return img.select(norm_uri(F.col("image.origin")).alias("uri"), F.col("image.height").alias("height"),
-                      F.col("image.width").alias("width"), F.col("image.nChannels").alias("n_channels"),
-                      F.col("image.data").alias("data"))
+    return _decoded(spark, root).select("name", F.col("image.height").alias("height"), F.col("image.width").alias("width"),
+                                        F.col("image.nChannels").alias("n_channels"), F.col("image.data").alias("data"))
 
 
 def resize_rows(rows: DataFrame) -> DataFrame:
-    """Resize decoded rows (``uri, height, width, n_channels, data, target_height,
+    """Resize decoded rows (``name, height, width, n_channels, data, target_height,
     target_width``) bilinearly (X14) and reorder BGR to RGB (X15), reported per image.
     Identity when the target equals the decoded size, as for the producer's own images."""
     return rows.mapInPandas(_resizer(), RESIZED_SCHEMA)
@@ -131,15 +93,19 @@ def resize_rows(rows: DataFrame) -> DataFrame:
 def resize_images(spark: SparkSession, root: str, scale: float = 0.5) -> DataFrame:
     """Decode every image under ``root`` and resize it by ``scale``."""
     rows = decoded_images(spark, root)
-    return resize_rows(rows.withColumns({
-        "target_height": F.round(F.col("height") * scale).cast("int"),
-        "target_width": F.round(F.col("width") * scale).cast("int")}))
+    half = lambda c: F.round(F.col(c) * scale).cast("int")
+    return resize_rows(rows.withColumns({"target_height": half("height"), "target_width": half("width")}))
 
 
-def resize_to_headers(spark: SparkSession, root: str, metadata: DataFrame) -> DataFrame:
-    """Resize each stored image to the ``original_height`` x ``original_width`` its
-    metadata row carries, matched on ``media_name`` = file name (X14 as the consumer does)."""
-    rows = decoded_images(spark, root).withColumn("media_name", F.substring_index("uri", "/", -1))
-    targets = metadata.select("media_name", F.col("original_height").alias("target_height"),
+def resize_to_headers(spark: SparkSession, root: str, metadata: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(resized, rejected)``: each stored image at the ``original_height`` x ``original_width``
+    its metadata row carries, matched on ``media_name`` = file name (X14 as the consumer does);
+    rejected are metadata rows without a decodable image or with a size below one
+    (``media_name, reason``)."""
+    targets = metadata.select(F.col("media_name").alias("name"), F.col("original_height").alias("target_height"),
                               F.col("original_width").alias("target_width"))
-    return resize_rows(rows.join(targets, "media_name").drop("media_name"))
+    sized: Column = F.coalesce((F.col("target_height") > 0) & (F.col("target_width") > 0), F.lit(False))
+    joined = targets.join(decoded_images(spark, root), "name", "left")
+    reason = F.when(~sized, F.lit("bad_size")).otherwise(F.lit("no_image"))
+    rejected = joined.where(~sized | F.col("data").isNull()).select(F.col("name").alias("media_name"), reason.alias("reason"))
+    return resize_rows(joined.where(sized & F.col("data").isNotNull())), rejected

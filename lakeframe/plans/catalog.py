@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeframe.schemas import EMPLOYEE
-from lakeframe.session import read_table, scratch
+from lakeframe.session import note_database, read_table, scratch, table_path
 from lakeframe.sinks.tables import (
     append_at_path, append_table, create_at_path, first_row, insert_by_position, schema_rows,
 )
-from lakeframe.sources.files import live_files, read_delimited, read_paths, scan_path, write_delimited
+from lakeframe.sources.files import folder_of, live_files, read_delimited, read_paths, read_people, scan_path, write_delimited
 
 
 def _ident(name: str) -> str:
@@ -87,6 +87,7 @@ def _db(spark: SparkSession, label: str) -> tuple[str, str]:
     root = scratch(spark, label)
     db = _unique(f"lf_{label}")
     ensure_database(spark, db, f"{root}/{db}.db")
+    note_database(db)
     return root, db
 
 
@@ -138,11 +139,10 @@ def append_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def register_external_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write a folder, register it as a table, query it by its three-part name."""
-    root, db = _db(spark, "register_external")
-    create_at_path(read_table(spark, sf_dir, "orders"), f"{root}/orders")
-    full = register_external(spark, "orders_ext", f"{root}/orders", database=db)
-    register_external(spark, "orders_ext", f"{root}/orders", database=db)  # idempotent
+    """Register an existing folder as a table, query it by its three-part name."""
+    _, db = _db(spark, "register_external")
+    full = register_external(spark, "orders_ext", table_path(sf_dir, "orders"), database=db)
+    register_external(spark, "orders_ext", table_path(sf_dir, "orders"), database=db)  # idempotent
     return spark.sql(f"SELECT * FROM {full}")
 
 
@@ -160,6 +160,15 @@ def people_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(view)
 
 
+def people_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The people table function with its path as a parameter, filtered by its caller."""
+    root = scratch(spark, "people_by_path")
+    cust = read_table(spark, sf_dir, "customer")
+    create_at_path(cust.select(F.col("c_name").alias("Name"), F.col("c_nationkey").cast("int").alias("Age"),
+                               F.col("c_mktsegment").alias("City")), f"{root}/people")
+    return read_people(spark, f"{root}/people").where("age >= 10")
+
+
 def zip_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parallel arrays zipped into rows, shortest length wins as in Python's zip."""
     part = read_table(spark, sf_dir, "part")
@@ -172,11 +181,9 @@ def zip_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def live_files_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Data files of a written table with row counts."""
-    root = scratch(spark, "live_files")
-    create_at_path(read_table(spark, sf_dir, "lineitem"), f"{root}/lineitem")
-    files = live_files(scan_path(spark, f"{root}/lineitem"))
-    return files.select(F.substring_index("file_path", "/", -1).alias("file_name"), "n_rows")
+    """Data files of the given table with sizes and row counts, summed up."""
+    files = live_files(spark, table_path(sf_dir, "lineitem"))
+    return files.agg(F.sum("n_rows").alias("n_rows"), (F.min("file_size") > 0).alias("all_sized"), (F.min("n_rows") >= 0).alias("all_counted"))
 
 
 def sql_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,6 +217,7 @@ def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = _unique("lf_emp")
     work = spark.newSession()  # USE must not change the caller's current database
     ensure_database(work, db, f"{root}/{db}.db")
+    note_database(db)
     use_database(work, db)
     sup = work.read.parquet(f"{sf_dir}/supplier.parquet")
     gender = F.when(F.coalesce(F.col("s_acctbal") >= 0, F.lit(False)), F.lit("M")).otherwise(F.lit("F"))
@@ -225,13 +233,11 @@ def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_many_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written as one folder per segment, read back from a table of folder paths."""
-    root = scratch(spark, "read_many_paths")
+    root = f"{scratch(spark, 'read_many_paths')}/customers"
     cust = read_table(spark, sf_dir, "customer")
-    cust.write.partitionBy("c_mktsegment").parquet(f"{root}/customers")
-    paths = cust.select(F.concat(F.lit(f"{root}/customers/c_mktsegment="), F.col("c_mktsegment")).alias("path")).distinct()
-    out = read_paths(spark, paths)
-    return out.select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
-                      F.regexp_extract("source_path", "c_mktsegment=([^/]*)$", 1).alias("segment"))
+    cust.write.partitionBy("c_mktsegment").parquet(root)
+    paths = scan_path(spark, root).select(folder_of(F.col("_metadata.file_path")).alias("path"))
+    return read_paths(paths, root).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", F.col("c_mktsegment").alias("segment"))
 
 
 def sql_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +260,7 @@ QUERIES = {
     "append_by_name": append_by_name,
     "register_external": register_external_q,
     "people_function": people_function,
+    "people_by_path": people_by_path,
     "zip_columns": zip_columns,
     "live_files": live_files_q,
     "sql_parameters": sql_parameters,
@@ -267,6 +274,12 @@ QUERIES = {
 ORACLES = {
     "csv_inferred": """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+    "csv_schema": """
+SELECT * FROM (VALUES (0, 'c_custkey', 'int'), (1, 'c_name', 'string'), (2, 'c_nationkey', 'int'), (3, 'c_acctbal', 'double'),
+                      (4, 'c_mktsegment', 'string')) t(ordinal, name, type)""",
+    "live_files": "SELECT count(*) AS n_rows, true AS all_sized, true AS all_counted FROM lineitem",
+    "people_by_path": """
+SELECT c_name AS name, c_nationkey AS age, c_mktsegment AS city FROM customer WHERE c_nationkey >= 10""",
     "table_append": "SELECT * FROM customer",
     "insert_by_position": """
 SELECT CAST(s_suppkey AS INTEGER) AS id, s_name AS name, s_nationkey AS nation, s_acctbal AS balance FROM supplier""",

@@ -13,9 +13,11 @@ from lakeframe.functions.headers import (
     build_headers, header_int, header_text, headers_map, media_columns, metadata_projection, payload_projection,
 )
 from lakeframe.functions.paths import format_name
-from lakeframe.operators.frames import assemble_batch, explode_frames, latest_per_name, number_frames
+from lakeframe.operators.frames import (
+    assemble_batch, assembled_frames, explode_frames, latest_per_name, number_frames, split_frames, write_ordered_frames,
+)
 from lakeframe.operators.routing import branch_of, reject_reason, route_by_extension
-from lakeframe.plans.standins import consumed_frames, document_envelopes, event_envelopes, frame_envelopes
+from lakeframe.plans.standins import document_envelopes, event_envelopes, frame_envelopes
 from lakeframe.session import read_table, scratch
 from lakeframe.sources.envelopes import delivery_report, publish, to_envelopes
 from lakeframe.schemas import ENVELOPE
@@ -69,7 +71,7 @@ def _variant_headers():
 
     def entry(e):
         key = F.substring_index(e, _KV_SEP, 1)
-        return F.struct(key.alias("key"), F.encode(F.substring(e, F.length(key) + 2, 1 << 30), "UTF-8").alias("value"))
+        return F.struct(key.alias("key"), F.encode(F.substring(e, F.length(key) + 2, F.length(e)), "UTF-8").alias("value"))
     return F.transform(entries, entry)
 
 
@@ -189,27 +191,69 @@ def frame_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.md5("value").alias("md5"))
 
 
-def lines_as_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded videos as frame arrays -> one record per frame (R2 array form, W1, W2, X11):
-    each document is a video whose frames are its lines, at 29.97 fps."""
+def _line_videos(spark: SparkSession, sf_dir: str, empty: bool = False) -> DataFrame:
+    """Each document is a video whose frames are its lines, at 29.97 fps; with ``empty`` every
+    seventh has no frames."""
     docs = read_table(spark, sf_dir, "documents")
-    videos = docs.select(
+    lines = F.split("text", "\\n").cast("array<binary>")  # UTF-8 bytes per line
+    if empty:
+        lines = F.when(F.pmod("doc_id", F.lit(7)) == 0, F.array().cast("array<binary>")).otherwise(lines)
+    return docs.select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".mp4")).alias("media_name"),
-        F.lit(29.97).alias("fps"), F.lit(48).alias("height"), F.lit(64).alias("width"),
-        F.split("text", "\\n").cast("array<binary>").alias("frames"))  # UTF-8 bytes per line
-    frames, _rejected = explode_frames(videos)
+        F.lit(29.97).alias("fps"), F.lit(48).alias("height"), F.lit(64).alias("width"), lines.alias("frames"))
+
+
+def lines_as_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded videos as frame arrays -> one record per frame (R2 array form, W1, W2, X11)."""
+    frames, _ = explode_frames(_line_videos(spark, sf_dir))
     return frames.select("media_name", "frame_id", "last_frame", header_text("fps").alias("fps"),
                          F.md5("payload").alias("md5"))
 
 
+def video_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every video is exploded into frames or rejected with a reason (R2, F3): both are landed as
+    tables and counted per outcome, with the number of frames."""
+    root = scratch(spark, "video_outcomes")
+    frames, rejected = explode_frames(_line_videos(spark, sf_dir, empty=True))
+    frames.write.parquet(f"{root}/frames")
+    rejected.write.parquet(f"{root}/rejected")
+    landed = spark.read.parquet(f"{root}/frames").agg(
+        F.lit("landed").alias("outcome"), F.sum(F.when(F.col("frame_id") == 0, 1)).alias("n_videos"), F.count(F.lit(1)).alias("n_frames"))
+    refused = spark.read.parquet(f"{root}/rejected").groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n_videos"), F.lit(0).cast("long").alias("n_frames"))
+    return landed.unionByName(refused)
+
+
+def record_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with malformed headers: each is landed as a frame or rejected with a reason; both
+    are landed as tables, and input = landed + rejected (F3, P4)."""
+    root = scratch(spark, "record_outcomes")
+    frames, rejected = split_frames(event_envelopes(spark, sf_dir, headers=_variant_headers()))
+    frames.write.parquet(f"{root}/frames")
+    rejected.write.parquet(f"{root}/rejected")
+    outcome = spark.read.parquet(f"{root}/frames").select(F.lit("landed").alias("outcome")).unionByName(
+        spark.read.parquet(f"{root}/rejected").select(F.col("reason").alias("outcome")))
+    return outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 def assemble_batch_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reassemble permuted, partly redelivered frames per media (A1, A2, A4, O1)."""
-    return assemble_batch(consumed_frames(frame_envelopes(spark, sf_dir, redeliver_role="user")))
+    return assemble_batch(split_frames(frame_envelopes(spark, sf_dir, redeliver_role="user"))[0])
 
 
 def assemble_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames with short payloads are lost; only complete media are assembled (A2)."""
-    return assemble_batch(consumed_frames(frame_envelopes(spark, sf_dir, min_payload_bytes=40)))
+    return assemble_batch(split_frames(frame_envelopes(spark, sf_dir, min_payload_bytes=40))[0])
+
+
+def assembled_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The assembled media themselves: every frame of each complete media, landed in order and
+    read back (K11, A1, A4, O1)."""
+    root = scratch(spark, "assembled_sequences")
+    frames, _ = split_frames(frame_envelopes(spark, sf_dir, redeliver_role="user"))
+    write_ordered_frames(assembled_frames(frames), f"{root}/sequences")
+    return spark.read.parquet(f"{root}/sequences").select(
+        "media_name", "pos", "frame_id", F.md5("payload").alias("md5"), "fps", "height", "width")
 
 
 QUERIES = {
@@ -228,6 +272,9 @@ QUERIES = {
     "lines_as_frames": lines_as_frames,
     "assemble_batch": assemble_batch_q,
     "assemble_incomplete": assemble_incomplete,
+    "assembled_sequences": assembled_sequences,
+    "record_outcomes": record_outcomes,
+    "video_outcomes": video_outcomes,
 }
 
 _DIGEST = "CAST(sum(CAST(('0x' || substr(md5(CAST(turn AS VARCHAR) || ':' || text), 1, 15)) AS BIGINT)) AS VARCHAR)"
@@ -356,4 +403,17 @@ FROM conversations JOIN last ON conv_id = c
 WHERE strlen(text) >= 40
 GROUP BY conv_id, last_turn
 HAVING count(*) = last_turn + 1""",
+    "assembled_sequences": """
+SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name, CAST(turn AS INTEGER) AS pos, CAST(turn AS INTEGER) AS frame_id,
+       md5(text) AS md5, CAST((conv_id % 3) * 5 + 20 AS INTEGER) AS fps, 48 AS height, 64 AS width
+FROM conversations""",
+    "record_outcomes": """
+SELECT CASE WHEN event_type IN ('signup', 'click', 'view') AND user_id IS NOT NULL
+            THEN CASE WHEN event_type = 'signup' THEN 'missing_frame_id' ELSE 'landed' END
+            ELSE 'missing_name' END AS outcome, count(*) AS n
+FROM events GROUP BY 1""",
+    "video_outcomes": """
+SELECT CASE WHEN doc_id % 7 = 0 THEN 'no_frames' ELSE 'landed' END AS outcome, count(*) AS n_videos,
+       CAST(sum(CASE WHEN doc_id % 7 = 0 THEN 0 ELSE len(string_split(text, chr(10))) END) AS BIGINT) AS n_frames
+FROM documents GROUP BY 1""",
 }

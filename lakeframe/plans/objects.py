@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from lakeframe.functions.headers import metadata_projection
-from lakeframe.functions.pixels import encode_png
-from lakeframe.operators.images import image_envelopes, resize_images
+from lakeframe.operators.images import image_envelopes, resize_images, resize_to_headers
 from lakeframe.operators.routing import in_folder
+from lakeframe.plans.pngs import encode_png
 from lakeframe.session import read_table, scratch
 from lakeframe.sinks.objects import copy_objects, list_objects, write_objects
 
@@ -33,10 +33,9 @@ def bulk_copy_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     write_objects(pages.select(F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".html")).alias("name"),
                                F.encode("html", "UTF-8").alias("content")), f"{root}/source")
-    status = copy_objects(list_objects(spark, f"{root}/source"), f"{root}/copy")
-    status.write.parquet(f"{root}/status")
+    status = copy_objects(list_objects(spark, f"{root}/source"), f"{root}/copy", f"{root}/status")
     copied = list_objects(spark, f"{root}/copy").select("name", F.col("length").alias("copied_bytes"))
-    out = spark.read.parquet(f"{root}/status").join(copied, "name", "left")
+    out = status.join(copied, "name", "left")
     return out.select("name", "n_bytes", "status",
                       (F.col("copied_bytes") == F.col("n_bytes")).alias("verified"))
 
@@ -61,7 +60,23 @@ def image_dimensions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PNG files rendered from ``embeddings`` -> decoded sizes -> image envelopes -> metadata."""
     root = scratch(spark, "image_dimensions")
     _write_pngs(spark, sf_dir, f"{root}/images")
-    return metadata_projection(image_envelopes(spark, f"{root}/images"))
+    envelopes, _ = image_envelopes(spark, f"{root}/images")
+    return metadata_projection(envelopes)
+
+
+def image_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image files of which some are cut short, empty or hidden by their name: every file is an
+    envelope or a rejected row with a reason, counted (R1, F3)."""
+    root = scratch(spark, "image_outcomes")
+    emb = read_table(spark, sf_dir, "embeddings")
+    shape = F.pmod("vec_id", F.lit(10))
+    png = _png("embedding", "label")
+    content = F.when(shape == 0, F.substring(png, 1, 30)).when(shape == 1, F.lit(b"")).otherwise(png)
+    name = F.concat(F.when(shape == 2, F.lit(".")).when(shape == 3, F.lit("a b+%20#")).otherwise(F.lit("")), F.lit("vec-"), F.col("vec_id").cast("string"), F.lit(".png"))
+    write_objects(emb.select(name.alias("name"), content.alias("content")), f"{root}/images")
+    envelopes, rejected = image_envelopes(spark, f"{root}/images")
+    outcome = envelopes.select(F.lit("landed").alias("outcome")).unionByName(rejected.select(F.col("reason").alias("outcome")))
+    return outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 def resize_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,17 +84,59 @@ def resize_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "resize_pixels")
     _write_pngs(spark, sf_dir, f"{root}/images")
     out = resize_images(spark, f"{root}/images", 0.5)
-    return out.select(F.substring_index("uri", "/", -1).alias("name"), "height", "width", "n_channels",
-                      "r_sum", "g_sum", "b_sum")
+    return out.select("name", "height", "width", "n_channels", "r_sum", "g_sum", "b_sum")
+
+
+def resize_to_header_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each rendered PNG at the size its metadata row names: the square ones as they are, the
+    others halved (X14 as the consumer does, X15)."""
+    root = scratch(spark, "resize_to_header_size")
+    _write_pngs(spark, sf_dir, f"{root}/images")
+    emb = read_table(spark, sf_dir, "embeddings")
+    kind = F.pmod("label", F.lit(len(LABEL_SHAPES)))
+    size = [F.when(kind == 0, F.lit(8)).when(kind == 1, F.lit(a)).otherwise(F.lit(b)) for a, b in ((2, 8), (8, 2))]
+    meta = emb.select(F.concat(F.lit("vec-"), F.col("vec_id").cast("string"), F.lit(".png")).alias("media_name"),
+                      size[0].alias("original_height"), size[1].alias("original_width"))
+    out, _ = resize_to_headers(spark, f"{root}/images", meta)
+    return out.select("name", "height", "width", "n_channels", "r_sum", "g_sum", "b_sum")
 
 
 QUERIES = {
     "list_folder": list_folder,
     "bulk_copy_status": bulk_copy_status,
     "image_dimensions": image_dimensions_q,
+    "image_outcomes": image_outcomes,
     "resize_pixels": resize_pixels,
+    "resize_to_header_size": resize_to_header_size,
 }
 
+def _pixel_sql(identity_for_square: bool) -> str:
+    """Channel sums of the rendered images; halving is the mean of 2 x 2 values, rounded half to
+    even as the resize does."""
+    def halved(channel: str) -> str:
+        at = "[1 + {y} * w + {x}]"
+        y, x = "(2 * (j // (w // 2)) + {})", "(2 * (j % (w // 2)) + {})"
+        four = " + ".join(channel.replace("P", "p" + at.format(y=y.format(a), x=x.format(b))) for a in (0, 1) for b in (0, 1))
+        return f"list_sum(list_transform(range(0, 16), lambda j: CAST(round_even(({four}) / 4.0, 0) AS BIGINT)))"
+    sums = []
+    for name, channel in (("r_sum", "P"), ("g_sum", "(255 - P)"), ("b_sum", "(P // 2)")):
+        half = halved(channel)
+        if identity_for_square:
+            same = f"list_sum(list_transform(p, lambda v: {channel.replace('P', 'v')}))"
+            half = f"CASE WHEN kind = 0 THEN {same} ELSE {half} END"
+        sums.append(f"CAST({half} AS BIGINT) AS {name}")
+    scale = "CASE WHEN kind = 0 THEN 1 ELSE 2 END" if identity_for_square else "2"
+    return f"""
+WITH px AS (
+  SELECT vec_id, label % 3 AS kind,
+         CASE label % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 16 END AS h, CASE label % 3 WHEN 0 THEN 8 WHEN 1 THEN 16 ELSE 4 END AS w,
+         list_transform(embedding, lambda v: CAST(greatest(0, least(255, round_even((CAST(v AS DOUBLE) + 1.0) * 127.5, 0))) AS BIGINT)) AS p
+  FROM embeddings)
+SELECT 'vec-' || CAST(vec_id AS VARCHAR) || '.png' AS name, CAST(h // ({scale}) AS INTEGER) AS height, CAST(w // ({scale}) AS INTEGER) AS width,
+       3 AS n_channels, {', '.join(sums)}
+FROM px"""
+
+
 ORACLES = {
     "list_folder": """
 SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name FROM part
@@ -93,4 +150,10 @@ SELECT 'vec-' || CAST(vec_id AS VARCHAR) || '.png' AS media_name,
        CAST(CASE label % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 16 END AS INTEGER) AS original_height,
        CAST(CASE label % 3 WHEN 0 THEN 8 WHEN 1 THEN 16 ELSE 4 END AS INTEGER) AS original_width
 FROM embeddings""",
+    "image_outcomes": """
+SELECT CASE vec_id % 10 WHEN 0 THEN 'undecodable' WHEN 1 THEN 'empty_payload' WHEN 2 THEN 'undecodable' ELSE 'landed' END AS outcome,
+       count(*) AS n
+FROM embeddings GROUP BY 1""",
+    "resize_pixels": _pixel_sql(False),
+    "resize_to_header_size": _pixel_sql(True),
 }

@@ -78,13 +78,15 @@ ARRIVAL_SPACE = 1 << 50
 
 
 def frame_envelopes(spark: SparkSession, sf_dir: str, *, redeliver_role: str | None = None,
-                    min_payload_bytes: int | None = None) -> DataFrame:
+                    min_payload_bytes: int | None = None, hold_first: bool = False) -> DataFrame:
     """conversations -> video-frame envelopes in a permuted arrival order.
 
     Frames are numbered in read order (turn) per media first, as the producer does, so
     ``frame_id``/``last_frame`` headers are right even when frames are later lost.
     ``redeliver_role`` publishes the frames of that role a second time (at-least-once
-    redelivery); ``min_payload_bytes`` loses frames with shorter payloads.
+    redelivery); ``min_payload_bytes`` loses frames with shorter payloads.  ``hold_first`` has
+    the first frame of each media, once, arrive after all copies, so that redelivery falls
+    into the time a media is under way and the last frame overtakes the first.
     """
     from lakeframe.operators.frames import frame_headers, number_frames
 
@@ -92,6 +94,8 @@ def frame_envelopes(spark: SparkSession, sf_dir: str, *, redeliver_role: str | N
     copies = F.array(F.lit(0))
     if redeliver_role is not None:
         copies = F.when(F.col("role") == redeliver_role, F.array(F.lit(0), F.lit(1))).otherwise(copies)
+    if hold_first:
+        copies = F.when(F.col("frame_seq") == 0, F.array(F.lit(2))).otherwise(copies)
     frames = frames.withColumn("__copy", F.explode(copies))
     if min_payload_bytes is not None:
         frames = frames.where(F.octet_length("payload") >= min_payload_bytes)
@@ -125,14 +129,3 @@ def keyed_frame_envelopes(spark: SparkSession, sf_dir: str, partitions: int = 4)
                               F.col("height"), F.col("width")),
         partitions=partitions,
     )
-
-
-def consumed_frames(envelopes: DataFrame) -> DataFrame:
-    """Frame envelopes -> the columns assembly works on (consumer side of P4)."""
-    from lakeframe.functions.headers import media_columns
-
-    return media_columns(envelopes).select(
-        "media_name", "frame_id", "last_frame", "fps",
-        F.col("original_height").alias("height"), F.col("original_width").alias("width"),
-        F.col("value").alias("payload"), "partition", "offset",
-    )

@@ -10,24 +10,22 @@ from pyspark.sql import functions as F
 from lakeframe.functions.headers import (
     header_int, header_text, key_value_text, metadata_projection,
 )
-from lakeframe.operators.frames import latest_per_name
-from lakeframe.plans.standins import (
-    consumed_frames, document_envelopes, event_envelopes, frame_envelopes, keyed_frame_envelopes,
-)
-from lakeframe.session import ensure_state_store, scratch
+from lakeframe.operators.frames import latest_per_name, split_frames, write_ordered_frames
+from lakeframe.plans.standins import document_envelopes, event_envelopes, frame_envelopes, keyed_frame_envelopes
+from lakeframe.session import scratch
 from lakeframe.sinks.objects import read_objects
-from lakeframe.sources.envelopes import files_per_trigger, high_water_marks, publish, read_envelopes, start_position
+from lakeframe.sources.envelopes import high_water_marks, publish, publish_order, read_envelopes, start_position
 from lakeframe.streaming.landing import append_stream, await_all, object_stream
 from lakeframe.streaming.reassembly import assemble_stream as assemble_frames
+from lakeframe.streaming.reassembly import published_frames
 
 # Fixed value: the instant that splits the events into a first and a second drop.
 SECOND_DROP_FROM = "2024-01-16 00:00:00"
-TOPIC_FILES = 4  # minimum files of a stored topic
-TOPIC_BATCHES = 4  # micro-batches a replay is cut into
+DROPS = 4  # parts in which frame topics are published, each followed by a run of the stream
 
 
 def _replay(spark: SparkSession, topic: str) -> DataFrame:
-    return read_envelopes(spark, path=topic, files_per_trigger=files_per_trigger(spark, topic, TOPIC_BATCHES))
+    return read_envelopes(spark, path=topic)
 
 
 def _first_drop():
@@ -43,7 +41,7 @@ def _kv(stream: DataFrame) -> DataFrame:
 def kv_text_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream -> key/value text -> Parquet with checkpoint."""
     root = scratch(spark, "kv_text_landing")
-    publish(event_envelopes(spark, sf_dir), f"{root}/topic", min_files=TOPIC_FILES)
+    publish(event_envelopes(spark, sf_dir), f"{root}/topic")
     stream = _replay(spark, f"{root}/topic")
     q = append_stream(key_value_text(stream), f"{root}/table", f"{root}/checkpoints/table")
     await_all([q])
@@ -53,7 +51,7 @@ def kv_text_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metadata_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream -> media metadata -> table with checkpoint (S1r, K1, T2, T3, T6)."""
     root = scratch(spark, "metadata_stream_landing")
-    publish(document_envelopes(spark, sf_dir), f"{root}/topic", min_files=TOPIC_FILES)
+    publish(document_envelopes(spark, sf_dir), f"{root}/topic")
     stream = _replay(spark, f"{root}/topic")
     q = append_stream(metadata_projection(stream), f"{root}/table", f"{root}/checkpoints/table")
     await_all([q])
@@ -66,10 +64,10 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "stream_restart")
     env = event_envelopes(spark, sf_dir)
     topic, table, ckpt = f"{root}/topic", f"{root}/table", f"{root}/checkpoints/table"
-    publish(env.where(_first_drop()), topic, min_files=2)
+    publish(env.where(_first_drop()), topic)
     for drop in (1, 2):
         if drop == 2:
-            publish(env.where(~_first_drop()), topic, min_files=2)
+            publish(env.where(~_first_drop()), topic)
         stream = _replay(spark, topic)
         await_all([append_stream(_kv(stream), table, ckpt)])
     return spark.read.parquet(table)
@@ -81,46 +79,63 @@ def start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "start_latest")
     env = event_envelopes(spark, sf_dir)
     topic = f"{root}/topic"
-    publish(env.where(_first_drop()), topic, min_files=2)
+    publish(env.where(_first_drop()), topic)
     # The snapshot is written, so a restarted query keeps the start position it began with.
     marks_path = f"{root}/marks"
     high_water_marks(spark, topic).write.parquet(marks_path)
     marks = spark.read.parquet(marks_path)
-    publish(env.where(~_first_drop()), topic, min_files=2)
+    publish(env.where(~_first_drop()), topic)
     stream = start_position(_replay(spark, topic), marks)
     await_all([append_stream(_kv(stream), f"{root}/table", f"{root}/checkpoints/table")])
     return spark.read.parquet(f"{root}/table")
 
 
+def _assembled(spark: SparkSession, root: str, envelopes: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """Publishes the envelopes in the topic's order, a part at a time, and after each part runs
+    the stream on its checkpoints: frames land as a table, media are assembled.  Returns the
+    landed frames and the assembled media."""
+    for part in publish_order(envelopes, DROPS):
+        publish(part, f"{root}/topic")
+        frames, rejected = split_frames(_replay(spark, f"{root}/topic"))
+        await_all([append_stream(frames, f"{root}/frames", f"{root}/checkpoints/frames"),
+                   append_stream(rejected, f"{root}/rejected", f"{root}/checkpoints/rejected"),
+                   append_stream(assemble_frames(frames, mode), f"{root}/assembled", f"{root}/checkpoints/assembled")])
+    return spark.read.parquet(f"{root}/frames"), spark.read.parquet(f"{root}/assembled")
+
+
 def assemble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Permuted, partly redelivered frames over several micro-batches -> assembled media
     (T1, K11): same result as the batch assembly."""
-    ensure_state_store(spark)
-    root = scratch(spark, "assemble_stream")
-    publish(frame_envelopes(spark, sf_dir, redeliver_role="user"), f"{root}/topic", min_files=TOPIC_FILES)
-    stream = _replay(spark, f"{root}/topic")
-    out = assemble_frames(consumed_frames(stream), "complete")
-    await_all([append_stream(out, f"{root}/table", f"{root}/checkpoints/table")])
-    return spark.read.parquet(f"{root}/table")
+    envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user", hold_first=True)
+    _, media = _assembled(spark, scratch(spark, "assemble_stream"), envelopes, "complete")
+    return media.drop("published_until")
+
+
+def assembled_sequences_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The media assembled by the stream: every frame of each emitted media, landed in order and
+    read back (T1, K11, A1, O1)."""
+    root = scratch(spark, "assembled_sequences_stream")
+    envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user", hold_first=True)
+    frames, media = _assembled(spark, root, envelopes, "complete")
+    write_ordered_frames(published_frames(frames, media), f"{root}/sequences")
+    return spark.read.parquet(f"{root}/sequences").select(
+        "media_name", F.col("publication").cast("int").alias("publication"), "pos", "frame_id", F.md5("payload").alias("md5"),
+        "fps", "height", "width")
 
 
 def assemble_stream_on_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference consumer's rule (T1 ``on_last``): emit a media when its last frame
-    arrives.  With frames keyed by media (one partition, in order) it equals the complete
-    assembly."""
-    root = scratch(spark, "assemble_stream_on_last")
-    publish(keyed_frame_envelopes(spark, sf_dir), f"{root}/topic", min_files=TOPIC_FILES)
-    stream = read_envelopes(spark, path=f"{root}/topic", files_per_trigger=files_per_trigger(spark, f"{root}/topic", 1))
-    out = assemble_frames(consumed_frames(stream), "on_last")
-    await_all([append_stream(out, f"{root}/table", f"{root}/checkpoints/table")])
-    return spark.read.parquet(f"{root}/table")
+    arrives.  With frames keyed by media (one partition, in order), over several micro-batches
+    in the topic's order, it equals the complete assembly."""
+    _, media = _assembled(spark, scratch(spark, "assemble_stream_on_last"), keyed_frame_envelopes(spark, sf_dir), "on_last")
+    return media.drop("published_until")
 
 
 def object_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stream, two sinks: image objects written by the executors and the metadata
     table (K3, K10, K13, T5); objects are read back as files (F4, S12)."""
     root = scratch(spark, "object_sink_roundtrip")
-    publish(document_envelopes(spark, sf_dir), f"{root}/topic", min_files=TOPIC_FILES)
+    publish(document_envelopes(spark, sf_dir), f"{root}/topic")
     stream = _replay(spark, f"{root}/topic")
     images = stream.where(header_text("type") == F.lit("image")).select(
         header_text("media_name").alias("media_name"), F.col("value").alias("image_data"),
@@ -128,13 +143,13 @@ def object_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "timestamp", "partition", "offset")
     q_objects = object_stream(images, f"{root}/objects", f"{root}/checkpoints/objects",
                               metadata=("media_name", "original_height", "original_width"),
-                              sidecar=f"{root}/object_metadata")
+                              sidecar=f"{root}/object_metadata", rejected=f"{root}/object_rejects")
     q_table = append_stream(metadata_projection(stream), f"{root}/table", f"{root}/checkpoints/table")
     await_all([q_objects, q_table])
     objs = read_objects(spark, f"{root}/objects").select(
         "name", F.col("length").cast("int").alias("n_bytes"), F.md5("content").alias("md5"))
     meta = spark.read.parquet(f"{root}/table")
-    sidecar = latest_per_name(spark.read.parquet(f"{root}/object_metadata"), "name", ("batch_id",)).select(
+    sidecar = latest_per_name(spark.read.parquet(f"{root}/object_metadata"), "name", ("place",)).select(
         "name", F.col("metadata")["original_width"].cast("int").alias("object_width"))
     return (meta.join(objs, meta["media_name"] == objs["name"]).drop("name")
             .join(sidecar, F.col("media_name") == sidecar["name"], "left")
@@ -147,6 +162,7 @@ QUERIES = {
     "stream_restart": stream_restart,
     "start_latest": start_latest,
     "assemble_stream": assemble_stream,
+    "assembled_sequences_stream": assembled_sequences_stream,
     "assemble_stream_on_last": assemble_stream_on_last,
     "object_sink_roundtrip": object_sink_roundtrip,
 }
@@ -177,6 +193,10 @@ SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name,
        CAST((conv_id % 3) * 5 + 20 AS INTEGER) AS fps, 48 AS height, 64 AS width,
        CAST(sum(CAST(('0x' || substr(md5(CAST(turn AS VARCHAR) || ':' || text), 1, 15)) AS BIGINT)) AS VARCHAR) AS digest
 FROM conversations GROUP BY conv_id""",
+    "assembled_sequences_stream": """
+SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name, 1 AS publication, CAST(turn AS INTEGER) AS pos,
+       CAST(turn AS INTEGER) AS frame_id, md5(text) AS md5, CAST((conv_id % 3) * 5 + 20 AS INTEGER) AS fps, 48 AS height, 64 AS width
+FROM conversations""",
     "assemble_stream_on_last": """
 SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name,
        count(*) AS n_frames, CAST(max(turn) AS INTEGER) AS last_frame_id,

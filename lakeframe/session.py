@@ -7,6 +7,7 @@ create one and register it with the SparkContext.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -81,7 +82,10 @@ def catalog_session(warehouse: str, metastore: str, cores: int | str = "*", app:
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder for staged data: ``spark.checkpoint.dir`` when the cluster sets it."""
+    """The shared folder for staged data: ``spark.checkpoint.dir`` when the cluster sets it.
+
+    Where it is unset, a local run gets a temporary folder; on a cluster that folder would be
+    another one on each machine, so there it is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
@@ -89,16 +93,13 @@ def work_root(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
         sc = None
-    if sc is not None:
-        current = sc.getCheckpointDir()
-        if current:
-            return current.rstrip("/")
-    # Unset: only the case for local runs and tests.
-    local = tempfile.mkdtemp(prefix="lakeframe-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
+    if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
-    return local
+    master = spark.conf.get("spark.master", "") if sc is None else sc.master
+    if sc is None or not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lakeframe-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -106,11 +107,39 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/lakeframe/{name}/{uuid.uuid4().hex}"
 
 
-def ensure_state_store(spark: SparkSession) -> None:
-    """Prefer the RocksDB state store (state on local disk, not executor heap) unless the
-    session already names a provider.  transformWithState requires it."""
-    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB (local disk, not executor heap) unless
+    the session names a provider.  A query takes its provider when it starts, so the caller's
+    setting is put back afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    explicit = spark.conf.get(name, None)
+    if explicit and not explicit.endswith("HDFSBackedStateStoreProvider"):
+        yield
+        return
+    spark.conf.set(name, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if explicit:
+            spark.conf.set(name, explicit)
+        else:
+            spark.conf.unset(name)
+
+
+_DATABASES: list[str] = []
+
+
+def note_database(name: str) -> None:
+    """Remember a database that a query made for itself."""
+    _DATABASES.append(name)
+
+
+def drop_temporary(spark: SparkSession) -> None:
+    """Drop the databases that queries made for themselves, with their tables.  Results are read
+    lazily from them, so this is for after the last result has been consumed."""
+    while _DATABASES:
+        spark.sql(f"DROP DATABASE IF EXISTS `{_DATABASES.pop()}` CASCADE")
 
 
 def table_path(sf_dir: str, name: str) -> str:

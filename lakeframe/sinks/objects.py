@@ -1,18 +1,22 @@
-"""Executor-side object writing and copying.
+"""Executor-side object listing, reading, writing and copying.
 
-Objects are written by the tasks that hold the rows, through ``pyarrow.fs`` (local
-files, HDFS, S3, GCS), never through the driver.  Object names are keys: writing a
-name again replaces the object, so a replayed micro-batch rewrites equal bytes.
+Objects are handled by the tasks that hold the rows, through ``pyarrow.fs`` (local files,
+HDFS, S3, GCS), never through the driver.  An object's name is its path relative to the root;
+names are keys: writing a name again replaces the object, so a replayed micro-batch rewrites
+equal bytes.  Any file name is listed and read, also one that begins with ``_`` or ``.``,
+which Spark's own file sources skip.
 """
 
 from __future__ import annotations
 
+import functools
+import re
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage,
@@ -20,20 +24,39 @@ from pyspark.sql.datasource import (
 
 SINK_NAME = "lakeframe_objects"
 COPY_PART_BYTES = 10 * 1024 * 1024  # Fixed value: upload part size of the object copy.
+READ_BATCH_BYTES = 32 * 1024 * 1024
+_ASIDE = re.compile(r"\._tmp-[0-9a-f]{32}")  # objects being written aside
+_URI = re.compile(r"([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(/.*)?", re.S)
 
 
-def resolve_fs(uri: str):
-    """``(filesystem, base path)`` for a folder URI; ``s3a://`` is read as ``s3://``."""
+def qualify(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and authority: without them it is in the default file system, as for
+    Spark's own readers.  Done on the driver, so that tasks need no Hadoop configuration."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).makeQualified(p).toString()
+
+
+@functools.cache
+def _store(scheme: str, authority: str):
+    """One client per store and worker."""
     import pyarrow.fs as pafs
 
-    if uri.startswith("s3a://"):
-        uri = "s3://" + uri[len("s3a://"):]
-    if uri.startswith("file:"):
-        uri = "/" + uri[len("file:"):].lstrip("/")
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri.rstrip("/")
-    fs, path = pafs.FileSystem.from_uri(uri)
-    return fs, path.rstrip("/")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), ""
+    fs, base = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return fs, base.rstrip("/")
+
+
+def resolve_fs(uri: str):
+    """``(filesystem, path)`` of a qualified URI; ``s3a://`` is read as ``s3://``.  The path is
+    taken as it is, so it may hold spaces, ``%`` and ``#``."""
+    found = _URI.fullmatch(uri)
+    if not found:
+        raise ValueError(f"not a qualified path: {uri!r}")
+    scheme = {"s3a": "s3"}.get(found[1].lower(), found[1].lower())
+    fs, base = _store(scheme, found[2] or "")
+    return fs, base + (found[3] or "").rstrip("/")
 
 
 def check_name(name: str) -> str:
@@ -43,19 +66,37 @@ def check_name(name: str) -> str:
     return name
 
 
-def put_object(fs, base: str, name: str, data: bytes) -> None:
-    """Write one object; on file systems with rename, write aside and move into place."""
-    target = f"{base}/{check_name(name)}"
+def _put(fs, target: str, parts: Iterator[bytes]) -> int:
+    """Write one object; on file systems with rename, write aside and move into place, so that
+    a failed or doubled attempt never leaves half an object under the real name."""
     parent = target.rsplit("/", 1)[0]
     fs.create_dir(parent, recursive=True)
-    if fs.type_name in ("s3", "gcs"):
-        with fs.open_output_stream(target) as out:
-            out.write(data)
-        return
-    tmp = f"{parent}/._tmp-{uuid.uuid4().hex}"
-    with fs.open_output_stream(tmp) as out:
-        out.write(data)
-    fs.move(tmp, target)
+    whole = fs.type_name in ("s3", "gcs")  # there an object appears when its stream is closed
+    at = target if whole else f"{parent}/._tmp-{uuid.uuid4().hex}"
+    n = 0
+    try:
+        with fs.open_output_stream(at) as out:
+            for part in parts:
+                out.write(part)
+                n += len(part)
+        if not whole:
+            fs.move(at, target)
+    except BaseException:
+        if not whole:
+            _drop(fs, at)
+        raise
+    return n
+
+
+def _drop(fs, path: str) -> None:
+    try:
+        fs.delete_file(path)
+    except FileNotFoundError:
+        pass
+
+
+def put_object(fs, base: str, name: str, data: bytes) -> None:
+    _put(fs, f"{base}/{check_name(name)}", iter([data]))
 
 
 class _Written(WriterCommitMessage):
@@ -66,24 +107,36 @@ class _Written(WriterCommitMessage):
 
 def _write_batches(options, batches: Iterator[pa.RecordBatch]) -> _Written:
     fs, base = resolve_fs(options["path"])
-    name_col = options.get("nameColumn", "name")
-    content_col = options.get("contentColumn", "content")
+    places = resolve_fs(options["placepath"]) if "placepath" in options else None
     count = nbytes = 0
     for batch in batches:
-        names = batch.column(batch.schema.get_field_index(name_col)).to_pylist()
-        contents = batch.column(batch.schema.get_field_index(content_col)).to_pylist()
-        for name, content in zip(names, contents):
+        columns = [batch.column(batch.schema.get_field_index(options.get(f"{c}column", c))).to_pylist() for c in ("name", "content")]
+        order = batch.column("place").to_pylist() if places else [None] * batch.num_rows
+        for name, content, place in zip(*columns, order):
             if name is None or content is None:
-                continue
+                raise ValueError("an object needs a name and content; split off the other rows first")
+            if places and (before := _place(*places, name)) is not None and before > int(place):
+                continue  # a later write is already there
             put_object(fs, base, name, content)
+            if places:
+                put_object(*places, name, str(int(place)).encode())
             count += 1
             nbytes += len(content)
     return _Written(count, nbytes)
 
 
+def _place(fs, base: str, name: str) -> int | None:
+    """The position of the write that an object holds."""
+    try:
+        with fs.open_input_stream(f"{base}/{check_name(name)}") as f:
+            return int(f.read())
+    except FileNotFoundError:
+        return None
+
+
 class _BatchWriter(DataSourceArrowWriter):
     def __init__(self, options):
-        self.options = dict(options)
+        self.options = {k.lower(): v for k, v in options.items()}  # option names have no case
 
     def write(self, iterator):
         return _write_batches(self.options, iterator)
@@ -91,7 +144,7 @@ class _BatchWriter(DataSourceArrowWriter):
 
 class _StreamWriter(DataSourceStreamArrowWriter):
     def __init__(self, options):
-        self.options = dict(options)
+        self.options = {k.lower(): v for k, v in options.items()}  # option names have no case
 
     def write(self, iterator):
         return _write_batches(self.options, iterator)
@@ -106,7 +159,9 @@ class _StreamWriter(DataSourceStreamArrowWriter):
 class ObjectSink(DataSource):
     """``df.write.format("lakeframe_objects").option("path", root)``: one object per row,
     named by ``nameColumn`` (default ``name``) with bytes from ``contentColumn``
-    (default ``content``).  Also usable as a streaming sink."""
+    (default ``content``).  Also usable as a streaming sink.  ``path`` must be qualified
+    (:func:`qualify`).  With ``placePath`` each row has a numeric ``place``, kept there per
+    object, and an object is not replaced by an earlier write."""
 
     @classmethod
     def name(cls):
@@ -123,70 +178,129 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ObjectSink)
 
 
-def write_objects(df: DataFrame, root: str, name: str = "name", content: str = "content") -> None:
-    """Batch object write (K3/K10), one object per row, from the executors."""
-    register(df.sparkSession)
-    (df.select(F.col(name).alias("name"), F.col(content).alias("content"))
-     .write.format(SINK_NAME).mode("append").option("path", root).save())
+def write_objects(df: DataFrame, root: str, name: str = "name", content: str = "content",
+                  place: str | None = None, place_root: str | None = None) -> None:
+    """Batch object write (K3/K10), one object per row, from the executors.  A row without a
+    name or content fails the job.  With ``place`` (a number that grows with time) an object
+    keeps its latest write whatever order the batches come in."""
+    spark = df.sparkSession
+    register(spark)
+    columns = [F.col(name).alias("name"), F.col(content).alias("content")]
+    if place:
+        columns.append(F.col(place).cast("decimal(38,0)").alias("place"))
+    writer = df.select(*columns).write.format(SINK_NAME).mode("append").option("path", qualify(spark, root))
+    if place:
+        writer = writer.option("placePath", qualify(spark, place_root))
+    writer.save()
+
+
+LISTING = "path string, name string, length long, modificationTime timestamp"
+
+
+def _lister(root: str, deep: bool, recursive: bool):
+    """Listing of folders: (folder) -> entries.  ``deep``: everything below; else one level, with
+    folders as entries without a length if ``recursive``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                fs, base = resolve_fs(folder)
+                top = resolve_fs(root)[1]
+                prefix = root.rstrip("/")
+                found = [i for i in fs.get_file_info(pafs.FileSelector(base, recursive=deep)) if not _ASIDE.fullmatch(i.base_name)]
+                if not (recursive and not deep):
+                    found = [i for i in found if i.type == pafs.FileType.File]
+                names = [i.path[len(top):].lstrip("/") for i in found]
+                for at in range(0, len(found), 10_000):
+                    part, own = found[at:at + 10_000], names[at:at + 10_000]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([f"{prefix}/{n}" for n in own], pa.string()), pa.array(own, pa.string()),
+                        pa.array([i.size if i.type == pafs.FileType.File else None for i in part], pa.int64()),
+                        pa.array([i.mtime for i in part], pa.timestamp("us", "UTC"))], names=["path", "name", "length", "modificationTime"])
+    return run
 
 
 def list_objects(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
-    """Files directly under ``root`` (S10, S11, F4): ``path, name, length, modificationTime``.
-    The ``content`` column is not selected, so no object bytes are read."""
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    listing = reader.load(root).select("path", "length", "modificationTime")
-    return listing.withColumn("name", F.substring_index("path", "/", -1))
+    """Files under ``root`` (S10, S11, F4): ``path, name, length, modificationTime``; the name is
+    the path relative to ``root``.  A folder is listed by one task; with ``recursive`` each
+    folder directly under ``root`` is listed, with all below it, by a task of its own."""
+    root = qualify(spark, root)
+    top = spark.createDataFrame([(root,)], "path string")
+    if not recursive:
+        return top.mapInArrow(_lister(root, False, False), LISTING)
+    level = top.mapInArrow(_lister(root, False, True), LISTING)
+    folders = level.where("length IS NULL").select("path").repartition(_tasks(spark))
+    return level.where("length IS NOT NULL").unionByName(folders.mapInArrow(_lister(root, True, True), LISTING))
+
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-def read_objects(spark: SparkSession, root: str) -> DataFrame:
+
+def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["path", "name", "length", "content"])
+
+    for batch in batches:
+        rows, size = [], 0
+        for path, name in zip(batch.column("path").to_pylist(), batch.column("name").to_pylist()):
+            fs, at = resolve_fs(path)
+            with fs.open_input_stream(at) as f:
+                data = f.read()
+            rows.append((path, name, len(data), data))
+            size += len(data)
+            if size >= READ_BATCH_BYTES:
+                yield out(rows)
+                rows, size = [], 0
+        if rows:
+            yield out(rows)
+
+
+def read_objects(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
     """Object bytes read by the executors (S12): ``path, name, length, content``."""
-    df = spark.read.format("binaryFile").load(root)
-    return df.select("path", F.substring_index("path", "/", -1).alias("name"), "length", "content")
+    listing = list_objects(spark, root, recursive).select("path", "name").repartition(_tasks(spark))
+    return listing.mapInArrow(_read_batches, "path string, name string, length long, content binary")
 
 
 COPY_SCHEMA = "name string, n_bytes long, status string, error string"
 
 
 def _copier(dest: str, part_bytes: int):
+    def copy_one(path: str, name: str) -> int:
+        sfs, source = resolve_fs(path)
+        dfs, base = resolve_fs(dest)
+        with sfs.open_input_stream(source) as src:
+            return _put(dfs, f"{base}/{check_name(name)}", iter(lambda: src.read(part_bytes), b""))
+
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dfs, dbase = resolve_fs(dest)
-        made: set[str] = set()
         for pdf in batches:
             out = []
-            for path, name in zip(pdf["path"], pdf["name"]):
+            for path, name, other in zip(pdf["path"], pdf["name"], pdf["other"]):
+                if other is not None:
+                    out.append((name, None, "failed", f"the name is taken by {other}"))
+                    continue
                 try:
-                    sfs, spath = resolve_fs(path)
-                    target = f"{dbase}/{check_name(name)}"
-                    parent = target.rsplit("/", 1)[0]
-                    if parent not in made:
-                        dfs.create_dir(parent, recursive=True)
-                        made.add(parent)
-                    n = 0
-                    with sfs.open_input_stream(spath) as src, dfs.open_output_stream(target) as dst:
-                        while True:
-                            chunk = src.read(part_bytes)
-                            if not chunk:
-                                break
-                            dst.write(chunk)
-                            n += len(chunk)
-                    out.append((name, n, "ok", None))
+                    out.append((name, copy_one(path, name), "ok", None))
                 except Exception as e:  # noqa: BLE001 - one failed object must not stop the run
-                    out.append((name, None, "failed", f"{type(e).__name__}: {e}"[:500]))
+                    out.append((name, None, "failed", f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["name", "n_bytes", "status", "error"])
     return copy
 
 
-def copy_objects(listing: DataFrame, dest: str, tasks: int | None = None,
+def copy_objects(listing: DataFrame, dest: str, status_path: str, tasks: int | None = None,
                  part_bytes: int = COPY_PART_BYTES) -> DataFrame:
-    """Copy every listed object to ``dest`` with a per-object status.
-
-    ``listing`` needs ``path`` and ``name``.  Copies run in ``mapInPandas`` tasks,
-    streamed in parts of ``part_bytes``, so an object is never held whole in memory.
-    A failure is reported in its row and does not stop the other copies.
-    """
-    src = listing.select("path", "name")
-    if tasks:
-        src = src.repartition(tasks)
-    return src.mapInPandas(_copier(dest, part_bytes), COPY_SCHEMA)
+    """Copy every listed object to ``dest`` and land a status per object (K12, R3); returns the
+    landed status table.  The copy runs once, in this call.
+
+    ``listing`` needs ``path`` (qualified) and ``name``.  Copies run in tasks, streamed in parts
+    of ``part_bytes``, so an object is never held whole in memory.  A failure is reported in
+    its row, whole, and does not stop the others; of paths listed under one name the first
+    by path is copied and the others are reported as failed."""
+    spark = listing.sparkSession
+    same = Window.partitionBy("name").orderBy("path")
+    src = listing.select("path", "name").withColumn("first", F.first("path").over(same)).withColumn("nth", F.row_number().over(same))
+    src = src.select("path", "name", F.when(F.col("nth") > 1, F.col("first")).alias("other")).repartition(tasks or _tasks(spark))
+    src.mapInPandas(_copier(qualify(spark, dest), part_bytes), COPY_SCHEMA).write.parquet(status_path)
+    return spark.read.schema(COPY_SCHEMA).parquet(status_path)

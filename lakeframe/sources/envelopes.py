@@ -47,40 +47,34 @@ def to_envelopes(
     )
 
 
-def _num_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
-        return None
+DEFAULT_TRIGGER_BYTES = 1 << 30  # a micro-batch of a replay, whatever the topic's size
+DEFAULT_TRIGGER_OFFSETS = 10_000_000  # a micro-batch of a Kafka topic
 
 
-def publish(envelopes: DataFrame, path: str, min_files: int | None = None) -> None:
-    """Append envelopes to a stored topic (K8 stand-in when Kafka is absent).
-
-    Files follow the input's own parallelism, so a large topic is written by all tasks;
-    only an input with fewer than ``min_files`` partitions is spread over ``min_files``
-    (round-robin), which gives small test topics several files to replay."""
+def publish(envelopes: DataFrame, path: str) -> None:
+    """Append envelopes to a stored topic (K8 stand-in when Kafka is absent), in ranges of
+    (partition, offset), so that a file holds consecutive records."""
     out = envelopes.select(*[F.col(f.name).cast(f.dataType) for f in ENVELOPE.fields])
-    if min_files:
-        n = _num_partitions(out)
-        if n is not None and n < min_files:
-            out = out.repartition(min_files)
-    out.write.mode("append").parquet(path)
+    out.repartitionByRange("partition", "offset").sortWithinPartitions("partition", "offset").write.mode("append").parquet(path)
 
 
-def files_per_trigger(spark: SparkSession, path: str, batches: int) -> int:
-    """``maxFilesPerTrigger`` that replays the files now in a stored topic in about
-    ``batches`` micro-batches (the listing is file metadata, not data)."""
-    n = len(spark.read.schema(ENVELOPE).parquet(path).inputFiles())
-    return max(1, -(-n // max(1, batches)))
+def publish_order(envelopes: DataFrame, drops: int) -> list[DataFrame]:
+    """The envelopes in ``drops`` consecutive ranges of offsets: published one after the other
+    they arrive in the topic's order (a stored topic is replayed by file time)."""
+    cuts = envelopes.agg(F.percentile_approx("offset", [i / drops for i in range(1, drops)])).first()[0] or []
+    parts, rest = [], F.lit(True)
+    for cut in sorted(set(cuts)):
+        parts.append(envelopes.where(rest & (F.col("offset") <= cut)))
+        rest = F.col("offset") > cut
+    return [*parts, envelopes.where(rest)]
 
 
 def publish_kafka(envelopes: DataFrame, servers: str, topic: str) -> None:
-    """K8 with the Kafka connector: ``value`` and ``headers`` with a NULL key.
+    """K8 with the Kafka connector: ``value`` and ``headers``, no key.
 
     Not verifiable in this container (no connector, no broker).
     """
-    (envelopes.select("key", "value", "headers").write.format("kafka")
+    (envelopes.select("value", "headers").write.format("kafka")
      .option("kafka.bootstrap.servers", servers).option("topic", topic).option("includeHeaders", "true").save())
 
 
@@ -91,26 +85,34 @@ def read_envelopes(
     path: str | None = None,
     servers: str | None = None,
     topic: str | None = None,
-    starting: str = "latest",
+    starting: str | None = None,
     include_headers: bool = True,
-    files_per_trigger: int | None = None,
+    bytes_per_trigger: int = DEFAULT_TRIGGER_BYTES,
+    offsets_per_trigger: int = DEFAULT_TRIGGER_OFFSETS,
 ) -> DataFrame:
     """Streaming envelopes (S1, S2, S1r).
 
     ``kind="kafka"`` passes the reference's options to the Kafka source (needs the
-    connector; not verifiable here).  ``kind="replay"`` streams stored envelopes; its
-    start position is applied with :func:`start_position`.
+    connector; not verifiable here), from ``latest`` unless told otherwise; a micro-batch takes
+    ``offsets_per_trigger`` records at most, so ``earliest`` does not take a whole topic at
+    once.  ``kind="replay"`` streams stored envelopes from the earliest unless told
+    ``latest``, which skips the records that are there when this is called; a micro-batch takes
+    files of about ``bytes_per_trigger``.
     """
+    if kind not in ("kafka", "replay") or starting not in (None, "earliest", "latest"):
+        raise ValueError(f"unknown source {kind!r} or start {starting!r}")
     if kind == "kafka":
         reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-                  .option("subscribe", topic).option("startingOffsets", starting))
+                  .option("subscribe", topic).option("startingOffsets", starting or "latest")
+                  .option("maxOffsetsPerTrigger", offsets_per_trigger))
         if include_headers:
             reader = reader.option("includeHeaders", "true")
         return reader.load()
-    reader = spark.readStream.schema(ENVELOPE)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    stream = spark.readStream.schema(ENVELOPE).option("maxBytesPerTrigger", bytes_per_trigger).parquet(path)
+    if starting == "latest":  # one row per topic partition, fixed now
+        marks = spark.createDataFrame(high_water_marks(spark, path).collect(), "topic string, partition int, high_water long")
+        stream = start_position(stream, marks)
+    return stream
 
 
 def high_water_marks(spark: SparkSession, path: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,34 +33,45 @@ def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType
     return spark.createDataFrame(list(rows), schema) if schema is not None else spark.createDataFrame(list(rows))
 
 
-def scan_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table by one-, two- or three-part name."""
-    return spark.table(name)
-
-
 def scan_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A table folder by path (S8); in SQL: ``SELECT * FROM parquet.`path` ``."""
     return spark.read.format(fmt).load(path)
 
 
-def read_paths(spark: SparkSession, paths: DataFrame, column: str = "path", fmt: str = "parquet") -> DataFrame:
-    """Scan every folder named in a table of paths, with ``source_path`` per row.
+def folder_of(path: Column) -> Column:
+    """The folder of a ``_metadata.file_path``, as it is on disk (the column is URL-encoded)."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "/[^/]*$", "")
+
+
+def read_paths(paths: DataFrame, root: str, column: str = "path", fmt: str = "parquet") -> DataFrame:
+    """Rows of every folder named in a table of paths, with ``source_path`` per row.
+
+    One distributed scan of the common ``root``, partition columns included, joined with the
+    table of paths, which may be long and never visits the driver.  Paths are folders as they
+    are on disk, with or without scheme; NULL paths name nothing, repeated ones count once."""
+    spark = paths.sparkSession
+    rows = spark.read.format(fmt).option("recursiveFileLookup", "false").load(root)
+    bare = lambda c: F.regexp_replace(F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/+$", "")
+    wanted = paths.select(bare(F.col(column)).alias("__folder")).where("__folder IS NOT NULL").distinct()
+    folder = folder_of(F.col("_metadata.file_path"))
+    return rows.withColumns({"source_path": folder, "__folder": bare(folder)}).join(wanted, "__folder", "left_semi").drop("__folder")
+
 
-    The folder list is metadata (one row per table), so it is collected like a file
-    listing; the rows themselves are read by one distributed scan over all folders,
-    keeping filter and column pushdown.
-    """
-    folders = sorted({r[0] for r in paths.select(column).distinct().collect() if r[0]})
-    if not folders:
-        raise ValueError("no paths to read")
-    df = spark.read.format(fmt).load(folders)
-    src = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    return df.withColumn("source_path", src)
+def read_people(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The people table at ``path`` (U1 with the path as its parameter): name, age, city.  A plain
+    scan, so a caller's filters and columns reach it."""
+    return spark.read.format(fmt).load(path).select(F.col("Name").alias("name"), F.col("Age").alias("age"), F.col("City").alias("city"))
 
 
-def live_files(df: DataFrame) -> DataFrame:
-    """Data files behind a table with their sizes and row counts.
+def live_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Data files of a table folder with their sizes and row counts (S13, U3), empty ones too.
 
-    Reads only the file metadata column, so the scan needs no column data."""
-    meta = df.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
-    return meta.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("n_rows"))
+    The files come from the folder's listing, the counts from a scan of the file metadata
+    column alone, so no column data is read."""
+    key = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731  both spellings of a local file
+    listing = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("file_size"))
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    counts = spark.read.format(fmt).load(path).select(key(plain).alias("file_path")).groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    return (listing.withColumn("file_path", key(F.col("path"))).join(counts, "file_path", "left")
+            .select("file_path", "file_size", F.coalesce("n_rows", F.lit(0)).alias("n_rows")))

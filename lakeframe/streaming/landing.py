@@ -7,14 +7,18 @@ each input once; the object branch is idempotent because object names are keys.
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeframe.operators.frames import latest_rows
-from lakeframe.sinks.objects import SINK_NAME, register
+from lakeframe.operators.frames import latest_rows, position_order
+from lakeframe.session import rocksdb_state
+from lakeframe.sinks.objects import write_objects
 
 
 def _trigger(writer, trigger):
@@ -28,7 +32,8 @@ def _trigger(writer, trigger):
 def append_stream(df: DataFrame, path: str, checkpoint: str, *, fmt: str = "parquet",
                   trigger: str | None = "availableNow", name: str | None = None,
                   partition_by: tuple[str, ...] = ()) -> StreamingQuery:
-    """Append a stream to a table folder (K1 with ``fmt="delta"`` when installed, K2 parquet)."""
+    """Append a stream to a table folder (K1 with ``fmt="delta"`` when installed, K2 parquet).
+    State, if the query has any, is kept in RocksDB."""
     if checkpoint.rstrip("/").startswith(path.rstrip("/") + "/"):
         raise ValueError("checkpoint must not sit inside the table folder")
     writer = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
@@ -36,37 +41,53 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, *, fmt: str = "parq
         writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
-    return _trigger(writer, trigger).start(path)
+    with rocksdb_state(df.sparkSession):
+        return _trigger(writer, trigger).start(path)
+
+
+def run_id(spark, checkpoint: str) -> str:
+    """The id a query keeps in its checkpoint: the same after a restart, new with a new one."""
+    return json.loads("".join(r[0] for r in spark.read.text(f"{checkpoint}/metadata").collect()))["id"]
 
 
 def object_stream(df: DataFrame, root: str, checkpoint: str, *, name: str = "media_name",
-                  content: str = "image_data", order: tuple[str, ...] = ("timestamp", "partition", "offset"),
-                  metadata: tuple[str, ...] = (), sidecar: str | None = None,
-                  trigger: str | None = "availableNow") -> StreamingQuery:
+                  content: str = "image_data", order: tuple[str, str, str] = ("timestamp", "partition", "offset"),
+                  metadata: tuple[str, ...] = (), sidecar: str | None = None, rejected: str | None = None,
+                  places: str | None = None, trigger: str | None = "availableNow") -> StreamingQuery:
     """Stream records to objects named by ``name``.
 
-    Each micro-batch first keeps the last record per name by ``order`` (A3), so the
-    object left behind is the latest one whatever order the tasks finish in; then the
-    executors write the objects.  A replayed batch rewrites the same bytes.  The user
-    metadata of each object (``metadata`` columns as a ``map<string,string>``) goes to
-    the ``sidecar`` table, one folder per batch id, overwritten on replay.
+    Each micro-batch is read once (persisted while it is written) and keeps the last record per
+    name by ``order`` (A3).  ``places`` (default: ``<root>.places``) keeps the position each
+    object was written from, so an older record in a later batch replaces nothing; a replayed
+    batch rewrites the same bytes.  The user metadata of each object (``metadata`` columns as
+    a ``map<string,string>``) goes to ``sidecar`` and records without a name or content to
+    ``rejected`` with a reason, both one folder per checkpoint and batch, overwritten on
+    replay.  Without ``rejected`` such a record fails the query.
     """
-    register(df.sparkSession)
+    places = places or f"{root.rstrip('/')}.places"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_rows(batch.select(name, content, *order, *metadata), name, order)
-        if sidecar and metadata:
-            latest.persist()
+        spark = batch.sparkSession
+        folder = f"run_id={run_id(spark, checkpoint)}/batch_id={batch_id}"
+        batch = batch.select(name, content, *order, *(m for m in metadata if m not in (name, content, *order))).persist()
         try:
-            (latest.select(F.col(name).alias("name"), F.col(content).alias("content"))
-             .write.format(SINK_NAME).mode("append").option("path", root).save())
+            whole = F.col(name).isNotNull() & (F.col(name) != "") & F.col(content).isNotNull()
+            whole = F.coalesce(whole, F.lit(False))
+            if rejected:
+                reason = F.when(F.col(content).isNull(), F.lit("null_payload")).otherwise(F.lit("missing_name"))
+                (batch.where(~whole).select(F.col(name).alias("name"), *order, reason.alias("reason"))
+                 .write.mode("overwrite").parquet(f"{rejected}/{folder}"))
+                batch_rows = batch.where(whole)
+            else:
+                batch_rows = batch
+            latest = latest_rows(batch_rows, name, order).withColumn("__write", position_order(*order, fields=dict(batch.dtypes)))
+            write_objects(latest, root, name, content, "__write", places)
             if sidecar and metadata:
                 meta = F.create_map(*[x for m in metadata for x in (F.lit(m), F.col(m).cast("string"))])
-                (latest.select(F.col(name).alias("name"), meta.alias("metadata"))
-                 .write.mode("overwrite").parquet(f"{sidecar}/batch_id={batch_id}"))
+                (latest.select(F.col(name).alias("name"), F.col("__write").alias("place"), meta.alias("metadata"))
+                 .write.mode("overwrite").parquet(f"{sidecar}/{folder}"))
         finally:
-            if sidecar and metadata:
-                latest.unpersist()
+            batch.unpersist()
 
     writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
@@ -88,16 +109,28 @@ def fan_out_batches(df: DataFrame, checkpoint: str, writers: list[Callable[[Data
     return _trigger(writer, trigger).start()
 
 
-def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait for every query (T6); re-raise the first failure instead of hanging on it.
-    With ``timeout_s``, a query still running after it is stopped and reported."""
-    for q in queries:
-        finished = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
-        if timeout_s is not None and not finished:
-            for other in queries:
-                other.stop()
-            raise TimeoutError(f"streaming query {q.name or q.id} still running after {timeout_s}s")
-    for q in queries:
-        err = q.exception()
-        if err is not None:
-            raise RuntimeError(f"streaming query {q.name or q.id} failed: {err}")
+def await_all(queries: list[StreamingQuery], timeout_s: float | None = None, poll_s: float = 0.2) -> None:
+    """Wait until every query has ended (T6).  The first failure, in whichever query, surfaces
+    within ``poll_s`` or so and stops the others.  With ``timeout_s``, queries still running
+    after it are stopped and reported."""
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    running = list(queries)
+
+    def stop_all() -> None:
+        for q in queries:
+            q.stop()
+
+    while running:
+        for q in list(running):
+            try:
+                if q.awaitTermination(poll_s / len(running)):
+                    running.remove(q)
+                    if q.exception() is not None:
+                        raise q.exception()
+            except StreamingQueryException as e:
+                stop_all()
+                raise RuntimeError(f"streaming query {q.name or q.id} failed: {e}") from e
+        if running and end is not None and time.monotonic() > end:
+            names = [str(q.name or q.id) for q in running]
+            stop_all()
+            raise TimeoutError(f"streaming queries still running after {timeout_s}s: {', '.join(names)}")

@@ -1,178 +1,248 @@
 """Stateful reassembly of media from a frame stream.
 
-Plan (``complete`` mode, the default):
-  1. ``dropDuplicates(media_name, frame_id)``: Spark's own stateful de-duplication keyed
-     by frame, so redelivered frames are dropped in the JVM and a media with very many
-     frames is spread over all state partitions;
-  2. ``mapInPandas`` in the same tasks: each Arrow chunk is reduced to one partial summary
-     per media (count, lowest/highest id, digest sum, last-frame properties) — a map-side
-     combine, so a media holding a third of all frames sends one small row per chunk, not
-     its frames, to the next step;
-  3. ``groupBy(media_name).applyInPandasWithState`` folds the partial summaries into one
-     constant-size state per media and emits the media once every id ``0..last`` is present.
-
-No frame bytes are kept in state and the state per media does not grow with its length;
-the frames themselves are landed by the table sink and can be read back in order
-(:func:`lakeframe.operators.frames.write_ordered_frames`).
-
-``on_last`` mode reproduces the reference consumer: emit whatever arrived once the last
-frame arrives (duplicates counted) and start a new entry for frames after it; rows of a
-micro-batch are applied in ``(partition, offset)`` order.  Being order-dependent it cannot
-be pre-combined, so it receives the (slim) frame rows of a media in one task.
-
-``engine="tws"`` runs the same fold as a ``transformWithStateInPandas`` processor
-(RocksDB state store required); it pays a state round trip per media and micro-batch.
+``complete`` mode (the default) works in two stateful steps:
+
+1. by (media, bucket of 65536 consecutive ids): the state is a bitmap of the ids seen and a
+   few numbers.  Redelivered ids change nothing.  A bucket is full when all its ids are there,
+   the last bucket when all ids up to the last frame are; it then emits one row and its
+   state is cleared, so a media of any length spreads over many tasks and small states;
+2. by media: the rows of full buckets are held until buckets 0 to the last are there, then the
+   media is emitted and this state is cleared as well.
+
+So a completed media leaves no state, and a later publication under its name is assembled and
+emitted again.  Frames of one publication are told from the next by the producer's timestamp
+where a micro-batch holds both: ids seen again after their bucket was filled start the next
+publication only if they are younger; older ones are redelivered copies.  A copy that
+arrives in a later micro-batch than its media's completion looks like the start of a new
+publication; ``ttl_ms`` evicts such leftovers.
+
+``on_last`` mode reproduces the reference consumer: emit whatever arrived once the last frame
+arrives (duplicates counted) and start a new entry for frames after it, in ``(partition,
+offset)`` order.  It needs frames keyed by media, and holds numbers only.
+
+No frame bytes are kept in state.  The frames are landed by a table sink and joined with the
+emitted media by :func:`published_frames`.
+
+The first step is an ``applyInPandasWithState`` (or, with ``engine="tws"``, a
+``transformWithStateInPandas`` processor of the same fold); the second one, always the latter,
+since Spark takes one of the former per query.  Both keep their state in RocksDB.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import json
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from lakeframe.functions.headers import LAST_YES
-from lakeframe.operators.frames import frame_digest
+from lakeframe.operators.frames import dedupe_frames, frame_digest
 from lakeframe.schemas import ASSEMBLED
 
-_META = "n long, min_id int, max_id int, last_id int, fps int, height int, width int, digest string"
-_PARTIAL = "media_name string, " + _META
-_META_COLS = ["n", "min_id", "max_id", "last_id", "fps", "height", "width", "digest"]
+BUCKET_IDS = 1 << 16
+NO_TIME = -(1 << 62)
 _OUT_COLS = [f.name for f in ASSEMBLED.fields]
-_EMPTY = (0, None, None, None, None, None, None, "0")
-
-
-def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map-side combine: one partial summary per media per Arrow chunk."""
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        g = pdf.groupby("media_name", sort=False, dropna=False)
-        out = g["frame_id"].agg(["size", "min", "max"]).rename(columns={"size": "n", "min": "min_id", "max": "max_id"})
-        out["digest"] = g["part"].agg(lambda s: str(sum(int(x) for x in s)))
-        last = pdf[pdf["last_frame"] == LAST_YES].drop_duplicates("media_name").set_index("media_name")
-        last = last[["frame_id", "fps", "height", "width"]].rename(columns={"frame_id": "last_id"})
-        out = out.join(last, how="left").reset_index()
-        for c in ("last_id", "fps", "height", "width"):
-            out[c] = out[c].astype("Int64")
-        yield out[["media_name", *_META_COLS]]
-
-
-def _combine(m: list, p) -> list:
-    m[0] += int(p.n)
-    m[1] = int(p.min_id) if m[1] is None else min(m[1], int(p.min_id))
-    m[2] = int(p.max_id) if m[2] is None else max(m[2], int(p.max_id))
-    m[7] = str(int(m[7]) + int(p.digest))
-    if not pd.isna(p.last_id):
-        m[3], m[4], m[5], m[6] = int(p.last_id), int(p.fps), int(p.height), int(p.width)
-    return m
-
-
-def _complete(m: list) -> bool:
-    return m[3] is not None and m[1] == 0 and m[2] == m[3] and m[0] == m[3] + 1
-
-
-def _fold(mode: str, m: list, chunks: Iterable[pd.DataFrame]) -> tuple[list, list[list]]:
-    """Apply one micro-batch of a media to its summary ``m``; returns the new summary and
-    the summaries to emit.  ``complete`` consumes partial summaries chunk by chunk;
-    ``on_last`` consumes slim frame rows."""
-    done = []
-    if mode == "complete":
-        for pdf in chunks:
-            for p in pdf.itertuples(index=False):
-                m = _combine(m, p)
-        if _complete(m):
-            done.append(m)
-            m = list(_EMPTY)
-        return m, done
-    pdf = pd.concat(list(chunks), ignore_index=True).sort_values(["partition", "offset"], kind="stable")
-    digest = int(m[7])
-    for r in pdf.itertuples(index=False):
-        fid = int(r.frame_id)
-        m[0] += 1
-        m[1] = fid if m[1] is None else min(m[1], fid)
-        m[2] = fid if m[2] is None else max(m[2], fid)
-        digest += int(r.part)
-        if r.last_frame == LAST_YES:
-            m[3], m[4], m[5], m[6], m[7] = fid, int(r.fps), int(r.height), int(r.width), str(digest)
-            done.append(m)
-            m, digest = list(_EMPTY), 0
-    m[7] = str(digest)
-    return m, done
-
-
-def _out(name, done: list[list]) -> pd.DataFrame:
-    return pd.DataFrame([{"media_name": name, "n_frames": int(m[0]), "last_frame_id": m[3], "fps": m[4],
-                          "height": m[5], "width": m[6], "digest": m[7]} for m in done], columns=_OUT_COLS)
-
-
-class FrameAssembler(StatefulProcessor):
-    def __init__(self, mode: str = "complete"):
-        if mode not in ("complete", "on_last"):
-            raise ValueError(mode)
-        self.mode = mode
+
+_BUCKET_STATE = "ids binary, n long, last_id int, fps int, height int, width int, digest string, until long"
+_BUCKET_OUT = "media_name string, bucket long, n long, last_id int, fps int, height int, width int, digest string, until long"
+_BUCKET_COLS = ["media_name", "bucket", "n", "last_id", "fps", "height", "width", "digest", "until"]
+_MEDIA_STATE = "pending string"
+_LAST_STATE = "n long, digest string, until long"
+
+# A fold takes (key, state tuple or None, rows) and gives (state tuple or None, output rows).
+Fold = Callable[[tuple, "tuple | None", pd.DataFrame], "tuple[tuple | None, list[tuple]]"]
+
+
+def _digest_sum(parts: np.ndarray) -> int:
+    """Exact sum of 60-bit numbers, in halves that do not overflow."""
+    return (int((parts >> 30).sum()) << 30) + int((parts & ((1 << 30) - 1)).sum())
+
+
+def _filled(n: int, bucket: int, last_id: int | None, ids: np.ndarray) -> bool:
+    if last_id is None:
+        return n == BUCKET_IDS
+    return bool(ids[:last_id - bucket * BUCKET_IDS + 1].all())
+
+
+def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tuple | None, list[tuple]]:
+    """One micro-batch of one bucket."""
+    media, bucket = key[0], int(key[1])
+    rows = rows.sort_values(["partition", "offset"], kind="stable")
+    place = rows["frame_id"].to_numpy(dtype=np.int64) - bucket * BUCKET_IDS
+    part, time = rows["part"].to_numpy(dtype=np.int64), rows["time"].to_numpy(dtype=np.int64)
+    last = (rows["last_frame"] == LAST_YES).to_numpy()
+    props = rows[["frame_id", "fps", "height", "width"]].to_numpy()
+    out: list[tuple] = []
+    while True:
+        if state is None:
+            ids, n, last_id, fps, height, width, digest, until = np.zeros(BUCKET_IDS, bool), 0, None, None, None, None, 0, NO_TIME
+        else:
+            ids = np.unpackbits(np.frombuffer(state[0], np.uint8)).astype(bool)
+            _, n, last_id, fps, height, width, digest, until = state
+            n, digest, until = int(n), int(digest), int(until)
+        _, first = np.unique(place, return_index=True)
+        first.sort()
+        new = first[~ids[place[first]]]
+        ids[place[new]] = True
+        n, digest = n + len(new), digest + _digest_sum(part[new])
+        until = max(until, int(time[new].max())) if len(new) else until
+        if last[new].any() and last_id is None:
+            last_id, fps, height, width = (int(x) for x in props[new[last[new]][0]])
+        if not n or not _filled(n, bucket, last_id, ids):
+            packed = np.packbits(ids).tobytes()
+            return ((packed, n, last_id, fps, height, width, str(digest), until) if n else None), out
+        out.append((media, bucket, n, last_id, fps, height, width, str(digest), until))
+        # Rows left over: younger ones belong to the next publication, others are copies.
+        rest = np.ones(len(place), bool)
+        rest[new] = False
+        rest &= time > until
+        place, part, time, last, props, state = place[rest], part[rest], time[rest], last[rest], props[rest], None
+
+
+def fold_media(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tuple | None, list[tuple]]:
+    """Full buckets of one media, emitted once 0 to the last one are there.  Pending buckets are
+    kept in order of arrival, so the n-th of each bucket belongs to the n-th publication."""
+    held = json.loads(state[0]) if state else []
+    rows = rows.sort_values(["until", "bucket"], kind="stable")[_BUCKET_COLS[1:]]
+    held += [[None if pd.isna(x) else x if isinstance(x, str) else int(x) for x in r] for r in rows.itertuples(index=False)]
+    out = []
+    while True:
+        first: dict[int, int] = {}
+        for i, r in enumerate(held):
+            first.setdefault(r[0], i)
+        last = next((r for r in held if r[2] is not None), None)
+        if last is None or any(b not in first for b in range(last[0] + 1)):
+            return ((json.dumps(held),) if held else None), out
+        own = {first[b] for b in range(last[0] + 1)}
+        until = max(held[i][7] for i in own)
+        digest = sum(int(held[i][6]) for i in own)
+        out.append((key[0], last[2] + 1, *last[2:6], str(digest), _time(until)))
+        held = [r for i, r in enumerate(held) if i not in own]
+
+
+def fold_on_last(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tuple | None, list[tuple]]:
+    """Frames in (partition, offset) order; each last frame ends an entry."""
+    rows = rows.sort_values(["partition", "offset"], kind="stable")
+    part, time = rows["part"].to_numpy(dtype=np.int64), rows["time"].to_numpy(dtype=np.int64)
+    ends = np.nonzero((rows["last_frame"] == LAST_YES).to_numpy())[0]
+    n, digest, until = (int(state[0]), int(state[1]), int(state[2])) if state else (0, 0, NO_TIME)
+    out, props, begin = [], rows[["frame_id", "fps", "height", "width"]].to_numpy(), 0
+    for e in ends:
+        until = max(until, int(time[begin:e + 1].max()))
+        out.append((key[0], n + int(e) + 1 - begin, *(int(x) for x in props[e]), str(digest + _digest_sum(part[begin:e + 1])), _time(until)))
+        n, digest, until, begin = 0, 0, NO_TIME, int(e) + 1
+    if begin < len(rows):
+        n, digest, until = n + len(rows) - begin, digest + _digest_sum(part[begin:]), max(until, int(time[begin:].max()))
+    return ((n, str(digest), until) if n else None), out
+
+
+def _time(micros: int):
+    return None if micros == NO_TIME else pd.Timestamp(micros, unit="us")
+
+
+# --- engines ----------------------------------------------------------------------------
+
+class FoldProcessor(StatefulProcessor):
+    def __init__(self, fold: Fold, state: str, columns: list[str], ttl_ms: int | None = None):
+        self.fold, self.state_schema, self.columns, self.ttl_ms = fold, state, columns, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.meta = handle.getValueState("meta", _META)
+        self.state = handle.getValueState("state", self.state_schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        current = self.meta.get()
-        m, done = _fold(self.mode, list(current) if current is not None else list(_EMPTY), rows)
-        if m[0] > 0:
-            self.meta.update(tuple(m))
+        current = self.state.get()
+        after, out = self.fold(key, tuple(current) if current is not None else None, pd.concat(list(rows), ignore_index=True))
+        if after is not None:
+            self.state.update(after)
         elif current is not None:
-            self.meta.clear()
-        if done:
-            yield _out(key[0], done)
+            self.state.clear()
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
 
     def close(self) -> None:
         pass
 
 
-def _group_fn(mode: str, ttl_ms: int | None):
-    from pyspark.sql.streaming.state import GroupState
-
-    def run(key, pdfs, state: GroupState) -> Iterator[pd.DataFrame]:
+def _group_fn(fold: Fold, columns: list[str], ttl_ms: int | None):
+    def run(key, pdfs, state) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            # an incomplete media idle for longer than the TTL is evicted, not emitted
+            # idle for longer than the TTL: evicted, not emitted
             state.remove()
             return
-        m, done = _fold(mode, list(state.get) if state.exists else list(_EMPTY), pdfs)
-        if m[0] > 0:
-            state.update(tuple(m))
+        after, out = fold(key, tuple(state.get) if state.exists else None, pd.concat(list(pdfs), ignore_index=True))
+        if after is not None:
+            state.update(after)
             if ttl_ms:
                 state.setTimeoutDuration(ttl_ms)
         elif state.exists:
             state.remove()
-        if done:
-            yield _out(key[0], done)
+        if out:
+            yield pd.DataFrame(out, columns=columns)
     return run
 
 
+def _stateful(df: DataFrame, by: list[str], fold: Fold, state: str, out, columns: list[str], engine: str, ttl_ms: int | None) -> DataFrame:
+    grouped = df.groupBy(*by)
+    if engine == "tws":
+        return grouped.transformWithStateInPandas(statefulProcessor=FoldProcessor(fold, state, columns, ttl_ms), outputStructType=out,
+                                                  outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
+    timeout = "ProcessingTimeTimeout" if ttl_ms else "NoTimeout"
+    return grouped.applyInPandasWithState(_group_fn(fold, columns, ttl_ms), out, state, "append", timeout)
+
+
 def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state",
                     ttl_ms: int | None = None) -> DataFrame:
-    """Frame stream (``media_name, frame_id, last_frame, fps, height, width, payload,
-    partition, offset``) -> one row per assembled media, append mode (T1).
-
-    ``ttl_ms`` (off by default, as in the reference) evicts the state of a media that
-    received no frame for that long (processing time), bounding state held for media
-    that never complete.  Timeouts make every trigger run another batch, so use it with
-    a processing-time trigger (a long-running stream), not ``availableNow``."""
+    """Frame stream (``media_name, frame_id, last_frame, fps, height, width, payload, partition,
+    offset`` and optionally ``timestamp``) -> one row per assembled media and publication,
+    append mode (T1).
+
+    Records without a media name, a frame id of 0 or more or a payload are not frames; split
+    them off first (:func:`lakeframe.operators.frames.split_frames`), else the job fails.
+    ``ttl_ms`` (off by default, as in the reference) evicts state that received nothing for that
+    long (processing time).  Timeouts make every trigger run another batch, so use it with a
+    processing-time trigger (a long-running stream), not ``availableNow``."""
     if mode not in ("complete", "on_last"):
         raise ValueError(mode)
+    time = F.unix_micros(F.col("timestamp")) if "timestamp" in frames.columns else F.lit(None).cast("long")
+    checked = F.when(F.col("media_name").isNull() | ~F.coalesce(F.col("frame_id") >= 0, F.lit(False)) | F.col("payload").isNull(),
+                     F.raise_error(F.lit("not a frame: media name, frame id or payload is missing")).cast("string")).otherwise(F.col("media_name"))
     slim = frames.select(
-        "media_name", "frame_id", "last_frame", "fps", "height", "width", "partition", "offset",
-        frame_digest(F.col("frame_id"), F.col("payload")).alias("part"),
-    )
-    if mode == "complete":
-        slim = slim.dropDuplicates(["media_name", "frame_id"]).mapInPandas(_partials, _PARTIAL)
-    grouped = slim.groupBy("media_name")
-    if engine == "tws":
-        if ttl_ms:
-            raise ValueError("ttl_ms is supported by the group_state engine")
-        return grouped.transformWithStateInPandas(
-            statefulProcessor=FrameAssembler(mode), outputStructType=ASSEMBLED, outputMode="Append", timeMode="None")
-    timeout = "ProcessingTimeTimeout" if ttl_ms else "NoTimeout"
-    return grouped.applyInPandasWithState(_group_fn(mode, ttl_ms), ASSEMBLED, _META, "append", timeout)
+        checked.alias("media_name"), "frame_id", "last_frame", "fps", "height", "width", "partition", "offset",
+        frame_digest(F.col("frame_id"), F.col("payload")).alias("part"), F.coalesce(time, F.lit(NO_TIME)).alias("time"))
+    if mode == "on_last":
+        return _stateful(slim, ["media_name"], fold_on_last, _LAST_STATE, ASSEMBLED, _OUT_COLS, engine, ttl_ms)
+    slim = slim.withColumn("bucket", F.expr(f"frame_id div {BUCKET_IDS}"))
+    full = _stateful(slim, ["media_name", "bucket"], fold_bucket, _BUCKET_STATE, _as_schema(_BUCKET_OUT), _BUCKET_COLS, engine, ttl_ms)
+    # Spark takes one applyInPandasWithState per query, so the second step is the other kind
+    return _stateful(full, ["media_name"], fold_media, _MEDIA_STATE, ASSEMBLED, _OUT_COLS, "tws", ttl_ms)
+
+
+def _as_schema(ddl: str):
+    from pyspark.sql.types import StructType
+
+    return StructType.fromDDL(ddl)
+
+
+def published_frames(frames: DataFrame, assembled: DataFrame) -> DataFrame:
+    """Landed frames of the emitted media, one row each: ``media_name, publication, pos, frame_id,
+    payload, fps, height, width`` (K11, A1, O1).
+
+    A publication's frames are younger than the publication before it and not younger than
+    itself; of redelivered copies the earliest arrival counts.  Frames stay rows, spread by
+    (media, frame)."""
+    by_age = Window.partitionBy("media_name").orderBy("published_until")
+    media = assembled.select(
+        F.col("media_name").alias("__media"), F.row_number().over(by_age).alias("publication"),
+        F.lag("published_until").over(by_age).alias("__after"), F.col("published_until").alias("__until"),
+        F.col("fps").alias("__fps"), F.col("height").alias("__height"), F.col("width").alias("__width"), "last_frame_id")
+    mine = ((F.col("media_name") == F.col("__media")) & (F.col("frame_id") <= F.col("last_frame_id"))
+            & (F.col("__until").isNull() | (F.col("timestamp") <= F.col("__until")))
+            & (F.col("__after").isNull() | (F.col("timestamp") > F.col("__after"))))
+    rows = frames.join(media, mine).withColumn("__key", F.struct("media_name", "publication"))
+    return dedupe_frames(rows, "__key").select(
+        "media_name", "publication", F.col("frame_id").cast("int").alias("pos"), "frame_id", "payload",
+        F.col("__fps").alias("fps"), F.col("__height").alias("height"), F.col("__width").alias("width"))

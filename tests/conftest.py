@@ -15,4 +15,7 @@ def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
     s = local_session(cores=4, extra={"spark.sql.shuffle.partitions": "8", "spark.sql.warehouse.dir": warehouse})
     yield s
+    from lakeframe.session import drop_temporary
+
+    drop_temporary(s)
     s.stop()

@@ -152,3 +152,56 @@ def test_dedupe_frames_keeps_earliest_whole_row(spark):
     rows = [a[0], a[2], late_copy, early]
     out = {r.frame_id: bytes(r.payload) for r in dedupe_frames(_frames(spark, rows)).collect()}
     assert out == {0: b"a.mp4:0", 1: b"early", 2: b"a.mp4:2"}
+
+
+def test_numbering_keeps_rows_with_null_key_or_order(spark):
+    rows = [("a", 1), ("a", None), (None, 3), (None, 4), ("b", None)]
+    got = sorted(((r.k or "", r.o or 0, r.frame_seq, r.is_last) for r in number_frames(spark.createDataFrame(rows, "k string, o long"), "k", "o").collect()))
+    assert got == [("", 3, 0, False), ("", 4, 1, True), ("a", 0, 0, False), ("a", 1, 1, True), ("b", 0, 0, True)]
+
+
+def test_latest_rows_keep_null_names_and_positions(spark):
+    from lakeframe.operators.frames import latest_rows
+    rows = [("x", 5, 0, 1, "x"), (None, 3, 0, 2, "null name"), (None, 2, 0, 1, "older"), ("y", None, None, None, "no position")]
+    df = spark.createDataFrame(rows, "media_name string, timestamp long, partition int, offset long, v string")
+    assert {r.v for r in latest_rows(df).collect()} == {"x", "null name", "no position"}
+
+
+def test_positions_order_like_their_parts_or_raise(spark):
+    from lakeframe.operators.frames import position_order
+    edge = [None, 0, 1, (1 << 17) - 2]
+    rows = [(t, p, o) for t in (None, -(1 << 55), -1, 0, 7, (1 << 55) - 1) for p in edge for o in (None, 0, 5, (1 << 53) - 2)]
+    schema = "timestamp long, partition int, offset long"
+    df = spark.createDataFrame(rows, schema).withColumn("n", position_order(fields={"timestamp": "bigint"}))
+    got = [tuple(r)[:3] for r in df.orderBy("n").collect()]
+    low = lambda v, least: least if v is None else v
+    key = lambda r: (low(r[0], -(1 << 55)), low(r[1], -1), low(r[2], -1))
+    assert [key(r) for r in got] == sorted(key(r) for r in rows)
+    for bad in ((0, 1 << 17, 0), (0, 0, 1 << 53), (1 << 60, 0, 0)):
+        with __import__("pytest").raises(Exception, match="out of range"):
+            spark.createDataFrame([bad], schema).select(position_order(fields={"timestamp": "bigint"}).alias("n")).collect()
+
+
+def test_records_without_name_id_or_payload_are_rejected_not_merged(spark):
+    from lakeframe.functions.headers import build_headers
+    from lakeframe.operators.frames import split_frames
+    rows = [("a", "0", b"1"), (None, "0", b"2"), ("a", None, b"3"), ("a", "x", b"4"), ("a", "-1", b"5"), ("a", "1", None), ("", "1", b"7")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "m string, f string, value binary, offset long")
+    env = df.select("value", F.lit(0).alias("partition"), "offset", F.lit(None).cast("timestamp").alias("timestamp"),
+                    build_headers([("media_name", F.col("m")), ("frame_id", F.col("f"))]).alias("headers"))
+    frames, rejected = split_frames(env)
+    assert [r.offset for r in frames.collect()] == [0]
+    assert {r.offset: r.reason for r in rejected.collect()} == {
+        1: "missing_name", 2: "missing_frame_id", 3: "missing_frame_id", 4: "bad_frame_id", 5: "null_payload", 6: "missing_name"}
+
+
+def test_assembled_frames_are_the_sequence(spark):
+    from lakeframe.operators.frames import assembled_frames
+    a, b = _video("a.mp4", 5), _video("b.mp4", 3)
+    copy = (*a[1][:6], b"copy", 3, 99)
+    rows = a + [copy] + [r for r in b if r[1] != 1]
+    random.Random(2).shuffle(rows)
+    got = sorted((r.media_name, r.pos, bytes(r.payload), r.fps) for r in assembled_frames(_frames(spark, rows)).collect())
+    assert got == [("a.mp4", i, f"a.mp4:{i}".encode(), 25) for i in range(5)]
+    loose = sorted((r.media_name, r.pos, r.frame_id) for r in assembled_frames(_frames(spark, rows), strict=False).collect())
+    assert loose[-2:] == [("b.mp4", 0, 0), ("b.mp4", 1, 2)]

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeframe.functions.pixels import bgr_to_rgb, encode_png, resize_bilinear
+from lakeframe.functions.pixels import bgr_to_rgb, resize_bilinear
 from lakeframe.operators.images import image_dimensions, resize_images
+from lakeframe.plans.pngs import encode_png
 from lakeframe.sinks.objects import check_name, copy_objects, list_objects, read_objects, write_objects
 
 
@@ -13,8 +14,8 @@ def test_object_sink_writes_and_overwrites(spark, tmp_path):
     root = str(tmp_path / "objs")
     write_objects(spark.createDataFrame([("a.jpg", b"one"), ("sub/b.png", b"two")], "name string, content binary"), root)
     write_objects(spark.createDataFrame([("a.jpg", b"three")], "name string, content binary"), root)
-    got = {r.name: bytes(r.content) for r in read_objects(spark, root + "/*").collect()}
-    assert got["a.jpg"] == b"three"
+    got = {r.name: bytes(r.content) for r in read_objects(spark, root, recursive=True).collect()}
+    assert got == {"a.jpg": b"three", "sub/b.png": b"two"}
     assert (tmp_path / "objs" / "sub" / "b.png").read_bytes() == b"two"
 
 
@@ -25,17 +26,63 @@ def test_bad_object_names():
     assert check_name("x/y.jpg") == "x/y.jpg"
 
 
-def test_copy_reports_failures_without_stopping(spark, tmp_path):
+def test_objects_without_name_or_content_fail_the_write(spark, tmp_path):
+    for bad in ((None, b"x"), ("a", None)):
+        with pytest.raises(Exception, match="needs a name and content"):
+            write_objects(spark.createDataFrame([bad], "name string, content binary"), str(tmp_path / "objs"))
+
+
+ODD = ["_a.jpg", ".b.jpg", "c d.jpg", "e%20f.jpg", "g#h?.jpg", "i+j.jpg", "x/a.jpg", "y/a.jpg", "x/_z/.k", "é.jpg"]
+
+
+def test_odd_names_and_equal_base_names_survive_write_list_read_and_copy(spark, tmp_path):
+    root, dest = str(tmp_path / "in put"), str(tmp_path / "out%20put")
+    write_objects(spark.createDataFrame([(n, n.encode()) for n in ODD], "name string, content binary"), root)
+    assert {r.name: bytes(r.content) for r in read_objects(spark, root, recursive=True).collect()} == {n: n.encode() for n in ODD}
+    status = copy_objects(list_objects(spark, root, recursive=True), dest, str(tmp_path / "status"))
+    assert {(r.name, r.n_bytes, r.status) for r in status.collect()} == {(n, len(n.encode()), "ok") for n in ODD}
+    for n in ODD:
+        assert (tmp_path / "out%20put" / n).read_bytes() == n.encode()
+
+
+def test_copy_reports_failures_and_collisions_without_stopping(spark, tmp_path):
     src = tmp_path / "src"
     src.mkdir()
     (src / "ok.bin").write_bytes(b"x" * 1000)
-    listing = list_objects(spark, str(src))
-    bogus = spark.createDataFrame([(str(src / "missing.bin"), "missing.bin")], "path string, name string")
-    out = {r.name: r for r in copy_objects(listing.select("path", "name").unionByName(bogus),
-                                           str(tmp_path / "dst"), part_bytes=64).collect()}
-    assert out["ok.bin"].status == "ok" and out["ok.bin"].n_bytes == 1000
-    assert out["missing.bin"].status == "failed" and out["missing.bin"].error
+    (src / "other.bin").write_bytes(b"y")
+    listing = list_objects(spark, str(src)).select("path", "name").where("name = 'ok.bin'")
+    more = spark.createDataFrame([(f"file:{src}/missing.bin", "missing.bin"), (f"file:{src}/other.bin", "ok.bin"), (f"file:{src}/ok.bin", "../bad"),
+                                  ("no scheme", "odd.bin")], "path string, name string")
+    rows = copy_objects(listing.unionByName(more), str(tmp_path / "dst"), str(tmp_path / "status"), part_bytes=64).collect()
+    out = {(r.name, r.status): r for r in rows}
+    assert len(rows) == 5 and out["ok.bin", "ok"].n_bytes == 1000
+    assert "is taken by" in out["ok.bin", "failed"].error
+    assert "FileNotFoundError" in out["missing.bin", "failed"].error and "bad object name" in out["../bad", "failed"].error
+    assert "not a qualified path" in out["odd.bin", "failed"].error
     assert (tmp_path / "dst" / "ok.bin").read_bytes() == b"x" * 1000
+    assert sorted(p.name for p in (tmp_path / "dst").iterdir()) == ["ok.bin"]  # nothing half written
+
+
+def test_a_failed_copy_leaves_no_object_and_a_retry_completes_it(spark, tmp_path, monkeypatch):
+    from lakeframe.sinks import objects
+    fs, base = objects.resolve_fs(f"file:{tmp_path}")
+
+    def breaking():
+        yield b"half"
+        raise OSError("cut")
+    with pytest.raises(OSError):
+        objects._put(fs, f"{base}/o.bin", breaking())
+    assert list(tmp_path.iterdir()) == []
+    assert objects._put(fs, f"{base}/o.bin", iter([b"half", b"whole"])) == 9
+    assert (tmp_path / "o.bin").read_bytes() == b"halfwhole"
+
+
+def test_paths_without_scheme_are_in_the_default_file_system(spark, tmp_path):
+    from lakeframe.sinks.objects import qualify, resolve_fs
+    assert qualify(spark, "/a b/c%20d") == "file:/a b/c%20d"
+    assert resolve_fs("file:///a b/#c%20")[1] == "/a b/#c%20"
+    with pytest.raises(ValueError):
+        resolve_fs("/a/b")
 
 
 def test_png_dimensions_and_bad_file_dropped(spark, tmp_path):
@@ -44,7 +91,7 @@ def test_png_dimensions_and_bad_file_dropped(spark, tmp_path):
     (d / "g.png").write_bytes(encode_png(np.arange(12, dtype=np.uint8).reshape(3, 4)))
     (d / "c.png").write_bytes(encode_png(np.zeros((2, 5, 3), dtype=np.uint8)))
     (d / "bad.png").write_bytes(b"not a png")
-    got = {r.uri.rsplit("/", 1)[1]: (r.height, r.width, r.n_channels) for r in image_dimensions(spark, str(d)).collect()}
+    got = {r.name: (r.height, r.width, r.n_channels) for r in image_dimensions(spark, str(d)).collect()}
     assert got == {"g.png": (3, 4, 1), "c.png": (2, 5, 3)}
 
 
@@ -71,66 +118,45 @@ def test_resize_2x_down_is_block_mean_and_identity():
     assert bgr_to_rgb(three)[0, 0].tolist() == [3, 2, 1]
 
 
-def test_resize_to_header_size_and_undecodable(spark, tmp_path):
-    from lakeframe.operators.images import resize_to_headers, undecodable_images
+def test_resize_to_header_size_and_rejects(spark, tmp_path):
+    from lakeframe.operators.images import resize_to_headers
 
     d = tmp_path / "imgs"
     d.mkdir()
     (d / "a.png").write_bytes(encode_png(np.full((4, 6, 3), 9, dtype=np.uint8)))
     (d / "b.jpg").write_bytes(b"\xff\xd8 truncated")
-    meta = spark.createDataFrame([("a.png", 2, 3)], "media_name string, original_height int, original_width int")
-    row = resize_to_headers(spark, str(d), meta).first()
-    assert (row.height, row.width, row.r_sum) == (2, 3, 9 * 6)
-    bad = [(r.name, r.reason) for r in undecodable_images(spark, str(d)).collect()]
-    assert bad == [("b.jpg", "undecodable")]
+    meta = spark.createDataFrame([("a.png", 2, 3), ("b.jpg", 2, 3), ("gone.png", 1, 1), ("a.png", 0, 3), ("a.png", None, 3)],
+                                 "media_name string, original_height int, original_width int")
+    resized, rejected = resize_to_headers(spark, str(d), meta)
+    row = resized.collect()
+    assert [(r.height, r.width, r.r_sum) for r in row] == [(2, 3, 9 * 6)]
+    assert sorted((r.media_name, r.reason) for r in rejected.collect()) == [
+        ("a.png", "bad_size"), ("a.png", "bad_size"), ("b.jpg", "no_image"), ("gone.png", "no_image")]
 
 
-def test_listing_is_files_only_one_level(spark, tmp_path):
-    (tmp_path / "sub").mkdir()
-    (tmp_path / "a.jpg").write_bytes(b"a")
-    (tmp_path / "sub" / "b.png").write_bytes(b"b")
-    (tmp_path / ".hidden").write_bytes(b"h")
-    assert sorted(r.name for r in list_objects(spark, str(tmp_path)).collect()) == ["a.jpg"]
-    assert sorted(r.name for r in list_objects(spark, str(tmp_path), recursive=True).collect()) == ["a.jpg", "b.png"]
-
-
-def test_header_size_formats():
-    import struct as st
-
-    from lakeframe.functions.pixels import header_size
-    assert header_size(encode_png(np.zeros((3, 7), dtype=np.uint8))) == (3, 7)
-    assert header_size(b"GIF89a" + st.pack("<HH", 11, 5) + b"\x00" * 4) == (5, 11)
-    assert header_size(b"BM" + b"\x00" * 16 + st.pack("<ii", 9, -4) + b"\x00" * 4) == (4, 9)
-    jpeg = (b"\xff\xd8" + b"\xff\xe0" + st.pack(">H", 16) + b"JFIF\x00" + b"\x00" * 9
-            + b"\xff\xc0" + st.pack(">HBHHB", 11, 8, 120, 160, 3) + b"\x00" * 9)
-    assert header_size(jpeg) == (120, 160)
-    assert header_size(b"not an image") is None and header_size(b"\xff\xd8\xff") is None
-
-
-def test_header_and_decode_dimensions_agree(spark, tmp_path):
+def test_every_image_file_is_an_envelope_or_rejected(spark, tmp_path):
     from lakeframe.functions.headers import metadata_projection
     from lakeframe.operators.images import image_envelopes
-    d = tmp_path / "imgs"
+    d = tmp_path / "im gs"
     d.mkdir()
-    for i, shape in enumerate([(3, 4), (5, 2, 3), (8, 8)]):
-        (d / f"i{i}.png").write_bytes(encode_png(np.zeros(shape, dtype=np.uint8)))
-    (d / "bad.png").write_bytes(b"junk")
-    a = sorted(tuple(r) for r in metadata_projection(image_envelopes(spark, str(d), "header")).collect())
-    b = sorted(tuple(r) for r in metadata_projection(image_envelopes(spark, str(d), "decode")).collect())
-    assert a == b == [("i0.png", 3, 4), ("i1.png", 5, 2), ("i2.png", 8, 8)]
-
+    png = encode_png(np.zeros((3, 4), dtype=np.uint8))
+    files = {"i0.png": png, "a b%20+#.png": encode_png(np.zeros((5, 2, 3), dtype=np.uint8)), "cut.png": png[:30], "empty.jpg": b"", "junk.png": b"junk",
+             ".hidden.png": png, "_under.png": png, "no.txt": b"text"}
+    for name, data in files.items():
+        (d / name).write_bytes(data)
+    envelopes, rejected = image_envelopes(spark, str(d))
+    assert sorted(tuple(r) for r in metadata_projection(envelopes).collect()) == [("a b%20+#.png", 5, 2), ("i0.png", 3, 4)]
+    assert {bytes(r.value) for r in envelopes.collect()} == {png, files["a b%20+#.png"]}
+    assert {r.name: r.reason for r in rejected.collect()} == {"cut.png": "undecodable", "empty.jpg": "empty_payload", "junk.png": "undecodable",
+                                                              ".hidden.png": "undecodable", "_under.png": "undecodable"}
 
-def test_header_found_beyond_prefix(spark, tmp_path):
-    import struct as st
 
-    from lakeframe.functions.headers import metadata_projection
-    from lakeframe.operators import images
-    big_app = b"\xff\xe1" + st.pack(">H", 65535) + b"\x00" * 65533
-    jpeg = b"\xff\xd8" + big_app * 5 + b"\xff\xc0" + st.pack(">HBHHB", 11, 8, 30, 40, 3) + b"\x00" * 9
-    assert len(jpeg) > images.HEADER_PREFIX_BYTES
-    d = tmp_path / "imgs"
-    d.mkdir()
-    (d / "big.jpg").write_bytes(jpeg)
-    (d / "small.png").write_bytes(encode_png(np.zeros((2, 3), dtype=np.uint8)))
-    got = sorted(tuple(r) for r in metadata_projection(images.image_envelopes(spark, str(d))).collect())
-    assert got == [("big.jpg", 30, 40), ("small.png", 2, 3)]
+def test_listing_is_files_only_one_level(spark, tmp_path):
+    (tmp_path / "sub" / "deep").mkdir(parents=True)
+    (tmp_path / "a.jpg").write_bytes(b"a")
+    (tmp_path / "sub" / "b.png").write_bytes(b"b")
+    (tmp_path / "sub" / "deep" / "c").write_bytes(b"")
+    (tmp_path / ".hidden").write_bytes(b"h")
+    assert sorted(r.name for r in list_objects(spark, str(tmp_path)).collect()) == [".hidden", "a.jpg"]
+    assert sorted((r.name, r.length) for r in list_objects(spark, str(tmp_path), recursive=True).collect()) == [
+        (".hidden", 1), ("a.jpg", 1), ("sub/b.png", 1), ("sub/deep/c", 0)]

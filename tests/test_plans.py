@@ -31,7 +31,7 @@ def test_frame_numbering_window_is_bucketed(spark):
     df = spark.range(100).selectExpr("id % 2 AS k", "id AS o")
     plan = _plan(number_frames(df, "k", "o", bucket_width=8))
     window_lines = [line for line in plan.splitlines() if "Window [" in line and "row_number" in line]
-    assert window_lines and "__bucket" in window_lines[0]
+    assert window_lines and "__at#" in window_lines[0]  # (key, bucket), not the key alone
 
 
 def test_start_position_broadcasts_only_the_marks(spark, tmp_path):
@@ -48,3 +48,11 @@ def test_table_function_view_pushes_filter_to_scan(spark):
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(Age), EqualTo(Age,3)]" in plan
     assert "ReadSchema: struct<Name:string,Age:int>" in plan
+
+
+def test_latest_per_name_is_a_hash_aggregate_without_payload(spark):
+    df = E.queries()["latest_object"](spark, SF_SMALL)
+    plan = _plan(df)
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("value" in line.split("Aggregate", 1)[1] for line in optimized.splitlines() if "Aggregate [" in line)

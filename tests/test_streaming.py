@@ -3,7 +3,6 @@ import random
 import pytest
 
 from lakeframe.operators.frames import assemble_batch
-from lakeframe.session import ensure_state_store
 from lakeframe.streaming.landing import append_stream, await_all
 from lakeframe.streaming.reassembly import assemble_stream
 
@@ -11,7 +10,6 @@ from .test_frames import FRAME_SCHEMA, _video
 
 
 def _run(spark, tmp_path, batches, mode):
-    ensure_state_store(spark)
     src = str(tmp_path / "src")
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, FRAME_SCHEMA).coalesce(1).write.mode("append").parquet(src)
@@ -21,6 +19,10 @@ def _run(spark, tmp_path, batches, mode):
     return {r.media_name: r for r in spark.read.parquet(out).collect()}
 
 
+def _plain(row):
+    return {k: v for k, v in row.asDict().items() if k != "published_until"}
+
+
 def _split(rows, n, seed):
     rows = list(rows)
     random.Random(seed).shuffle(rows)
@@ -34,7 +36,7 @@ def test_complete_mode_is_permutation_invariant_and_equals_batch(spark, tmp_path
     batch = {r.media_name: r for r in assemble_batch(spark.createDataFrame(rows, FRAME_SCHEMA)).collect()}
     assert set(got) == {"a.mp4", "b.mp4", "c.mp4"}
     for k in got:
-        assert got[k].asDict() == batch[k].asDict()
+        assert _plain(got[k]) == batch[k].asDict()
 
 
 def test_complete_mode_waits_for_missing_frame(spark, tmp_path):
@@ -65,24 +67,20 @@ def test_on_last_emits_early_when_last_frame_overtakes(spark, tmp_path):
 
 
 def test_fan_out_batches_writes_every_sink_once(spark, tmp_path):
-    from pyspark.sql import functions as F
-
-    from lakeframe.sinks.objects import read_objects, register, SINK_NAME
+    from lakeframe.sinks.objects import read_objects, write_objects
     from lakeframe.streaming.landing import fan_out_batches
 
     src = str(tmp_path / "src")
     rows = [(f"m{i}.jpg", f"payload-{i}".encode(), i) for i in range(30)]
     spark.createDataFrame(rows, "media_name string, image_data binary, n int").repartition(3).write.parquet(src)
     stream = spark.readStream.schema("media_name string, image_data binary, n int").option("maxFilesPerTrigger", 1).parquet(src)
-    register(spark)
     table, objs = str(tmp_path / "table"), str(tmp_path / "objs")
 
     def to_table(batch, batch_id):
         batch.select("media_name", "n").write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
     def to_objects(batch, batch_id):
-        (batch.select(F.col("media_name").alias("name"), F.col("image_data").alias("content"))
-         .write.format(SINK_NAME).mode("append").option("path", objs).save())
+        write_objects(batch, objs, "media_name", "image_data")
 
     await_all([fan_out_batches(stream, str(tmp_path / "ckpt"), [to_table, to_objects])])
     assert spark.read.parquet(table).count() == 30
@@ -96,7 +94,6 @@ def test_tws_engine_matches_group_state(spark, tmp_path):
     a, b = _video("a.mp4", 6), _video("b.mp4", 3)
     rows = a + b + [a[1]]
     batches = _split(rows, 2, seed=11)
-    ensure_state_store(spark)
     got = {}
     for engine in ("group_state", "tws"):
         src = str(tmp_path / engine / "src")
@@ -134,9 +131,7 @@ def test_ttl_evicts_idle_incomplete_media(spark, tmp_path):
 
     def state_rows(q):
         last = progress(q)
-        ops = last[-1]["stateOperators"] if last else []
-        media_state = [o for o in ops if "dedup" not in o.get("operatorName", "").lower()]
-        return media_state[0]["numRowsTotal"] if media_state else None
+        return sum(o["numRowsTotal"] for o in last[-1]["stateOperators"]) if last else None
 
     drop([a[0], a[2]])
     stream = spark.readStream.schema(FRAME_SCHEMA).parquet(src)
@@ -145,12 +140,14 @@ def test_ttl_evicts_idle_incomplete_media(spark, tmp_path):
         assert wait_for(lambda: any(p["numInputRows"] > 0 for p in progress(q)))
         assert state_rows(q) == 1  # a.mp4 is waiting for frame 1
         assert wait_for(lambda: state_rows(q) == 0)  # idle past its TTL: evicted by a timeout batch
-        drop([a[1]])  # too late: a.mp4 starts over and stays incomplete
+        drop([a[1]])  # too late: a.mp4 starts over and stays incomplete until it is evicted too
         drop([_video("z.mp4", 1)[0]])
-        assert wait_for(lambda: sum(p["numInputRows"] for p in progress(q)) >= 4 and state_rows(q) == 1)
+        assert wait_for(lambda: sum(p["numInputRows"] for p in progress(q)) >= 4)
+        drop([a[0], a[1], a[2]])  # sent again after the eviction: now it completes
+        assert wait_for(lambda: sum(p["numInputRows"] for p in progress(q)) >= 7 and state_rows(q) == 0)
     finally:
         q.stop()
-    assert {r.media_name for r in spark.read.parquet(out).collect()} == {"z.mp4"}
+    assert {r.media_name for r in spark.read.parquet(out).collect()} == {"a.mp4", "z.mp4"}
 
 
 
@@ -167,64 +164,228 @@ def test_complete_mode_permutation_property(spark, tmp_path, seed):
     rows = [(r[0], r[1], r[2], r[3], r[4], r[5], r[6], rng.randint(0, 3), i) for i, r in enumerate(rows)]
     got = _run(spark, tmp_path, _split(rows, rng.randint(2, 4), seed), "complete")
     want = {r.media_name: r.asDict() for r in assemble_batch(spark.createDataFrame(rows, FRAME_SCHEMA)).collect()}
-    assert {k: v.asDict() for k, v in got.items()} == want
+    assert {k: _plain(v) for k, v in got.items()} == want
     assert set(want) == {f"m{i}.mp4" for i in range(5)}
 
 
-def test_object_stream_replay_is_idempotent(spark, tmp_path):
-    import os
+OBJECTS = "media_name string, image_data binary, timestamp long, partition int, offset long, original_width int"
 
-    from pyspark.sql import functions as F
 
+def _objects(spark, tmp_path, batches, ckpt="ck", **kw):
     from lakeframe.sinks.objects import read_objects
     from lakeframe.streaming.landing import object_stream
 
-    schema = "media_name string, image_data binary, timestamp long, partition int, offset long, original_width int"
-    src = str(tmp_path / "src")
-    rows = [(f"m{i % 7}.jpg", f"v{i}".encode(), i, 0, i, i) for i in range(21)]  # 3 writes per name
-    for part in (rows[:10], rows[10:]):
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
-    objs, side, ck = str(tmp_path / "objs"), str(tmp_path / "side"), str(tmp_path / "ck")
+    src, objs = str(tmp_path / "src"), str(tmp_path / "objs")
+    for part in batches:
+        spark.createDataFrame(part, OBJECTS).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(OBJECTS).option("maxFilesPerTrigger", 1).parquet(src)
+    q = object_stream(stream, objs, str(tmp_path / ckpt), metadata=("original_width",), sidecar=str(tmp_path / "side"), **kw)
+    await_all([q], 300)
+    return {r.name: bytes(r.content) for r in read_objects(spark, objs).collect()}, q
 
-    def run():
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-        await_all([object_stream(stream, objs, ck, metadata=("original_width",), sidecar=side)], 300)
 
-    run()
-    first = {r.name: bytes(r.content) for r in read_objects(spark, objs).collect()}
+def test_object_stream_replay_is_idempotent(spark, tmp_path):
+    import os
+
+    rows = [(f"m{i % 7}.jpg", f"v{i}".encode(), i, 0, i, i) for i in range(21)]  # 3 writes per name
+    first, _ = _objects(spark, tmp_path, [rows[:10], rows[10:]])
+    ck = str(tmp_path / "ck")
     commits = sorted(int(f) for f in os.listdir(os.path.join(ck, "commits")) if f.isdigit())
     for f in (str(commits[-1]), f".{commits[-1]}.crc"):  # as if the run died before committing
         if os.path.exists(os.path.join(ck, "commits", f)):
             os.remove(os.path.join(ck, "commits", f))
-    run()  # the last batch is replayed
-    again = {r.name: bytes(r.content) for r in read_objects(spark, objs).collect()}
+    again, _ = _objects(spark, tmp_path, [])  # the last batch is replayed
     assert again == first == {f"m{k}.jpg": f"v{14 + k}".encode() for k in range(7)}
-    side_rows = spark.read.parquet(side)
+    side_rows = spark.read.parquet(str(tmp_path / "side"))
     assert side_rows.count() == side_rows.select("name", "batch_id").distinct().count()
-    assert side_rows.select(F.max("batch_id")).first()[0] == commits[-1]
+    assert max(r.batch_id for r in side_rows.collect()) == commits[-1]
 
 
-def test_publish_keeps_input_parallelism_and_sizes_triggers(spark, tmp_path):
-    import os
+def test_an_older_record_in_a_later_batch_replaces_nothing(spark, tmp_path):
+    got, _ = _objects(spark, tmp_path, [[("a", b"new", 9, 0, 9, 1)], [("a", b"old", 3, 1, 50, 1), ("b", b"b", 1, 0, 0, 1)], [("a", b"newest", 10, 0, 10, 1)],
+                                        [("a", b"late", 10, 0, 4, 1)]])
+    assert got == {"a": b"newest", "b": b"b"}
+
+
+def test_sidecar_of_a_new_checkpoint_keeps_the_old_one(spark, tmp_path):
+    _objects(spark, tmp_path, [[("a", b"1", 1, 0, 1, 11)]])
+    side = str(tmp_path / "side")
+    assert {r.name for r in spark.read.parquet(side).collect()} == {"a"}
+    _objects(spark, tmp_path, [[("b", b"2", 2, 0, 2, 12)]], ckpt="ck2")
+    rows = spark.read.parquet(side).collect()
+    assert {r.name for r in rows} == {"a", "b"} and len({r.run_id for r in rows}) == 2
+
 
+def test_records_that_are_no_objects_are_rejected_with_a_reason(spark, tmp_path):
+    rows = [("a", b"1", 1, 0, 1, 1), (None, b"2", 2, 0, 2, 1), ("c", None, 3, 0, 3, 1), ("", b"4", 4, 0, 4, 1)]
+    got, _ = _objects(spark, tmp_path, [rows], rejected=str(tmp_path / "rejects"))
+    assert got == {"a": b"1"}
+    rejects = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert sorted((r.offset, r.reason) for r in rejects) == [(2, "missing_name"), (3, "null_payload"), (4, "missing_name")]
+
+
+def test_without_a_rejected_table_such_a_record_fails_the_query(spark, tmp_path):
+    with pytest.raises(RuntimeError, match="needs a name and content"):
+        _objects(spark, tmp_path, [[("a", None, 1, 0, 1, 1)]])
+
+
+def test_a_batch_is_read_from_its_source_once(spark, tmp_path):
+    rows = [(f"m{i}.jpg", b"x", i, 0, i, i) for i in range(40)]
+    _, q = _objects(spark, tmp_path, [rows])
+    assert [p["numInputRows"] for p in map(_progress, q.recentProgress) if p["numInputRows"]] == [40]
+
+
+def _progress(p):
+    import json
+
+    return json.loads(p.json) if hasattr(p, "json") else p
+
+
+def test_replay_is_cut_into_micro_batches_by_bytes_in_the_order_of_the_topic(spark, tmp_path):
     from pyspark.sql import functions as F
 
     from lakeframe.functions.headers import build_headers
-    from lakeframe.sources.envelopes import files_per_trigger, publish, to_envelopes
+    from lakeframe.sources.envelopes import publish, publish_order, read_envelopes, to_envelopes
+
+    df = spark.range(0, 4000, 1, 3)
+    env = to_envelopes(df, topic="t", seq=F.col("id"), value=F.encode(F.repeat(F.md5(F.col("id").cast("string")), 30), "UTF-8"),
+                       headers=build_headers([("type", F.lit("image"))]))
+    topic, seen = str(tmp_path / "topic"), []
+    parts = publish_order(env, 5)
+    assert len(parts) == 5
+    for part in parts:
+        publish(part.orderBy(F.rand(1)), topic)
+    stream = read_envelopes(spark, path=topic, bytes_per_trigger=1)  # at least one file each
+
+    def note(batch, _):
+        seen.append(batch.agg(F.min("offset"), F.max("offset"), F.count(F.lit(1))).first())
+    q = stream.select("partition", "offset").writeStream.foreachBatch(note).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    await_all([q])
+    assert len(seen) >= 5 and sum(r[2] for r in seen) == 4000
+    assert [min(r[0] for r in seen[i:]) for i in range(len(seen))] == sorted(min(r[0] for r in seen[i:]) for i in range(len(seen)))
+
+
+def test_start_of_a_replay_is_applied_or_refused(spark, tmp_path):
+    from lakeframe.functions.headers import build_headers
+    from lakeframe.sources.envelopes import publish, read_envelopes, to_envelopes
+    from pyspark.sql import functions as F
+
+    def env(lo, hi):
+        return to_envelopes(spark.range(lo, hi), topic="t", seq=F.col("id"), value=F.encode(F.lit("v"), "UTF-8"), headers=build_headers([("type", F.lit("x"))]))
+    topic = str(tmp_path / "topic")
+    publish(env(0, 40), topic)
+    late = read_envelopes(spark, path=topic, starting="latest")
+    publish(env(40, 60), topic)
+    for name, stream, want in (("late", late, 20), ("all", read_envelopes(spark, path=topic), 60)):
+        await_all([append_stream(stream.select("offset"), str(tmp_path / name), str(tmp_path / f"ck-{name}"))])
+        assert spark.read.parquet(str(tmp_path / name)).count() == want
+    with pytest.raises(ValueError):
+        read_envelopes(spark, path=topic, starting="yesterday")
+
+
+# --- several queries --------------------------------------------------------------------
+
+def _never_ending(spark, tmp_path, name):
+    stream = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return append_stream(stream, str(tmp_path / name), str(tmp_path / f"ck-{name}"), trigger="1 second", name=name)
+
+
+def test_a_failure_surfaces_at_once_and_stops_the_others(spark, tmp_path):
+    import time
+
+    from pyspark.sql import functions as F
+
+    healthy = _never_ending(spark, tmp_path, "healthy")
+    src = str(tmp_path / "src")
+    spark.range(3).write.parquet(src)
+    broken = append_stream(spark.readStream.schema("id long").parquet(src).select(F.raise_error(F.lit("broken")).alias("x")),
+                           str(tmp_path / "broken"), str(tmp_path / "ck-broken"), name="broken")
+    began = time.time()
+    with pytest.raises(RuntimeError, match="broken"):
+        await_all([healthy, broken])  # the failing one is not the first
+    assert time.time() - began < 30 and not healthy.isActive
+
+
+def test_a_timeout_names_and_stops_what_still_runs(spark, tmp_path):
+    q = _never_ending(spark, tmp_path, "endless")
+    with pytest.raises(TimeoutError, match="endless"):
+        await_all([q], timeout_s=2)
+    assert not q.isActive
+
+
+# --- reassembly: state and publications -------------------------------------------------
+
+STAMPED = FRAME_SCHEMA + ", timestamp timestamp"
+
+
+def _stamped(rows, second):
+    import datetime
+
+    return [(*r, datetime.datetime(2024, 1, 1, 0, 0, second)) for r in rows]
+
+
+def _run_stamped(spark, tmp_path, batches, mode="complete", engine="group_state"):
+    src = str(tmp_path / "src")
+    for rows in batches:
+        spark.createDataFrame(rows, STAMPED).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(STAMPED).option("maxFilesPerTrigger", 1).parquet(src)
+    q = append_stream(assemble_stream(stream, mode, engine), str(tmp_path / "out"), str(tmp_path / "ck"))
+    await_all([q])
+    states = [sum(o["numRowsTotal"] for o in _progress(p)["stateOperators"]) for p in q.recentProgress if _progress(p)["numInputRows"]]
+    return spark.read.parquet(str(tmp_path / "out")).collect(), states, spark.read.schema(STAMPED).parquet(src)
+
+
+@pytest.mark.parametrize("mode", ["complete", "on_last"])
+def test_a_name_published_twice_is_emitted_twice_and_leaves_no_state(spark, tmp_path, mode):
+    from lakeframe.streaming.reassembly import published_frames
+
+    old, new = _video("a.mp4", 5), [(*r[:6], f"new:{r[1]}".encode(), 0, 100 + r[1]) for r in _video("a.mp4", 7)]
+    batches = [_stamped(old[:3], 1), _stamped(old[3:], 1), _stamped(new[:4], 9), _stamped(new[4:], 9)]
+    got, states, frames = _run_stamped(spark, tmp_path, batches, mode)
+    assert sorted(r.n_frames for r in got) == [5, 7]
+    assert states[-1] == 0 and states[1] == 0 and states[0] > 0
+    rows = published_frames(frames, spark.read.parquet(str(tmp_path / "out"))).collect()
+    assert sorted((r.publication, r.pos, bytes(r.payload)) for r in rows) == sorted(
+        [(1, r[1], r[6]) for r in old] + [(2, r[1], r[6]) for r in new])
+
+
+def test_two_publications_inside_one_micro_batch(spark, tmp_path):
+    old, new = _video("a.mp4", 5), [(*r[:7], 0, 100 + r[1]) for r in _video("a.mp4", 5)]
+    got, states, _ = _run_stamped(spark, tmp_path, [_stamped(old[:2], 1), _stamped(old[2:], 1) + _stamped(new[:4], 9), _stamped(new[4:], 9)])
+    assert [r.n_frames for r in got] == [5, 5] and states[-1] == 0
+
+
+def test_copies_in_the_completing_batch_start_nothing(spark, tmp_path):
+    a = _video("a.mp4", 4)
+    copies = [(*r[:7], 1, 50 + r[1]) for r in a]
+    got, states, _ = _run_stamped(spark, tmp_path, [_stamped(a[:3], 1), _stamped(a[3:] + copies, 1)])
+    assert len(got) == 1 and states[-1] == 0
+
+
+@pytest.mark.parametrize("engine", ["group_state", "tws"])
+def test_a_long_media_is_kept_in_several_states(spark, tmp_path, monkeypatch, engine):
+    from lakeframe.streaming import reassembly
+
+    rows = _video("long.mp4", 130_000)
+    halves = [_stamped(rows[::2], 1), _stamped(rows[1::2], 1)]
+    got, states, _ = _run_stamped(spark, tmp_path, halves, engine=engine)
+    assert [(r.n_frames, r.last_frame_id) for r in got] == [(130_000, 129_999)]
+    assert states[0] == -(-130_000 // reassembly.BUCKET_IDS) and states[-1] == 0
+
+
+def test_records_that_are_no_frames_fail_the_assembly(spark, tmp_path):
+    with pytest.raises(RuntimeError, match="not a frame"):
+        _run_stamped(spark, tmp_path, [_stamped([(None, 0, "no", 25, 4, 6, b"x", 0, 0)], 1)])
 
-    def env(n_parts):
-        df = spark.range(0, 400, 1, n_parts)
-        return to_envelopes(df, topic="t", seq=F.col("id"), value=F.encode(F.col("id").cast("string"), "UTF-8"),
-                            headers=build_headers([("type", F.lit("image"))]))
 
-    def files(path):
-        return [f for f in os.listdir(path) if f.endswith(".parquet")]
+def test_state_store_setting_of_the_caller_is_left_alone(spark, tmp_path):
+    from lakeframe.session import ROCKSDB_PROVIDER, rocksdb_state
 
-    wide, narrow = str(tmp_path / "wide"), str(tmp_path / "narrow")
-    publish(env(12), wide, min_files=4)  # already wide: written by all 12 tasks, no repartition
-    publish(env(1), narrow, min_files=4)  # tiny input: spread to 4 files
-    assert len(files(wide)) == 12 and len(files(narrow)) == 4
-    assert files_per_trigger(spark, wide, 4) == 3 and files_per_trigger(spark, narrow, 4) == 1
+    s, name = spark.newSession(), "spark.sql.streaming.stateStore.providerClass"
+    before = s.conf.get(name)
+    with rocksdb_state(s):
+        assert s.conf.get(name) == ROCKSDB_PROVIDER
+    assert s.conf.get(name) == before
 
 
 def test_delivery_records_per_record_status(spark):

@@ -107,3 +107,62 @@ def test_cluster_defaults_respect_explicit_settings(spark):
     assert "spark.sql.adaptive.skewJoin.skewedPartitionFactor" not in applied
     assert s.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "9"
     assert set(applied) <= set(CLUSTER_CONF)
+
+
+def test_paths_table_with_null_and_escaped_folders(spark, tmp_path):
+    from lakeframe.sources.files import folder_of, read_paths
+    root = str(tmp_path / "t")
+    rows = [(1, "A:B"), (2, "c d"), (3, "p%q"), (4, None), (5, "left out"), (6, "+x")]
+    spark.createDataFrame(rows, "id int, segment string").write.partitionBy("segment").parquet(root)
+    folders = spark.read.parquet(root).select("segment", folder_of(F.col("_metadata.file_path")).alias("path")).distinct()
+    wanted = folders.where("segment IS NULL OR segment <> 'left out'").select("path")
+    wanted = wanted.unionByName(wanted).unionByName(spark.createDataFrame([(None,), ("/nowhere",)], "path string"))
+    got = read_paths(wanted, root)
+    assert sorted((r.id, r.segment) for r in got.collect()) == [r for r in rows if r[0] != 5]
+    assert got.select("source_path").distinct().count() == 5
+
+
+def test_live_files_count_empty_files(spark, tmp_path):
+    from lakeframe.sources.files import live_files
+    path = str(tmp_path / "a b")
+    spark.range(0, 10, 1, 2).write.parquet(path)
+    spark.range(0).coalesce(1).write.mode("append").parquet(path)
+    got = sorted((r.n_rows, r.file_size > 0) for r in live_files(spark, path).collect())
+    assert got == [(0, True), (5, True), (5, True)]
+
+
+def test_people_by_path_pushes_its_callers_filter(spark, tmp_path):
+    from lakeframe.sources.files import read_people
+    path = str(tmp_path / "people")
+    create_at_path(literal_rows(spark, PEOPLE_ROWS, PEOPLE), path)
+    df = read_people(spark, path).where("age > 26").select("name")
+    assert sorted(r.name for r in df.collect()) == ["Alice", "Charlie"]
+    assert "GreaterThan(Age,26)" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_work_folder_must_be_shared_on_a_cluster(monkeypatch):
+    from lakeframe import session
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.work_root(Session())
+
+
+def test_databases_made_by_queries_can_be_dropped(spark):
+    import __spark_entry__ as E
+    from lakeframe.session import drop_temporary
+    assert E.queries()["append_by_name"](spark, "/root/testdata/sf0.001").count() > 0
+    assert list_databases(spark).where("namespace LIKE 'lf_append_by_name%'").count() >= 1
+    drop_temporary(spark)
+    assert list_databases(spark).where("namespace LIKE 'lf\\_%'").count() == 0
