@@ -30,7 +30,7 @@ from .common import land, shuffle_partitions
 
 LENGTH, GRAM = 100, 32
 BUNDLE_BYTES = 1 << 20
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 HOT_BUNDLES = 4096
 END = 0xFF  # never a byte of UTF-8, so no common prefix of LENGTH text bytes reaches over it
 
@@ -75,11 +75,18 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of each substring of ``size`` (a power of two) bytes, by doubling."""
-    mask, base = (1 << 64) - 1, 0x9E3779B97F4A7C15
-    hashes, covered = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93), 1
-    while covered < size:
-        hashes = hashes[:-covered] * np.uint64(base) + hashes[covered:]
+    """Hash of each substring of ``size`` bytes, from hashes of 1, 2, 4, .. bytes."""
+    n, base, mask = len(data) - size + 1, 0x9E3779B97F4A7C15, (1 << 64) - 1
+    part, covered = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93), 1
+    hashes, at = np.zeros(n, dtype=np.uint64), 0
+    while True:
+        if size & covered:
+            hashes *= np.uint64(base)
+            hashes += part[at:at + n]
+            at += covered
+        if covered * 2 > size:
+            break
+        part = part[:-covered] * np.uint64(base) + part[covered:]
         base, covered = base * base & mask, covered * 2
     hashes ^= hashes >> np.uint64(32)
     hashes *= np.uint64(0xD6E8FEB86659FD93)
@@ -87,34 +94,51 @@ def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return hashes
 
 
-PLACE_BITS = np.uint64(7)  # enough to tell the places inside a window apart
+BLOCK, PLACE_BITS = 1 << 15, 16  # windows worked on at once (they fit a cache); bits that hold a place in a block
+
+
+def _anchors(data: np.ndarray) -> np.ndarray:
+    """Of each window the smallest hash of its substrings, its last bits replaced by the place of
+    the substring inside the block of windows."""
+    width, n = LENGTH - GRAM + 1, len(data) - LENGTH + 1
+    place, mask = np.arange(BLOCK + width, dtype=np.uint64), ~np.uint64((1 << PLACE_BITS) - 1)
+    out = np.empty(n, dtype=np.uint64)
+    for at in range(0, n, BLOCK):
+        part = data[at:at + BLOCK + LENGTH - 1]
+        hashes = _gram_hashes(part, GRAM)
+        hashes &= mask
+        hashes |= place[:len(hashes)]
+        out[at:at + BLOCK] = _smallest(hashes, width)
+    return out
 
 
 def runs(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, text, first window inside the text, number of windows, whether the anchor's
-    substring occurs more than once in it) of all runs."""
-    width = LENGTH - GRAM + 1
+    """(anchor, text, first window inside the text, number of windows, whether the anchor may
+    stand at more than one place in it) of all runs.
+
+    Of two equal windows in one run the smallest hash stands at different places, so a run in
+    which the place never changes holds no repeated window."""
     empty = np.empty(0, np.int64)
     if len(data) < LENGTH:
         return np.empty(0, np.uint64), empty, empty, empty, np.empty(0, bool)
-    # The hash's last bits hold the place, once rising and once falling: where a window's
-    # smallest hash stands at one place only, the two minima name the same place.
-    hashes, mask = _gram_hashes(data, GRAM), np.uint64(127)
-    place = np.arange(len(hashes)).astype(np.uint64) & mask
-    hashes &= ~mask
-    low, high = _smallest(hashes | place, width), _smallest(hashes | (mask - place), width)
-    twice = (low & mask) + (high & mask) != mask
-    anchor = low >> PLACE_BITS
+    low = _anchors(data)
+    fresh = np.empty(len(low), dtype=bool)  # a window that starts a run
+    fresh[0] = True
+    np.not_equal(low[1:] >> np.uint64(PLACE_BITS), low[:-1] >> np.uint64(PLACE_BITS), out=fresh[1:])
     ends = np.cumsum(sizes)
-    text = np.repeat(np.arange(len(sizes)), sizes)[:len(anchor)]
-    inside = np.nonzero(np.arange(len(anchor)) + LENGTH <= ends[text])[0]  # windows within one text
-    anchor, text = anchor[inside], text[inside]
-    if not len(inside):
-        return anchor, empty, empty, empty, np.empty(0, bool)
-    first = np.nonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])))[0]
-    count = np.diff(np.append(first, len(inside)))
-    again = np.logical_or.reduceat(twice[inside], first) | (count > width)
-    return anchor[first], text[first], inside[first] - (ends - sizes)[text[first]], count, again
+    starts = ends - sizes
+    fresh[starts[starts < len(low)]] = True
+    first = np.nonzero(fresh)[0]
+    text = np.searchsorted(ends, first, side="right")
+    count = np.minimum(np.append(first[1:], len(low)), ends[text] - LENGTH + 1) - first
+    moved = np.empty(len(low), dtype=bool)
+    moved[0] = False
+    np.not_equal(low[1:], low[:-1], out=moved[1:])
+    moved[first] = False
+    again = np.add.reduceat(moved, first, dtype=np.int64) > 0
+    keep = count > 0  # the last windows of a text reach into the next one
+    first, text, count, again = first[keep], text[keep], count[keep], again[keep]
+    return low[first] >> np.uint64(PLACE_BITS), text, first - starts[text], count, again
 
 
 def _bucket(anchor: np.ndarray, salt: np.ndarray | int, buckets: int) -> np.ndarray:
@@ -182,7 +206,7 @@ def _repeated_batches(hot_bundles: int):
 
 # --- segments ---------------------------------------------------------------------------
 
-SEGMENT = np.dtype([("anchor", "<u8"), ("order", "<i8"), ("text", "<u4"), ("first", "<u8"), ("count", "<u8"), ("split", "u1")])
+SEGMENT = np.dtype([("anchor", "<u8"), ("order", "<i8"), ("text", "<u4"), ("first", "<u4"), ("count", "<u4"), ("split", "u1"), ("again", "u1")])
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -204,13 +228,13 @@ def _segment_batches(buckets: int):
                 order = np.argsort(known)
                 known, split = known[order], split[order]
                 data, sizes = _bytes(packed), np.array(sizes, dtype=np.int64)
-                anchor, text, first, count, _ = runs(data, sizes)
+                anchor, text, first, count, twice = runs(data, sizes)
                 at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
                 keep = known[at] == anchor
-                anchor, text, first, count, many = anchor[keep], text[keep], first[keep], count[keep], split[at[keep]]
+                anchor, text, first, count, many, twice = anchor[keep], text[keep], first[keep], count[keep], split[at[keep]], twice[keep]
                 rows = np.zeros(len(anchor), dtype=SEGMENT)
                 rows["anchor"], rows["text"], rows["first"], rows["count"] = anchor, text, first, count
-                rows["order"], rows["split"] = np.array(orders, dtype=np.int64)[text], many > 1
+                rows["order"], rows["split"], rows["again"] = np.array(orders, dtype=np.int64)[text], many > 1, twice
                 begin = (np.cumsum(sizes) - sizes)[text] + first
                 out = []
                 part = (bundle + (bundle >> 33) * 7919) % many.astype(np.int64)  # ids count from each partition's 2**33
@@ -371,9 +395,13 @@ def _shard_batches(shard_bytes: int):
             else:
                 spans.append((i, int(rows["first"][i]), int(rows["first"][i]) + len(bodies[i])))
         lead = np.array(lead, dtype=np.int64)
-        held = np.cumsum([len(bodies[i]) for i in lead])
+        # What was said of anchors holds again: a lone segment whose anchor stands at one place has no repeats.
+        same = rows["anchor"][lead][1:] == rows["anchor"][lead][:-1]
+        lone = ~(np.append(same, False) | np.append(False, same)) & (rows["again"][lead] == 0) & (rows["split"][lead] == 0)
+        lead = lead[~lone]
+        held = np.cumsum([0, *(len(bodies[i]) for i in lead)])[1:]
         shards, kept = Shards(), []
-        for part in np.split(lead, np.searchsorted(held, np.arange(shard_bytes, held[-1], shard_bytes))):
+        for part in np.split(lead, np.searchsorted(held, np.arange(shard_bytes, held[-1] if len(held) else 0, shard_bytes))):
             if not len(part):
                 continue
             counts = rows["count"][part].astype(np.int64)
@@ -389,7 +417,7 @@ def _shard_batches(shard_bytes: int):
             stay = np.nonzero(~repeat & (rows["split"][part] == 1)[owner])[0]
             if len(stay):
                 own = part[owner[stay]]
-                kept.append((bundle[own], rows["order"][own], rows["text"][own], rows["first"][own] + place[stay].astype(np.uint64),
+                kept.append((bundle[own], rows["order"][own], rows["text"][own], rows["first"][own].astype(np.int64) + place[stay],
                              shards.text(windows[stay])))
         if spans:
             owner = np.array([s[0] for s in spans])
