@@ -204,7 +204,8 @@ def reshard(docs: DataFrame, shards: int, capacity: list[int] | None = None, tex
         T.StructType([T.StructField(OLD, T.IntegerType()), T.StructField("__lf_block", T.IntegerType()), T.StructField(SHARD, T.IntegerType()),
                       T.StructField("__lf_to", T.IntegerType()), T.StructField("__lf_start", T.LongType())]))
     rows = rows.join(numbered, "__lf_file").withColumn("__lf_block", block).join(goes, [OLD, "__lf_block"])
-    # One file of a shard is one window; files are bounded by file_bytes and a block.
+    # One file of a shard is one partition and one window; files are bounded by file_bytes and a block.
+    rows = rows.repartitionById(max(1, len(plan.file_start)), F.col("__lf_to"))
     order = Window.partitionBy("__lf_to").orderBy(OLD, "__lf_block", F.isnull(f"`{id_col}`"), F.col(f"`{id_col}`"), KEY1, KEY2)
     rows = rows.withColumn(SLOT, F.col("__lf_start") + F.row_number().over(order) - 1)
     rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], OLD, SIZE, SLOT, SHARD)
