@@ -88,12 +88,12 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
         rows = rows.withColumn("__lf_at", F.explode(F.when(head, F.array(home, visit)).otherwise(F.array(home))))
         rows = rows.withColumns({"__lf_range": F.col("__lf_at.r"), "__lf_guest": F.col("__lf_at.g")}).drop("__lf_at")
     window = Window.partitionBy("__lf_range").orderBy(*order)
-    packed = F.struct(*columns)
-    following = F.lead(packed).over(window)
+    # Plain columns: a struct of them would be one more copy of each row in the shuffle.
+    following = {name: F.lead(c).over(window) for name, c in zip(names, columns)}
     if len(parts) < 2:
-        following = F.coalesce(following, F.first(packed).over(window))
-    rows = rows.withColumn("__lf_next", following).where("NOT __lf_guest")
-    return rows.withColumns({n: F.col(f"__lf_next.{c}") for n, c in zip(names, columns)}).drop("__lf_next", "__lf_range", "__lf_guest")
+        following = {name: F.coalesce(following[name], F.first(c).over(window)) for name, c in zip(names, columns)}
+    rows = rows.withColumns(following)
+    return rows.where("NOT __lf_guest").drop("__lf_range", "__lf_guest")
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, scale: int = SCALE,
