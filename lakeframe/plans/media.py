@@ -16,7 +16,7 @@ from lakeframe.functions.paths import format_name
 from lakeframe.operators.frames import (
     assemble_batch, assembled_frames, explode_frames, latest_per_name, number_frames, split_frames, write_ordered_frames,
 )
-from lakeframe.operators.routing import branch_of, reject_reason, route_by_extension
+from lakeframe.operators.routing import branch_of, route_by_extension, split_valid
 from lakeframe.plans.standins import document_envelopes, event_envelopes, frame_envelopes
 from lakeframe.session import read_table, scratch
 from lakeframe.sources.envelopes import delivery_report, publish, to_envelopes
@@ -145,7 +145,7 @@ LANG_EXT = {"en": ".jpg", "fr": ".png", "de": ".tiff", "es": ".jpeg"}
 
 
 def reject_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split landed media into valid and rejected with a reason, counted."""
+    """Media split into valid and rejected with a reason, counted."""
     docs = read_table(spark, sf_dir, "documents")
     ext = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in LANG_EXT.items()], F.lit(""))
     env = to_envelopes(docs, topic="documents", seq=F.col("doc_id"), value=F.encode("text", "UTF-8"),
@@ -155,9 +155,9 @@ def reject_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
                            ("original_height", F.size(F.split("text", "\n")) - 1),
                            ("original_width", F.octet_length("text")),
                        ]))
-    typed = media_columns(env)
-    return (typed.groupBy(F.coalesce(reject_reason(), F.lit("ok")).alias("reason"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    valid, rejected = split_valid(media_columns(env))
+    outcome = valid.select(F.lit("ok").alias("reason")).unionByName(rejected.select("reason"))
+    return outcome.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def latest_object(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,8 @@ from lakeframe.streaming.reassembly import published_frames
 
 # Fixed value: the instant that splits the events into a first and a second drop.
 SECOND_DROP_FROM = "2024-01-16 00:00:00"
-DROPS = 4  # parts in which frame topics are published, each followed by a run of the stream
+# Parts in which frame topics are published, each followed by a run of the stream.
+DROPS, ORDERED_DROPS = 2, 4
 
 
 def _replay(spark: SparkSession, topic: str) -> DataFrame:
@@ -90,25 +91,23 @@ def start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/table")
 
 
-def _assembled(spark: SparkSession, root: str, envelopes: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+def _assembled(spark: SparkSession, root: str, envelopes: DataFrame, mode: str, drops: int, land_frames: bool = False) -> DataFrame:
     """Publishes the envelopes in the topic's order, a part at a time, and after each part runs
-    the stream on its checkpoints: frames land as a table, media are assembled.  Returns the
-    landed frames and the assembled media."""
-    for part in publish_order(envelopes, DROPS):
+    the streams on their checkpoints: media are assembled, records that are no frames land as
+    rejected and, if asked for, the frames as a table.  Returns the assembled media."""
+    for part in publish_order(envelopes, drops):
         publish(part, f"{root}/topic")
         frames, rejected = split_frames(_replay(spark, f"{root}/topic"))
-        await_all([append_stream(frames, f"{root}/frames", f"{root}/checkpoints/frames"),
-                   append_stream(rejected, f"{root}/rejected", f"{root}/checkpoints/rejected"),
-                   append_stream(assemble_frames(frames, mode), f"{root}/assembled", f"{root}/checkpoints/assembled")])
-    return spark.read.parquet(f"{root}/frames"), spark.read.parquet(f"{root}/assembled")
+        sinks = {"assembled": assemble_frames(frames, mode), "rejected": rejected} | ({"frames": frames} if land_frames else {})
+        await_all([append_stream(df, f"{root}/{name}", f"{root}/checkpoints/{name}") for name, df in sinks.items()])
+    return spark.read.parquet(f"{root}/assembled")
 
 
 def assemble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Permuted, partly redelivered frames over several micro-batches -> assembled media
     (T1, K11): same result as the batch assembly."""
     envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user", hold_first=True)
-    _, media = _assembled(spark, scratch(spark, "assemble_stream"), envelopes, "complete")
-    return media.drop("published_until")
+    return _assembled(spark, scratch(spark, "assemble_stream"), envelopes, "complete", DROPS).drop("published_until")
 
 
 def assembled_sequences_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +115,8 @@ def assembled_sequences_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     read back (T1, K11, A1, O1)."""
     root = scratch(spark, "assembled_sequences_stream")
     envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user", hold_first=True)
-    frames, media = _assembled(spark, root, envelopes, "complete")
-    write_ordered_frames(published_frames(frames, media), f"{root}/sequences")
+    media = _assembled(spark, root, envelopes, "complete", DROPS, land_frames=True)
+    write_ordered_frames(published_frames(spark.read.parquet(f"{root}/frames"), media), f"{root}/sequences")
     return spark.read.parquet(f"{root}/sequences").select(
         "media_name", F.col("publication").cast("int").alias("publication"), "pos", "frame_id", F.md5("payload").alias("md5"),
         "fps", "height", "width")
@@ -127,8 +126,8 @@ def assemble_stream_on_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference consumer's rule (T1 ``on_last``): emit a media when its last frame
     arrives.  With frames keyed by media (one partition, in order), over several micro-batches
     in the topic's order, it equals the complete assembly."""
-    _, media = _assembled(spark, scratch(spark, "assemble_stream_on_last"), keyed_frame_envelopes(spark, sf_dir), "on_last")
-    return media.drop("published_until")
+    root = scratch(spark, "assemble_stream_on_last")
+    return _assembled(spark, root, keyed_frame_envelopes(spark, sf_dir), "on_last", ORDERED_DROPS).drop("published_until")
 
 
 def object_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,6 +109,10 @@ def fan_out_batches(df: DataFrame, checkpoint: str, writers: list[Callable[[Data
     return _trigger(writer, trigger).start()
 
 
+# Called with each query that has ended in ``await_all``, e.g. to record its last plan.
+ON_END: list[Callable[[StreamingQuery], None]] = []
+
+
 def await_all(queries: list[StreamingQuery], timeout_s: float | None = None, poll_s: float = 0.2) -> None:
     """Wait until every query has ended (T6).  The first failure, in whichever query, surfaces
     within ``poll_s`` or so and stops the others.  With ``timeout_s``, queries still running
@@ -127,6 +131,8 @@ def await_all(queries: list[StreamingQuery], timeout_s: float | None = None, pol
                     running.remove(q)
                     if q.exception() is not None:
                         raise q.exception()
+                    for hook in ON_END:
+                        hook(q)
             except StreamingQueryException as e:
                 stop_all()
                 raise RuntimeError(f"streaming query {q.name or q.id} failed: {e}") from e

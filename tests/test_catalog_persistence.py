@@ -12,14 +12,14 @@ sys.path.insert(0, {repo!r})
 from lakeframe.session import catalog_session
 spark = catalog_session({wh!r}, {ms!r}, cores=2)
 if {step!r} == "create":
-    spark.sql("CREATE DATABASE IF NOT EXISTS emp")
-    spark.sql("USE emp")
-    spark.createDataFrame([(1, "James", 30, "M"), (2, "Ann", 40, "F")], "id int, name string, age int, gender string") \
-        .write.mode("append").format("parquet").saveAsTable("emp.employee")
+    spark.sql("CREATE DATABASE IF NOT EXISTS depot")
+    spark.sql("USE depot")
+    spark.createDataFrame([(7, "crane", 1.5), (8, "lift", 0.5)], "id int, tool string, tons double") \
+        .write.mode("append").format("parquet").saveAsTable("depot.tools")
 else:
     names = [r.namespace for r in spark.sql("SHOW DATABASES").collect()]
-    n = spark.sql("SELECT * FROM emp.employee").count()
-    print("RESULT", "emp" in names, n)
+    n = spark.sql("SELECT * FROM depot.tools").count()
+    print("RESULT", "depot" in names, n)
 spark.stop()
 """
 
