@@ -16,7 +16,7 @@ from lakeframe.functions.paths import format_name
 from lakeframe.operators.frames import (
     assemble_batch, assembled_frames, explode_frames, latest_per_name, number_frames, split_frames, write_ordered_frames,
 )
-from lakeframe.operators.routing import branch_of, route_by_extension, split_valid
+from lakeframe.operators.routing import branch_of, reject_reason, route_by_extension
 from lakeframe.plans.standins import document_envelopes, event_envelopes, frame_envelopes
 from lakeframe.session import read_table, scratch
 from lakeframe.sources.envelopes import delivery_report, publish, to_envelopes
@@ -155,9 +155,9 @@ def reject_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
                            ("original_height", F.size(F.split("text", "\n")) - 1),
                            ("original_width", F.octet_length("text")),
                        ]))
-    valid, rejected = split_valid(media_columns(env))
-    outcome = valid.select(F.lit("ok").alias("reason")).unionByName(rejected.select("reason"))
-    return outcome.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    typed = media_columns(env)
+    return (typed.groupBy(F.coalesce(reject_reason(), F.lit("ok")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def latest_object(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +228,8 @@ def record_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with malformed headers: each is landed as a frame or rejected with a reason; both
     are landed as tables, and input = landed + rejected (F3, P4)."""
     root = scratch(spark, "record_outcomes")
-    frames, rejected = split_frames(event_envelopes(spark, sf_dir, headers=_variant_headers()))
+    publish(event_envelopes(spark, sf_dir, headers=_variant_headers()), f"{root}/topic")
+    frames, rejected = split_frames(spark.read.schema(ENVELOPE).parquet(f"{root}/topic"))
     frames.write.parquet(f"{root}/frames")
     rejected.write.parquet(f"{root}/rejected")
     outcome = spark.read.parquet(f"{root}/frames").select(F.lit("landed").alias("outcome")).unionByName(
