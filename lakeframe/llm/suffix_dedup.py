@@ -39,7 +39,7 @@ END = 0xFF  # never a byte of UTF-8, so no common prefix of LENGTH text bytes re
 
 def _bundle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids, orders, data, size = [], [], [], 0
-    pack = zstandard.ZstdCompressor(level=3).compress
+    pack = zstandard.ZstdCompressor(level=5).compress
 
     def out() -> pa.RecordBatch:
         columns = [pa.array([ids]), pa.array([orders], pa.list_(pa.int64())), pa.array([[len(d) for d in data]], pa.list_(pa.int64())),
@@ -495,7 +495,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bundles = rows.mapInArrow(_bundle_batches, f"ids array<{kind}>, orders array<long>, sizes array<long>, data binary")
     bundles = land(bundles.withColumn("bundle", F.monotonically_increasing_id()), "suffix_bundles")
     parts = shuffle_partitions(spark)
-    buckets = 4 * parts
+    buckets = 2 * parts
 
     anchors = bundles.select("bundle", "sizes", "data").mapInArrow(_anchor_batches(buckets), "bucket long, bundle long, blob binary")
     again = (anchors.repartition(parts, "bucket").sortWithinPartitions("bucket")
