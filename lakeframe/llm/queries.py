@@ -79,4 +79,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_simhash, op3_reshard, op4_exact_dedup, op5_pack, op6_language_id, op7_sketches,
                                    op8_secret_scan, op9_suffix_dedup, op10_url_filter)}
 
-ORACLES = {"op1_mix_sources": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op1_mix_sources": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_secret_scan": secret_scan.oracle(),
+           "op9_suffix_dedup": suffix_dedup.ORACLE}

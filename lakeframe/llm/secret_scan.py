@@ -130,3 +130,46 @@ def digest(found: DataFrame) -> DataFrame:
         return F.size(F.filter("found", lambda s: s["rank"] == RANK[kind])).cast("long").alias(f"n_{kind}")
     counts = [count(k) for k in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
+def oracle() -> str:
+    """DuckDB SQL for the registered query: the same patterns and rules over the raw table."""
+    text = lambda regex: "'" + regex.replace("'", "''") + "'"
+    ranks = lambda kinds: "(" + ", ".join(str(RANK[k]) for k in kinds) + ")"
+    matches = " UNION ALL ".join(
+        f"SELECT doc_id, {RANK[p.kind]} AS rank, string_split_regex(text, {text(p.regex)}) AS gaps, regexp_extract_all(text, {text(p.regex)}) AS hits FROM d"
+        for p in PATTERNS)
+    good = " ".join(
+        f"WHEN {RANK[p.kind]} THEN length(regexp_extract(hit, {text(p.regex)}, {p.group})) >= {p.least}"
+        + "".join(f" AND regexp_matches(hit, {text(n)})" for n in p.needs) for p in PATTERNS)
+
+    def overlaps(kinds) -> str:
+        return (f"(coalesce(max(CASE WHEN rank IN {ranks(kinds)} THEN finish END) OVER before > start, false)"
+                f" OR coalesce(min(CASE WHEN rank IN {ranks(kinds)} THEN start END) OVER after < finish, false))")
+
+    def near(kinds) -> str:
+        return (f"(coalesce(start - max(CASE WHEN rank IN {ranks(kinds)} THEN finish END) OVER before <= {SCOPE}, false)"
+                f" OR coalesce(min(CASE WHEN rank IN {ranks(kinds)} THEN start END) OVER after - finish <= {SCOPE}, false))")
+    order = "PARTITION BY doc_id ORDER BY start, finish, rank ROWS BETWEEN"
+    frames = f"WINDOW before AS ({order} UNBOUNDED PRECEDING AND 1 PRECEDING), after AS ({order} 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+    kinds = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+    one = f"{kinds}[rank + 1] || ':' || start || ':' || finish"
+    counts = ", ".join(f"count(*) FILTER (rank = {RANK[k]}) AS n_{k}" for k in BASE)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({matches}),
+u AS (SELECT doc_id, rank, gaps, hits, unnest(range(1, len(hits) + 1)) AS i FROM m),
+h AS (SELECT doc_id, rank, i, hits[i] AS hit, length(gaps[i]) + length(hits[i]) AS step FROM u),
+p AS (SELECT doc_id, rank, hit, CAST(sum(step) OVER (PARTITION BY doc_id, rank ORDER BY i) AS BIGINT) AS finish FROM h),
+g AS (SELECT doc_id, rank, finish - length(hit) AS start, finish FROM p WHERE CASE rank {good} END),
+o AS (SELECT *, {overlaps(BASE)} AS over_base, {overlaps(["endpoint"])} AS over_endpoint, {overlaps(["ident"])} AS over_ident FROM g {frames}),
+v AS (SELECT doc_id, rank, start, finish FROM o
+      WHERE NOT ((rank NOT IN {ranks(BASE)} AND over_base) OR (rank IN {ranks(["ident", "key"])} AND over_endpoint)
+                 OR (rank IN {ranks(["key"])} AND over_ident))),
+n AS (SELECT *, {near(NAMES)} AS names, {near(SECRETS)} AS secrets, {near(PLACES)} AS places FROM v {frames}),
+t AS (SELECT * FROM n WHERE rank IN {ranks(BASE)} OR (rank IN {ranks(["ident"])} AND secrets)
+      OR (rank IN {ranks(["key"])} AND (names OR places)) OR (rank IN {ranks(["endpoint"])} AND names AND secrets)),
+a AS (SELECT doc_id, {counts}, coalesce(string_agg({one}, ',' ORDER BY start, rank) FILTER (rank IN {ranks(BASE)}), '') AS base,
+             string_agg({one}, ',' ORDER BY start, rank) AS spans FROM t GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a ON d.doc_id = a.doc_id"""

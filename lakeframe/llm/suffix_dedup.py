@@ -37,25 +37,27 @@ END = 0xFF  # never a byte of UTF-8, so no common prefix of LENGTH text bytes re
 
 # --- bundles ----------------------------------------------------------------------------
 
-def _bundle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ids, orders, data, size = [], [], [], 0
-    pack = zstandard.ZstdCompressor(level=5).compress
+def _bundle_batches(bundle_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, orders, data, size, kind = [], [], [], 0, None
+        pack = zstandard.ZstdCompressor(level=5).compress
 
-    def out() -> pa.RecordBatch:
-        columns = [pa.array([ids]), pa.array([orders], pa.list_(pa.int64())), pa.array([[len(d) for d in data]], pa.list_(pa.int64())),
-                   pa.array([pack(b"".join(data))], pa.binary())]
-        return pa.RecordBatch.from_arrays([columns[0].cast(pa.list_(kind)), *columns[1:]], names=["ids", "orders", "sizes", "data"])
+        def out() -> pa.RecordBatch:
+            columns = [pa.array([ids], pa.list_(kind)), pa.array([orders], pa.list_(pa.int64())),
+                       pa.array([[len(d) for d in data]], pa.list_(pa.int64())), pa.array([pack(b"".join(data))], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["ids", "orders", "sizes", "data"])
 
-    for batch in batches:
-        kind = batch.column("doc_id").type
-        for i, o, t in zip(batch.column("doc_id").to_pylist(), batch.column("ord").to_pylist(), batch.column("text").to_pylist()):
-            ids.append(i), orders.append(o), data.append((t or "").encode("utf-8", "surrogatepass"))
-            size += len(data[-1])
-            if size >= BUNDLE_BYTES or len(ids) >= 10_000:
-                yield out()
-                ids, orders, data, size = [], [], [], 0
-    if ids:
-        yield out()
+        for batch in batches:
+            kind = batch.column("doc_id").type
+            for i, o, t in zip(batch.column("doc_id").to_pylist(), batch.column("ord").to_pylist(), batch.column("text").to_pylist()):
+                ids.append(i), orders.append(o), data.append((t or "").encode("utf-8", "surrogatepass"))
+                size += len(data[-1])
+                if size >= bundle_bytes or len(ids) >= 10_000:
+                    yield out()
+                    ids, orders, data, size = [], [], [], 0
+        if ids:
+            yield out()
+    return run
 
 
 def _bytes(packed: bytes) -> np.ndarray:
@@ -478,7 +480,7 @@ def _cut_batches(kind: pa.DataType):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_bundles: int = HOT_BUNDLES,
-                   shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """``doc_id, n_bytes, spans`` (of removed bytes: begin, finish) and ``kept`` (the other bytes)
     for every row of ``docs``.
 
@@ -492,7 +494,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if kind not in ("tinyint", "smallint", "int", "bigint"):
         raise TypeError(f"the order of documents needs integer ids, not {kind}")
     rows = docs.select(ident.alias("doc_id"), F.coalesce(ident.cast("long"), F.lit((1 << 63) - 1)).alias("ord"), F.col(f"`{text_col}`").alias("text"))
-    bundles = rows.mapInArrow(_bundle_batches, f"ids array<{kind}>, orders array<long>, sizes array<long>, data binary")
+    bundles = rows.mapInArrow(_bundle_batches(bundle_bytes), f"ids array<{kind}>, orders array<long>, sizes array<long>, data binary")
     bundles = land(bundles.withColumn("bundle", F.monotonically_increasing_id()), "suffix_bundles")
     parts = shuffle_partitions(spark)
     buckets = 2 * parts
@@ -524,3 +526,18 @@ def digest(found: DataFrame) -> DataFrame:
     lengths = F.transform("spans", lambda s: s["finish"] - s["begin"])
     return found.select("doc_id", "n_bytes", F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, p, md5(substring(h, 2 * p + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS nth FROM w) WHERE nth > 1),
+b AS (SELECT doc_id, p, substring(h, 2 * p + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(0, n)) AS p FROM d)),
+c AS (SELECT b.doc_id, b.p, x, coalesce(max(r.p) OVER (PARTITION BY b.doc_id ORDER BY b.p) >= b.p - 99, false) AS gone
+      FROM b LEFT JOIN r ON b.doc_id = r.doc_id AND b.p = r.p),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS edge FROM c),
+a AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (edge) AS n_spans,
+             coalesce(string_agg(x, '' ORDER BY p) FILTER (NOT gone), '') AS kept FROM e GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN a ON d.doc_id = a.doc_id
+"""

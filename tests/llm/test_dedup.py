@@ -150,14 +150,23 @@ def passages(seed=3):
 
 
 @pytest.mark.parametrize("hot, shard, bundle", [(4096, 1 << 20, 1 << 20), (1, 1 << 20, 3000), (2, 1500, 5000), (4096, 700, 4000)])
-def test_suffix_dedup_equals_brute_force(spark, monkeypatch, hot, shard, bundle):
-    monkeypatch.setattr(suffix_dedup, "BUNDLE_BYTES", bundle)
+def test_suffix_dedup_equals_brute_force(spark, hot, shard, bundle):
     rows = passages()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, hot_bundles=hot, shard_bytes=shard)).collect()
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, hot_bundles=hot, shard_bytes=shard, bundle_bytes=bundle)).collect()
     assert Counter(tuple(r) for r in got) == repeats(rows)
 
 
+def test_the_sql_of_the_suffix_dedup_equals_brute_force():
+    import duckdb
+    import pandas as pd
+
+    rows = passages()
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    assert Counter(con.execute(suffix_dedup.ORACLE).fetchall()) == repeats(rows)
+
+
 def test_suffix_dedup_of_hard_rows(hard):
     got = suffix_dedup.digest(suffix_dedup.remove_repeats(hard)).collect()
     want = repeats([(r[0], r[1]) for r in hard_rows()])

@@ -221,6 +221,18 @@ def test_secret_scan_equals_brute_force(spark):
     assert set(kinds) == set(secret_scan.KINDS)
 
 
+def test_the_sql_of_the_secret_scan_equals_brute_force():
+    import duckdb
+    import pandas as pd
+
+    texts = secret_texts()
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    got = {r[0]: r for r in con.execute(secret_scan.oracle()).fetchall()}
+    for i, text in enumerate(texts):
+        assert got[i][5] == ",".join(f"{k}:{b}:{e}" for b, _, e, k in brute_spans(text)[1])
+
+
 def test_weak_candidates_alone_are_not_reported(spark):
     key = "aB3" * 9
     texts = [key, "login: alice", "https://db.example.com/", f"login: alice {'.' * 300} {key}", f"login: alice {key}", f"https://h.example/ {key}",
