@@ -98,7 +98,8 @@ def _assembled(spark: SparkSession, root: str, envelopes: DataFrame, mode: str,
     for part in publish_order(envelopes, drops):
         publish(part, f"{root}/topic")
         frames, rejected = split_frames(_replay(spark, f"{root}/topic"))
-        sinks = {"assembled": assemble_frames(frames, mode), "rejected": rejected} | ({"frames": frames} if land_frames else {})
+        # copies may come after their media was emitted
+        sinks = {"assembled": assemble_frames(frames, mode, tombstones=mode == "complete"), "rejected": rejected} | ({"frames": frames} if land_frames else {})
         await_all([append_stream(df, f"{root}/{name}", f"{root}/checkpoints/{name}") for name, df in sinks.items()])
     return spark.read.parquet(f"{root}/assembled")
 
@@ -106,7 +107,7 @@ def _assembled(spark: SparkSession, root: str, envelopes: DataFrame, mode: str,
 def assemble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Permuted, partly redelivered frames over several micro-batches -> assembled media
     (T1, K11): same result as the batch assembly."""
-    envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user", hold_first=True)
+    envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user")
     return _assembled(spark, scratch(spark, "assemble_stream"), envelopes, "complete", DROPS).drop("published_until")
 
 
@@ -114,7 +115,7 @@ def assembled_sequences_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The media assembled by the stream: every frame of each emitted media, landed in order and
     read back (T1, K11, A1, O1)."""
     root = scratch(spark, "assembled_sequences_stream")
-    envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user", hold_first=True)
+    envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user")
     media = _assembled(spark, root, envelopes, "complete", DROPS, land_frames=True)
     write_ordered_frames(published_frames(spark.read.parquet(f"{root}/frames"), media), f"{root}/sequences")
     return spark.read.parquet(f"{root}/sequences").select(

@@ -9,12 +9,14 @@
 2. by media: the rows of full buckets are held until buckets 0 to the last are there, then the
    media is emitted and this state is cleared as well.
 
-So a completed media leaves no state, and a later publication under its name is assembled and
-emitted again.  Frames of one publication are told from the next by the producer's timestamp
+So a completed media leaves no state (but tombstones, if asked for), and a later publication under
+its name is assembled and emitted again.  Frames of one publication are told from the next by the producer's timestamp
 where a micro-batch holds both: ids seen again after their bucket was filled start the next
-publication only if they are younger; older ones are redelivered copies.  A copy that
-arrives in a later micro-batch than its media's completion looks like the start of a new
-publication; ``ttl_ms`` evicts such leftovers.
+publication only if they are younger; older ones are redelivered copies.  With ``tombstones`` a
+filled bucket leaves its latest timestamp (one number) as its state, so that a copy in any later
+micro-batch is told as well, and never enters the next publication; frames without timestamps then
+count as copies.  Without them such a copy looks like the start of a new publication.  ``ttl_ms``
+evicts tombstones and leftovers.
 
 ``on_last`` mode reproduces the reference consumer: emit whatever arrived once the last frame
 arrives (duplicates counted) and start a new entry for frames after it, in ``(partition,
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -47,7 +50,7 @@ BUCKET_IDS = 1 << 16
 NO_TIME = -(1 << 62)
 _OUT_COLS = [f.name for f in ASSEMBLED.fields]
 
-_BUCKET_STATE = "ids binary, n long, last_id int, fps int, height int, width int, digest string, until long"
+_BUCKET_STATE = "ids binary, n long, last_id int, fps int, height int, width int, digest string, until long, floor long"
 _BUCKET_OUT = "media_name string, bucket long, n long, last_id int, fps int, height int, width int, digest string, until long"
 _BUCKET_COLS = ["media_name", "bucket", "n", "last_id", "fps", "height", "width", "digest", "until"]
 _MEDIA_STATE = "pending string"
@@ -68,8 +71,9 @@ def _filled(n: int, bucket: int, last_id: int | None, ids: np.ndarray) -> bool:
     return bool(ids[:last_id - bucket * BUCKET_IDS + 1].all())
 
 
-def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tuple | None, list[tuple]]:
-    """One micro-batch of one bucket."""
+def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame, tombstones: bool = False) -> tuple[tuple | None, list[tuple]]:
+    """One micro-batch of one bucket.  ``floor`` is the latest timestamp of the publication that
+    filled it last: rows not younger are copies."""
     media, bucket = key[0], int(key[1])
     rows = rows.sort_values(["partition", "offset"], kind="stable")
     place = rows["frame_id"].to_numpy(dtype=np.int64) - bucket * BUCKET_IDS
@@ -77,12 +81,18 @@ def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tu
     last = (rows["last_frame"] == LAST_YES).to_numpy()
     props = rows[["frame_id", "fps", "height", "width"]].to_numpy()
     out: list[tuple] = []
+    floor = None if state is None or pd.isna(state[8]) else int(state[8])
+    if state is not None and not state[1]:
+        state = None  # a tombstone
     while True:
+        if floor is not None:
+            young = time > floor
+            place, part, time, last, props = place[young], part[young], time[young], last[young], props[young]
         if state is None:
             ids, n, last_id, fps, height, width, digest, until = np.zeros(BUCKET_IDS, bool), 0, None, None, None, None, 0, NO_TIME
         else:
             ids = np.unpackbits(np.frombuffer(state[0], np.uint8)).astype(bool)
-            _, n, last_id, fps, height, width, digest, until = state
+            _, n, last_id, fps, height, width, digest, until, _ = state
             n, digest, until = int(n), int(digest), int(until)
         _, first = np.unique(place, return_index=True)
         first.sort()
@@ -93,14 +103,15 @@ def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tu
         if last[new].any() and last_id is None:
             last_id, fps, height, width = (int(x) for x in props[new[last[new]][0]])
         if not n or not _filled(n, bucket, last_id, ids):
-            packed = np.packbits(ids).tobytes()
-            return ((packed, n, last_id, fps, height, width, str(digest), until) if n else None), out
+            if n:
+                return (np.packbits(ids).tobytes(), n, last_id, fps, height, width, str(digest), until, floor), out
+            return ((b"", 0, None, None, None, None, "0", NO_TIME, floor) if tombstones and floor is not None else None), out
         out.append((media, bucket, n, last_id, fps, height, width, str(digest), until))
         # Rows left over: younger ones belong to the next publication, others are copies.
         rest = np.ones(len(place), bool)
         rest[new] = False
-        rest &= time > until
         place, part, time, last, props, state = place[rest], part[rest], time[rest], last[rest], props[rest], None
+        floor = until if floor is None else max(floor, until)
 
 
 def fold_media(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tuple | None, list[tuple]]:
@@ -195,18 +206,23 @@ def _stateful(df: DataFrame, by: list[str], fold: Fold, state: str, out, columns
 
 
 def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state",
-                    ttl_ms: int | None = None) -> DataFrame:
+                    ttl_ms: int | None = None, tombstones: bool = False) -> DataFrame:
     """Frame stream (``media_name, frame_id, last_frame, fps, height, width, payload, partition,
     offset`` and optionally ``timestamp``) -> one row per assembled media and publication,
     append mode (T1).
 
     Records without a media name, a frame id of 0 or more or a payload are not frames; split
     them off first (:func:`lakeframe.operators.frames.split_frames`), else the job fails.
+    ``tombstones`` (``complete`` mode, frames with timestamps) is for sources that may redeliver a
+    frame after its media was emitted: without it such copies start a publication of their own.
+    It keeps one number per media and 65536 ids, for ``ttl_ms`` after the last frame or copy.
     ``ttl_ms`` (off by default, as in the reference) evicts state that received nothing for that
     long (processing time).  Timeouts make every trigger run another batch, so use it with a
     processing-time trigger (a long-running stream), not ``availableNow``."""
     if mode not in ("complete", "on_last"):
         raise ValueError(mode)
+    if tombstones and (mode != "complete" or "timestamp" not in frames.columns):
+        raise ValueError("tombstones need mode 'complete' and timestamps")
     time = F.unix_micros(F.col("timestamp")) if "timestamp" in frames.columns else F.lit(None).cast("long")
     checked = F.when(F.col("media_name").isNull() | ~F.coalesce(F.col("frame_id") >= 0, F.lit(False)) | F.col("payload").isNull(),
                      F.raise_error(F.lit("not a frame: media name, frame id or payload is missing")).cast("string")).otherwise(F.col("media_name"))
@@ -216,7 +232,7 @@ def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "gr
     if mode == "on_last":
         return _stateful(slim, ["media_name"], fold_on_last, _LAST_STATE, ASSEMBLED, _OUT_COLS, engine, ttl_ms)
     slim = slim.withColumn("bucket", F.expr(f"frame_id div {BUCKET_IDS}"))
-    full = _stateful(slim, ["media_name", "bucket"], fold_bucket, _BUCKET_STATE, _as_schema(_BUCKET_OUT), _BUCKET_COLS, engine, ttl_ms)
+    full = _stateful(slim, ["media_name", "bucket"], partial(fold_bucket, tombstones=tombstones), _BUCKET_STATE, _as_schema(_BUCKET_OUT), _BUCKET_COLS, engine, ttl_ms)
     # Spark takes one applyInPandasWithState per query, so the second step is the other kind
     return _stateful(full, ["media_name"], fold_media, _MEDIA_STATE, ASSEMBLED, _OUT_COLS, "tws", ttl_ms)
 

@@ -362,6 +362,37 @@ def test_copies_in_the_completing_batch_start_nothing(spark, tmp_path):
     assert len(got) == 1 and states[-1] == 0
 
 
+@pytest.mark.parametrize("engine", ["group_state", "tws"])
+def test_copies_after_completion_start_nothing_and_stay_out_of_the_next_publication(spark, tmp_path, engine, monkeypatch):
+    from functools import partial
+
+    from lakeframe.streaming.reassembly import published_frames
+
+    def later(rows):
+        return [(*r[:7], 1, 500 + r[8]) for r in rows]
+    one, a = _video("one.mp4", 1), _video("a.mp4", 4)
+    new = [(*r[:6], f"new:{r[1]}".encode(), 0, 100 + r[1]) for r in _video("a.mp4", 5)]
+    batches = [_stamped(one + a, 1), _stamped(later(one + a[:2]), 1), _stamped(later(a), 1) + _stamped(new[1:3], 9),
+               _stamped(later(a[:1]), 1), _stamped(new[:1] + new[3:], 9), _stamped(later(new), 9)]
+    with monkeypatch.context() as m:
+        m.setitem(globals(), "assemble_stream", partial(assemble_stream, tombstones=True))
+        got, states, frames = _run_stamped(spark, tmp_path, batches, engine=engine)
+    once, _, _ = _run_stamped(spark, tmp_path / "once", [_stamped(one + a, 1), _stamped(new, 9)])
+    key = ["media_name", "n_frames", "digest", "published_until"]
+    assert sorted([r[k] for k in key] for r in got) == sorted([r[k] for k in key] for r in once)
+    assert sorted((r.media_name, r.n_frames) for r in got) == [("a.mp4", 4), ("a.mp4", 5), ("one.mp4", 1)]
+    assert states[0] == states[-1] == 2  # a number per media
+    rows = published_frames(frames, spark.read.parquet(str(tmp_path / "out"))).where("media_name = 'a.mp4'").collect()
+    assert sorted((r.publication, r.pos, bytes(r.payload)) for r in rows) == sorted(
+        [(1, r[1], r[6]) for r in a] + [(2, r[1], r[6]) for r in new])
+
+
+def test_tombstones_need_timestamps(spark, tmp_path):
+    stream = spark.readStream.schema(FRAME_SCHEMA).parquet(str(tmp_path))
+    with pytest.raises(ValueError, match="timestamps"):
+        assemble_stream(stream, tombstones=True)
+
+
 @pytest.mark.parametrize("engine", ["group_state", "tws"])
 def test_a_long_media_is_kept_in_several_states(spark, tmp_path, monkeypatch, engine):
     from lakeframe.streaming import reassembly
