@@ -10,9 +10,11 @@ Suffixes are sharded by content, so that equal strings meet without comparing al
 3. The bytes of the other runs go to the shard their anchor names.  A shard gets a suffix array
    by Larsson-Sadakane refinement, Kasai's common prefixes tell which neighbours share LENGTH
    bytes, and the earliest window of such a group stays.  An anchor that goes on in the next
-   shard is merged by binary search in the sorted first windows of the shards before.
-4. An anchor in more than ``HOT_BUNDLES`` bundles is split over several tasks; the windows each
-   of them kept are merged in a last round, spread by their own bytes.
+   shard is merged by binary search in the sorted hashes of the first windows of the shards
+   before; a hit is compared byte by byte.
+4. An anchor in more than ``HOT_BUNDLES`` bundles or with more than ``HOT_WINDOWS`` windows is split
+   into parts of at most so many (or one bundle); the windows each part kept are merged in a last
+   round, spread by their own bytes.
 5. The spans go back to the bundles, which are cut and unpacked.
 """
 
@@ -31,7 +33,7 @@ from .common import land, shuffle_partitions
 LENGTH, GRAM = 100, 32
 BUNDLE_BYTES = 1 << 20
 SHARD_BYTES = 1 << 18
-HOT_BUNDLES = 4096
+HOT_BUNDLES, HOT_WINDOWS = 4096, 1 << 20
 END = 0xFF  # never a byte of UTF-8, so no common prefix of LENGTH text bytes reaches over it
 
 
@@ -157,21 +159,43 @@ def _by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _anchor_batches(buckets: int):
-    """Of each bundle, its distinct anchors by bucket; the lowest bit tells that it occurs again."""
+    """Of each bundle, its distinct anchors by bucket, with their numbers of windows; the lowest
+    bit tells that it occurs again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bundle, sizes, packed in zip(*(batch.column(c).to_pylist() for c in ("bundle", "sizes", "data"))):
-                found, _, _, _, again = runs(_bytes(packed), np.array(sizes, dtype=np.int64))
+                found, _, _, windows, again = runs(_bytes(packed), np.array(sizes, dtype=np.int64))
                 found, of, count = np.unique(found, return_inverse=True, return_counts=True)
+                windows = np.bincount(of, weights=windows, minlength=len(found)).astype("<u4")
                 again = (np.bincount(of, weights=again, minlength=len(found)) > 0) | (count > 1)
                 parts = list(_by(_bucket(found, 0, buckets)))
                 found = found << np.uint64(1) | again.astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b for b, _ in parts], pa.int64()), pa.array([bundle] * len(parts), pa.int64()),
-                     pa.array([found[rows].tobytes() for _, rows in parts], pa.binary())], names=["bucket", "bundle", "blob"])
+                     pa.array([found[rows].tobytes() + windows[rows].tobytes() for _, rows in parts], pa.binary())], names=["bucket", "bundle", "blob"])
     return run
 
 
+def _parts(of: np.ndarray, owner: np.ndarray, windows: np.ndarray, hot_bundles: int, hot_windows: int) -> np.ndarray:
+    """Of each (anchor, bundle) the part of its anchor, from 1; 0 where the anchor is not split.  A
+    part has at most ``hot_bundles`` bundles, and at most ``hot_windows`` windows or one bundle."""
+    order = np.lexsort((owner, of))
+    of, windows = of[order], windows[order].astype(np.int64)
+    start = np.nonzero(np.append(True, of[1:] != of[:-1]))[0]
+    size = np.diff(np.append(start, len(of)))
+    total = np.add.reduceat(windows, start)
+    found = np.zeros(len(of), dtype=np.uint32)
+    for i in np.nonzero((size > hot_bundles) | (total > hot_windows))[0]:
+        part, bundles, held = 1, 0, 0
+        for at in range(start[i], start[i] + size[i]):
+            if bundles and (bundles == hot_bundles or held + windows[at] > hot_windows):
+                part, bundles, held = part + 1, 0, 0
+            found[at], bundles, held = part, bundles + 1, held + int(windows[at])
+    out = np.empty_like(found)
+    out[order] = found
+    return out
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[bytes]]]:
     """Rows (bucket, bundle, blob), sorted by bucket, a bucket at a time."""
     now, bundles, blobs = None, [], []
@@ -186,29 +210,33 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int],
         yield now, bundles, blobs
 
 
-def _repeated_batches(hot_bundles: int):
-    """For each bundle its anchors that occur again somewhere, with the number of parts each is
-    to be split into."""
+def _repeated_batches(hot_bundles: int, hot_windows: int):
+    """For each bundle its anchors that occur again somewhere, with the part of a split anchor
+    that the bundle belongs to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, bundles, blobs in _groups(batches):
-            every = np.concatenate([np.frombuffer(b, "<u8") for b in blobs])
-            owner = np.repeat(np.array(bundles, dtype=np.int64), [len(b) // 8 for b in blobs])
+            sizes = [len(b) // 12 for b in blobs]
+            every = np.concatenate([np.frombuffer(b, "<u8", n) for b, n in zip(blobs, sizes)])
+            windows = np.concatenate([np.frombuffer(b, "<u4", n, 8 * n) for b, n in zip(blobs, sizes)])
+            owner = np.repeat(np.array(bundles, dtype=np.int64), sizes)
             anchor, of, count = np.unique(every >> np.uint64(1), return_inverse=True, return_counts=True)
             again = count > 1
             again[of[(every & np.uint64(1)) == 1]] = True
-            parts = -(-count // hot_bundles)
             keep = again[of]
-            owner, of = owner[keep], of[keep]
+            owner, of, windows = owner[keep], of[keep], windows[keep]
+            if not len(of):
+                continue
+            parts = _parts(of, owner, windows, hot_bundles, hot_windows)
             own = list(_by(owner))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in own], pa.int64()), pa.array([anchor[of[r]].astype("<u8").tobytes() for _, r in own], pa.binary()),
-                 pa.array([parts[of[r]].astype("<u4").tobytes() for _, r in own], pa.binary())], names=["bundle", "anchors", "parts"])
+                 pa.array([parts[r].astype("<u4").tobytes() for _, r in own], pa.binary())], names=["bundle", "anchors", "parts"])
     return run
 
 
 # --- segments ---------------------------------------------------------------------------
 
-SEGMENT = np.dtype([("anchor", "<u8"), ("order", "<i8"), ("text", "<u4"), ("first", "<u4"), ("count", "<u4"), ("split", "u1"), ("again", "u1")])
+SEGMENT = np.dtype([("anchor", "<u8"), ("order", "<i8"), ("text", "<u4"), ("first", "<u4"), ("count", "<u4"), ("part", "<u4"), ("again", "u1")])
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -233,13 +261,12 @@ def _segment_batches(buckets: int):
                 anchor, text, first, count, twice = runs(data, sizes)
                 at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
                 keep = known[at] == anchor
-                anchor, text, first, count, many, twice = anchor[keep], text[keep], first[keep], count[keep], split[at[keep]], twice[keep]
+                anchor, text, first, count, part, twice = anchor[keep], text[keep], first[keep], count[keep], split[at[keep]], twice[keep]
                 rows = np.zeros(len(anchor), dtype=SEGMENT)
                 rows["anchor"], rows["text"], rows["first"], rows["count"] = anchor, text, first, count
-                rows["order"], rows["split"], rows["again"] = np.array(orders, dtype=np.int64)[text], many > 1, twice
+                rows["order"], rows["part"], rows["again"] = np.array(orders, dtype=np.int64)[text], part, twice
                 begin = (np.cumsum(sizes) - sizes)[text] + first
                 out = []
-                part = (bundle + (bundle >> 33) * 7919) % many.astype(np.int64)  # ids count from each partition's 2**33
                 for bucket, r in _by(_bucket(anchor, part, buckets)):
                     body = data[_ragged(begin[r], count[r] + LENGTH - 1)].tobytes()
                     out.append((bucket, pack(len(r).to_bytes(8, "little") + rows[r].tobytes() + body)))
@@ -332,18 +359,20 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int = LENGTH, lane:
 class Shards:
     """The segments of one bucket, worked through in shards of about ``SHARD_BYTES``.
 
-    Segments come sorted by anchor, then by place in the corpus, so of equal windows the one
-    further ahead in a shard, or in an earlier shard, is the earlier one."""
+    Segments come sorted by anchor and part, then by place in the corpus, so of equal windows the
+    one further ahead in a shard, or in an earlier shard, is the earlier one.  Of the anchor that
+    goes on, hashes and places of the first windows are carried, 24 bytes a window."""
 
-    def __init__(self) -> None:
-        self.carried_anchor: int | None = None
-        self.carried = np.empty(0, f"S{LENGTH}")  # sorted first windows of the anchor that goes on
+    def __init__(self, bodies: list[bytes]) -> None:
+        self.bodies, self.carried_anchor = bodies, None
+        self.carried = np.empty(0, np.uint64)  # sorted hashes of the first windows of the anchor that goes on
+        self.segment, self.place = np.empty(0, np.int64), np.empty(0, np.int64)  # where each of them stands
 
-    def repeated(self, anchors: np.ndarray, counts: np.ndarray, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """For all windows of these segments, one after the other: whether it is a repeat; and
+    def repeated(self, anchors: np.ndarray, parts: np.ndarray, counts: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``own`` are the segments' numbers in the bucket.  For all windows of these segments, one after the other: whether it is a repeat; and
         their bytes' places in ``self.data``."""
         sizes = counts + LENGTH - 1
-        self.data = data = np.frombuffer(b"".join(b + bytes([END]) for b in bodies), dtype=np.uint8)
+        self.data = data = np.frombuffer(b"".join(self.bodies[i] + bytes([END]) for i in own), dtype=np.uint8)
         begin = np.cumsum(sizes + 1) - (sizes + 1)
         windows = _ragged(begin, counts)
         number = np.full(len(data), -1)
@@ -356,19 +385,35 @@ class Shards:
         here = number[sa]
         repeat[here[here >= 0]] = (sa != first)[here >= 0]
         # Windows of the anchor that began in an earlier shard: binary search among its windows.
-        of = np.repeat(anchors, counts)
-        if self.carried_anchor is not None and len(of) and int(of[0]) == self.carried_anchor:
-            mine = np.nonzero((of == of[0]) & ~repeat)[0]
-            text = self.text(windows[mine])
-            at = np.minimum(np.searchsorted(self.carried, text), len(self.carried) - 1)
-            repeat[mine[self.carried[at] == text]] = True
-        last = of[-1]
-        kept = self.text(windows[(of == last) & ~repeat])
-        if self.carried_anchor == int(last):
-            kept = np.concatenate([self.carried, kept])
-        self.carried_anchor, self.carried = int(last), np.sort(kept)
+        new = np.append(True, (anchors[1:] != anchors[:-1]) | (parts[1:] != parts[:-1]))
+        of = np.repeat(np.cumsum(new) - 1, counts)
+        goes_on = self.carried_anchor == (int(anchors[0]), int(parts[0]))
+        hashes = _gram_hashes(data, LENGTH)
+        if goes_on:
+            mine = np.nonzero((of == 0) & ~repeat)[0]
+            repeat[mine[self.known(hashes[windows[mine]], windows[mine])]] = True
+        if not goes_on or of[-1] > 0:
+            self.carried_anchor = (int(anchors[-1]), int(parts[-1]))
+            self.carried, self.segment, self.place = self.carried[:0], self.segment[:0], self.place[:0]
+        kept = np.nonzero((of == of[-1]) & ~repeat)[0]
+        owner = np.repeat(np.arange(len(own)), counts)[kept]
+        fresh = hashes[windows[kept]]
+        order = np.argsort(fresh, kind="stable")
+        at = np.searchsorted(self.carried, fresh[order])
+        self.carried = np.insert(self.carried, at, fresh[order])
+        self.segment = np.insert(self.segment, at, own[owner[order]])
+        self.place = np.insert(self.place, at, (windows[kept] - begin[owner])[order])
         return repeat, windows
 
+    def known(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which windows (their hashes, their places in ``self.data``) are among the carried ones."""
+        found = np.zeros(len(hashes), dtype=bool)
+        low, high = np.searchsorted(self.carried, hashes), np.searchsorted(self.carried, hashes, side="right")
+        for i in np.nonzero(high > low)[0]:
+            text = self.data[at[i]:at[i] + LENGTH].tobytes()
+            found[i] = any(self.bodies[self.segment[j]].startswith(text, self.place[j]) for j in range(low[i], high[i]))
+        return found
+
     def text(self, at: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(self.data[at[:, None] + np.arange(LENGTH)]).view(f"S{LENGTH}").ravel()
 
@@ -388,26 +433,27 @@ def _shard_batches(shard_bytes: int):
                 at += size
         rows = np.concatenate(tables)
         bundle = np.repeat(np.array(bundles, dtype=np.int64), [len(t) for t in tables])
-        order = np.lexsort((rows["first"], rows["text"], bundle, rows["order"], rows["anchor"]))
-        first_seen: dict[bytes, int] = {}
+        order = np.lexsort((rows["first"], rows["text"], bundle, rows["order"], rows["part"], rows["anchor"]))
+        first_seen: dict[tuple[int, bytes], int] = {}
+        part_of = rows["part"].tolist()
         lead, spans = [], []
-        for i in order:  # equal segments: all windows but the first one's are repeats
-            if first_seen.setdefault(bodies[i], i) == i:
+        for i in order:  # equal segments of a part: all windows but the first one's are repeats
+            if first_seen.setdefault((part_of[i], bodies[i]), i) == i:
                 lead.append(i)
             else:
                 spans.append((i, int(rows["first"][i]), int(rows["first"][i]) + len(bodies[i])))
         lead = np.array(lead, dtype=np.int64)
         # What was said of anchors holds again: a lone segment whose anchor stands at one place has no repeats.
         same = rows["anchor"][lead][1:] == rows["anchor"][lead][:-1]
-        lone = ~(np.append(same, False) | np.append(False, same)) & (rows["again"][lead] == 0) & (rows["split"][lead] == 0)
+        lone = ~(np.append(same, False) | np.append(False, same)) & (rows["again"][lead] == 0) & (rows["part"][lead] == 0)
         lead = lead[~lone]
         held = np.cumsum([0, *(len(bodies[i]) for i in lead)])[1:]
-        shards, kept = Shards(), []
+        shards = Shards(bodies)
         for part in np.split(lead, np.searchsorted(held, np.arange(shard_bytes, held[-1] if len(held) else 0, shard_bytes))):
             if not len(part):
                 continue
             counts = rows["count"][part].astype(np.int64)
-            repeat, windows = shards.repeated(rows["anchor"][part], counts, [bodies[i] for i in part])
+            repeat, windows = shards.repeated(rows["anchor"][part], rows["part"][part], counts, part)
             owner = np.repeat(np.arange(len(part)), counts)
             place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
             edge = np.nonzero(np.append(True, (repeat[1:] != repeat[:-1]) | (owner[1:] != owner[:-1])))[0]
@@ -416,18 +462,16 @@ def _shard_batches(shard_bytes: int):
                     i = part[owner[a]]
                     begin = int(rows["first"][i]) + int(place[a])
                     spans.append((i, begin, begin + int(b - a) + LENGTH - 1))
-            stay = np.nonzero(~repeat & (rows["split"][part] == 1)[owner])[0]
+            stay = np.nonzero(~repeat & (rows["part"][part] > 0)[owner])[0]
             if len(stay):
                 own = part[owner[stay]]
-                kept.append((bundle[own], rows["order"][own], rows["text"][own], rows["first"][own].astype(np.int64) + place[stay],
-                             shards.text(windows[stay])))
+                yield _answer(bundle[own], None, rows["order"][own], rows["text"][own], rows["first"][own].astype(np.int64) + place[stay],
+                              [x.ljust(LENGTH, b"\0") for x in shards.text(windows[stay]).tolist()])
         if spans:
             owner = np.array([s[0] for s in spans])
             table = np.stack([rows["text"][owner].astype(np.int64), [s[1] for s in spans], [s[2] for s in spans]], axis=1).astype("<i8")
             own = list(_by(bundle[owner]))
             yield _answer([b for b, _ in own], [table[r].tobytes() for _, r in own])
-        for b, o, t, f, w in kept:
-            yield _answer(list(b), None, o, t, f, [x.ljust(LENGTH, b"\0") for x in w.tolist()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, bundles, blobs in _groups(batches):
@@ -480,7 +524,7 @@ def _cut_batches(kind: pa.DataType):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_bundles: int = HOT_BUNDLES,
-                   shard_bytes: int = SHARD_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, bundle_bytes: int = BUNDLE_BYTES, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """``doc_id, n_bytes, spans`` (of removed bytes: begin, finish) and ``kept`` (the other bytes)
     for every row of ``docs``.
 
@@ -501,7 +545,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     anchors = bundles.select("bundle", "sizes", "data").mapInArrow(_anchor_batches(buckets), "bucket long, bundle long, blob binary")
     again = (anchors.repartition(parts, "bucket").sortWithinPartitions("bucket")
-             .mapInArrow(_repeated_batches(hot_bundles), "bundle long, anchors binary, parts binary"))
+             .mapInArrow(_repeated_batches(hot_bundles, hot_windows), "bundle long, anchors binary, parts binary"))
     again = again.groupBy("bundle").agg(F.collect_list("anchors").alias("anchors"), F.collect_list("parts").alias("parts"))
     again = land(again, "suffix_anchors")
     segments = (bundles.join(again, "bundle").select("bundle", "sizes", "orders", "data", "anchors", "parts")

@@ -157,6 +157,50 @@ def test_suffix_dedup_equals_brute_force(spark, hot, shard, bundle):
     assert Counter(tuple(r) for r in got) == repeats(rows)
 
 
+def test_parts_of_an_anchor_are_bounded_by_windows():
+    of, owner = np.repeat([0, 1, 2], [6, 3, 5]), np.array([5, 0, 1, 2, 3, 4, 0, 1, 2, 4, 3, 2, 1, 0])
+    windows = np.array([9, 4, 4, 4, 4, 30, 2, 2, 2, 1, 1, 1, 1, 1])
+    got = suffix_dedup._parts(of, owner, windows, hot_bundles=4, hot_windows=10)
+    assert got.tolist() == [4, 1, 1, 2, 2, 3, 0, 0, 0, 2, 1, 1, 1, 1]
+
+
+def common_line(n=400, seed=5):
+    """A line too short to go by itself, each time in another context, and some exact copies."""
+    rng = random.Random(seed)
+    line = "a line of boilerplate shared by many documents, 64 bytes.."
+    rows = [(i, "".join(rng.choices("bcdfghjkmnpqrstvwxyz", k=90)) + line + "".join(rng.choices("BCDFGHJKMNPQRSTVWXYZ", k=90))) for i in range(n)]
+    return rows + [(n + i, rows[7 * i][1][20:] + "tail") for i in range(n // 10)]
+
+
+def test_a_common_line_is_split_by_its_windows(spark):
+    rows = common_line()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, shard_bytes=1 << 12, bundle_bytes=1 << 12, hot_windows=500)).collect()
+    assert Counter(tuple(r) for r in got) == repeats(rows)
+
+
+def test_windows_carried_over_shards_are_held_as_numbers():
+    import zstandard
+
+    rows = common_line(3000)
+    data = [r[1].encode() for r in rows]
+    held = np.frombuffer(b"".join(data), np.uint8)
+    anchor, text, first, count, again = suffix_dedup.runs(held, np.array([len(d) for d in data]))
+    hot = Counter(anchor.tolist()).most_common(1)[0][0]
+    keep = anchor == hot
+    table = np.zeros(keep.sum(), dtype=suffix_dedup.SEGMENT)
+    table["anchor"], table["text"], table["first"], table["count"], table["again"] = anchor[keep], text[keep], first[keep], count[keep], again[keep]
+    table["order"], table["part"] = text[keep], 1
+    bodies = [data[t][f:f + c + 99] for t, f, c in zip(table["text"], table["first"], table["count"])]
+    blob = zstandard.compress(len(table).to_bytes(8, "little") + table.tobytes() + b"".join(bodies))
+    batch = suffix_dedup.pa.RecordBatch.from_pydict({"bucket": [0], "bundle": [0], "blob": [blob]})
+    out = list(suffix_dedup._shard_batches(1 << 14)(iter([batch])))
+    stay = [b.num_rows for b in out if b.column("bytes").null_count == 0]
+    assert len(stay) > 10 and max(stay) <= 1 << 14  # a batch per shard
+    distinct = {b[i:i + 100] for b in bodies for i in range(len(b) - 99)}
+    assert sum(stay) == len(distinct)
+
+
 def test_the_sql_of_the_suffix_dedup_equals_brute_force():
     import duckdb
     import pandas as pd
