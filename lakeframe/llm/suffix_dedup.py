@@ -33,6 +33,7 @@ from .common import land, shuffle_partitions
 LENGTH, GRAM = 100, 32
 BUNDLE_BYTES = 1 << 20
 SHARD_BYTES = 1 << 18
+BUCKET_BYTES = 1 << 27  # of text whose anchors, or repeated segments, one task holds at once
 HOT_BUNDLES, HOT_WINDOWS = 4096, 1 << 20
 END = 0xFF  # never a byte of UTF-8, so no common prefix of LENGTH text bytes reaches over it
 
@@ -158,6 +159,12 @@ def _by(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[part[0]]), part
 
 
+def _buckets(bundles: DataFrame, least: int, bucket_bytes: int) -> int:
+    """Buckets for all anchors, so that the part of the text a bucket stands for is of a fixed size."""
+    held = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)
+    return max(least, -(-(bundles.agg(F.sum(held)).first()[0] or 0) // bucket_bytes))
+
+
 def _anchor_batches(buckets: int):
     """Of each bundle, its distinct anchors by bucket, with their numbers of windows; the lowest
     bit tells that it occurs again."""
@@ -524,7 +531,8 @@ def _cut_batches(kind: pa.DataType):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_bundles: int = HOT_BUNDLES,
-                   shard_bytes: int = SHARD_BYTES, bundle_bytes: int = BUNDLE_BYTES, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, bundle_bytes: int = BUNDLE_BYTES, hot_windows: int = HOT_WINDOWS,
+                   bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc_id, n_bytes, spans`` (of removed bytes: begin, finish) and ``kept`` (the other bytes)
     for every row of ``docs``.
 
@@ -541,7 +549,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bundles = rows.mapInArrow(_bundle_batches(bundle_bytes), f"ids array<{kind}>, orders array<long>, sizes array<long>, data binary")
     bundles = land(bundles.withColumn("bundle", F.monotonically_increasing_id()), "suffix_bundles")
     parts = shuffle_partitions(spark)
-    buckets = 2 * parts
+    buckets = _buckets(bundles, 2 * parts, bucket_bytes)
 
     anchors = bundles.select("bundle", "sizes", "data").mapInArrow(_anchor_batches(buckets), "bucket long, bundle long, blob binary")
     again = (anchors.repartition(parts, "bucket").sortWithinPartitions("bucket")

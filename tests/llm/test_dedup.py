@@ -164,6 +164,16 @@ def test_parts_of_an_anchor_are_bounded_by_windows():
     assert got.tolist() == [4, 1, 1, 2, 2, 3, 0, 0, 0, 2, 1, 1, 1, 1]
 
 
+def test_buckets_follow_the_size_of_the_input(spark, monkeypatch):
+    rows, used = passages(), []
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    batches = suffix_dedup._segment_batches
+    monkeypatch.setattr(suffix_dedup, "_segment_batches", lambda buckets: used.append(buckets) or batches(buckets))
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, bucket_bytes=500)).collect()
+    assert Counter(tuple(r) for r in got) == repeats(rows)
+    assert used == [-(-sum(len((t or "").encode()) for _, t in rows) // 500)]
+
+
 def common_line(n=400, seed=5):
     """A line too short to go by itself, each time in another context, and some exact copies."""
     rng = random.Random(seed)
