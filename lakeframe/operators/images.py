@@ -17,34 +17,58 @@ from pyspark.sql import functions as F
 from lakeframe.functions.headers import TYPE_IMAGE, build_headers
 from lakeframe.functions.pixels import bgr_to_rgb, resize_bilinear
 from lakeframe.operators.routing import route_by_extension
-from lakeframe.sinks.objects import qualify, read_objects
+from lakeframe.session import scratch
+from lakeframe.sinks.objects import copy_objects, list_objects, qualify, read_objects
 
 
-def _decoded(spark: SparkSession, root: str) -> DataFrame:
-    """Decodable image files directly under ``root``, by name."""
+def _listed(spark: SparkSession, root: str) -> DataFrame:
+    """What the image source reads directly under ``root``: decodable files whose names do not
+    begin with ``.`` or ``_``."""
     img = spark.read.format("image").option("dropInvalid", True).load(qualify(spark, root))
     # an origin is URL-encoded
     name = F.url_decode(F.replace(F.substring_index("image.origin", "/", -1), F.lit("+"), F.lit("%2B")))
     return img.withColumn("name", name)
 
 
+def _decoded(spark: SparkSession, root: str) -> DataFrame:
+    """Decodable image files directly under ``root``, by name.  Those whose names begin with ``.``
+    or ``_`` are copied, in this call, under escaped names to a scratch folder and read there."""
+    hidden = F.col("name").rlike("^[._]")
+    files = route_by_extension(list_objects(spark, root), "name").where(F.col("is_image") & hidden)
+    seen = _listed(spark, root)
+    if files.isEmpty():
+        return seen
+    copies = scratch(spark, "hidden_images")
+    escaped = files.select("path", F.concat(F.lit("x"), "name").alias("name"))
+    failed = copy_objects(escaped, f"{copies}/files", f"{copies}/status").where("status <> 'ok'").first()
+    if failed:
+        raise OSError(f"{failed.name[1:]}: {failed.error}")
+    return seen.where(~hidden).unionByName(_listed(spark, f"{copies}/files").withColumn("name", F.expr("substring(name, 2)")))
+
+
 def image_dimensions(spark: SparkSession, root: str) -> DataFrame:
     """``name, height, width, n_channels`` of every decodable image file directly under ``root``
-    (S10, S14).  The source skips files that it cannot decode and names that begin with ``_``
-    or ``.``; :func:`image_envelopes` reports them."""
-    return _decoded(spark, root).select("name", F.col("image.height").alias("height"), F.col("image.width").alias("width"),
-                                        F.col("image.nChannels").alias("n_channels"))
+    (S10, S14).  Files that cannot be decoded are skipped; :func:`image_envelopes` reports them."""
+    return _dimensions(_decoded(spark, root))
+
 
+def _dimensions(images: DataFrame) -> DataFrame:
+    return images.select("name", F.col("image.height").alias("height"), F.col("image.width").alias("width"),
+                         F.col("image.nChannels").alias("n_channels"))
 
-def image_envelopes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+
+def image_envelopes(spark: SparkSession, root: str, hidden: bool = False) -> tuple[DataFrame, DataFrame]:
     """Image files -> ``(envelopes, rejected)`` (R1, F3): listing, routing by extension (F1),
     dimensions from the decoder, the stored bytes as the payload.
 
     ``rejected`` has every image-named file that the decoder does not take, with a reason
     (``name, n_bytes, reason``); each such file is in exactly one of the two.  The stored bytes
-    move once, to join the dimensions, unless those are small enough to be broadcast."""
+    move once, to join the dimensions, unless those are small enough to be broadcast.
+
+    Files whose names begin with ``.`` or ``_`` are only decoded with ``hidden``; without it they
+    are rejected as undecodable, as the SQL of ``image_outcomes`` has it."""
     files = route_by_extension(read_objects(spark, root), "name").where("is_image")
-    joined = files.join(image_dimensions(spark, root), "name", "left")
+    joined = files.join(_dimensions(_decoded(spark, root) if hidden else _listed(spark, root)), "name", "left")
     known = F.col("height").isNotNull()
     envelopes = joined.where(known).select(
         F.lit(None).cast("binary").alias("key"),

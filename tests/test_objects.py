@@ -151,6 +151,28 @@ def test_every_image_file_is_an_envelope_or_rejected(spark, tmp_path):
                                                               ".hidden.png": "undecodable", "_under.png": "undecodable"}
 
 
+def test_images_of_hidden_names_are_decoded(spark, tmp_path):
+    from lakeframe.functions.headers import metadata_projection
+    from lakeframe.operators.images import image_envelopes, resize_to_headers
+    d = tmp_path / "im gs"
+    d.mkdir()
+    png = encode_png(np.full((4, 6, 3), 9, dtype=np.uint8))
+    names = [".h.png", "_u.png", "_a=b.png", "._é %20+#.png", "x.png", "x.h.png"]
+    for name in names:
+        (d / name).write_bytes(png)
+    (d / ".cut.png").write_bytes(png[:30])
+    (d / "_empty.png").write_bytes(b"")
+    (d / ".no.txt").write_bytes(b"text")
+    assert sorted(r.name for r in image_dimensions(spark, str(d)).collect()) == sorted(names)
+    meta = spark.createDataFrame([(n, 2, 3) for n in [*names, ".cut.png"]], "media_name string, original_height int, original_width int")
+    resized, rejected = resize_to_headers(spark, str(d), meta)
+    assert sorted((r.name, r.height, r.r_sum) for r in resized.collect()) == sorted((n, 2, 9 * 6) for n in names)
+    assert [(r.media_name, r.reason) for r in rejected.collect()] == [(".cut.png", "no_image")]
+    envelopes, rejected = image_envelopes(spark, str(d), hidden=True)
+    assert sorted(tuple(r) for r in metadata_projection(envelopes).collect()) == sorted((n, 4, 6) for n in names)
+    assert {r.name: r.reason for r in rejected.collect()} == {".cut.png": "undecodable", "_empty.png": "empty_payload"}
+
+
 def test_listing_is_files_only_one_level(spark, tmp_path):
     (tmp_path / "sub" / "deep").mkdir(parents=True)
     (tmp_path / "a.jpg").write_bytes(b"a")
