@@ -289,19 +289,28 @@ def held_out(id_col: str) -> Column:
 def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Model:
     """Fit on labelled rows that are not held out.  ``sample_chars`` bounds the expected number
-    of characters drawn over all languages; four fifths are counted, one fifth calibrates.
+    of characters drawn over all languages; four fifths are counted, one fifth calibrates.  Of each
+    language the row with a letter that the draw reaches first is always counted, so that no
+    labelled language leaves the model.
     With no labelled row the model has no language and rejects every text."""
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), held_out(id_col).alias("out"),
                        F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("h"))
     rows = rows.where("NOT out AND lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text"))).collect() if r[1]}
+    place = F.pmod("h", F.lit(1 << 40))
+    found = rows.groupBy("lang").agg(F.sum(F.length("text")), F.min(F.when(F.col("text").rlike(r"\p{L}"), place))).collect()
+    sizes, firsts = {r[0]: r[1] for r in found if r[1]}, {r[0]: r[2] for r in found if r[2] is not None}
     if not sizes:
         return Model([], [], [], np.zeros(0), np.zeros(0), np.ones(0))
     share = sample_chars / len(sizes)
     limits = {lang: min(1.0, share / n) for lang, n in sizes.items()}
     limit = F.coalesce(F.create_map(*[F.lit(x) for lang, part in sorted(limits.items()) for x in (lang, part)])[F.col("lang")], F.lit(0.0))
-    drawn = rows.where(F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40)) < limit).select("text", "lang", F.pmod("h", F.lit(5)).alias("part"))
+    first = F.lit(False)
+    if firsts:
+        ahead = F.create_map(*[F.lit(x) for lang, h in sorted(firsts.items()) for x in (lang, h)])[F.col("lang")]
+        first = F.coalesce(place == ahead, F.lit(False))
+    part = F.when(first, F.lit(1)).otherwise(F.pmod("h", F.lit(5)))
+    drawn = rows.where(first | (place / F.lit(float(1 << 40)) < limit)).select("text", "lang", part.alias("part"))
     counted = drawn.where("part <> 0").select("text", "lang").mapInArrow(_gram_batches, "lang string, gram binary, n long")
     found = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     counts = {}

@@ -106,6 +106,16 @@ def test_language_of_hard_rows(spark, hard, empty):
     assert all(r.rejected and r.lang_pred == "und" for r in language_id.identify(hard, none).collect())
 
 
+def test_every_labelled_language_is_learned(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, "en", 50), "en") for i in range(300)]
+    rows += [(1000 + i, prose(rng, "de", 3000), f"long{i // 3}") for i in range(30)] + [(2000 + i, prose(rng, "de", 20), f"lone{i}") for i in range(20)]
+    rows += [(3000, "123", "few"), (3001, "", "few"), (3002, "ein wort", "few"), (3003, "456", "few")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = docs.where(~language_id.held_out("doc_id") & docs.text.rlike("[a-z]")).select("lang").distinct().collect()
+    assert language_id.train(docs, sample_chars=20_000).languages == sorted(r.lang for r in want)
+
+
 def test_noise_is_rejected(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.train(docs)
