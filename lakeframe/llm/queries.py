@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from lakeframe.session import read_table
 
-from . import exact_dedup, language_id, mixing, packing, secret_scan, sharding, simhash, sketches, suffix_dedup, url_filter
+from . import (alignment, exact_dedup, jaccard_join, language_id, mixing, packing, secret_scan, sharding, simhash, sketches, suffix_dedup,
+               url_filter, whitening)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +77,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"), URL_RULES, url_filter.train(labelled_urls(spark)))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_join(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_simhash, op3_reshard, op4_exact_dedup, op5_pack, op6_language_id, op7_sketches,
-                                   op8_secret_scan, op9_suffix_dedup, op10_url_filter)}
+                                   op8_secret_scan, op9_suffix_dedup, op10_url_filter, op11_jaccard_join, op12_align_tokenizers, op13_whitening)}
 
 ORACLES = {"op1_mix_sources": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_secret_scan": secret_scan.oracle(),
            "op9_suffix_dedup": suffix_dedup.ORACLE}
