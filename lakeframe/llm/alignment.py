@@ -11,6 +11,7 @@ corpus by Spark, and a second pass over the landed ids looks the counts up: the
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,6 @@ class Vocabularies:
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
-        import json
 
         self.a = tokenizer(a_path).fast  # plain text only: strings of special tokens are text
         plain = _byte_alphabet()
@@ -54,6 +54,8 @@ class Vocabularies:
         decimal = [str(i).encode() for i in range(most)]
         self.shown = [d + end for end in (b",", b"|", b";") for d in decimal]
         self.most = most
+        if most > 1 << 16:
+            raise ValueError("ids are kept in 16 bits")
 
     def encode(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of both, or none where their bytes differ from space and text."""
@@ -159,6 +161,16 @@ def _encode_batches(a_path: str, b_path: str):
     return run
 
 
+def _packed(counts: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """Ids of each row as a binary of little-endian unsigned 16-bit numbers."""
+    ends = np.append(0, np.cumsum(2 * counts)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u2"))])
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2")
+
+
 def _align_part(voc: Vocabularies, part: pa.RecordBatch) -> pa.RecordBatch:
     ids = [voc.encode(t) for t in part.column("text").to_pylist()]
     n_a, n_b = (np.array([len(x[s]) for x in ids], dtype=np.int64) for s in (0, 1))
@@ -180,27 +192,27 @@ def _align_part(voc: Vocabularies, part: pa.RecordBatch) -> pa.RecordBatch:
             shown = b"".join(map(voc.shown.__getitem__, listed[at:stop]))
             digests[i] = hashlib.sha256(shown[:-1]).hexdigest()
             at = stop
-    lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(x.astype(np.int32)))
-             for n, x in ((n_a, a), (n_b, b))]
+    lists = [_packed(n, x) for n, x in ((n_a, a), (n_b, b))]
     return pa.RecordBatch.from_arrays(
         [part.column("doc_id"), part.column("row"), *(pa.array(x) for x in (n_a, n_b, n_groups, n_links)), pa.array(digests), *lists],
         names=["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a_ids", "b_ids"])
 
 
 def encode(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row, n_a, n_b, n_groups, n_links, groups_sha256, a_ids, b_ids`` per row."""
+    """``doc_id, row, n_a, n_b, n_groups, n_links, groups_sha256, a_ids, b_ids`` per row; ids as
+    little-endian unsigned 16-bit numbers, so vocabularies have 65536 ids at most."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                        F.octet_length(text_of(text_col)).alias("length"), F.monotonically_increasing_id().alias("row"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(_encode_batches(a_path, b_path), (
-        f"doc_id {kind}, row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a_ids array<int>, b_ids array<int>"))
+        f"doc_id {kind}, row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a_ids binary, b_ids binary"))
 
 
 # --- counts of id pairs -----------------------------------------------------------------
 
 def _link_keys(voc: Vocabularies, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Keys ``a << 16 | b`` of all links of the rows, and the end of each row's links."""
-    a, b = (part.column(c).flatten().to_numpy() for c in ("a_ids", "b_ids"))
+    a, b = (_unpacked(part.column(c)) for c in ("a_ids", "b_ids"))
     ends = np.cumsum(part.column("n_links").to_numpy())
     if not len(a):
         return np.empty(0, "<u4"), ends
@@ -301,8 +313,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
             break
         least, held = k, held + many
     kept = pairs.where(level >= least) if least is not None else pairs.where("false")
-    frame = kept.select("key", "n").toPandas().sort_values("key")  # at most ``table`` rows
-    shared = spark.sparkContext.broadcast((frame["key"].to_numpy().astype("<u4"), frame["n"].to_numpy().astype("<i8"), highest))
+    frame = kept.select("key", "n").toArrow().sort_by("key")  # at most ``table`` rows
+    shared = spark.sparkContext.broadcast((frame["key"].to_numpy().astype("<u4"), frame["n"].to_numpy(), highest))
     kind = tokens.schema["doc_id"].dataType.simpleString()
     found = tokens.select(*OUT, "a_ids", "b_ids").mapInArrow(_lookup_batches(a_path, b_path, shared), (
         f"doc_id {kind}, row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, rare array<long>"))

@@ -115,9 +115,9 @@ def _cell_batches(words: int):
 
 def token_counts(rows: DataFrame, words: int) -> np.ndarray:
     """Counters of all shingles by the upper bits of their hash; a table of fixed size."""
-    found = rows.select("text").mapInArrow(_cell_batches(words), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.select("text").mapInArrow(_cell_batches(words), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << CELL_BITS, np.int64)
-    out[found["cell"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
+    out[found["cell"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
