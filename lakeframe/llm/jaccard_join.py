@@ -353,3 +353,22 @@ def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     named = named.join(firsts, "root").select("n", "d1", "d2", F.col("first.doc_id").alias("component_id"), "root")
     out = sets.select(KEY1, KEY2, "doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), KEY1, KEY2)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN []
+    ELSE list_distinct([array_to_string(words[i:i + 2], ' ') FOR i IN range(1, greatest(len(words) - 2, 1) + 1)]) END AS tokens FROM w),
+t AS MATERIALIZED (SELECT r, len(tokens) AS n, unnest(tokens) AS token FROM s),
+links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM t a JOIN t b ON a.token = b.token AND a.r < b.r
+  WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(r, other) AS (SELECT r, r FROM s UNION SELECT reach.r, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a)
+SELECT s.doc_id, len(s.tokens) AS n_shingles, min(o.doc_id) AS component_id
+FROM s JOIN reach USING (r) JOIN s o ON o.r = reach.other GROUP BY s.r, s.doc_id, s.tokens
+"""

@@ -96,4 +96,4 @@ QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_simhash, op3_reshard, op
                                    op8_secret_scan, op9_suffix_dedup, op10_url_filter, op11_jaccard_join, op12_align_tokenizers, op13_whitening)}
 
 ORACLES = {"op1_mix_sources": mixing.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_secret_scan": secret_scan.oracle(),
-           "op9_suffix_dedup": suffix_dedup.ORACLE}
+           "op9_suffix_dedup": suffix_dedup.ORACLE, "op11_jaccard_join": jaccard_join.ORACLE}

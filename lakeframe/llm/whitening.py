@@ -35,8 +35,10 @@ def clean_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     fits = F.forall(F.col("v"), lambda c: F.abs(c) * SCALE < F.lit(float(LARGEST)))
     whole = F.transform(F.col("v"), lambda c: (F.floor(c * SCALE) + SHIFT).cast("long"))
     found = rows.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
-    found = found.where(F.col("v").isNotNull() & finite)
-    return found.select("vec_id", F.when(fits, whole).otherwise(F.raise_error(F.lit("embedding entry too large to whiten exactly"))).alias("x"))
+    too_large = F.raise_error(F.lit("embedding entry too large to whiten exactly")).cast("array<bigint>")
+    # One expression, so that no reordering of filters lets a row that goes reach the error.
+    x = F.when(F.col("v").isNull() | ~finite, F.lit(None).cast("array<bigint>")).when(fits, whole).otherwise(too_large)
+    return found.select("vec_id", x.alias("x")).where("x IS NOT NULL")
 
 
 def usual_size(vectors: DataFrame) -> int:
