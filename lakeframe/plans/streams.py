@@ -14,15 +14,17 @@ from lakeframe.operators.frames import latest_per_name, split_frames, write_orde
 from lakeframe.plans.standins import document_envelopes, event_envelopes, frame_envelopes, keyed_frame_envelopes
 from lakeframe.session import scratch
 from lakeframe.sinks.objects import read_objects
-from lakeframe.sources.envelopes import high_water_marks, publish, publish_order, read_envelopes, start_position
+from lakeframe.sources.envelopes import high_water_marks, publish, publish_in_order, read_envelopes, start_position
 from lakeframe.streaming.landing import append_stream, await_all, object_stream
 from lakeframe.streaming.reassembly import assemble_stream as assemble_frames
-from lakeframe.streaming.reassembly import published_frames
+from lakeframe.streaming.reassembly import pending_frames, published_frames, reassemble_stream
 
 # Fixed value: the instant that splits the events into a first and a second drop.
 SECOND_DROP_FROM = "2024-01-16 00:00:00"
 # Parts in which frame topics are published, each followed by a run of the stream.
 DROPS, ORDERED_DROPS = 2, 4
+# Fixed value: frames with fewer payload bytes lose their payload in ``frame_outcomes``.
+SHORT_PAYLOAD = 100
 
 
 def _replay(spark: SparkSession, topic: str) -> DataFrame:
@@ -91,16 +93,20 @@ def start_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/table")
 
 
-def _assembled(spark: SparkSession, root: str, envelopes: DataFrame, mode: str, drops: int, land_frames: bool = False) -> DataFrame:
+def _run_topic(spark: SparkSession, root: str, envelopes: DataFrame, drops: int, outputs) -> None:
     """Publishes the envelopes in the topic's order, a part at a time, and after each part runs
-    the streams on their checkpoints: media are assembled, records that are no frames land as
-    rejected and, if asked for, the frames as a table.  Returns the assembled media."""
-    for part in publish_order(envelopes, drops):
-        publish(part, f"{root}/topic")
+    the streams ``outputs(frames)`` (name -> stream) on their checkpoints; records that are no
+    frames land as ``rejected``."""
+    for _ in publish_in_order(envelopes, f"{root}/topic", drops):
         frames, rejected = split_frames(_replay(spark, f"{root}/topic"))
-        # copies may come after their media was emitted
-        sinks = {"assembled": assemble_frames(frames, mode, tombstones=mode == "complete"), "rejected": rejected} | ({"frames": frames} if land_frames else {})
+        sinks = outputs(frames) | {"rejected": rejected}
         await_all([append_stream(df, f"{root}/{name}", f"{root}/checkpoints/{name}") for name, df in sinks.items()])
+
+
+def _assembled(spark: SparkSession, root: str, envelopes: DataFrame, mode: str, drops: int, land_frames: bool = False) -> DataFrame:
+    """The media assembled from the envelopes; with ``land_frames`` the frames land as a table."""
+    _run_topic(spark, root, envelopes, drops,
+               lambda frames: {"assembled": assemble_frames(frames, mode)} | ({"frames": frames} if land_frames else {}))
     return spark.read.parquet(f"{root}/assembled")
 
 
@@ -108,7 +114,23 @@ def assemble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Permuted, partly redelivered frames over several micro-batches -> assembled media
     (T1, K11): same result as the batch assembly."""
     envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user")
-    return _assembled(spark, scratch(spark, "assemble_stream"), envelopes, "complete", DROPS).drop("published_until")
+    return _assembled(spark, scratch(spark, "assemble_stream"), envelopes, "complete", DROPS).drop("published_since", "published_until")
+
+
+def frame_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every published frame, by media: assembled, a copy, rejected (its payload
+    was lost) or pending in the state (T1, F3)."""
+    root = scratch(spark, "frame_outcomes")
+    whole = F.octet_length("value") >= SHORT_PAYLOAD
+    envelopes = frame_envelopes(spark, sf_dir, redeliver_role="user").withColumn("value", F.when(whole, F.col("value")))
+    _run_topic(spark, root, envelopes, DROPS, lambda frames: {"outcomes": reassemble_stream(frames)})
+    count = lambda df, outcome: df.select("media_name", F.lit(outcome).alias("outcome"), F.col("n_frames").alias("n"))
+    outcomes = spark.read.parquet(f"{root}/outcomes").select("media_name", "outcome", F.col("n_frames").alias("n"))
+    rejected = spark.read.parquet(f"{root}/rejected").withColumn("n_frames", F.lit(1).cast("long"))
+    every = outcomes.unionByName(count(rejected, "rejected")).unionByName(count(pending_frames(spark, f"{root}/checkpoints/outcomes"), "pending"))
+    kinds = ("assembled", "copies", "rejected", "pending")
+    return every.groupBy("media_name").agg(*[F.sum(F.when(F.col("outcome") == k, F.col("n")).otherwise(0)).alias(k) for k in kinds],
+                                           F.sum("n").alias("published"))
 
 
 def assembled_sequences_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +150,7 @@ def assemble_stream_on_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrives.  With frames keyed by media (one partition, in order), over several micro-batches
     in the topic's order, it equals the complete assembly."""
     root = scratch(spark, "assemble_stream_on_last")
-    return _assembled(spark, root, keyed_frame_envelopes(spark, sf_dir), "on_last", ORDERED_DROPS).drop("published_until")
+    return _assembled(spark, root, keyed_frame_envelopes(spark, sf_dir), "on_last", ORDERED_DROPS).drop("published_since", "published_until")
 
 
 def object_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,6 +184,7 @@ QUERIES = {
     "stream_restart": stream_restart,
     "start_latest": start_latest,
     "assemble_stream": assemble_stream,
+    "frame_outcomes": frame_outcomes,
     "assembled_sequences_stream": assembled_sequences_stream,
     "assemble_stream_on_last": assemble_stream_on_last,
     "object_sink_roundtrip": object_sink_roundtrip,
@@ -193,6 +216,15 @@ SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name,
        CAST((conv_id % 3) * 5 + 20 AS INTEGER) AS fps, 48 AS height, 64 AS width,
        CAST(sum(CAST(('0x' || substr(md5(CAST(turn AS VARCHAR) || ':' || text), 1, 15)) AS BIGINT)) AS VARCHAR) AS digest
 FROM conversations GROUP BY conv_id""",
+    "frame_outcomes": f"""
+WITH f AS (SELECT conv_id, strlen(text) >= {SHORT_PAYLOAD} AS whole, CASE WHEN role = 'user' THEN 1 ELSE 0 END AS again FROM conversations)
+SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name,
+       CASE WHEN bool_and(whole) THEN count(*) ELSE 0 END AS assembled,
+       CAST(sum(CASE WHEN whole THEN again ELSE 0 END) AS BIGINT) AS copies,
+       CAST(sum(CASE WHEN whole THEN 0 ELSE 1 + again END) AS BIGINT) AS rejected,
+       CASE WHEN bool_and(whole) THEN 0 ELSE count(*) FILTER (whole) END AS pending,
+       CAST(sum(1 + again) AS BIGINT) AS published
+FROM f GROUP BY conv_id""",
     "assembled_sequences_stream": """
 SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name, 1 AS publication, CAST(turn AS INTEGER) AS pos,
        CAST(turn AS INTEGER) AS frame_id, md5(text) AS md5, CAST((conv_id % 3) * 5 + 20 AS INTEGER) AS fps, 48 AS height, 64 AS width

@@ -47,8 +47,8 @@ STORED_OBJECT = T.StructType([
     T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
 ])
 
-# T1 output: one row per assembled media and publication; ``published_until`` is the latest
-# producer timestamp among its frames.
+# T1 output: one row per assembled media and publication; ``published_since`` and
+# ``published_until`` are the earliest and latest producer timestamp among its frames.
 ASSEMBLED = T.StructType([
     T.StructField("media_name", T.StringType()),
     T.StructField("n_frames", T.LongType()),
@@ -57,5 +57,6 @@ ASSEMBLED = T.StructType([
     T.StructField("height", T.IntegerType()),
     T.StructField("width", T.IntegerType()),
     T.StructField("digest", T.StringType()),
+    T.StructField("published_since", T.TimestampType()),
     T.StructField("published_until", T.TimestampType()),
 ])

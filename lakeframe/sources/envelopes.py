@@ -8,6 +8,8 @@ replayed with the file stream source.  Envelopes are built from tables with
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,15 +60,19 @@ def publish(envelopes: DataFrame, path: str) -> None:
     out.repartitionByRange("partition", "offset").sortWithinPartitions("partition", "offset").write.mode("append").parquet(path)
 
 
-def publish_order(envelopes: DataFrame, drops: int) -> list[DataFrame]:
-    """The envelopes in ``drops`` consecutive ranges of offsets: published one after the other
-    they arrive in the topic's order (a stored topic is replayed by file time)."""
-    cuts = envelopes.agg(F.percentile_approx("offset", [i / drops for i in range(1, drops)])).first()[0] or []
-    parts, rest = [], F.lit(True)
-    for cut in sorted(set(cuts)):
-        parts.append(envelopes.where(rest & (F.col("offset") <= cut)))
-        rest = F.col("offset") > cut
-    return [*parts, envelopes.where(rest)]
+def publish_in_order(envelopes: DataFrame, path: str, drops: int) -> Iterator[int]:
+    """Publish the envelopes in ``drops`` consecutive ranges of offsets, one each time the
+    iterator is advanced, so that they arrive in the topic's order (a stored topic is replayed by
+    file time).  The envelopes are computed once, into ``<path>.staged``; a drop reads its range of it."""
+    spark, staged = envelopes.sparkSession, f"{path.rstrip('/')}.staged"
+    out = envelopes.select(*[F.col(f.name).cast(f.dataType) for f in ENVELOPE.fields])
+    out.repartitionByRange("offset").sortWithinPartitions("offset").write.parquet(staged)
+    rows = spark.read.schema(ENVELOPE).parquet(staged)
+    cuts = sorted(set(rows.agg(F.percentile_approx("offset", [i / drops for i in range(1, drops)])).first()[0] or [])) if drops > 1 else []
+    for i, low in enumerate([None, *cuts]):
+        part = rows if low is None else rows.where(F.col("offset") > low)
+        publish(part.where(F.col("offset") <= cuts[i]) if i < len(cuts) else part, path)
+        yield i
 
 
 def publish_kafka(envelopes: DataFrame, servers: str, topic: str) -> None:

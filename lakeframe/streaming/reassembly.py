@@ -2,21 +2,25 @@
 
 ``complete`` mode (the default) works in two stateful steps:
 
-1. by (media, bucket of 65536 consecutive ids): the state is a bitmap of the ids seen and a
-   few numbers.  Redelivered ids change nothing.  A bucket is full when all its ids are there,
-   the last bucket when all ids up to the last frame are; it then emits one row and its
-   state is cleared, so a media of any length spreads over many tasks and small states;
-2. by media: the rows of full buckets are held until buckets 0 to the last are there, then the
-   media is emitted and this state is cleared as well.
-
-So a completed media leaves no state (but tombstones, if asked for), and a later publication under
-its name is assembled and emitted again.  Frames of one publication are told from the next by the producer's timestamp
-where a micro-batch holds both: ids seen again after their bucket was filled start the next
-publication only if they are younger; older ones are redelivered copies.  With ``tombstones`` a
-filled bucket leaves its latest timestamp (one number) as its state, so that a copy in any later
-micro-batch is told as well, and never enters the next publication; frames without timestamps then
-count as copies.  Without them such a copy looks like the start of a new publication.  ``ttl_ms``
-evicts tombstones and leftovers.
+1. by (media, bucket of 65536 consecutive ids): the state is a list of runs of consecutive ids,
+   each with its producer times and a digest, some 50 bytes a run.  Frames of one publication
+   follow each other in producer time, so runs are kept in that order and joined where ids and
+   times go on.  A frame whose id is there already, but at another time, belongs to another
+   publication of the name; so does one that is more than ``apart_ms`` away.  A record whose time and
+   id lie inside a run, or whose time lies inside an emitted publication, is a redelivered copy.
+   A run that covers the bucket (the last bucket: up to the last frame) is emitted;
+2. by media: runs of full buckets are held until buckets 0 to the last one follow each other in
+   time, then the media is emitted.
+
+So publications may overlap in arrival and complete in any order, and a media of any length
+spreads over many tasks and small states.  What stays after completion is 16 bytes a publication
+and bucket, its time span, by which copies in any later micro-batch are told.  Without timestamps
+all frames of a name count as one publication.
+
+Every frame has an outcome (:func:`reassemble_stream`): ``assembled`` media, ``copies``, and, where
+``ttl_ms`` evicts state that received nothing for that long, ``evicted`` runs with a reason; what
+is in none of them is in the state (:func:`pending_frames`).  Eviction first tries to join runs
+that only their distance in time has kept apart.
 
 ``on_last`` mode reproduces the reference consumer: emit whatever arrived once the last frame
 arrives (duplicates counted) and start a new entry for frames after it, in ``(partition,
@@ -32,14 +36,14 @@ since Spark takes one of the former per query.  Both keep their state in RocksDB
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from lakeframe.functions.headers import LAST_YES
@@ -48,125 +52,214 @@ from lakeframe.schemas import ASSEMBLED
 
 BUCKET_IDS = 1 << 16
 NO_TIME = -(1 << 62)
-_OUT_COLS = [f.name for f in ASSEMBLED.fields]
-
-_BUCKET_STATE = "ids binary, n long, last_id int, fps int, height int, width int, digest string, until long, floor long"
-_BUCKET_OUT = "media_name string, bucket long, n long, last_id int, fps int, height int, width int, digest string, until long"
-_BUCKET_COLS = ["media_name", "bucket", "n", "last_id", "fps", "height", "width", "digest", "until"]
-_MEDIA_STATE = "pending string"
+APART_MS = 5000  # frames of one publication are sent in one go
+HALF = (1 << 30) - 1
+
+# A run of consecutive ids in order of time.  Digests are sums of 60-bit numbers, in two halves.
+RUN = np.dtype([("low", "<i4"), ("high", "<i4"), ("since", "<i8"), ("until", "<i8"), ("upper", "<i8"), ("lower", "<i8"),
+                ("last", "?"), ("fps", "<i4"), ("height", "<i4"), ("width", "<i4")])
+SPAN = np.dtype([("since", "<i8"), ("until", "<i8")])
+# A full bucket that waits for the others of its media.
+PART = np.dtype([("bucket", "<i8"), *RUN.descr])
+
+OUTCOME = T.StructType([T.StructField("outcome", T.StringType()), *ASSEMBLED.fields, T.StructField("reason", T.StringType())])
+_OUT_COLS = [f.name for f in OUTCOME.fields]
+_PART_OUT = T.StructType([*OUTCOME.fields, T.StructField("part", T.BinaryType())])
+_PART_COLS = [f.name for f in _PART_OUT.fields]
+# ``n`` is the number of frames that wait in the state.
+_STATE = "held binary, spans binary, n long"
 _LAST_STATE = "n long, digest string, until long"
 
-# A fold takes (key, state tuple or None, rows) and gives (state tuple or None, output rows).
-Fold = Callable[[tuple, "tuple | None", pd.DataFrame], "tuple[tuple | None, list[tuple]]"]
+# A fold takes (key, state tuple or None, rows) and gives (state tuple or None, output rows); at
+# eviction rows is None.
+Fold = Callable[[tuple, "tuple | None", "pd.DataFrame | None"], "tuple[tuple | None, list[tuple]]"]
 
 
-def _digest_sum(parts: np.ndarray) -> int:
-    """Exact sum of 60-bit numbers, in halves that do not overflow."""
-    return (int((parts >> 30).sum()) << 30) + int((parts & ((1 << 30) - 1)).sum())
+def _time(micros: int):
+    return None if micros == NO_TIME else pd.Timestamp(int(micros), unit="us")
+
+
+def _assembled(media: str, runs: np.ndarray) -> tuple:
+    """The outcome of a publication whose buckets' runs are these."""
+    end = runs[-1]
+    digest = (int(runs["upper"].sum()) << 30) + int(runs["lower"].sum())
+    return ("assembled", media, int(end["high"]) + 1, int(end["high"]), int(end["fps"]), int(end["height"]), int(end["width"]),
+            str(digest), _time(runs["since"].min()), _time(runs["until"].max()), None)
+
+
+def _only(outcome: str, media: str, n: int, until: int, reason: str | None) -> tuple:
+    return (outcome, media, n, None, None, None, None, None, None, _time(until), reason)
+
+
+def join_runs(runs: np.ndarray, apart: int | None) -> np.ndarray:
+    """Joins runs, sorted by (since, low), whose ids and times go on; not over a last frame nor
+    over more than ``apart`` microseconds."""
+    if len(runs) < 2:
+        return runs
+    a, b = runs[:-1], runs[1:]
+    goes_on = (a["high"] + 1 == b["low"]) & (a["until"] <= b["since"]) & ~a["last"]
+    if apart is not None:
+        goes_on &= b["since"] - a["until"] <= apart
+    first = np.flatnonzero(np.append(True, ~goes_on))
+    if len(first) == len(runs):
+        return runs
+    out = runs[first]
+    end = np.append(first[1:], len(runs)) - 1
+    for c in ("high", "until", "last", "fps", "height", "width"):
+        out[c] = runs[c][end]
+    for c in ("upper", "lower"):
+        out[c] = np.add.reduceat(runs[c], first)
+    return out
+
+
+def _sorted_runs(runs: np.ndarray) -> np.ndarray:
+    return runs[np.lexsort((runs["low"], runs["since"]))]
+
+
+def _inside(spans: np.ndarray, time: np.ndarray) -> np.ndarray:
+    """Which times lie inside a span."""
+    out = np.zeros(len(time), bool)
+    for s in spans:
+        out |= (time >= s["since"]) & (time <= s["until"])
+    return out
+
+
+def _seen(runs: np.ndarray, ids: np.ndarray, time: np.ndarray) -> np.ndarray:
+    """Which records lie inside a run by id and time.  Runs that hold an id follow each other in
+    time, so the last of them that begins no later than the record decides."""
+    out = np.zeros(len(ids), bool)
+    if len(runs) < 64:
+        for r in runs:
+            out |= (ids >= r["low"]) & (ids <= r["high"]) & (time >= r["since"]) & (time <= r["until"])
+        return out
+    order = np.lexsort((runs["since"], runs["low"]))
+    by_low = runs[order]
+    at = np.searchsorted(by_low["low"], ids, "right") - 1
+    left = np.flatnonzero(at >= 0)
+    while len(left):
+        r = by_low[at[left]]
+        out[left] |= (ids[left] <= r["high"]) & (time[left] >= r["since"]) & (time[left] <= r["until"])
+        at[left] -= 1
+        # a run further left may be longer; runs before the first that covers the id are few
+        left = left[(at[left] >= 0) & ~out[left] & (np.maximum.accumulate(by_low["high"])[np.maximum(at[left], 0)] >= ids[left])]
+    return out
+
+
+def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame | None, apart: int = APART_MS * 1000) -> tuple[tuple | None, list[tuple]]:
+    """One micro-batch of one bucket, or its eviction (``rows`` None)."""
+    media, start = key[0], int(key[1]) * BUCKET_IDS
+    runs = np.frombuffer(state[0], RUN) if state else np.empty(0, RUN)
+    spans = np.frombuffer(state[1], SPAN) if state else np.empty(0, SPAN)
+    out: list[tuple] = []
+    if rows is None:
+        runs = join_runs(runs, None)
+    else:
+        ids, time = rows["frame_id"].to_numpy(dtype=np.int64), rows["time"].to_numpy(dtype=np.int64)
+        arrival = np.lexsort((rows["offset"].to_numpy(), rows["partition"].to_numpy(), ids, time))
+        ids, time = ids[arrival], time[arrival]
+        fresh = np.append(True, (ids[1:] != ids[:-1]) | (time[1:] != time[:-1])) & ~_inside(spans, time) & ~_seen(runs, ids, time)
+        own = arrival[fresh]
+        if len(own) < len(rows):
+            out.append((*_only("copies", media, len(rows) - len(own), int(time.max()), None), None))
+        if len(own):
+            part = rows["part"].to_numpy(dtype=np.int64)[own]
+            new = np.zeros(len(own), RUN)
+            new["low"] = new["high"] = ids[fresh]
+            new["since"] = new["until"] = time[fresh]
+            new["upper"], new["lower"] = part >> 30, part & HALF
+            new["last"] = (rows["last_frame"] == LAST_YES).to_numpy()[own]
+            for c in ("fps", "height", "width"):
+                new[c] = rows[c].to_numpy()[own]
+            runs = join_runs(_sorted_runs(np.concatenate([runs, join_runs(new, apart)])), apart)
+    full = (runs["low"] == start) & (runs["last"] | (runs["high"] == start + BUCKET_IDS - 1))
+    for r in runs[full]:
+        if start == 0 and r["last"]:
+            out.append((*_assembled(media, r.reshape(1)), None))
+        else:
+            part = np.zeros(1, PART)
+            part["bucket"] = key[1]
+            for c in RUN.names:
+                part[c] = r[c]
+            out.append((*_only("part", media, 0, NO_TIME, None), part.tobytes()))
+    if full.any():
+        spans = np.concatenate([spans, np.array([(r["since"], r["until"]) for r in runs[full]], SPAN)])
+        runs = runs[~full]
+    if rows is None:  # evicted: what is left is reported, spans go
+        return None, out + [(*_only("evicted", media, int(r["high"] - r["low"]) + 1, int(r["until"]), _why(r)), None) for r in runs]
+    return (runs.tobytes(), spans.tobytes(), int((runs["high"].astype("<i8") - runs["low"] + 1).sum())), out
+
+
+def _why(run: np.void) -> str:
+    return f"incomplete: frames {run['low']} to {run['high']}" + (", the last one" if run["last"] else "") + " arrived without the others"
+
+
+def fold_media(key: tuple, state: tuple | None, rows: pd.DataFrame | None, apart: int = APART_MS * 1000) -> tuple[tuple | None, list[tuple]]:
+    """Full buckets of one media, emitted once 0 to the last one follow each other in time."""
+    held = np.frombuffer(state[0], PART) if state else np.empty(0, PART)
+    out: list[tuple] = []
+    if rows is not None:
+        own = (rows["outcome"] == "part").to_numpy()
+        passed = rows.loc[~own, _OUT_COLS].astype(object)
+        out = [tuple(r) for r in passed.where(passed.notna(), None).itertuples(index=False)]
+        held = np.concatenate([held, *(np.frombuffer(p, PART) for p in rows["part"][own])])
+    held = held[np.lexsort((held["bucket"], held["since"]))]
+    left = np.ones(len(held), bool)
+    if len(held):
+        a, b = held[:-1], held[1:]
+        goes_on = (a["bucket"] + 1 == b["bucket"]) & (a["until"] <= b["since"]) & ~a["last"]
+        if rows is not None:
+            goes_on &= b["since"] - a["until"] <= apart
+        first = np.flatnonzero(np.append(True, ~goes_on))
+        for s, e in zip(first, np.append(first[1:], len(held))):
+            if held["bucket"][s] == 0 and held["last"][e - 1]:
+                out.append(_assembled(key[0], held[s:e]))
+                left[s:e] = False
+    held = held[left]
+    if rows is None:
+        return None, out + [_only("evicted", key[0], int(r["high"] - r["low"]) + 1, int(r["until"]), _why(r)) for r in held]
+    n = int((held["high"].astype("<i8") - held["low"] + 1).sum())
+    return ((held.tobytes(), b"", n) if len(held) else None), out
 
 
-def _filled(n: int, bucket: int, last_id: int | None, ids: np.ndarray) -> bool:
-    if last_id is None:
-        return n == BUCKET_IDS
-    return bool(ids[:last_id - bucket * BUCKET_IDS + 1].all())
+def _digest_sum(parts: np.ndarray) -> int:
+    """Exact sum of 60-bit numbers, in halves that do not overflow."""
+    return (int((parts >> 30).sum()) << 30) + int((parts & HALF).sum())
 
 
-def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame, tombstones: bool = False) -> tuple[tuple | None, list[tuple]]:
-    """One micro-batch of one bucket.  ``floor`` is the latest timestamp of the publication that
-    filled it last: rows not younger are copies."""
-    media, bucket = key[0], int(key[1])
-    rows = rows.sort_values(["partition", "offset"], kind="stable")
-    place = rows["frame_id"].to_numpy(dtype=np.int64) - bucket * BUCKET_IDS
-    part, time = rows["part"].to_numpy(dtype=np.int64), rows["time"].to_numpy(dtype=np.int64)
-    last = (rows["last_frame"] == LAST_YES).to_numpy()
-    props = rows[["frame_id", "fps", "height", "width"]].to_numpy()
-    out: list[tuple] = []
-    floor = None if state is None or pd.isna(state[8]) else int(state[8])
-    if state is not None and not state[1]:
-        state = None  # a tombstone
-    while True:
-        if floor is not None:
-            young = time > floor
-            place, part, time, last, props = place[young], part[young], time[young], last[young], props[young]
-        if state is None:
-            ids, n, last_id, fps, height, width, digest, until = np.zeros(BUCKET_IDS, bool), 0, None, None, None, None, 0, NO_TIME
-        else:
-            ids = np.unpackbits(np.frombuffer(state[0], np.uint8)).astype(bool)
-            _, n, last_id, fps, height, width, digest, until, _ = state
-            n, digest, until = int(n), int(digest), int(until)
-        _, first = np.unique(place, return_index=True)
-        first.sort()
-        new = first[~ids[place[first]]]
-        ids[place[new]] = True
-        n, digest = n + len(new), digest + _digest_sum(part[new])
-        until = max(until, int(time[new].max())) if len(new) else until
-        if last[new].any() and last_id is None:
-            last_id, fps, height, width = (int(x) for x in props[new[last[new]][0]])
-        if not n or not _filled(n, bucket, last_id, ids):
-            if n:
-                return (np.packbits(ids).tobytes(), n, last_id, fps, height, width, str(digest), until, floor), out
-            return ((b"", 0, None, None, None, None, "0", NO_TIME, floor) if tombstones and floor is not None else None), out
-        out.append((media, bucket, n, last_id, fps, height, width, str(digest), until))
-        # Rows left over: younger ones belong to the next publication, others are copies.
-        rest = np.ones(len(place), bool)
-        rest[new] = False
-        place, part, time, last, props, state = place[rest], part[rest], time[rest], last[rest], props[rest], None
-        floor = until if floor is None else max(floor, until)
-
-
-def fold_media(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tuple | None, list[tuple]]:
-    """Full buckets of one media, emitted once 0 to the last one are there.  Pending buckets are
-    kept in order of arrival, so the n-th of each bucket belongs to the n-th publication."""
-    held = json.loads(state[0]) if state else []
-    rows = rows.sort_values(["until", "bucket"], kind="stable")[_BUCKET_COLS[1:]]
-    held += [[None if pd.isna(x) else x if isinstance(x, str) else int(x) for x in r] for r in rows.itertuples(index=False)]
-    out = []
-    while True:
-        first: dict[int, int] = {}
-        for i, r in enumerate(held):
-            first.setdefault(r[0], i)
-        last = next((r for r in held if r[2] is not None), None)
-        if last is None or any(b not in first for b in range(last[0] + 1)):
-            return ((json.dumps(held),) if held else None), out
-        own = {first[b] for b in range(last[0] + 1)}
-        until = max(held[i][7] for i in own)
-        digest = sum(int(held[i][6]) for i in own)
-        out.append((key[0], last[2] + 1, *last[2:6], str(digest), _time(until)))
-        held = [r for i, r in enumerate(held) if i not in own]
-
-
-def fold_on_last(key: tuple, state: tuple | None, rows: pd.DataFrame) -> tuple[tuple | None, list[tuple]]:
+def fold_on_last(key: tuple, state: tuple | None, rows: pd.DataFrame | None) -> tuple[tuple | None, list[tuple]]:
     """Frames in (partition, offset) order; each last frame ends an entry."""
+    n, digest, until = (int(state[0]), int(state[1]), int(state[2])) if state else (0, 0, NO_TIME)
+    if rows is None:
+        return None, ([_only("evicted", key[0], n, until, "incomplete: no last frame arrived")] if n else [])
     rows = rows.sort_values(["partition", "offset"], kind="stable")
     part, time = rows["part"].to_numpy(dtype=np.int64), rows["time"].to_numpy(dtype=np.int64)
     ends = np.nonzero((rows["last_frame"] == LAST_YES).to_numpy())[0]
-    n, digest, until = (int(state[0]), int(state[1]), int(state[2])) if state else (0, 0, NO_TIME)
     out, props, begin = [], rows[["frame_id", "fps", "height", "width"]].to_numpy(), 0
     for e in ends:
         until = max(until, int(time[begin:e + 1].max()))
-        out.append((key[0], n + int(e) + 1 - begin, *(int(x) for x in props[e]), str(digest + _digest_sum(part[begin:e + 1])), _time(until)))
+        out.append(("assembled", key[0], n + int(e) + 1 - begin, *(int(x) for x in props[e]), str(digest + _digest_sum(part[begin:e + 1])),
+                    None, _time(until), None))
         n, digest, until, begin = 0, 0, NO_TIME, int(e) + 1
     if begin < len(rows):
         n, digest, until = n + len(rows) - begin, digest + _digest_sum(part[begin:]), max(until, int(time[begin:].max()))
     return ((n, str(digest), until) if n else None), out
 
 
-def _time(micros: int):
-    return None if micros == NO_TIME else pd.Timestamp(micros, unit="us")
-
-
 # --- engines ----------------------------------------------------------------------------
 
 class FoldProcessor(StatefulProcessor):
+    """``transformWithState`` form of a fold.  With ``ttl_ms`` a timer, set anew by every input,
+    evicts the state and yields what the fold says about it."""
+
     def __init__(self, fold: Fold, state: str, columns: list[str], ttl_ms: int | None = None):
         self.fold, self.state_schema, self.columns, self.ttl_ms = fold, state, columns, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", self.state_schema, self.ttl_ms)
+        self.handle, self.state = handle, handle.getValueState("state", self.state_schema)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def _after(self, key: tuple, rows: pd.DataFrame | None) -> Iterator[pd.DataFrame]:
         current = self.state.get()
-        after, out = self.fold(key, tuple(current) if current is not None else None, pd.concat(list(rows), ignore_index=True))
+        after, out = self.fold(key, tuple(current) if current is not None else None, rows)
         if after is not None:
             self.state.update(after)
         elif current is not None:
@@ -174,6 +267,17 @@ class FoldProcessor(StatefulProcessor):
         if out:
             yield pd.DataFrame(out, columns=self.columns)
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._after(key, pd.concat(list(rows), ignore_index=True))
+        if self.ttl_ms:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if self.state.exists():
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._after(key, None)
+
     def close(self) -> None:
         pass
 
@@ -181,23 +285,23 @@ class FoldProcessor(StatefulProcessor):
 def _group_fn(fold: Fold, columns: list[str], ttl_ms: int | None):
     def run(key, pdfs, state) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            # idle for longer than the TTL: evicted, not emitted
-            state.remove()
-            return
-        after, out = fold(key, tuple(state.get) if state.exists else None, pd.concat(list(pdfs), ignore_index=True))
-        if after is not None:
-            state.update(after)
-            if ttl_ms:
-                state.setTimeoutDuration(ttl_ms)
-        elif state.exists:
+            after, out = fold(key, tuple(state.get) if state.exists else None, None)
             state.remove()
+        else:
+            after, out = fold(key, tuple(state.get) if state.exists else None, pd.concat(list(pdfs), ignore_index=True))
+            if after is not None:
+                state.update(after)
+                if ttl_ms:
+                    state.setTimeoutDuration(ttl_ms)
+            elif state.exists:
+                state.remove()
         if out:
             yield pd.DataFrame(out, columns=columns)
     return run
 
 
-def _stateful(df: DataFrame, by: list[str], fold: Fold, state: str, out, columns: list[str], engine: str, ttl_ms: int | None) -> DataFrame:
-    grouped = df.groupBy(*by)
+def _stateful(df: DataFrame, by: list[str], fold: Fold, state: str, out, engine: str, ttl_ms: int | None) -> DataFrame:
+    grouped, columns = df.groupBy(*by), [f.name for f in out.fields]
     if engine == "tws":
         return grouped.transformWithStateInPandas(statefulProcessor=FoldProcessor(fold, state, columns, ttl_ms), outputStructType=out,
                                                   outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
@@ -205,24 +309,23 @@ def _stateful(df: DataFrame, by: list[str], fold: Fold, state: str, out, columns
     return grouped.applyInPandasWithState(_group_fn(fold, columns, ttl_ms), out, state, "append", timeout)
 
 
-def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state",
-                    ttl_ms: int | None = None, tombstones: bool = False) -> DataFrame:
+def reassemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state", ttl_ms: int | None = None,
+                      apart_ms: int = APART_MS) -> DataFrame:
     """Frame stream (``media_name, frame_id, last_frame, fps, height, width, payload, partition,
-    offset`` and optionally ``timestamp``) -> one row per assembled media and publication,
-    append mode (T1).
+    offset`` and optionally ``timestamp``) -> what became of the frames, append mode (T1):
+
+    * ``assembled``: one row per media and publication, ``published_until`` its latest producer time;
+    * ``copies``: ``n_frames`` redelivered frames of a media (``complete`` mode);
+    * ``evicted``: ``n_frames`` frames whose others did not arrive within ``ttl_ms``, with the reason.
 
     Records without a media name, a frame id of 0 or more or a payload are not frames; split
     them off first (:func:`lakeframe.operators.frames.split_frames`), else the job fails.
-    ``tombstones`` (``complete`` mode, frames with timestamps) is for sources that may redeliver a
-    frame after its media was emitted: without it such copies start a publication of their own.
-    It keeps one number per media and 65536 ids, for ``ttl_ms`` after the last frame or copy.
     ``ttl_ms`` (off by default, as in the reference) evicts state that received nothing for that
     long (processing time).  Timeouts make every trigger run another batch, so use it with a
-    processing-time trigger (a long-running stream), not ``availableNow``."""
+    processing-time trigger (a long-running stream), not ``availableNow``.  ``apart_ms`` parts two
+    publications of a name: neighbouring frames of one are never further apart in producer time."""
     if mode not in ("complete", "on_last"):
         raise ValueError(mode)
-    if tombstones and (mode != "complete" or "timestamp" not in frames.columns):
-        raise ValueError("tombstones need mode 'complete' and timestamps")
     time = F.unix_micros(F.col("timestamp")) if "timestamp" in frames.columns else F.lit(None).cast("long")
     checked = F.when(F.col("media_name").isNull() | ~F.coalesce(F.col("frame_id") >= 0, F.lit(False)) | F.col("payload").isNull(),
                      F.raise_error(F.lit("not a frame: media name, frame id or payload is missing")).cast("string")).otherwise(F.col("media_name"))
@@ -230,34 +333,45 @@ def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "gr
         checked.alias("media_name"), "frame_id", "last_frame", "fps", "height", "width", "partition", "offset",
         frame_digest(F.col("frame_id"), F.col("payload")).alias("part"), F.coalesce(time, F.lit(NO_TIME)).alias("time"))
     if mode == "on_last":
-        return _stateful(slim, ["media_name"], fold_on_last, _LAST_STATE, ASSEMBLED, _OUT_COLS, engine, ttl_ms)
+        return _stateful(slim, ["media_name"], fold_on_last, _LAST_STATE, OUTCOME, engine, ttl_ms)
     slim = slim.withColumn("bucket", F.expr(f"frame_id div {BUCKET_IDS}"))
-    full = _stateful(slim, ["media_name", "bucket"], partial(fold_bucket, tombstones=tombstones), _BUCKET_STATE, _as_schema(_BUCKET_OUT), _BUCKET_COLS, engine, ttl_ms)
+    parts = _stateful(slim, ["media_name", "bucket"], partial(fold_bucket, apart=apart_ms * 1000), _STATE, _PART_OUT, engine, ttl_ms)
     # Spark takes one applyInPandasWithState per query, so the second step is the other kind
-    return _stateful(full, ["media_name"], fold_media, _MEDIA_STATE, ASSEMBLED, _OUT_COLS, "tws", ttl_ms)
+    return _stateful(parts, ["media_name"], partial(fold_media, apart=apart_ms * 1000), _STATE, OUTCOME, "tws", ttl_ms)
+
 
+def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state", ttl_ms: int | None = None,
+                    apart_ms: int = APART_MS) -> DataFrame:
+    """The assembled media of :func:`reassemble_stream`, one row per publication."""
+    outcomes = reassemble_stream(frames, mode, engine, ttl_ms, apart_ms)
+    return outcomes.where(F.col("outcome") == "assembled").select(*[f.name for f in ASSEMBLED.fields])
 
-def _as_schema(ddl: str):
-    from pyspark.sql.types import StructType
 
-    return StructType.fromDDL(ddl)
+def pending_frames(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``media_name, n_frames``: frames that wait in the state of a ``complete`` stream (engine
+    ``group_state``) as of its last micro-batch."""
+    store = lambda operator: spark.read.format("statestore").option("operatorId", operator)  # noqa: E731  0: the second step
+    whole = store(0).option("stateVarName", "state").load(checkpoint).select("key.media_name", F.col("value.n").alias("n"))
+    first = store(1).load(checkpoint).select("key.media_name", F.col("value.groupState.n").alias("n"))
+    return whole.unionByName(first).where("n > 0").groupBy("media_name").agg(F.sum("n").alias("n_frames"))
 
 
 def published_frames(frames: DataFrame, assembled: DataFrame) -> DataFrame:
     """Landed frames of the emitted media, one row each: ``media_name, publication, pos, frame_id,
     payload, fps, height, width`` (K11, A1, O1).
 
-    A publication's frames are younger than the publication before it and not younger than
-    itself; of redelivered copies the earliest arrival counts.  Frames stay rows, spread by
-    (media, frame)."""
+    A publication's frames lie between its first and last producer time (where the mode does not
+    know the first: after the publication before it); of redelivered copies the earliest arrival
+    counts.  Frames stay rows, spread by (media, frame)."""
     by_age = Window.partitionBy("media_name").orderBy("published_until")
     media = assembled.select(
         F.col("media_name").alias("__media"), F.row_number().over(by_age).alias("publication"),
-        F.lag("published_until").over(by_age).alias("__after"), F.col("published_until").alias("__until"),
+        F.lag("published_until").over(by_age).alias("__after"), F.col("published_since").alias("__since"), F.col("published_until").alias("__until"),
         F.col("fps").alias("__fps"), F.col("height").alias("__height"), F.col("width").alias("__width"), "last_frame_id")
+    begun = F.when(F.col("__since").isNotNull(), F.col("timestamp") >= F.col("__since")).otherwise(
+        F.col("__after").isNull() | (F.col("timestamp") > F.col("__after")))
     mine = ((F.col("media_name") == F.col("__media")) & (F.col("frame_id") <= F.col("last_frame_id"))
-            & (F.col("__until").isNull() | (F.col("timestamp") <= F.col("__until")))
-            & (F.col("__after").isNull() | (F.col("timestamp") > F.col("__after"))))
+            & (F.col("__until").isNull() | (F.col("timestamp") <= F.col("__until"))) & begun)
     rows = frames.join(media, mine).withColumn("__key", F.struct("media_name", "publication"))
     return dedupe_frames(rows, "__key").select(
         "media_name", "publication", F.col("frame_id").cast("int").alias("pos"), "frame_id", "payload",

@@ -20,7 +20,7 @@ def _run(spark, tmp_path, batches, mode):
 
 
 def _plain(row):
-    return {k: v for k, v in row.asDict().items() if k != "published_until"}
+    return {k: v for k, v in row.asDict().items() if not k.startswith("published_")}
 
 
 def _split(rows, n, seed):
@@ -245,16 +245,14 @@ def test_replay_is_cut_into_micro_batches_by_bytes_in_the_order_of_the_topic(spa
     from pyspark.sql import functions as F
 
     from lakeframe.functions.headers import build_headers
-    from lakeframe.sources.envelopes import publish, publish_order, read_envelopes, to_envelopes
+    from lakeframe.sources.envelopes import publish_in_order, read_envelopes, to_envelopes
 
     df = spark.range(0, 4000, 1, 3)
     env = to_envelopes(df, topic="t", seq=F.col("id"), value=F.encode(F.repeat(F.md5(F.col("id").cast("string")), 30), "UTF-8"),
                        headers=build_headers([("type", F.lit("image"))]))
     topic, seen = str(tmp_path / "topic"), []
-    parts = publish_order(env, 5)
-    assert len(parts) == 5
-    for part in parts:
-        publish(part.orderBy(F.rand(1)), topic)
+    assert list(publish_in_order(env.orderBy(F.rand(1)), topic, 5)) == [0, 1, 2, 3, 4]
+    assert spark.read.parquet(topic).count() == 4000
     stream = read_envelopes(spark, path=topic, bytes_per_trigger=1)  # at least one file each
 
     def note(batch, _):
@@ -336,14 +334,15 @@ def _run_stamped(spark, tmp_path, batches, mode="complete", engine="group_state"
 
 
 @pytest.mark.parametrize("mode", ["complete", "on_last"])
-def test_a_name_published_twice_is_emitted_twice_and_leaves_no_state(spark, tmp_path, mode):
+def test_a_name_published_twice_is_emitted_twice(spark, tmp_path, mode):
     from lakeframe.streaming.reassembly import published_frames
 
     old, new = _video("a.mp4", 5), [(*r[:6], f"new:{r[1]}".encode(), 0, 100 + r[1]) for r in _video("a.mp4", 7)]
     batches = [_stamped(old[:3], 1), _stamped(old[3:], 1), _stamped(new[:4], 9), _stamped(new[4:], 9)]
     got, states, frames = _run_stamped(spark, tmp_path, batches, mode)
     assert sorted(r.n_frames for r in got) == [5, 7]
-    assert states[-1] == 0 and states[1] == 0 and states[0] > 0
+    # complete: the time spans of what was emitted stay, to tell copies
+    assert states == ([1, 1, 1, 1] if mode == "complete" else [1, 0, 1, 0])
     rows = published_frames(frames, spark.read.parquet(str(tmp_path / "out"))).collect()
     assert sorted((r.publication, r.pos, bytes(r.payload)) for r in rows) == sorted(
         [(1, r[1], r[6]) for r in old] + [(2, r[1], r[6]) for r in new])
@@ -352,20 +351,18 @@ def test_a_name_published_twice_is_emitted_twice_and_leaves_no_state(spark, tmp_
 def test_two_publications_inside_one_micro_batch(spark, tmp_path):
     old, new = _video("a.mp4", 5), [(*r[:7], 0, 100 + r[1]) for r in _video("a.mp4", 5)]
     got, states, _ = _run_stamped(spark, tmp_path, [_stamped(old[:2], 1), _stamped(old[2:], 1) + _stamped(new[:4], 9), _stamped(new[4:], 9)])
-    assert [r.n_frames for r in got] == [5, 5] and states[-1] == 0
+    assert [r.n_frames for r in got] == [5, 5] and states[-1] == 1
 
 
 def test_copies_in_the_completing_batch_start_nothing(spark, tmp_path):
     a = _video("a.mp4", 4)
     copies = [(*r[:7], 1, 50 + r[1]) for r in a]
     got, states, _ = _run_stamped(spark, tmp_path, [_stamped(a[:3], 1), _stamped(a[3:] + copies, 1)])
-    assert len(got) == 1 and states[-1] == 0
+    assert len(got) == 1 and states[-1] == 1
 
 
 @pytest.mark.parametrize("engine", ["group_state", "tws"])
-def test_copies_after_completion_start_nothing_and_stay_out_of_the_next_publication(spark, tmp_path, engine, monkeypatch):
-    from functools import partial
-
+def test_copies_after_completion_start_nothing_and_stay_out_of_the_next_publication(spark, tmp_path, engine):
     from lakeframe.streaming.reassembly import published_frames
 
     def later(rows):
@@ -374,23 +371,135 @@ def test_copies_after_completion_start_nothing_and_stay_out_of_the_next_publicat
     new = [(*r[:6], f"new:{r[1]}".encode(), 0, 100 + r[1]) for r in _video("a.mp4", 5)]
     batches = [_stamped(one + a, 1), _stamped(later(one + a[:2]), 1), _stamped(later(a), 1) + _stamped(new[1:3], 9),
                _stamped(later(a[:1]), 1), _stamped(new[:1] + new[3:], 9), _stamped(later(new), 9)]
-    with monkeypatch.context() as m:
-        m.setitem(globals(), "assemble_stream", partial(assemble_stream, tombstones=True))
-        got, states, frames = _run_stamped(spark, tmp_path, batches, engine=engine)
+    got, states, frames = _run_stamped(spark, tmp_path, batches, engine=engine)
     once, _, _ = _run_stamped(spark, tmp_path / "once", [_stamped(one + a, 1), _stamped(new, 9)])
     key = ["media_name", "n_frames", "digest", "published_until"]
     assert sorted([r[k] for k in key] for r in got) == sorted([r[k] for k in key] for r in once)
     assert sorted((r.media_name, r.n_frames) for r in got) == [("a.mp4", 4), ("a.mp4", 5), ("one.mp4", 1)]
-    assert states[0] == states[-1] == 2  # a number per media
+    assert states[0] == states[-1] == 2  # the time spans of each media
     rows = published_frames(frames, spark.read.parquet(str(tmp_path / "out"))).where("media_name = 'a.mp4'").collect()
     assert sorted((r.publication, r.pos, bytes(r.payload)) for r in rows) == sorted(
         [(1, r[1], r[6]) for r in a] + [(2, r[1], r[6]) for r in new])
 
 
-def test_tombstones_need_timestamps(spark, tmp_path):
-    stream = spark.readStream.schema(FRAME_SCHEMA).parquet(str(tmp_path))
-    with pytest.raises(ValueError, match="timestamps"):
-        assemble_stream(stream, tombstones=True)
+def test_publications_that_overlap_in_arrival_are_both_emitted(spark, tmp_path):
+    """Publication 1 lacks a frame while publication 2 begins; the younger one completes first."""
+    old, new = _video("a.mp4", 3), [(*r[:6], f"new:{r[1]}".encode(), 0, 100 + r[1]) for r in _video("a.mp4", 3)]
+    batches = [_stamped(old[:2], 1), _stamped(new[:2], 41), _stamped(new[2:], 41), _stamped(old[2:], 1)]
+    got, _, _ = _run_stamped(spark, tmp_path, batches)
+    want, _, _ = _run_stamped(spark, tmp_path / "apart", [_stamped(old, 1), _stamped(new, 41)])
+    key = ["n_frames", "digest", "published_since", "published_until"]
+    assert len(got) == 2 and sorted([r[k] for k in key] for r in got) == sorted([r[k] for k in key] for r in want)
+
+
+def _publications(rng, many):
+    """Publications of one name, each frame with its own producer time, and redelivered copies."""
+    at, rows, sizes = 1_000_000_000, [], []
+    for _ in range(many):
+        n = rng.randint(1, 9)
+        sizes.append(n)
+        for i in range(n):
+            rows.append({"frame_id": i, "last_frame": "yes" if i == n - 1 else "no", "fps": 25 + len(sizes), "height": 4, "width": 6, "part": rng.getrandbits(59), "time": at})
+            at += rng.choice([0, 1000, 900_000])
+        at += 6_000_000  # further than APART_MS
+    return rows, sizes
+
+
+def test_any_arrival_order_gives_the_same_publications():
+    """The folds alone: overlapping publications in random batches, against one batch in order."""
+    import pandas as pd
+
+    from lakeframe.streaming import reassembly
+
+    for seed in range(150):
+        rng = random.Random(seed)
+        rows, sizes = _publications(rng, rng.randint(1, 4))
+        sent = rows + rng.sample(rows, len(rows) // 2)
+        rng.shuffle(sent)
+        sent = [{**r, "partition": rng.randint(0, 3), "offset": i} for i, r in enumerate(sent)]
+        state, out, at = None, [], 0
+        while at < len(sent):
+            step = rng.randint(1, 6)
+            state, found = reassembly.fold_bucket(("a", 0), state, pd.DataFrame(sent[at:at + step]))
+            assert state[2] * reassembly.RUN.itemsize >= len(state[0])
+            out, at = out + found, at + step
+        media = sorted((r for r in out if r[0] == "assembled"), key=lambda r: r[8])
+        assert [r[2] for r in media] == sizes and [r[4] for r in media] == [26 + i for i in range(len(sizes))]
+        assert sum(int(r[7]) for r in media) == sum(r["part"] for r in rows)
+        assert sum(r[2] for r in out if r[0] == "copies") == len(sent) - len(rows) and state[2] == 0
+
+
+def test_state_of_a_short_media_is_small():
+    import pandas as pd
+
+    from lakeframe.streaming import reassembly
+
+    rows = [{"frame_id": i, "last_frame": "no", "fps": 25, "height": 4, "width": 6, "part": 7, "time": 1000 + i, "partition": 0, "offset": i} for i in range(2)]
+    state, _ = reassembly.fold_bucket(("a", 0), None, pd.DataFrame(rows))
+    assert len(state[0]) + len(state[1]) < 100
+    state, out = reassembly.fold_bucket(("a", 0), state, pd.DataFrame([{**rows[0], "frame_id": 2, "last_frame": "yes", "time": 1002}]))
+    assert out[0][0] == "assembled" and len(state[0]) == 0 and len(state[1]) == 16
+
+
+def test_many_runs_find_their_copies():
+    import numpy as np
+
+    from lakeframe.streaming import reassembly
+
+    rng = random.Random(2)
+    runs = []
+    for k in range(300):
+        low = rng.randrange(1000)
+        runs.append((low, low + rng.choice([0, 1, 5, 400]), 100 * k, 100 * k + rng.randrange(90)))
+    table = np.zeros(len(runs), reassembly.RUN)
+    table["low"], table["high"], table["since"], table["until"] = np.array(runs).T
+    ids, time = np.array([rng.randrange(1500) for _ in range(3000)]), np.array([rng.randrange(31_000) for _ in range(3000)])
+    want = [any(r[0] <= i <= r[1] and r[2] <= t <= r[3] for r in runs) for i, t in zip(ids, time)]
+    assert reassembly._seen(table, ids, time).tolist() == want
+
+
+def test_evicted_frames_land_with_a_reason_and_none_is_lost(spark, tmp_path):
+    import os
+    import time
+
+    from lakeframe.streaming.reassembly import OUTCOME, reassemble_stream
+
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    a, b, long = _video("a.mp4", 5), _video("b.mp4", 2), _video("long.mp4", 65_540)
+
+    def drop(rows):
+        spark.createDataFrame(rows, STAMPED).coalesce(1).write.mode("append").parquet(src)
+    # a: frame 2 is missing; b: complete, with a copy; long: its first bucket is full, its second one is not
+    drop(_stamped(a[:2] + a[3:] + b + b[:1] + long[:-2], 1))
+    stream = spark.readStream.schema(STAMPED).parquet(src)
+    q = append_stream(reassemble_stream(stream, ttl_ms=1500), out, str(tmp_path / "ck"), trigger="500 milliseconds")
+
+    def landed():
+        return [(r.outcome, r.media_name, r.n_frames, r.reason) for r in spark.read.schema(OUTCOME).parquet(out).collect()] if os.path.exists(out) else []
+    try:
+        end = time.time() + 120
+        while time.time() < end and sum(r[2] for r in landed()) < 4 + 3 + 65_538:
+            time.sleep(1)
+    finally:
+        q.stop()
+    got = landed()
+    assert sum(r[2] for r in got) == 4 + 3 + 65_538
+    assert sorted(r[:3] for r in got) == [("assembled", "b.mp4", 2), ("copies", "b.mp4", 1), ("evicted", "a.mp4", 2), ("evicted", "a.mp4", 2),
+                                          ("evicted", "long.mp4", 2), ("evicted", "long.mp4", 65_536)]
+    assert all("arrived without the others" in r[3] for r in got if r[0] == "evicted")
+
+
+def test_eviction_joins_what_only_a_stall_has_parted():
+    import pandas as pd
+
+    from lakeframe.streaming import reassembly
+
+    rows = [{"frame_id": i, "last_frame": "yes" if i == 3 else "no", "fps": 25, "height": 4, "width": 6, "part": 7, "time": t, "partition": 0, "offset": i}
+            for i, t in enumerate([0, 1, 60_000_000, 60_000_001])]
+    state, out = reassembly.fold_bucket(("a", 0), None, pd.DataFrame(rows))
+    assert not out and state[2] == 4
+    state, out = reassembly.fold_bucket(("a", 0), state, None)
+    assert state is None and [r[:3] for r in out] == [("assembled", "a", 4)]
 
 
 @pytest.mark.parametrize("engine", ["group_state", "tws"])
@@ -401,7 +510,7 @@ def test_a_long_media_is_kept_in_several_states(spark, tmp_path, monkeypatch, en
     halves = [_stamped(rows[::2], 1), _stamped(rows[1::2], 1)]
     got, states, _ = _run_stamped(spark, tmp_path, halves, engine=engine)
     assert [(r.n_frames, r.last_frame_id) for r in got] == [(130_000, 129_999)]
-    assert states[0] == -(-130_000 // reassembly.BUCKET_IDS) and states[-1] == 0
+    assert states[0] == states[-1] == -(-130_000 // reassembly.BUCKET_IDS)
 
 
 def test_records_that_are_no_frames_fail_the_assembly(spark, tmp_path):
