@@ -18,7 +18,7 @@ from lakeframe.functions.headers import TYPE_IMAGE, build_headers
 from lakeframe.functions.pixels import bgr_to_rgb, resize_bilinear
 from lakeframe.operators.routing import route_by_extension
 from lakeframe.session import scratch
-from lakeframe.sinks.objects import copy_objects, list_objects, qualify, read_objects
+from lakeframe.sinks.objects import copy_objects, list_objects, qualify, with_content
 
 
 def _listed(spark: SparkSession, root: str) -> DataFrame:
@@ -48,7 +48,7 @@ def _decoded(spark: SparkSession, root: str) -> DataFrame:
 
 def image_dimensions(spark: SparkSession, root: str) -> DataFrame:
     """``name, height, width, n_channels`` of every decodable image file directly under ``root``
-    (S10, S14).  Files that cannot be decoded are skipped; :func:`image_envelopes` reports them."""
+    (S10, S14).  Files that cannot be decoded are skipped; :func:`image_files` reports them."""
     return _dimensions(_decoded(spark, root))
 
 
@@ -57,27 +57,37 @@ def _dimensions(images: DataFrame) -> DataFrame:
                          F.col("image.nChannels").alias("n_channels"))
 
 
-def image_envelopes(spark: SparkSession, root: str, hidden: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Image files -> ``(envelopes, rejected)`` (R1, F3): listing, routing by extension (F1),
-    dimensions from the decoder, the stored bytes as the payload.
+def image_files(spark: SparkSession, root: str) -> DataFrame:
+    """Image-named files directly under ``root`` (R1, F3): ``path, name, n_bytes, height, width,
+    reason``; the reason is NULL for those that the decoder takes.  Only names, sizes and
+    dimensions are joined, never bytes."""
+    files = route_by_extension(list_objects(spark, root), "name").where("is_image").select("path", "name", F.col("length").alias("n_bytes"))
+    sized = files.join(_dimensions(_decoded(spark, root)).drop("n_channels"), "name", "left")
+    reason = F.when(F.col("height").isNotNull(), F.lit(None)).when(F.col("n_bytes") == 0, F.lit("empty_payload")).otherwise(F.lit("undecodable"))
+    return sized.select("path", "name", "n_bytes", "height", "width", reason.cast("string").alias("reason"))
 
-    ``rejected`` has every image-named file that the decoder does not take, with a reason
-    (``name, n_bytes, reason``); each such file is in exactly one of the two.  The stored bytes
-    move once, to join the dimensions, unless those are small enough to be broadcast.
-
-    Files whose names begin with ``.`` or ``_`` are only decoded with ``hidden``; without it they
-    are rejected as undecodable, as the SQL of ``image_outcomes`` has it."""
-    files = route_by_extension(read_objects(spark, root), "name").where("is_image")
-    joined = files.join(_dimensions(_decoded(spark, root) if hidden else _listed(spark, root)), "name", "left")
-    known = F.col("height").isNotNull()
-    envelopes = joined.where(known).select(
+
+def split_images(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(envelopes, rejected)`` of :func:`image_files`.  The stored bytes, which are the payload, are
+    read in the last stage, by the tasks that make the envelopes."""
+    envelopes = with_content(files.where("reason IS NULL")).select(
         F.lit(None).cast("binary").alias("key"),
         F.col("content").alias("value"),
         build_headers([("type", F.lit(TYPE_IMAGE)), ("media_name", F.col("name")),
                        ("original_height", F.col("height")), ("original_width", F.col("width"))]).alias("headers"),
     )
-    reason = F.when(F.col("length") == 0, F.lit("empty_payload")).otherwise(F.lit("undecodable"))
-    return envelopes, joined.where(~known).select("name", F.col("length").alias("n_bytes"), reason.alias("reason"))
+    return envelopes, files.where("reason IS NOT NULL").select("name", "n_bytes", "reason")
+
+
+def image_envelopes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Image files -> ``(envelopes, rejected)`` (R1, F3): listing, routing by extension (F1),
+    dimensions from the decoder, the stored bytes as the payload.
+
+    ``rejected`` has every image-named file that the decoder does not take, with a reason
+    (``name, n_bytes, reason``); each such file is in exactly one of the two, whatever its name
+    begins with.  Who acts on both lands :func:`image_files` first and splits that
+    (:func:`split_images`), so that images are decoded once."""
+    return split_images(image_files(spark, root))
 
 
 RESIZED_SCHEMA = "name string, height int, width int, n_channels int, r_sum long, g_sum long, b_sum long, md5 string"

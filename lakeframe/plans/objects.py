@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from lakeframe.functions.headers import metadata_projection
-from lakeframe.operators.images import image_envelopes, resize_images, resize_to_headers
+from lakeframe.operators.images import image_envelopes, image_files, resize_images, resize_to_headers, split_images
 from lakeframe.operators.routing import in_folder
 from lakeframe.plans.pngs import encode_png
 from lakeframe.session import read_table, scratch
@@ -74,8 +74,10 @@ def image_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.when(shape == 0, F.substring(png, 1, 30)).when(shape == 1, F.lit(b"")).otherwise(png)
     name = F.concat(F.when(shape == 2, F.lit(".")).when(shape == 3, F.lit("a b+%20#")).otherwise(F.lit("")), F.lit("vec-"), F.col("vec_id").cast("string"), F.lit(".png"))
     write_objects(emb.select(name.alias("name"), content.alias("content")), f"{root}/images")
-    envelopes, rejected = image_envelopes(spark, f"{root}/images")
-    outcome = envelopes.select(F.lit("landed").alias("outcome")).unionByName(rejected.select(F.col("reason").alias("outcome")))
+    image_files(spark, f"{root}/images").write.parquet(f"{root}/files")
+    envelopes, rejected = split_images(spark.read.parquet(f"{root}/files"))
+    whole = F.octet_length("value") > 0
+    outcome = envelopes.select(F.when(whole, F.lit("landed")).otherwise(F.lit("empty")).alias("outcome")).unionByName(rejected.select(F.col("reason").alias("outcome")))
     return outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -151,7 +153,7 @@ SELECT 'vec-' || CAST(vec_id AS VARCHAR) || '.png' AS media_name,
        CAST(CASE label % 3 WHEN 0 THEN 8 WHEN 1 THEN 16 ELSE 4 END AS INTEGER) AS original_width
 FROM embeddings""",
     "image_outcomes": """
-SELECT CASE vec_id % 10 WHEN 0 THEN 'undecodable' WHEN 1 THEN 'empty_payload' WHEN 2 THEN 'undecodable' ELSE 'landed' END AS outcome,
+SELECT CASE vec_id % 10 WHEN 0 THEN 'undecodable' WHEN 1 THEN 'empty_payload' ELSE 'landed' END AS outcome,
        count(*) AS n
 FROM embeddings GROUP BY 1""",
     "resize_pixels": _pixel_sql(False),

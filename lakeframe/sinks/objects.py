@@ -105,50 +105,34 @@ class _Written(WriterCommitMessage):
         self.nbytes = nbytes
 
 
-def _write_batches(options, batches: Iterator[pa.RecordBatch]) -> _Written:
-    fs, base = resolve_fs(options["path"])
-    places = resolve_fs(options["placepath"]) if "placepath" in options else None
-    count = nbytes = 0
-    for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(options.get(f"{c}column", c))).to_pylist() for c in ("name", "content")]
-        order = batch.column("place").to_pylist() if places else [None] * batch.num_rows
-        for name, content, place in zip(*columns, order):
-            if name is None or content is None:
-                raise ValueError("an object needs a name and content; split off the other rows first")
-            if places and (before := _place(*places, name)) is not None and before > int(place):
-                continue  # a later write is already there
-            put_object(fs, base, name, content)
-            if places:
-                put_object(*places, name, str(int(place)).encode())
-            count += 1
-            nbytes += len(content)
-    return _Written(count, nbytes)
-
-
-def _place(fs, base: str, name: str) -> int | None:
-    """The position of the write that an object holds."""
-    try:
-        with fs.open_input_stream(f"{base}/{check_name(name)}") as f:
-            return int(f.read())
-    except FileNotFoundError:
-        return None
+def _objects_of(batch: pa.RecordBatch, name: str = "name", content: str = "content") -> Iterator[tuple[str, bytes]]:
+    for n, c in zip(batch.column(name).to_pylist(), batch.column(content).to_pylist()):
+        if n is None or c is None:
+            raise ValueError("an object needs a name and content; split off the other rows first")
+        yield check_name(n), c
+
 
+class _Writer:
+    """Each object is written aside and moved into place by its task."""
 
-class _BatchWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.options = {k.lower(): v for k, v in options.items()}  # option names have no case
 
     def write(self, iterator):
-        return _write_batches(self.options, iterator)
+        fs, base = resolve_fs(self.options["path"])
+        count = nbytes = 0
+        for batch in iterator:
+            for name, content in _objects_of(batch, self.options.get("namecolumn", "name"), self.options.get("contentcolumn", "content")):
+                put_object(fs, base, name, content)
+                count, nbytes = count + 1, nbytes + len(content)
+        return _Written(count, nbytes)
 
 
-class _StreamWriter(DataSourceStreamArrowWriter):
-    def __init__(self, options):
-        self.options = {k.lower(): v for k, v in options.items()}  # option names have no case
+class _BatchWriter(_Writer, DataSourceArrowWriter):
+    pass
 
-    def write(self, iterator):
-        return _write_batches(self.options, iterator)
 
+class _StreamWriter(_Writer, DataSourceStreamArrowWriter):
     def commit(self, messages, batchId):
         pass
 
@@ -157,11 +141,10 @@ class _StreamWriter(DataSourceStreamArrowWriter):
 
 
 class ObjectSink(DataSource):
-    """``df.write.format("lakeframe_objects").option("path", root)``: one object per row,
-    named by ``nameColumn`` (default ``name``) with bytes from ``contentColumn``
-    (default ``content``).  Also usable as a streaming sink.  ``path`` must be qualified
-    (:func:`qualify`).  With ``placePath`` each row has a numeric ``place``, kept there per
-    object, and an object is not replaced by an earlier write."""
+    """``df.write.format("lakeframe_objects").option("path", root)``, also as a streaming sink: one
+    object per row, named by ``nameColumn`` (default ``name``) with bytes from ``contentColumn``
+    (default ``content``).  ``path`` must be qualified (:func:`qualify`).  Objects appear one by
+    one; :func:`write_objects` lets them appear together."""
 
     @classmethod
     def name(cls):
@@ -178,20 +161,154 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ObjectSink)
 
 
+# --- writes in two steps ----------------------------------------------------------------
+
+MANIFEST = "name string, place decimal(38,0), n_bytes long, staged string"
+COMPACT_AFTER = 32  # manifests
+
+
+def _stager(aside: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = resolve_fs(aside)
+        fs.create_dir(base, recursive=True)
+        for batch in batches:
+            names, sizes, staged = [], [], []
+            for name, content in _objects_of(batch):
+                at = uuid.uuid4().hex
+                with fs.open_output_stream(f"{base}/{at}") as out:
+                    out.write(content)
+                names.append(name), sizes.append(len(content)), staged.append(f"{aside}/{at}")
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), batch.column("place"), pa.array(sizes, pa.int64()), pa.array(staged, pa.string())],
+                                             names=["name", "place", "n_bytes", "staged"])
+    return run
+
+
+def _publisher(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        fs, base = resolve_fs(root)
+        folders: set[str] = set()
+        for batch in batches:
+            for name, staged in zip(batch.column("name").to_pylist(), batch.column("staged").to_pylist()):
+                target, source = f"{base}/{name}", resolve_fs(staged)[1]
+                parent = target.rsplit("/", 1)[0]
+                if parent not in folders:
+                    fs.create_dir(parent, recursive=True)
+                    folders.add(parent)
+                try:
+                    fs.move(source, target)
+                except FileNotFoundError:  # an attempt before this one has moved it
+                    if fs.get_file_info(target).type != pafs.FileType.File:
+                        raise
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+    return run
+
+
+def _exists(uri: str) -> bool:
+    import pyarrow.fs as pafs
+
+    fs, at = resolve_fs(uri)
+    return fs.get_file_info(at).type != pafs.FileType.NotFound
+
+
+def _delete_folder(uri: str) -> None:
+    fs, at = resolve_fs(uri)
+    try:
+        fs.delete_dir(at)
+    except FileNotFoundError:
+        pass
+
+
+def stage_objects(df: DataFrame, aside: str, manifest: str) -> None:
+    """First step: tasks write the objects of ``df`` (``name, content, place``) under unique names
+    in the folder ``aside`` and one manifest of them all is written.  Its commit is the commit of
+    the write: if any task fails there is no manifest, and no object has appeared."""
+    spark = df.sparkSession
+    aside = qualify(spark, aside)
+    _delete_folder(aside)  # of an attempt that did not get to its manifest
+    rows = df.select("name", "content", F.col("place").cast("decimal(38,0)").alias("place"))
+    try:
+        rows.mapInArrow(_stager(aside), MANIFEST).write.mode("overwrite").parquet(manifest)
+    except BaseException:
+        _delete_folder(aside)
+        _delete_folder(qualify(spark, manifest))
+        raise
+
+
+def publish_objects(spark: SparkSession, manifest: str, root: str, aside: str) -> None:
+    """Second step: tasks move the objects of a manifest into place.  A replay moves what is left."""
+    spark.read.schema(MANIFEST).parquet(manifest).mapInArrow(_publisher(qualify(spark, root)), "n long").write.format("noop").mode("overwrite").save()
+    _delete_folder(qualify(spark, aside))
+
+
+class Places:
+    """Which write each object under a root holds: manifests of ``name`` and ``place`` (a number that
+    grows with time), one per batch, sorted by name and compacted every ``COMPACT_AFTER``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def manifest(self, folder: str) -> str:
+        return f"{self.path}/batches/{folder}"
+
+    def committed(self, folder: str) -> bool:
+        return _exists(qualify(self.spark, f"{self.manifest(folder)}/_SUCCESS"))
+
+    def _folders(self, kind: str) -> list[str]:
+        """Committed manifests, oldest first."""
+        import pyarrow.fs as pafs
+
+        fs, base = resolve_fs(qualify(self.spark, f"{self.path}/{kind}"))
+        found = fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
+        done = sorted((i.mtime, i.path) for i in found if i.base_name == "_SUCCESS")
+        return [f"{self.path}/{kind}/" + path[len(base):].strip("/").rsplit("/", 1)[0] for _, path in done]
+
+    def known(self) -> DataFrame:
+        """``name, known_place`` of every object written so far."""
+        paths = self._folders("compacted")[-1:] + self._folders("batches")
+        if not paths:
+            return self.spark.createDataFrame([], "name string, known_place decimal(38,0)")
+        rows = self.spark.read.schema("name string, place decimal(38,0)").parquet(*paths)
+        return rows.groupBy("name").agg(F.max("place").alias("known_place"))
+
+    def compact(self) -> None:
+        """Fold all manifests into one, sorted by name.  For between two batches: a manifest must
+        not go while its batch may be replayed.  An interrupted run changes nothing."""
+        old = self._folders("batches")
+        if len(old) < COMPACT_AFTER:
+            return
+        earlier = self._folders("compacted")
+        target = f"{self.path}/compacted/{uuid.uuid4().hex}"
+        self.known().withColumnRenamed("known_place", "place").repartitionByRange("name").sortWithinPartitions("name").write.parquet(target)
+        for folder in old + earlier:
+            _delete_folder(qualify(self.spark, folder))
+
+
 def write_objects(df: DataFrame, root: str, name: str = "name", content: str = "content",
-                  place: str | None = None, place_root: str | None = None) -> None:
-    """Batch object write (K3/K10), one object per row, from the executors.  A row without a
-    name or content fails the job.  With ``place`` (a number that grows with time) an object
-    keeps its latest write whatever order the batches come in."""
+                  place: str | None = None, places: Places | None = None, folder: str | None = None) -> None:
+    """Batch object write (K3/K10), one object per row, from the executors, in two steps: all
+    objects are written aside, then moved into place.  A row without a name or content, or any
+    other failure of the first step, leaves the root as it was.
+
+    With ``place`` (a number that grows with time) and ``places`` an object keeps its latest write
+    whatever order the batches come in; ``folder`` names the batch, and writing it again only
+    finishes what the first attempt has left."""
     spark = df.sparkSession
-    register(spark)
-    columns = [F.col(name).alias("name"), F.col(content).alias("content")]
-    if place:
-        columns.append(F.col(place).cast("decimal(38,0)").alias("place"))
-    writer = df.select(*columns).write.format(SINK_NAME).mode("append").option("path", qualify(spark, root))
-    if place:
-        writer = writer.option("placePath", qualify(spark, place_root))
-    writer.save()
+    rows = df.select(F.col(name).alias("name"), F.col(content).alias("content"),
+                     (F.col(place) if place else F.lit(None)).cast("decimal(38,0)").alias("place"))
+    folder = folder or uuid.uuid4().hex
+    aside = f"{root.rstrip('/')}.staged/{folder}"
+    manifest = places.manifest(folder) if places else f"{aside}.manifest"
+    if places is None:
+        stage_objects(rows, aside, manifest)
+    elif not places.committed(folder):
+        places.compact()
+        newer = rows.join(places.known(), "name", "left").where("known_place IS NULL OR place > known_place")
+        stage_objects(newer, aside, manifest)
+    publish_objects(spark, manifest, root, aside)
+    if places is None:
+        _delete_folder(qualify(spark, manifest))
 
 
 LISTING = "path string, name string, length long, modificationTime timestamp"
@@ -239,29 +356,32 @@ def _tasks(spark: SparkSession) -> int:
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["path", "name", "length", "content"])
-
     for batch in batches:
-        rows, size = [], 0
-        for path, name in zip(batch.column("path").to_pylist(), batch.column("name").to_pylist()):
+        start, held, size = 0, [], 0
+        for i, path in enumerate(batch.column("path").to_pylist()):
             fs, at = resolve_fs(path)
             with fs.open_input_stream(at) as f:
-                data = f.read()
-            rows.append((path, name, len(data), data))
-            size += len(data)
-            if size >= READ_BATCH_BYTES:
-                yield out(rows)
-                rows, size = [], 0
-        if rows:
-            yield out(rows)
+                held.append(f.read())
+            size += len(held[-1])
+            if size >= READ_BATCH_BYTES or i == batch.num_rows - 1:
+                part = batch.slice(start, len(held))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(held, pa.binary())], names=[*part.schema.names, "content"])
+                start, held, size = i + 1, [], 0
+
+
+def with_content(listing: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Adds the ``content`` of each listed ``path``, read by the executors (S12).  Only the listing is
+    dealt out to tasks, so join and filter it first: bytes are read in the last stage and never
+    shuffled here."""
+    dealt = listing.repartition(tasks or _tasks(listing.sparkSession))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in listing.schema.fields)
+    return dealt.mapInArrow(_read_batches, f"{columns}, content binary")
 
 
 def read_objects(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
     """Object bytes read by the executors (S12): ``path, name, length, content``."""
-    listing = list_objects(spark, root, recursive).select("path", "name").repartition(_tasks(spark))
-    return listing.mapInArrow(_read_batches, "path string, name string, length long, content binary")
+    found = with_content(list_objects(spark, root, recursive).select("path", "name"))
+    return found.select("path", "name", F.octet_length("content").cast("long").alias("length"), "content")
 
 
 COPY_SCHEMA = "name string, n_bytes long, status string, error string"

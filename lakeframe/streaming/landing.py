@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeframe.operators.frames import latest_rows, position_order
 from lakeframe.session import rocksdb_state
-from lakeframe.sinks.objects import write_objects
+from lakeframe.sinks.objects import Places, write_objects
 
 
 def _trigger(writer, trigger):
@@ -57,9 +57,10 @@ def object_stream(df: DataFrame, root: str, checkpoint: str, *, name: str = "med
     """Stream records to objects named by ``name``.
 
     Each micro-batch is read once (persisted while it is written) and keeps the last record per
-    name by ``order`` (A3).  ``places`` (default: ``<root>.places``) keeps the position each
-    object was written from, so an older record in a later batch replaces nothing; a replayed
-    batch rewrites the same bytes.  The user metadata of each object (``metadata`` columns as
+    name by ``order`` (A3).  Its objects are all written aside before any is moved into place, so a
+    batch that fails half-way shows none; a replayed batch finishes the moves.  ``places``
+    (default: ``<root>.places``) keeps the position each object was written from, in one manifest
+    a batch, so an older record in a later batch replaces nothing.  The user metadata of each object (``metadata`` columns as
     a ``map<string,string>``) goes to ``sidecar`` and records without a name or content to
     ``rejected`` with a reason, both one folder per checkpoint and batch, overwritten on
     replay.  Without ``rejected`` such a record fails the query.
@@ -81,7 +82,7 @@ def object_stream(df: DataFrame, root: str, checkpoint: str, *, name: str = "med
             else:
                 batch_rows = batch
             latest = latest_rows(batch_rows, name, order).withColumn("__write", position_order(*order, fields=dict(batch.dtypes)))
-            write_objects(latest, root, name, content, "__write", places)
+            write_objects(latest, root, name, content, "__write", Places(spark, places), folder)
             if sidecar and metadata:
                 meta = F.create_map(*[x for m in metadata for x in (F.lit(m), F.col(m).cast("string"))])
                 (latest.select(F.col(name).alias("name"), F.col("__write").alias("place"), meta.alias("metadata"))

@@ -145,10 +145,13 @@ def test_every_image_file_is_an_envelope_or_rejected(spark, tmp_path):
     for name, data in files.items():
         (d / name).write_bytes(data)
     envelopes, rejected = image_envelopes(spark, str(d))
-    assert sorted(tuple(r) for r in metadata_projection(envelopes).collect()) == [("a b%20+#.png", 5, 2), ("i0.png", 3, 4)]
+    assert sorted(tuple(r) for r in metadata_projection(envelopes).collect()) == [
+        (".hidden.png", 3, 4), ("_under.png", 3, 4), ("a b%20+#.png", 5, 2), ("i0.png", 3, 4)]
     assert {bytes(r.value) for r in envelopes.collect()} == {png, files["a b%20+#.png"]}
-    assert {r.name: r.reason for r in rejected.collect()} == {"cut.png": "undecodable", "empty.jpg": "empty_payload", "junk.png": "undecodable",
-                                                              ".hidden.png": "undecodable", "_under.png": "undecodable"}
+    assert {r.name: r.reason for r in rejected.collect()} == {"cut.png": "undecodable", "empty.jpg": "empty_payload", "junk.png": "undecodable"}
+    for df in image_envelopes(spark, str(d)):  # bytes are read last: names and sizes alone are shuffled
+        shuffled = [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in line]
+        assert not any("content" in line or "value" in line for line in shuffled)
 
 
 def test_images_of_hidden_names_are_decoded(spark, tmp_path):
@@ -168,11 +171,53 @@ def test_images_of_hidden_names_are_decoded(spark, tmp_path):
     resized, rejected = resize_to_headers(spark, str(d), meta)
     assert sorted((r.name, r.height, r.r_sum) for r in resized.collect()) == sorted((n, 2, 9 * 6) for n in names)
     assert [(r.media_name, r.reason) for r in rejected.collect()] == [(".cut.png", "no_image")]
-    envelopes, rejected = image_envelopes(spark, str(d), hidden=True)
+    envelopes, rejected = image_envelopes(spark, str(d))
     assert sorted(tuple(r) for r in metadata_projection(envelopes).collect()) == sorted((n, 4, 6) for n in names)
     assert {r.name: r.reason for r in rejected.collect()} == {".cut.png": "undecodable", "_empty.png": "empty_payload"}
 
 
+def test_a_write_that_fails_half_way_shows_no_object(spark, tmp_path):
+    root = tmp_path / "objs"
+    rows = [(f"ok{i}", b"x") for i in range(20)] + [("bad", None)]
+    with pytest.raises(Exception, match="needs a name and content"):
+        write_objects(spark.createDataFrame(rows, "name string, content binary").repartition(4), str(root))
+    assert not root.exists() and not list((tmp_path / "objs.staged").iterdir())
+
+
+def test_an_interrupted_publish_is_finished_by_the_replay(spark, tmp_path, monkeypatch):
+    from lakeframe.sinks import objects
+    root, places = str(tmp_path / "objs"), objects.Places(spark, str(tmp_path / "places"))
+    df = spark.createDataFrame([(f"d/o{i}", b"%d" % i, 5) for i in range(12)], "name string, content binary, place long")
+
+    def crash(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(objects, "publish_objects", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            write_objects(df, root, place="place", places=places, folder="batch_id=0")
+    assert not (tmp_path / "objs").exists() and places.committed("batch_id=0")
+    one = next(p for p in (tmp_path / "objs.staged" / "batch_id=0").iterdir())
+    held = {r.staged.rsplit("/", 1)[1]: r.name for r in spark.read.parquet(places.manifest("batch_id=0")).collect()}
+    (tmp_path / "objs" / "d").mkdir(parents=True)
+    one.rename(tmp_path / "objs" / held[one.name])  # moved before the crash
+    write_objects(df.limit(0), root, place="place", places=places, folder="batch_id=0")  # the replay's rows are not looked at
+    assert {r.name: bytes(r.content) for r in read_objects(spark, root, recursive=True).collect()} == {f"d/o{i}": b"%d" % i for i in range(12)}
+    assert not (tmp_path / "objs.staged" / "batch_id=0").exists()
+
+
+def test_latest_write_wins_over_compacted_manifests(spark, tmp_path, monkeypatch):
+    from lakeframe.sinks import objects
+    monkeypatch.setattr(objects, "COMPACT_AFTER", 3)
+    root, places = str(tmp_path / "objs"), objects.Places(spark, str(tmp_path / "places"))
+    for batch, (name, place) in enumerate([("a", 5), ("b", 1), ("a", 3), ("a", 9), ("b", 0), ("a", 8), ("c", 1), ("a", 7), ("b", 2)]):
+        df = spark.createDataFrame([(name, str(place).encode(), place)], "name string, content binary, place long")
+        write_objects(df, root, place="place", places=places, folder=f"batch_id={batch}")
+    assert {r.name: bytes(r.content) for r in read_objects(spark, root).collect()} == {"a": b"9", "b": b"2", "c": b"1"}
+    assert len(list((tmp_path / "places" / "compacted").iterdir())) == 1 and len(list((tmp_path / "places" / "batches").iterdir())) <= 3
+    files = [p.name for p in (tmp_path / "places").rglob("*") if p.is_file() and not p.name.endswith(".crc")]
+    assert all(n == "_SUCCESS" or n.endswith(".parquet") for n in files)  # no file per object
+
+
 def test_listing_is_files_only_one_level(spark, tmp_path):
     (tmp_path / "sub" / "deep").mkdir(parents=True)
     (tmp_path / "a.jpg").write_bytes(b"a")
