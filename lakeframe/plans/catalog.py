@@ -6,13 +6,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeframe.schemas import EMPLOYEE
 from lakeframe.session import note_database, read_table, scratch, table_path
 from lakeframe.sinks.tables import (
     append_at_path, append_table, create_at_path, first_row, insert_by_position, schema_rows,
 )
-from lakeframe.sources.files import folder_of, live_files, read_delimited, read_paths, read_people, scan_path, write_delimited
+from lakeframe.sources.files import folder_of, live_files, read_delimited, read_paths, read_people, scan_path, split_delimited, write_delimited
 
 
 def _ident(name: str) -> str:
@@ -99,6 +100,29 @@ def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_path(spark, f"{root}/table")
 
 
+# Fixed value: the columns of the delimited customer lines.
+CUSTOMER_LINE = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+
+
+def delimited_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited lines of which some have a cell that is no number, a cell too few or one too many:
+    landed rows and rejected lines by reason, with the lines' length (S4, F3, K4)."""
+    root = scratch(spark, "delimited_outcomes")
+    cust = read_table(spark, sf_dir, "customer")
+    kind = F.pmod("c_custkey", F.lit(10))
+    cells = ["c_custkey", "c_name", F.when(kind == 0, F.lit("n/a")).otherwise(F.col("c_nationkey").cast("string")), F.col("c_acctbal").cast("decimal(18,2)"),
+             F.when(kind != 1, F.col("c_mktsegment")), F.when(kind == 2, F.lit("more"))]
+    cust.select(F.concat_ws(";", *cells).alias("line")).write.text(f"{root}/lines")
+    schema = StructType.fromDDL(CUSTOMER_LINE)
+    rows, rejected = split_delimited(spark, f"{root}/lines", schema, header=False)
+    create_at_path(rows, f"{root}/table")
+    landed = spark.read.parquet(f"{root}/table").groupBy(F.lit("landed").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("total"))
+    refused = rejected.groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.substring_index("line", ";", 1).cast("long")).alias("total"))
+    return landed.unionByName(refused)
+
+
 def csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inferred schema of the delimited customer file as rows."""
     root = scratch(spark, "csv_schema")
@@ -255,6 +279,7 @@ def sql_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "csv_inferred": csv_inferred,
     "csv_schema": csv_schema,
+    "delimited_outcomes": delimited_outcomes,
     "table_append": table_append,
     "insert_by_position": insert_by_position_q,
     "append_by_name": append_by_name,
@@ -274,6 +299,10 @@ QUERIES = {
 ORACLES = {
     "csv_inferred": """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+    "delimited_outcomes": """
+SELECT CASE c_custkey % 10 WHEN 0 THEN 'bad_cell: c_nationkey' WHEN 1 THEN 'bad_arity' WHEN 2 THEN 'bad_arity' ELSE 'landed' END AS outcome,
+       count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS total
+FROM customer GROUP BY 1""",
     "csv_schema": """
 SELECT * FROM (VALUES (0, 'c_custkey', 'int'), (1, 'c_name', 'string'), (2, 'c_nationkey', 'int'), (3, 'c_acctbal', 'double'),
                       (4, 'c_mktsegment', 'string')) t(ordinal, name, type)""",

@@ -120,6 +120,32 @@ def test_paths_table_with_null_and_escaped_folders(spark, tmp_path):
     got = read_paths(wanted, root)
     assert sorted((r.id, r.segment) for r in got.collect()) == [r for r in rows if r[0] != 5]
     assert got.select("source_path").distinct().count() == 5
+    assert not any("left" in f for f in got.inputFiles())  # only the named folders are opened
+    assert read_paths(wanted.where("path = '/nowhere'"), root).count() == 0
+
+
+def test_named_folders_alone_are_read_not_those_below_them(spark, tmp_path):
+    from lakeframe.sources.files import read_paths
+    root = tmp_path / "t"
+    for folder, n in (("a", 1), ("b[1]", 2), ("b1", 4), ("a/deep", 8)):
+        spark.range(n).coalesce(1).write.parquet(str(root / folder))
+    named = spark.createDataFrame([(f"{root}/a/",), (f"file:{root}/b[1]",), (f"{root}/a",), (str(tmp_path),)], "path string")
+    assert read_paths(named, str(root)).count() == 3
+
+
+def test_malformed_lines_are_rejected_with_file_and_reason(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from lakeframe.sources.files import split_delimited
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.csv").write_text('id;name;score;day\n1;a;1.5;2024-01-02\nx;b;2;2024-01-02\n3;c;3\n')
+    (tmp_path / "in" / "two +.csv").write_text('id;name;score;day\n4;"d;e";;\n5;f;five;never\n6;g;1;2024-01-01;more\n')
+    rows, rejected = split_delimited(spark, str(tmp_path / "in"), StructType.fromDDL("id INT, name STRING, score DOUBLE, day DATE"))
+    assert sorted((r.id, r.name, r.score, str(r.day)) for r in rows.collect()) == [(1, "a", 1.5, "2024-01-02"), (4, "d;e", None, "None")]
+    assert sorted((r.file, r.line, r.reason) for r in rejected.collect()) == [
+        ("one.csv", "3;c;3", "bad_arity"), ("one.csv", "x;b;2;2024-01-02", "bad_cell: id"),
+        ("two +.csv", "5;f;five;never", "bad_cell: score,day"), ("two +.csv", "6;g;1;2024-01-01;more", "bad_arity")]
+    assert rows.count() == 2 and rejected.count() == 4
 
 
 def test_live_files_count_empty_files(spark, tmp_path):
