@@ -12,10 +12,11 @@ media's frames into one row or one task:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeframe.functions.headers import LAST_NO, LAST_YES, TYPE_VIDEO, build_headers, header_int, header_text, media_columns
+from lakeframe.sources.files import literal, on_disk
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
 
@@ -224,6 +225,28 @@ def write_ordered_frames(frames: DataFrame, path: str, key: str = "media_name")
     ordered_frames(frames, key).write.mode("errorifexists").parquet(path)
 
 
+def index_sequences(spark: SparkSession, path: str, key: str = "media_name") -> None:
+    """Write the index of landed sequences (K11, O1) to ``<path>.index``: ``key, file, first, last`` (frame
+    ids), a row per media and file.  Only the key and the id are read."""
+    rows = spark.read.parquet(path).select(key, "frame_id", on_disk(F.col("_metadata.file_path")).alias("file"))
+    index = rows.groupBy(key, "file").agg(F.min("frame_id").alias("first"), F.max("frame_id").alias("last"))
+    index.repartitionByRange(key, "first").sortWithinPartitions(key, "first").write.mode("overwrite").parquet(f"{path.rstrip('/')}.index")
+
+
+def read_sequences(wanted: DataFrame, path: str, key: str = "media_name") -> DataFrame:
+    """Frames of the media named in ``wanted`` (column ``key``), from a landed and indexed table: the
+    index says which files hold them, and only those are opened.  The look-up runs in this call; the
+    driver holds the names of the files to scan, as for any scan."""
+    spark = wanted.sparkSession
+    names = wanted.select(key).where(F.col(key).isNotNull()).distinct()
+    index = spark.read.parquet(f"{path.rstrip('/')}.index")
+    files = [r.file for r in index.join(names, key, "left_semi").select("file").distinct().collect()]
+    rows = spark.read.parquet(path)
+    if not files:
+        return rows.where("false")
+    return spark.read.schema(rows.schema).parquet(*literal(sorted(files))).join(names, key, "left_semi")
+
+
 def position_order(timestamp: str = "timestamp", partition: str = "partition", offset: str = "offset",
                    fields: dict[str, str] | None = None) -> Column:
     """(timestamp, partition, offset) as one exact number, for hash aggregates with ``max``.

@@ -14,12 +14,13 @@ from lakeframe.functions.headers import (
 )
 from lakeframe.functions.paths import format_name
 from lakeframe.operators.frames import (
-    assemble_batch, assembled_frames, explode_frames, latest_per_name, number_frames, split_frames, write_ordered_frames,
+    assemble_batch, assembled_frames, explode_frames, index_sequences, latest_per_name, number_frames, read_sequences, split_frames,
+    write_ordered_frames,
 )
 from lakeframe.operators.routing import branch_of, reject_reason, route_by_extension
-from lakeframe.plans.standins import document_envelopes, event_envelopes, frame_envelopes
+from lakeframe.plans.standins import conversation_media_name, document_envelopes, event_envelopes, frame_envelopes
 from lakeframe.session import read_table, scratch
-from lakeframe.sources.envelopes import delivery_report, publish, to_envelopes
+from lakeframe.sources.envelopes import delivery_records, delivery_report, publish, publish_observed, split_publishable, to_envelopes
 from lakeframe.schemas import ENVELOPE
 
 
@@ -175,6 +176,23 @@ def delivery_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery_report(spark.read.schema(ENVELOPE).parquet(path))
 
 
+def delivery_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of ``delivery_report`` as the write itself has counted them."""
+    return publish_observed(event_envelopes(spark, sf_dir), scratch(spark, "delivery_observed"), "events", 4)
+
+
+def delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of which some lack a value or a position: what can be stored is published, and every
+    record is reported by what the topic then holds (K8, K9)."""
+    path = scratch(spark, "delivery_outcomes")
+    kind = F.pmod("user_id", F.lit(7))
+    env = event_envelopes(spark, sf_dir, headers=build_headers([("user", F.col("user_id"))])).withColumn("user_id", F.col("key").cast("string").cast("long"))
+    env = env.withColumns({"value": F.when(F.coalesce(kind != 1, F.lit(True)), F.col("value")),
+                           "offset": F.when(F.coalesce(kind != 2, F.lit(True)), F.col("offset"))}).drop("user_id")
+    publish(split_publishable(env)[0], path)
+    return delivery_records(env, path).groupBy("partition", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
 def frame_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0-based frame number in read order and the last-frame flag."""
     conv = read_table(spark, sf_dir, "conversations")
@@ -257,7 +275,22 @@ def assembled_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "media_name", "pos", "frame_id", F.md5("payload").alias("md5"), "fps", "height", "width")
 
 
+def sequence_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of the media that a table names, from landed and indexed sequences: only the files that
+    the index gives are opened (K11, O1)."""
+    root = scratch(spark, "sequence_lookup")
+    frames, _ = split_frames(frame_envelopes(spark, sf_dir, redeliver_role="user"))
+    write_ordered_frames(assembled_frames(frames), f"{root}/sequences")
+    index_sequences(spark, f"{root}/sequences")
+    wanted = read_table(spark, sf_dir, "conversations").where(F.col("role") == "assistant").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    wanted = wanted.where("n >= 3").select(conversation_media_name(F.col("conv_id")).alias("media_name"))
+    return read_sequences(wanted, f"{root}/sequences").select("media_name", "pos", F.md5("payload").alias("md5"))
+
+
 QUERIES = {
+    "delivery_observed": delivery_observed,
+    "delivery_outcomes": delivery_outcomes,
+    "sequence_lookup": sequence_lookup,
     "media_metadata": media_metadata,
     "media_payload": media_payload,
     "header_defaults": header_defaults,
@@ -374,6 +407,18 @@ WHERE rn = 1""",
 SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, count(*) AS n_records,
        min(event_id // 4) AS first_offset, max(event_id // 4) AS last_offset
 FROM events GROUP BY event_id % 4""",
+    "delivery_observed": """
+SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, count(*) AS n_records,
+       min(event_id // 4) AS first_offset, max(event_id // 4) AS last_offset
+FROM events GROUP BY event_id % 4""",
+    "delivery_outcomes": """
+SELECT CAST(event_id % 4 AS INTEGER) AS partition,
+       CASE WHEN user_id % 7 = 1 THEN 'failed: no value' WHEN user_id % 7 = 2 THEN 'failed: no position' ELSE 'delivered' END AS status, count(*) AS n
+FROM events GROUP BY 1, 2""",
+    "sequence_lookup": """
+SELECT 'conv-' || CAST(conv_id AS VARCHAR) || '.mp4' AS media_name, CAST(turn AS INTEGER) AS pos, md5(text) AS md5
+FROM conversations WHERE conv_id IN (SELECT conv_id FROM conversations WHERE role = 'assistant' GROUP BY conv_id HAVING count(*) >= 3)""",
+
     "frame_numbering": """
 SELECT conv_id, turn,
        CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS frame_id,

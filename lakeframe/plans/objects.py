@@ -13,7 +13,7 @@ from lakeframe.operators.images import image_envelopes, image_files, resize_imag
 from lakeframe.operators.routing import in_folder
 from lakeframe.plans.pngs import encode_png
 from lakeframe.session import read_table, scratch
-from lakeframe.sinks.objects import copy_objects, list_objects, write_objects
+from lakeframe.sinks.objects import copy_new_objects, copy_objects, list_objects, write_objects
 
 # Image shape per embedding label (label mod 3), 64 values each.
 LABEL_SHAPES = [(8, 8), (4, 16), (16, 4)]
@@ -40,6 +40,25 @@ def bulk_copy_status(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("copied_bytes") == F.col("n_bytes")).alias("verified"))
 
 
+def incremental_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three daily copies of a folder that grows and changes in between: each takes what is new or
+    changed, and the last one, made twice, nothing (R3, S10, K12)."""
+    root = scratch(spark, "incremental_copy")
+    pages = read_table(spark, sf_dir, "pages")
+    name, body = F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".html")), F.encode("html", "UTF-8")
+    rows = pages.select("page_id", name.alias("name"), body.alias("content"))
+    days = [rows.where("page_id % 3 <> 0"),
+            rows.where("page_id % 3 = 0").unionByName(rows.where("page_id % 15 = 1").withColumn("content", F.concat("content", F.encode(F.lit("!"), "UTF-8")))),
+            rows.where("false"), rows.where("false")]
+    for day, change in zip((1, 2, 3, 3), days):
+        write_objects(change, f"{root}/source")
+        copy_new_objects(list_objects(spark, f"{root}/source"), f"{root}/copy", f"{root}/ledger", f"day{day}")
+    taken = spark.read.parquet(f"{root}/ledger").where("status = 'ok'")
+    held = list_objects(spark, f"{root}/copy").select("name", F.col("length").alias("held_bytes"))
+    out = taken.join(held, "name")
+    return out.groupBy(F.col("run")).agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("n_bytes"), F.sum("held_bytes").alias("held_bytes"))
+
+
 @F.pandas_udf(BinaryType())
 def _png(values: pd.Series, label: pd.Series) -> pd.Series:
     out = []
@@ -106,6 +125,7 @@ def resize_to_header_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "list_folder": list_folder,
     "bulk_copy_status": bulk_copy_status,
+    "incremental_copy": incremental_copy,
     "image_dimensions": image_dimensions_q,
     "image_outcomes": image_outcomes,
     "resize_pixels": resize_pixels,
@@ -147,6 +167,11 @@ WHERE list_contains(['brand/' || p_brand, 'type/' || p_type], 'brand/Brand#2')""
 SELECT 'page-' || CAST(page_id AS VARCHAR) || '.html' AS name, strlen(html) AS n_bytes, 'ok' AS status,
        true AS verified
 FROM pages""",
+    "incremental_copy": """
+WITH p AS (SELECT page_id, strlen(html) AS first, CASE WHEN page_id % 15 = 1 THEN strlen(html) + 1 ELSE strlen(html) END AS last FROM pages),
+d AS (SELECT 'day1' AS run, first AS n, last FROM p WHERE page_id % 3 <> 0
+      UNION ALL SELECT 'day2', last, last FROM p WHERE page_id % 3 = 0 OR page_id % 15 = 1)
+SELECT run, count(*) AS n, CAST(sum(n) AS BIGINT) AS n_bytes, CAST(sum(last) AS BIGINT) AS held_bytes FROM d GROUP BY run""",
     "image_dimensions": """
 SELECT 'vec-' || CAST(vec_id AS VARCHAR) || '.png' AS media_name,
        CAST(CASE label % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 16 END AS INTEGER) AS original_height,

@@ -15,7 +15,7 @@ from lakeframe.plans.standins import document_envelopes, event_envelopes, frame_
 from lakeframe.session import scratch
 from lakeframe.sinks.objects import read_objects
 from lakeframe.sources.envelopes import high_water_marks, publish, publish_in_order, read_envelopes, start_position
-from lakeframe.streaming.landing import append_stream, await_all, object_stream
+from lakeframe.streaming.landing import append_stream, await_all, batch_table, fan_out_batches, object_stream
 from lakeframe.streaming.reassembly import assemble_stream as assemble_frames
 from lakeframe.streaming.reassembly import pending_frames, published_frames, reassemble_stream
 
@@ -178,7 +178,34 @@ def object_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("media_name", "original_height", "original_width", "n_bytes", "md5", "object_width"))
 
 
+def fan_out_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream, two tables of one ledger; the second one fails at first, and after the restart each
+    record is in both exactly once (K13, T4)."""
+    root = scratch(spark, "fan_out_landing")
+    publish(event_envelopes(spark, sf_dir), f"{root}/topic")
+    fails = [True]
+
+    def broken_once(batch: DataFrame, folder: str) -> None:
+        if fails:
+            raise OSError("the second sink is not there yet")
+        batch_table(f"{root}/values")(batch.select("partition", "offset", F.col("value").cast("string").alias("value")), folder)
+
+    def run() -> None:
+        sinks = {"keys": lambda batch, folder: batch_table(f"{root}/keys")(batch.select("partition", "offset", F.col("key").cast("string").alias("key")), folder),
+                 "values": broken_once}
+        await_all([fan_out_batches(_replay(spark, f"{root}/topic"), f"{root}/checkpoints/both", sinks, f"{root}/ledger")])
+
+    try:
+        run()
+    except RuntimeError:
+        fails.clear()
+        run()
+    keys, values = (spark.read.parquet(f"{root}/{t}").select("partition", "offset", c) for t, c in (("keys", "key"), ("values", "value")))
+    return keys.join(values, ["partition", "offset"], "full")
+
+
 QUERIES = {
+    "fan_out_landing": fan_out_landing,
     "kv_text_landing": kv_text_landing,
     "metadata_stream_landing": metadata_stream_landing,
     "stream_restart": stream_restart,
@@ -194,6 +221,8 @@ _EVENTS_KV = """CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS "of
        CAST(user_id AS VARCHAR) AS key, concat_ws(':', event_type, props) AS value"""
 
 ORACLES = {
+    "fan_out_landing": f"""
+SELECT {_EVENTS_KV} FROM events""",
     "kv_text_landing": """
 SELECT CAST(user_id AS VARCHAR) AS key, concat_ws(':', event_type, props) AS value FROM events""",
     "metadata_stream_landing": """

@@ -424,3 +424,29 @@ def copy_objects(listing: DataFrame, dest: str, status_path: str, tasks: int | N
     src = src.select("path", "name", F.when(F.col("nth") > 1, F.col("first")).alias("other")).repartition(tasks or _tasks(spark))
     src.mapInPandas(_copier(qualify(spark, dest), part_bytes), COPY_SCHEMA).write.parquet(status_path)
     return spark.read.schema(COPY_SCHEMA).parquet(status_path)
+
+
+def copy_new_objects(listing: DataFrame, dest: str, ledger: str, run: str) -> DataFrame:
+    """The daily copy (R3, S10, K12): copies the listed objects that no earlier run has copied as they
+    are now (by name, size and modification time) and returns this run's rows of the ledger,
+    ``name, length, modificationTime, n_bytes, status, error``.
+
+    The ledger at ``ledger`` is a table partitioned by run, and a run's part appears when all its
+    copies have ended.  What failed is tried again by the next run, and so is a run that broke
+    off; a run that is there already is not made again."""
+    spark = listing.sparkSession
+    schema = "name string, length long, modificationTime timestamp, n_bytes long, status string, error string"
+    mine = f"{ledger.rstrip('/')}/run={run}"
+    if not _exists(qualify(spark, f"{mine}/_SUCCESS")):
+        objects = listing.select("path", "name", "length", "modificationTime")
+        if _exists(qualify(spark, ledger)):
+            done = spark.read.schema(schema).parquet(ledger).where("status = 'ok'")
+            objects = objects.join(done, ["name", "length", "modificationTime"], "left_anti")
+        aside = f"{ledger.rstrip('/')}.{uuid.uuid4().hex}"
+        objects.write.parquet(f"{aside}/listing")  # the listing of this run, read once
+        objects = spark.read.parquet(f"{aside}/listing")
+        status = copy_objects(objects, dest, f"{aside}/status").dropDuplicates(["name", "status"])
+        rows = objects.select("name", "length", "modificationTime").join(status, "name")
+        rows.select("name", "length", "modificationTime", "n_bytes", "status", "error").write.mode("overwrite").parquet(mine)
+        _delete_folder(qualify(spark, aside))
+    return spark.read.schema(schema).parquet(mine)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeframe.schemas import ENVELOPE
@@ -56,8 +56,12 @@ DEFAULT_TRIGGER_OFFSETS = 10_000_000  # a micro-batch of a Kafka topic
 def publish(envelopes: DataFrame, path: str) -> None:
     """Append envelopes to a stored topic (K8 stand-in when Kafka is absent), in ranges of
     (partition, offset), so that a file holds consecutive records."""
+    _in_topic_order(envelopes).write.mode("append").parquet(path)
+
+
+def _in_topic_order(envelopes: DataFrame) -> DataFrame:
     out = envelopes.select(*[F.col(f.name).cast(f.dataType) for f in ENVELOPE.fields])
-    out.repartitionByRange("partition", "offset").sortWithinPartitions("partition", "offset").write.mode("append").parquet(path)
+    return out.repartitionByRange("partition", "offset").sortWithinPartitions("partition", "offset")
 
 
 def publish_in_order(envelopes: DataFrame, path: str, drops: int) -> Iterator[int]:
@@ -151,10 +155,37 @@ def delivery_report(envelopes: DataFrame) -> DataFrame:
                  F.max("offset").alias("last_offset")))
 
 
-def delivery_records(envelopes: DataFrame) -> DataFrame:
-    """Per-record delivery report (K9): where each stored record landed, or why it could
-    not be placed (no value, or no partition/offset)."""
-    placed = F.col("partition").isNotNull() & F.col("offset").isNotNull()
-    status = (F.when(F.col("value").isNull(), F.lit("failed: no value"))
-              .when(~placed, F.lit("failed: no position")).otherwise(F.lit("delivered")))
-    return envelopes.select("topic", "partition", "offset", status.alias("status"))
+def publish_observed(envelopes: DataFrame, path: str, topic: str, partitions: int) -> DataFrame:
+    """Publish, and report per topic partition what the write itself has counted (K9, T6): the rows
+    of :func:`delivery_report` without reading the topic again.  ``partitions`` is the topic's number
+    of partitions; a record of another one fails the publish before anything is stored."""
+    spark, seen = envelopes.sparkSession, Observation()
+    known = F.col("partition").between(0, partitions - 1) & F.col("offset").isNotNull()
+    checked = envelopes.withColumn("partition", F.when(known, F.col("partition")).otherwise(
+        F.raise_error(F.lit("a record has no position in the topic")).cast("int")))
+    figures = []
+    for i in range(partitions):
+        own = F.when(F.col("partition") == i, F.col("offset"))
+        figures += [F.count(own).alias(f"n{i}"), F.min(own).alias(f"first{i}"), F.max(own).alias(f"last{i}")]
+    _in_topic_order(checked).observe(seen, *figures).write.mode("append").parquet(path)
+    got = seen.get
+    rows = [(topic, i, got[f"n{i}"], got[f"first{i}"], got[f"last{i}"]) for i in range(partitions) if got[f"n{i}"]]
+    return spark.createDataFrame(rows, "topic string, partition int, n_records long, first_offset long, last_offset long")
+
+
+def split_publishable(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(publishable, refused)``: a record without a value or a position cannot be stored."""
+    reason = (F.when(F.col("value").isNull(), F.lit("no value"))
+              .when(F.col("partition").isNull() | F.col("offset").isNull(), F.lit("no position")))
+    return envelopes.where(reason.isNull()), envelopes.where(reason.isNotNull()).withColumn("reason", reason)
+
+
+def delivery_records(envelopes: DataFrame, path: str) -> DataFrame:
+    """Per-record delivery report (K9): ``topic, partition, offset, status`` of every record meant for
+    the stored topic at ``path``, by what is found there: ``delivered``, or ``failed`` and why."""
+    sent, refused = split_publishable(envelopes)
+    key = ["topic", "partition", "offset"]
+    stored = sent.sparkSession.read.schema(ENVELOPE).parquet(path).select(*key).distinct().withColumn("stored", F.lit(True))
+    status = F.when(F.col("stored"), F.lit("delivered")).otherwise(F.lit("failed: not stored"))
+    return (sent.select(*key).join(stored, key, "left").select(*key, status.alias("status"))
+            .unionByName(refused.select(*key, F.concat(F.lit("failed: "), "reason").alias("status"))))

@@ -49,7 +49,7 @@ def split_delimited(spark: SparkSession, path: str, schema: StructType, *, delim
 
 def folder_file(path: Column) -> Column:
     """The file name of a ``_metadata.file_path``, as it is on disk."""
-    return F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
+    return on_disk(F.substring_index(path, "/", -1))
 
 
 def write_delimited(df: DataFrame, path: str, delimiter: str = ";") -> None:
@@ -66,10 +66,19 @@ def scan_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return spark.read.format(fmt).load(path)
 
 
+def on_disk(path: Column) -> Column:
+    """A ``_metadata.file_path``, which is URL-encoded, as it is on disk."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def literal(paths: Iterable[str]) -> list[str]:
+    """Paths for a reader, which would take some characters for a pattern."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
 def folder_of(path: Column) -> Column:
     """The folder of a ``_metadata.file_path``, as it is on disk (the column is URL-encoded)."""
-    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(plain, "/[^/]*$", "")
+    return F.regexp_replace(on_disk(path), "/[^/]*$", "")
 
 
 def _folders_there(root: str):
@@ -110,7 +119,7 @@ def read_paths(paths: DataFrame, root: str, column: str = "path", fmt: str = "pa
     folder = folder_of(F.col("_metadata.file_path"))
     if not there:
         return spark.read.format(fmt).load(root).withColumn("source_path", folder).where("false")
-    rows = reader.load([re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in there])  # no patterns
+    rows = reader.load(literal(there))
     named = spark.createDataFrame([(_SCHEME.sub("", f),) for f in there], "__folder string")  # not the folders below them
     return rows.withColumns({"source_path": folder, "__folder": bare(folder)}).join(named, "__folder", "left_semi").drop("__folder")
 

@@ -11,6 +11,7 @@ import json
 import time
 from collections.abc import Callable
 
+from pyarrow.fs import FileType
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeframe.operators.frames import latest_rows, position_order
 from lakeframe.session import rocksdb_state
-from lakeframe.sinks.objects import Places, write_objects
+from lakeframe.sinks.objects import Places, qualify, resolve_fs, write_objects
 
 
 def _trigger(writer, trigger):
@@ -94,15 +95,38 @@ def object_stream(df: DataFrame, root: str, checkpoint: str, *, name: str = "med
     return _trigger(writer, trigger).start()
 
 
-def fan_out_batches(df: DataFrame, checkpoint: str, writers: list[Callable[[DataFrame, int], None]],
+def batch_table(path: str) -> Callable[[DataFrame, str], None]:
+    """A sink for :func:`fan_out_batches`: appends to a table, a folder per query and batch, which a
+    repeated attempt overwrites."""
+    return lambda batch, folder: batch.write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
+def fan_out_batches(df: DataFrame, checkpoint: str, sinks: dict[str, Callable[[DataFrame, str], None]], ledger: str,
                     trigger: str | None = "availableNow") -> StreamingQuery:
-    """One source read, several sinks (K13 variant): each micro-batch is persisted once and
-    handed to every writer, then released."""
+    """One source read, several sinks (K13, T4): each micro-batch is persisted once and handed to
+    every sink as ``sink(batch, folder)``, then released.
+
+    ``ledger`` has an empty file per (query, batch, sink), written when that sink is done and looked
+    up before it begins.  So if a sink fails, the replayed batch goes to it and to those after it, not
+    to those before.  ``folder`` names query and batch: a sink that overwrites it repeats nothing
+    where the failure came between its write and the ledger."""
+    spark = df.sparkSession
+    fs, base = resolve_fs(qualify(spark, ledger))
+
+    def done(folder: str, name: str) -> str:
+        return f"{base}/{folder}/sink={name}"
+
     def each(batch: DataFrame, batch_id: int) -> None:
+        folder = f"run_id={run_id(spark, checkpoint)}/batch_id={batch_id}"
+        open_sinks = {n: s for n, s in sinks.items() if fs.get_file_info(done(folder, n)).type == FileType.NotFound}
+        if not open_sinks:
+            return
         batch.persist()
         try:
-            for w in writers:
-                w(batch, batch_id)
+            for name, sink in open_sinks.items():
+                sink(batch, folder)
+                fs.create_dir(f"{base}/{folder}", recursive=True)
+                fs.open_output_stream(done(folder, name)).close()
         finally:
             batch.unpersist()
 

@@ -227,3 +227,41 @@ def test_listing_is_files_only_one_level(spark, tmp_path):
     assert sorted(r.name for r in list_objects(spark, str(tmp_path)).collect()) == [".hidden", "a.jpg"]
     assert sorted((r.name, r.length) for r in list_objects(spark, str(tmp_path), recursive=True).collect()) == [
         (".hidden", 1), ("a.jpg", 1), ("sub/b.png", 1), ("sub/deep/c", 0)]
+
+
+def test_daily_copy_takes_what_is_new_changed_or_failed_before(spark, tmp_path):
+    from lakeframe.sinks.objects import copy_new_objects
+    src, dst, ledger = tmp_path / "src", tmp_path / "dst", str(tmp_path / "ledger")
+    src.mkdir()
+
+    def day(run, extra=()):
+        listing = list_objects(spark, str(src))
+        if extra:
+            listing = listing.unionByName(spark.createDataFrame(list(extra), listing.schema))
+        return sorted((r.name, r.status) for r in copy_new_objects(listing, str(dst), ledger, run).collect())
+    (src / "a").write_bytes(b"1")
+    (src / ".b").write_bytes(b"22")
+    gone = (f"file:{src}/gone", "gone", 3, None)
+    assert day("1", [gone]) == [(".b", "ok"), ("a", "ok"), ("gone", "failed")]
+    (src / "a").write_bytes(b"333")  # changed
+    (src / "gone").write_bytes(b"444")
+    assert day("2") == [("a", "ok"), ("gone", "ok")]
+    assert day("2") == [("a", "ok"), ("gone", "ok")]  # that run has been made
+    assert day("3") == [] and (dst / "a").read_bytes() == b"333"
+
+
+def test_sequences_are_found_through_their_index(spark, tmp_path):
+    from lakeframe.operators.frames import index_sequences, read_sequences, write_ordered_frames
+    path = str(tmp_path / "seq a%20")
+    frames = spark.range(4000).selectExpr("concat('m', lpad(id div 100, 3, '0')) media_name", "cast(id % 100 as int) frame_id", "cast(cast(id as string) as binary) payload")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files, as large tables have
+    try:
+        write_ordered_frames(frames, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    index_sequences(spark, path)
+    wanted = spark.createDataFrame([("m007",), ("m007",), (None,), ("none",)], "media_name string")
+    got = read_sequences(wanted, path)
+    assert sorted(r.frame_id for r in got.collect()) == list(range(100)) and set(got.columns) == set(frames.columns)
+    assert len(got.inputFiles()) < len(spark.read.parquet(path).inputFiles())
+    assert read_sequences(wanted.where("media_name = 'none'"), path).count() == 0

@@ -66,26 +66,36 @@ def test_on_last_emits_early_when_last_frame_overtakes(spark, tmp_path):
     assert got["a.mp4"].n_frames == 1
 
 
-def test_fan_out_batches_writes_every_sink_once(spark, tmp_path):
+def test_a_sink_that_fails_is_repeated_alone(spark, tmp_path):
     from lakeframe.sinks.objects import read_objects, write_objects
-    from lakeframe.streaming.landing import fan_out_batches
+    from lakeframe.streaming.landing import batch_table, fan_out_batches
 
-    src = str(tmp_path / "src")
+    schema = "media_name string, image_data binary, n int"
+    src, table, objs = (str(tmp_path / n) for n in ("src", "table", "objs"))
     rows = [(f"m{i}.jpg", f"payload-{i}".encode(), i) for i in range(30)]
-    spark.createDataFrame(rows, "media_name string, image_data binary, n int").repartition(3).write.parquet(src)
-    stream = spark.readStream.schema("media_name string, image_data binary, n int").option("maxFilesPerTrigger", 1).parquet(src)
-    table, objs = str(tmp_path / "table"), str(tmp_path / "objs")
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(src)
+    calls, fails = [], [True]
 
-    def to_table(batch, batch_id):
-        batch.select("media_name", "n").write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    def to_table(batch, folder):
+        calls.append(("table", folder))
+        batch_table(table)(batch.select("media_name", "n"), folder)
 
-    def to_objects(batch, batch_id):
+    def to_objects(batch, folder):
+        calls.append(("objects", folder))
+        if len([c for c in calls if c[0] == "objects"]) == 2 and fails:
+            raise OSError("not there")
         write_objects(batch, objs, "media_name", "image_data")
 
-    await_all([fan_out_batches(stream, str(tmp_path / "ckpt"), [to_table, to_objects])])
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        await_all([fan_out_batches(stream, str(tmp_path / "ckpt"), {"table": to_table, "objects": to_objects}, str(tmp_path / "ledger"))])
+    with pytest.raises(RuntimeError, match="not there"):
+        run()
+    fails.clear()
+    run()
     assert spark.read.parquet(table).count() == 30
-    got = {r.name: bytes(r.content) for r in read_objects(spark, objs).collect()}
-    assert got == {n: p for n, p, _ in rows}
+    assert {r.name: bytes(r.content) for r in read_objects(spark, objs).collect()} == {n: p for n, p, _ in rows}
+    assert len([c for c in calls if c[0] == "table"]) == 3 and len([c for c in calls if c[0] == "objects"]) == 4
 
 
 def test_tws_engine_matches_group_state(spark, tmp_path):
@@ -528,9 +538,16 @@ def test_state_store_setting_of_the_caller_is_left_alone(spark, tmp_path):
     assert s.conf.get(name) == before
 
 
-def test_delivery_records_per_record_status(spark):
+def test_delivery_records_come_from_what_was_stored(spark, tmp_path):
     from lakeframe.schemas import ENVELOPE
-    from lakeframe.sources.envelopes import delivery_records
-    rows = [(None, b"v", "t", 0, 5, None, 0, []), (None, None, "t", 1, 6, None, 0, []), (None, b"v", "t", None, None, None, 0, [])]
-    got = [r.status for r in delivery_records(spark.createDataFrame(rows, ENVELOPE)).collect()]
-    assert got == ["delivered", "failed: no value", "failed: no position"]
+    from lakeframe.sources.envelopes import delivery_records, publish, publish_observed, split_publishable
+    rows = [(None, b"v", "t", 0, 5, None, 0, []), (None, None, "t", 1, 6, None, 0, []), (None, b"v", "t", None, None, None, 0, []), (None, b"w", "t", 1, 9, None, 0, [])]
+    env, topic = spark.createDataFrame(rows, ENVELOPE), str(tmp_path / "topic")
+    publish(split_publishable(env)[0].where("offset < 9"), topic)  # one record is lost on its way
+    got = {(r.partition, r.offset): r.status for r in delivery_records(env, topic).collect()}
+    assert got == {(0, 5): "delivered", (1, 6): "failed: no value", (None, None): "failed: no position", (1, 9): "failed: not stored"}
+    seen = publish_observed(split_publishable(env)[0], str(tmp_path / "other"), "t", 2).collect()
+    assert sorted(tuple(r) for r in seen) == [("t", 0, 1, 5, 5), ("t", 1, 1, 9, 9)]
+    for bad in (env.where("partition IS NULL"), env.where("partition = 1")):
+        with pytest.raises(Exception, match="no position in the topic"):
+            publish_observed(bad, str(tmp_path / "bad"), "t", 1)
