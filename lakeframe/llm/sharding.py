@@ -1,9 +1,11 @@
 """Sharding: minimum-cost-flow resharding of an existing layout.
 
-Documents of an old shard are cut into blocks by a hash, at least ``BLOCKS_PER_SHARD`` to a new
-shard's size, more where a block would exceed ``BLOCK_BYTES``.  A minimum-cost flow from old
-shard sizes to new capacities (staying is free, a moved byte costs one) says how many bytes
-each old shard sends where; the blocks then realise the flow, largest first.  What the driver
+Documents of an old shard are cut into blocks by a hash of their place in it (so repeated rows
+spread like any others), at least ``BLOCKS_PER_SHARD`` to a new shard's size, more where a block
+would exceed ``BLOCK_BYTES``.  A minimum-cost flow from old shard sizes to new capacities
+(staying is free, a moved byte costs one) says how many bytes each old shard sends where; what
+can stay stays, so the network is cut down to one class of surplus bytes and the shards with
+room.  The blocks then realise the flow, largest first.  What the driver
 handles is the table of blocks, never rows.  The rewrite shuffles texts once, writes the
 affected shards and leaves the files of the others alone.
 """
@@ -15,6 +17,7 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,6 +91,33 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost: np.ndarray) -> d
     return {(i, j): x for j, own in flow.items() for i, x in own.items() if x}
 
 
+def fewest_moves(supply: list[int], capacity: list[int]) -> dict[tuple[int, int], int]:
+    """The flow that moves the fewest bytes, old ``i`` staying at new ``i`` for nothing and a byte
+    costing one on every other way.
+
+    The moved bytes are the total without those that stay, and all of ``min(supply, capacity)`` can
+    stay at once, since what is left of the supplies finds room anywhere at the same price.  Left
+    over bytes of all old shards are therefore one class: the flow is solved from this class to the
+    room left, and dealt back to its members in order, which adds one transfer a member at most."""
+    if sum(supply) > sum(capacity):
+        raise ValueError("the capacities do not hold the supply")
+    stay = [min(s, c) for s, c in zip(supply, capacity)]
+    flow = {(i, i): x for i, x in enumerate(stay) if x}
+    surplus = [(i, s - (stay[i] if i < len(stay) else 0)) for i, s in enumerate(supply)]
+    room = [c - (stay[j] if j < len(stay) else 0) for j, c in enumerate(capacity)]
+    moved = min_cost_flow([sum(x for _, x in surplus)], room, np.ones((1, len(room))))
+    owing = iter([(i, x) for i, x in surplus if x])
+    i, left = next(owing, (0, 0))
+    for (_, j), x in sorted(moved.items()):
+        while x:
+            take = min(x, left)
+            flow[i, j] = flow.get((i, j), 0) + take
+            x, left = x - take, left - take
+            if not left:
+                i, left = next(owing, (0, 0))
+    return flow
+
+
 def place_blocks(blocks: list[tuple[int, int, int]], flow: dict[tuple[int, int], int], capacity: list[int]) -> list[int]:
     """New shard of each block ``(old, block, bytes)``: largest first to the target its old shard
     still owes most, at home if that is a tie; then single blocks move from the fullest to the
@@ -138,10 +168,7 @@ def make_plan(table: list[tuple[int, int, int, int]], shards: int, capacity: lis
     supply = [0] * olds
     for old, _, size, _ in table:
         supply[old] += size
-    cost = np.ones((olds, len(capacity)))
-    for i in range(min(olds, len(capacity))):
-        cost[i, i] = 0
-    where = place_blocks([t[:3] for t in table], min_cost_flow(supply, capacity, cost), capacity)
+    where = place_blocks([t[:3] for t in table], fewest_moves(supply, capacity), capacity)
     plan, by_shard = Plan([]), defaultdict(list)
     for t, shard in zip(table, where):
         by_shard[shard].append(t)
@@ -180,12 +207,19 @@ def reshard(docs: DataFrame, shards: int, capacity: list[int] | None = None, tex
     numbered from 0 and get equal byte capacities unless ``capacity`` is given; slots are
     gapless from 0, in the order of old shard, block, id, row.  Affected shards are written
     below ``path``; the rows of the others are read from their old files.  Blocks are cut by a
-    hash of the whole row, so repeated rows stay together, one beside the other.  An empty
-    table gives an empty layout."""
+    hash of the row's number in its file, so any number of repeated rows spreads evenly; where the
+    file format does not number rows (all but Parquet) by a hash of the row, and repeated rows stay
+    together.  A very long text is a row like any other: its shard is larger by what it exceeds a
+    block.  Extra columns move along; names beginning with ``__lf_`` are taken.  An empty table gives an
+    empty layout."""
     spark = docs.sparkSession
     size = F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long") + ROW_BYTES
     rows = keyed(docs).withColumns({"__lf_file": F.col("_metadata.file_path"), SIZE: size})
-    slim = land(rows.groupBy("__lf_file", F.pmod(KEY1, F.lit(1 << 20)).alias("cell")).agg(
+    try:
+        rows = rows.withColumn("__lf_cell", F.pmod(F.xxhash64("_metadata.row_index"), F.lit(1 << 20)))
+    except AnalysisException:
+        rows = rows.withColumn("__lf_cell", F.pmod(KEY1, F.lit(1 << 20)))
+    slim = land(rows.groupBy("__lf_file", F.col("__lf_cell").alias("cell")).agg(
         F.sum(SIZE).alias("size"), F.count(F.lit(1)).alias("n")), "sharding_cells")
     files = sorted(tuple(r) for r in slim.groupBy("__lf_file").agg(F.sum("size")).collect())
     total = sum(f[1] for f in files)
@@ -194,7 +228,7 @@ def reshard(docs: DataFrame, shards: int, capacity: list[int] | None = None, tex
         f"__lf_file string, {OLD} int, __lf_blocks int")
     if len(files) <= MOST_FILES:
         numbered = F.broadcast(numbered)
-    block = F.pmod(F.pmod(KEY1, F.lit(1 << 20)), F.col("__lf_blocks")).cast("int")
+    block = F.pmod("__lf_cell", "__lf_blocks").cast("int")
     cells = slim.join(numbered, "__lf_file").groupBy(OLD, F.pmod("cell", "__lf_blocks").cast("int").alias("block"))
     table = sorted(tuple(r) for r in cells.agg(F.sum("size").cast("long"), F.sum("n").cast("long")).collect())
     plan = make_plan(table, shards, capacity, file_bytes)

@@ -121,6 +121,54 @@ def test_flow_is_cheapest():
         assert sum(x * cost[a][b] for (a, b), x in flow.items()) == cheapest(supply, capacity, cost)
 
 
+def test_fewest_moves_equals_the_general_flow():
+    rng = random.Random(12)
+    for _ in range(60):
+        n, m = rng.randint(1, 9), rng.randint(1, 6)
+        supply = [rng.randint(0, 50) for _ in range(n)]
+        total = sum(supply)
+        capacity = [total * (j + 1) // m - total * j // m + rng.randint(0, 3) for j in range(m)]
+        cost = np.ones((n, m))
+        for i in range(min(n, m)):
+            cost[i, i] = 0
+        flow, general = sharding.fewest_moves(supply, capacity), sharding.min_cost_flow(supply, capacity, cost)
+        assert [sum(x for (a, _), x in flow.items() if a == i) for i in range(n)] == supply
+        assert all(sum(x for (_, b), x in flow.items() if b == j) <= capacity[j] for j in range(m))
+        price = lambda f: sum(x for (a, b), x in f.items() if a != b)
+        assert price(flow) == price(general) and all(x > 0 for x in flow.values())
+
+
+def test_plan_of_many_old_files_takes_seconds():
+    import time
+
+    rng = random.Random(13)
+    table = [(old, b, rng.randint(1, 200), 1) for old in range(20_000) for b in range(2)]
+    began = time.time()
+    plan = sharding.make_plan(table, 40)
+    assert time.time() - began < 10
+    load = Counter()
+    for _, _, size, _, shard, _ in plan.blocks:
+        load[shard] += size
+    assert sum(load.values()) == sum(t[2] for t in table) and max(load.values()) - min(load.values()) <= 200
+
+
+def test_repeated_rows_spread_over_all_shards(spark, tmp_path):
+    text = "the same text again and again, " * 13
+    rows = [(1, text)] * 20_000 + [(i, "x" * (i % 700)) for i in range(2, 3000)]
+    spark.createDataFrame(rows[:20_000], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    spark.createDataFrame(rows[20_000:], "doc_id long, text string").coalesce(2).write.mode("append").parquet(str(tmp_path / "docs"))
+    layout = sharding.reshard(spark.read.parquet(str(tmp_path / "docs")), 40)
+    check_layout(layout, rows, 40)
+    load = [r[1] for r in layout.rows.groupBy(sharding.SHARD).agg({sharding.SIZE: "sum"}).collect()]
+    assert len(load) == 40 and max(load) - min(load) <= 0.02 * sum(load) / 40
+
+
+def test_rows_of_other_formats_are_told_by_their_content(spark, hard, tmp_path):
+    hard.select("doc_id", "text").write.json(str(tmp_path / "docs"))
+    docs = spark.read.schema("doc_id long, text string").json(str(tmp_path / "docs"))
+    assert sharding.reshard(docs, 4).rows.count() == len(hard_rows())
+
+
 def test_plan_moves_little_more_than_the_least():
     rng = random.Random(1)
     table = [(old, b, rng.randint(50, 150), 1) for old, n in enumerate([300, 100, 500, 10]) for b in range(n)]
