@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeframe.session import scratch
 
@@ -22,11 +23,26 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hashable(value: Column, kind: T.DataType) -> Column:
+    """``value`` in a form that Spark hashes: maps, at any depth, as their entries by key, variants as
+    JSON."""
+    name = kind.simpleString()
+    if "map<" not in name and "variant" not in name:
+        return value
+    if isinstance(kind, T.MapType):
+        keys = F.array_sort(F.map_keys(value))
+        return F.transform(keys, lambda k: F.struct(k.alias("k"), hashable(F.element_at(value, k), kind.valueType).alias("v")))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: hashable(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[hashable(value.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]))
+    return F.to_json(value)
+
+
 def row_keys(df: DataFrame) -> tuple[Column, Column]:
     """Two 64-bit hashes over all columns of a row.  Rows with equal keys are identical rows,
     hence interchangeable; ids need not be unique and may be NULL."""
-    cols = [F.col(f"`{f.name}`") for f in df.schema.fields
-            if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    cols = [hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     return F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)
 
 

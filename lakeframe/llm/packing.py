@@ -12,6 +12,7 @@ waste does not grow with the number of groups.
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,6 +37,15 @@ class Capacity:
     documents: int = 2048
     attention: int = 2048 * 2048
 
+    @property
+    def longest(self) -> int:
+        """The longest piece that a sequence can hold."""
+        return min(self.tokens, math.isqrt(self.attention))
+
+    def check(self, longest: int) -> None:
+        if self.documents < 1 or longest > self.longest:
+            raise ValueError(f"a piece of {longest} tokens is beyond a capacity of {self}")
+
     def of(self, lengths: np.ndarray) -> np.ndarray:
         """Demand of each piece as a share of each capacity."""
         n = lengths.astype(np.float64)
@@ -132,10 +142,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, most: int = 2048, keep_ids: boo
 # --- packing ----------------------------------------------------------------------------
 
 def vector_best_fit(demand: np.ndarray, score: str = "norm") -> np.ndarray:
-    """Bin of each item.  ``demand`` is (items, dimensions) as shares of the capacities.  Items
+    """Bin of each item.  ``demand`` is (items, dimensions) as shares of the capacities, none over 1
+    (else ValueError).  Items
     go longest first into the fitting bin with the smallest weighted residual norm, or the
     largest weighted dot product of demand and residual; weights are the mean demands."""
     n, dims = demand.shape
+    if (demand > 1 + 1e-9).any():
+        raise ValueError("an item is beyond a capacity")
     weight = demand.mean(axis=0) / demand.mean(axis=0).sum()
     left = np.ones((n, dims))
     used, where = 0, np.empty(n, dtype=np.int64)
@@ -180,8 +193,10 @@ def _fill(capacity: Capacity, score: str, poor: float):
 
 
 def pack(found: DataFrame, capacity: Capacity = Capacity(), score: str = "norm") -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to landed pieces (``row, piece, length, ..``)."""
+    """Adds ``sequence_id`` and ``offset`` to landed pieces (``row, piece, length, ..``).  A piece that no
+    sequence can hold raises ValueError."""
     names = found.columns
+    capacity.check(found.agg(F.max("length")).first()[0] or 0)
     whole = found.where(F.col("length") == capacity.tokens)
     done = land(whole.withColumn("sequence_id", -1 - F.monotonically_increasing_id())
                 .withColumn("offset", F.lit(0).cast("long")), "packing_whole")
@@ -210,7 +225,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: Capacity = Ca
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``) per piece.
 
     NULL counts as the empty text, of one end id.  Repeated rows are documents of their own
-    (``row`` tells them apart).  Pieces of equal length go in the order of their rows.  Every
-    capacity holds in every sequence; an empty table gives an empty result."""
-    found = land(pieces(docs, tokenizer_path, capacity.tokens, keep_ids, id_col, text_col), "packing_pieces")
+    (``row`` tells them apart).  Pieces of equal length go in the order of their rows.  Very long
+    texts are encoded whole and cut into pieces that keep to every capacity, so every capacity holds in
+    every sequence.  Other columns play no part, whatever their names; an empty table gives an
+    empty result."""
+    found = land(pieces(docs, tokenizer_path, capacity.longest, keep_ids, id_col, text_col), "packing_pieces")
     return pack(found, capacity, score)

@@ -8,7 +8,8 @@
    2**16 different fingerprints can share a bucket.  No pair is lost.
 4. Inside a bucket bit planes are stored vertically: bit b of 64 fingerprints is one machine
    word.  A query XORs its bit into each plane and adds the result to carry-save counters;
-   lanes beyond the radius are marked, and a block is abandoned once all its lanes are.
+   lanes beyond the radius are marked, and a block (a word and a query) is abandoned once all
+   its lanes are, the query's own lane and those before it aside.
 5. Components of the links by alternating large-star / small-star rounds.
 """
 
@@ -88,20 +89,53 @@ def _beyond(counters: list[np.ndarray], radius: int) -> np.ndarray:
     return above
 
 
-def within(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
-    """(queries, words) uint64 of lanes within ``radius`` bits of each query."""
+FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
+LOOK_EVERY = 4  # planes after which dead blocks are looked for
+
+
+def lanes_up_to(last: np.ndarray, words: int, n: int) -> np.ndarray:
+    """(queries, words) uint64 of the lanes 0 to ``last`` of each query and of those from ``n`` on."""
+    first = np.arange(words, dtype=np.int64) * 64
+    count = np.clip(last[:, None] + 1 - first[None, :], 0, 64).astype(np.uint64)
+    low = np.where(count == 64, FULL, (np.uint64(1) << (count & np.uint64(63))) - np.uint64(1))
+    held = np.clip(n - first, 0, 64).astype(np.uint64)
+    return low | ~np.where(held == 64, FULL, (np.uint64(1) << (held & np.uint64(63))) - np.uint64(1))
+
+
+def within(planes: np.ndarray, queries: np.ndarray, radius: int, skip: np.ndarray | None = None, worked: list | None = None) -> np.ndarray:
+    """(queries, words) uint64 of lanes within ``radius`` bits of each query, without those of ``skip``.
+
+    A block is 64 lanes and one query; it is abandoned once all its lanes are beyond the radius
+    or skipped.  Planes in which all lanes and queries agree say nothing and are passed over.
+    ``worked`` gets the number of blocks left at each plane worked through."""
     shape = (len(queries), planes.shape[1])
-    counters = [np.zeros(shape, "<u8") for _ in range((radius + 1).bit_length())]
-    dead = np.zeros(shape, "<u8")
+    dead = np.zeros(shape, "<u8") if skip is None else skip.copy()
+    q, w = np.nonzero(dead != FULL)
+    dead = dead[q, w]
+    counters = [np.zeros(len(q), "<u8") for _ in range((radius + 1).bit_length())]
+    bits = [queries >> np.uint64(b) & np.uint64(1) for b in range(64)]
+    looked = 0
     for b in range(64):
-        flip = np.where(queries >> np.uint64(b) & np.uint64(1), ~np.uint64(0), np.uint64(0))[:, None]
-        carry = planes[b][None, :] ^ flip
+        if not len(q):
+            break
+        ones = int(bits[b].sum())
+        if (ones == 0 and not planes[b].any()) or (ones == len(queries) and (planes[b] == FULL).all()):
+            continue
+        if worked is not None:
+            worked.append(len(q))
+        carry = planes[b][w] ^ np.where(bits[b][q] == 1, FULL, np.uint64(0))
         for i, c in enumerate(counters):
             counters[i], carry = c ^ carry, c & carry
         dead |= carry | _beyond(counters, radius)
-        if b % 8 == 7 and not (~dead).any():
-            break  # every lane of the block is beyond the radius
-    return ~dead
+        looked += 1
+        if looked % LOOK_EVERY == 0:
+            left = dead != FULL
+            if not left.all():
+                q, w, dead = q[left], w[left], dead[left]
+                counters = [c[left] for c in counters]
+    out = np.zeros(shape, "<u8")
+    out[q, w] = ~dead
+    return out
 
 
 def _lanes(mask: np.ndarray, n: int) -> np.ndarray:
@@ -120,7 +154,10 @@ def _bucket_links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
 
     out = []
     for at in range(0, len(values), QUERY_BLOCK):
-        near = _lanes(within(planes, values[at:at + QUERY_BLOCK], radius), len(values))
+        queries = values[at:at + QUERY_BLOCK]
+        # a query is a lane itself, and links to lanes before it have been looked for
+        known = lanes_up_to(at + np.arange(len(queries)), planes.shape[1], len(values))
+        near = _lanes(within(planes, queries, radius, known), len(values))
         for q, j in zip(*np.nonzero(near)):
             a, b = find(at + int(q)), find(int(j))
             if a != b:

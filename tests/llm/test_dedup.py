@@ -95,6 +95,21 @@ def test_bit_sliced_distances(radius):
     assert (near == want).all()
 
 
+def test_blocks_of_strangers_are_abandoned_early():
+    rng = np.random.default_rng(6)
+    values = rng.integers(0, 1 << 64, 1000, dtype=np.uint64)
+    values = (values & ~np.uint64(0xFFFFFFFF)) | np.uint64(12345)  # a bucket: two blocks are equal
+    planes = simhash.bit_planes(values)
+    known = simhash.lanes_up_to(np.arange(1000), planes.shape[1], 1000)
+    worked = []
+    near = simhash._lanes(simhash.within(planes, values, 2, known, worked), 1000)
+    want = {(i, j) for i in range(1000) for j in range(i + 1, 1000) if int(values[i] ^ values[j]).bit_count() <= 2}
+    assert set(zip(*(x.tolist() for x in np.nonzero(near)))) == want
+    # constant planes are passed over, blocks given up one by one: 64 planes would be worked through otherwise
+    assert len(worked) <= 32 and sum(worked) < 24 * worked[0]
+    assert worked[-1] < 0.02 * worked[0]
+
+
 @pytest.mark.parametrize("limit", [4096, 8])
 def test_links_lose_no_pair_of_close_fingerprints(spark, monkeypatch, limit):
     """Also where buckets are split again: many fingerprints share the same leading blocks."""

@@ -239,7 +239,7 @@ def check_packed(rows, texts, capacity):
         own = sorted(by_doc[doc], key=lambda r: r.piece)
         assert [r.piece for r in own] == list(range(len(own)))
         assert [r.start for r in own] == [sum(x.length for x in own[:i]) for i in range(len(own))]
-        assert sum(r.length for r in own) == len(ids) and all(r.length == capacity.tokens for r in own[1:])
+        assert sum(r.length for r in own) == len(ids) and all(r.length == capacity.longest for r in own[1:])
         assert all(r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes()) for r in own)
 
 
@@ -256,14 +256,58 @@ def test_packed_documents_round_trip(spark, hard):
 def test_every_capacity_holds(spark):
     rng = random.Random(6)
     docs = [(i, prose(rng, "en", rng.choice([0, 0, 0, 5, 30, 90]))) for i in range(400)]
-    capacity = packing.Capacity(tokens=64, documents=3, attention=64 * 40)
-    for score in ("norm", "dot"):
-        with pytest.raises(AssertionError):  # a whole piece of 64 tokens alone exceeds this attention cost
-            check_packed(packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string"), VOCABULARY, capacity, score).collect(), {}, capacity)
-    capacity = packing.Capacity(tokens=64, documents=3, attention=64 * 64)
-    for score in ("norm", "dot"):
-        rows = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string"), VOCABULARY, capacity, score).collect()
-        check_packed(rows, dict(docs), capacity)
+    for attention in (64 * 40, 64 * 64):  # the first one holds no piece of over 50 tokens, so documents are cut by it
+        capacity = packing.Capacity(tokens=64, documents=3, attention=attention)
+        for score in ("norm", "dot"):
+            rows = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string"), VOCABULARY, capacity, score).collect()
+            check_packed(rows, dict(docs), capacity)
+            by = defaultdict(list)
+            for r in rows:
+                by[r.sequence_id].append(r.length)
+            assert all(sum(x) <= 64 and len(x) <= 3 and sum(n * n for n in x) <= attention for x in by.values())
+
+
+def test_a_piece_beyond_a_capacity_raises(spark):
+    found = spark.createDataFrame([(1, 0, 60), (2, 0, 5)], "row long, piece int, length long")
+    for capacity in (packing.Capacity(tokens=64, documents=3, attention=2560), packing.Capacity(tokens=50), packing.Capacity(documents=0)):
+        with pytest.raises(ValueError, match="beyond a capacity"):
+            packing.pack(found, capacity)
+    with pytest.raises(ValueError, match="beyond a capacity"):
+        packing.vector_best_fit(np.array([[0.5, 0.1, 1.2]]))
+
+
+def plain_best_fit(demand, score):
+    """Vector best fit over all open bins, item by item."""
+    weight = demand.mean(axis=0) / demand.mean(axis=0).sum()
+    bins, where = [], {}
+    for i in sorted(range(len(demand)), key=lambda i: (-demand[i][0], -demand[i][2], i)):
+        best, at = None, None
+        for b, left in enumerate(bins):
+            if all(left[d] - demand[i][d] >= -1e-9 for d in range(3)):
+                value = (-sum(left[d] * weight[d] * demand[i][d] for d in range(3)) if score == "dot"
+                         else sum((left[d] - demand[i][d]) ** 2 * weight[d] for d in range(3)))
+                if best is None or value < best - 1e-12:
+                    best, at = value, b
+        if at is None:
+            bins.append([1.0] * 3)
+            at = len(bins) - 1
+        bins[at] = [bins[at][d] - demand[i][d] for d in range(3)]
+        where[i] = at
+    return bins, where
+
+
+@pytest.mark.parametrize("score", ["norm", "dot"])
+def test_best_fit_equals_the_plain_form(score):
+    rng = np.random.default_rng(9)
+    for tokens, documents, attention in ((64, 100, 64 * 64), (64, 3, 64 * 64), (64, 8, 64 * 20)):
+        capacity = packing.Capacity(tokens, documents, attention)
+        lengths = rng.integers(1, capacity.longest + 1, 300)
+        got = packing.vector_best_fit(capacity.of(lengths), score)
+        bins, where = plain_best_fit(capacity.of(lengths), score)
+        assert len(set(got.tolist())) == len(bins)
+        # ties aside, every sequence holds the same lengths
+        contents = lambda at: sorted(sorted(int(lengths[i]) for i in range(300) if at[i] == b) for b in range(len(bins)))
+        assert contents(got) == contents(where)
 
 
 def test_packing_is_tight_over_many_groups(spark, monkeypatch):

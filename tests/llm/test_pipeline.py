@@ -70,6 +70,19 @@ def test_copies_of_repeated_rows_are_counted_together(spark):
     assert rows_of(corpus_pipeline.drop_exact_copies(spark, docs, SF)) == Counter({(1, "a b", "s", 1): 1, (2, "c", "t", 2): 1})
 
 
+def test_rows_that_differ_in_a_map_alone_are_different_rows(spark):
+    from lakeframe.llm.common import KEY1, keyed
+
+    schema = "doc_id long, text string, source string, extra map<string,int>, deep array<struct<m: map<string,array<int>>>>"
+    rows = [(1, "a b", "s", {"a": 1, "b": 2}, None), (1, "a b", "s", {"b": 2, "a": 1}, None), (1, "a b", "s", {"a": 1, "b": 3}, None),
+            (1, "a b", "s", None, [({"k": [1]},)]), (1, "a b", "s", None, [({"k": [2]},)]), (1, "a b", "s", None, [(None,)])]
+    docs = spark.createDataFrame(rows, schema)
+    assert keyed(docs).select(KEY1).distinct().count() == 5  # the first two are equal
+    kept = corpus_pipeline.mix(spark, docs, SF).collect()
+    assert len(kept) == 6
+    assert sum(r.extra == {"a": 1, "b": 3} for r in kept) == 1 and sum(r.extra == {"a": 1, "b": 2} for r in kept) == 2
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     df = queries.QUERIES[name](spark, SF)
