@@ -25,11 +25,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import land
+
 SPACE, MARK = 32, 1 << 30
 ORDER = 4
 SAMPLE_CHARS = 8_000_000
 SLICE = 1 << 19
-TOWARDS_FOREIGN, SHORT_TEXT = 0.9, 4.0
+TOWARDS_FOREIGN, SHORT_TEXT = 0.42, 4.0
+FOREIGN_SHARE, OWN_SHARE, FEW = 0.25, 0.999, 20
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 INDEX_BITS = 18
 UNKNOWN = "und"
@@ -257,24 +260,34 @@ def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
 def calibrate(model: Model, rows: list[tuple[str, int, list[float]]]) -> None:
     """``rows``: (true language, symbols, cross-entropies) of rows that were not counted.
 
-    A language's limit lies ``TOWARDS_FOREIGN`` of the way from the median cross-entropy of its
-    own rows to that of the other languages' rows under its model (to that of uniform symbols
-    where there is only one language): what it reads no better than a foreign language is
-    rejected, a text with a good part in the language is not.  Short texts get
-    ``SHORT_TEXT`` standard deviations more.  The sharpness of the confidence minimises log loss."""
+    Each row is read once more with its own language held out: the lowest cross-entropy over the
+    models left is what a text in an unlearned language gets at best, under the model that takes
+    it.  A language's limit lies ``TOWARDS_FOREIGN`` of the way from the median of its own rows to
+    ``FOREIGN_SHARE`` of those (of all foreign rows under its model where it takes fewer than
+    ``FEW``; of uniform symbols where there is only one language), and never below
+    ``OWN_SHARE`` of its own rows.  Short texts get ``SHORT_TEXT`` standard deviations more.  The
+    sharpness of the confidence minimises log loss."""
     if not rows:
         return
     size = np.array([r[1] for r in rows], dtype=np.float64)
     entropy = np.array([r[2] for r in rows])
     truth = np.array([model.languages.index(r[0]) for r in rows])
+    left = entropy.copy()
+    left[np.arange(len(rows)), truth] = np.inf
+    taker, lowest = left.argmin(axis=1), left.min(axis=1)
     for i in range(len(model.languages)):
         here = truth == i
         if not here.any():
             continue  # nothing to calibrate by: its limit stays infinite
         own = float(np.median(entropy[here, i]))
-        foreign = float(np.median(entropy[~here, i])) if (~here).any() else float(np.log(len(model.grams[0].keys)))
-        model.limit[i] = own + TOWARDS_FOREIGN * max(foreign - own, 0.5)
+        taken = lowest[(taker == i) & ~here]
+        if len(taken) < FEW:
+            taken = entropy[~here, i]
+        foreign = float(np.quantile(taken, FOREIGN_SHARE)) if len(taken) else float(np.log(len(model.grams[0].keys)))
         model.spread[i] = max(float(np.median((entropy[here, i] - own) ** 2 * size[here])) / 0.455, 1.0)
+        slack = SHORT_TEXT * np.sqrt(model.spread[i] / np.maximum(size[here], 1))
+        kept = float(np.quantile(entropy[here, i] - slack, OWN_SHARE))
+        model.limit[i] = max(own + TOWARDS_FOREIGN * max(foreign - own, 0.5), kept)
     gap = entropy - entropy.min(axis=1, keepdims=True)
     own_gap = gap[np.arange(len(rows)), truth]
     loss = {s: float((s * own_gap + np.log(np.exp(-s * gap).sum(axis=1))).mean()) for s in (1, 2, 4, 8, 16, 32, 64)}
@@ -310,7 +323,8 @@ def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, id_col: str = "doc_
         ahead = F.create_map(*[F.lit(x) for lang, h in sorted(firsts.items()) for x in (lang, h)])[F.col("lang")]
         first = F.coalesce(place == ahead, F.lit(False))
     part = F.when(first, F.lit(1)).otherwise(F.pmod("h", F.lit(5)))
-    drawn = rows.where(first | (place / F.lit(float(1 << 40)) < limit)).select("text", "lang", part.alias("part"))
+    # landed: counting and calibration read the bounded sample, not the table again
+    drawn = land(rows.where(first | (place / F.lit(float(1 << 40)) < limit)).select("text", "lang", part.alias("part")), "language_sample")
     counted = drawn.where("part <> 0").select("text", "lang").mapInArrow(_gram_batches, "lang string, gram binary, n long")
     found = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     counts = {}
@@ -357,7 +371,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     ``lang_pred`` is ``und`` and the row is rejected where the text is NULL or has no letter;
     else it is a learned language, and ``rejected`` says that the text resembles none of them.
     ``score`` is the calibrated confidence (0 for ``und``).  Of languages that tie the first in
-    alphabetical order wins.  Repeated rows get equal answers."""
+    alphabetical order wins.  Repeated rows get equal answers.  Very long texts are read whole, in
+    slices.  Other columns play no part, whatever their names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

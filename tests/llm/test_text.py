@@ -116,6 +116,19 @@ def test_every_labelled_language_is_learned(spark):
     assert language_id.train(docs, sample_chars=20_000).languages == sorted(r.lang for r in want)
 
 
+def test_a_language_left_out_of_training_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL")
+    rows = [(r.text or "", r.lang) for r in docs.select("text", "lang").collect()]
+    rows = [r for r in rows if any(c.isalpha() for c in r[0])]
+    languages = sorted({lang for _, lang in rows})
+    assert len(languages) == 4
+    for out in languages:
+        model = language_id.train(docs.where(docs.lang != out))
+        rejected = model.predict([t for t, _ in rows])[2]
+        foreign = np.array([lang == out for _, lang in rows])
+        assert rejected[foreign].mean() > 0.8 and rejected[~foreign].mean() < 0.01
+
+
 def test_noise_is_rejected(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.train(docs)
