@@ -31,8 +31,8 @@ SPACE, MARK = 32, 1 << 30
 ORDER = 4
 SAMPLE_CHARS = 8_000_000
 SLICE = 1 << 19
-TOWARDS_FOREIGN, SHORT_TEXT = 0.42, 4.0
-FOREIGN_SHARE, OWN_SHARE, FEW = 0.25, 0.999, 20
+TOWARDS_FOREIGN, TIMES_OWN, SHORT_TEXT = 0.65, 2.0, 4.0
+OWN_SHARE, FEW = 0.999, 20
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 INDEX_BITS = 18
 UNKNOWN = "und"
@@ -263,9 +263,9 @@ def calibrate(model: Model, rows: list[tuple[str, int, list[float]]]) -> None:
     Each row is read once more with its own language held out: the lowest cross-entropy over the
     models left is what a text in an unlearned language gets at best, under the model that takes
     it.  A language's limit lies ``TOWARDS_FOREIGN`` of the way from the median of its own rows to
-    ``FOREIGN_SHARE`` of those (of all foreign rows under its model where it takes fewer than
-    ``FEW``; of uniform symbols where there is only one language), and never below
-    ``OWN_SHARE`` of its own rows.  Short texts get ``SHORT_TEXT`` standard deviations more.  The
+    that of those (to that of all foreign rows under its model where it takes fewer than ``FEW``;
+    to uniform symbols where there is only one language), at most at ``TIMES_OWN`` its own median
+    and never below ``OWN_SHARE`` of its own rows.  So texts in two learned languages stay.  Short texts get ``SHORT_TEXT`` standard deviations more.  The
     sharpness of the confidence minimises log loss."""
     if not rows:
         return
@@ -283,11 +283,11 @@ def calibrate(model: Model, rows: list[tuple[str, int, list[float]]]) -> None:
         taken = lowest[(taker == i) & ~here]
         if len(taken) < FEW:
             taken = entropy[~here, i]
-        foreign = float(np.quantile(taken, FOREIGN_SHARE)) if len(taken) else float(np.log(len(model.grams[0].keys)))
+        foreign = float(np.median(taken)) if len(taken) else float(np.log(len(model.grams[0].keys)))
         model.spread[i] = max(float(np.median((entropy[here, i] - own) ** 2 * size[here])) / 0.455, 1.0)
         slack = SHORT_TEXT * np.sqrt(model.spread[i] / np.maximum(size[here], 1))
         kept = float(np.quantile(entropy[here, i] - slack, OWN_SHARE))
-        model.limit[i] = max(own + TOWARDS_FOREIGN * max(foreign - own, 0.5), kept)
+        model.limit[i] = max(min(own + TOWARDS_FOREIGN * max(foreign - own, 0.5), TIMES_OWN * own), kept)
     gap = entropy - entropy.min(axis=1, keepdims=True)
     own_gap = gap[np.arange(len(rows)), truth]
     loss = {s: float((s * own_gap + np.log(np.exp(-s * gap).sum(axis=1))).mean()) for s in (1, 2, 4, 8, 16, 32, 64)}
