@@ -94,9 +94,8 @@ def test_query_matches_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_every_query_covers_its_table(spark, name):
-    table = "pages" if name.startswith("op10_") else "documents"
+    table, ident = {"op10": ("pages", "page_id"), "op13": ("embeddings", "vec_id")}.get(name.split("_")[0], ("documents", "doc_id"))
     got = queries.QUERIES[name](spark, SF)
-    ident = "page_id" if table == "pages" else "doc_id"
     assert {r[0] for r in got.select(ident).distinct().collect()} == {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(ident).collect()}
 
 
