@@ -173,6 +173,34 @@ def test_neighbours_of_few_documents(spark, n):
         assert got[i].edited_sha256 == hashlib.sha256((text[:len(text) - half] + after[:half]).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("rows_per_range, most_cuts", [(2000, 65536), (7, 65536), (7, 3), (1, 2)])
+def test_neighbours_over_ranges_null_ids_and_ties(spark, monkeypatch, rows_per_range, most_cuts):
+    monkeypatch.setattr(sketches, "ROWS_PER_RANGE", rows_per_range)
+    monkeypatch.setattr(sketches, "MOST_CUTS", most_cuts)
+    rng = random.Random(rows_per_range)
+    ids = [rng.randrange(300) for _ in range(150)] + [None] * 80
+    docs = spark.createDataFrame([(d, f"text {i}") for i, d in enumerate(ids)], "doc_id long, text string").repartition(4)
+    rows = sketches.fingerprints(docs).drop("sketch")
+    got = {r.text: r.next_text for r in sketches.with_next(rows, ["text"]).collect()}
+    order = sorted(rows.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r[0], r[1]))
+    assert got == {r.text: order[(k + 1) % len(order)].text for k, r in enumerate(order)} and len(got) == len(ids)
+
+
+def test_a_text_inside_another_is_never_at_zero(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(120):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(20, 60))]
+        n = i % 12 + 1
+        start = rng.randrange(len(words) - n)
+        rows += [(4 * i + 1, " ".join(words[start:start + n])), (4 * i, " ".join(words))]
+        rows += [(4 * i - 1, " ".join(reversed(words[start:start + n])) + " z"), (4 * i - 2, "other " + " ".join(words[:n]))]
+    got = {r.doc_id: r for r in sketches.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[4 * i + 1].near_next > 0 for i in range(120))
+    assert all(got[4 * i + 1].near_next == 1 for i in range(120) if i % 12 + 1 <= 5)
+    assert all(got[4 * i - 1].near_next == 0 for i in range(120))
+
+
 def test_sketches_of_hard_rows(hard, empty):
     rows = sketches.edited_fingerprints(hard).collect()
     assert len(rows) == len(hard_rows()) and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
