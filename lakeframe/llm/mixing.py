@@ -20,6 +20,7 @@ from .common import COPIES, KEY1, KEY2, keyed, land, text_of
 GRID = 65536
 SECTIONS = 16
 BLOCK_TOKENS = 1 << 20
+PART_TOKENS = 1 << 24  # a window of prefix sums holds about so many at most
 WORD = r"[^\x20\x09-\x0D]+"
 EXACT = "decimal(38,0)"  # sums that do not depend on the order of their terms
 SCALE = 10 ** 15
@@ -34,6 +35,17 @@ def _sum(value: Column) -> Column:
     return F.sum((value * SCALE).cast(EXACT)).cast("double") / SCALE
 
 
+def _turn(seed: int, *parts: Column | str) -> Column:
+    """Place of a row in a permutation: a hash of its id, or of the landed row where that is NULL."""
+    row = F.concat_ws(":", F.lit("null"), KEY1, KEY2, "row")
+    return F.md5(F.concat_ws(":", F.lit(seed), *parts, F.coalesce(F.col("doc_id").cast("string"), row)).cast("binary"))
+
+
+def part_digits(tokens: int) -> int:
+    """Hex digits of a place that cut a source of so many tokens into parts of ``PART_TOKENS``."""
+    return next(d for d in range(3, 33) if tokens <= PART_TOKENS << 4 * d or d == 32)
+
+
 def _section(holds, rising: bool) -> int | None:
     """The grid point at the edge of a monotone condition: the smallest point that holds if
     ``rising``, else the largest; None if no point holds.  ``holds`` maps points to booleans."""
@@ -99,8 +111,11 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_repeti
     ``budget`` is the number of tokens to emit; without one it is the least at which every
     document is emitted once, so nothing is lost and small sources repeat.  A source's last
     epoch stops with the document that meets its quota.  NULL is a source of its own; a NULL,
-    empty or wordless text counts one token; repeated rows are documents of their own, and ties
-    in the permutation fall to the id, then to the row.  An empty table gives an empty result."""
+    empty or wordless text counts one token; repeated rows are documents of their own.  Rows of
+    NULL id are permuted by their contents, identical ones by where they were read; rows that
+    share an id share a place and go by their contents there.  A very long text is one row, and
+    its block may exceed ``block_tokens`` by it; columns beyond the three named only tell rows
+    apart, whatever their names.  An empty table gives an empty result."""
     rows = keyed(docs).select(
         KEY1, KEY2, F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
         token_count(text_col).alias("tokens"), F.monotonically_increasing_id().alias("row"))
@@ -126,9 +141,7 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_repeti
     drawn = rows.join(quotas, rows["source"].eqNullSafe(quotas["source"])).select(rows["*"], "sid", "total", "quota", "weight")
     epochs = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("quota") / F.col("total")) - 1)
     drawn = drawn.where("quota > 0").withColumn("epoch", F.explode(epochs))
-    order = F.md5(F.concat_ws(":", F.lit(seed), "epoch", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-                  .cast("binary"))
-    drawn = drawn.withColumn("place", order).withColumn("part", F.substring("place", 1, 3))
+    drawn = drawn.withColumn("place", _turn(seed, "epoch")).withColumn("part", F.substring("place", 1, part_digits(int(largest))))
     # Prefix sums in two steps, so that no window holds a whole source.
     parts = drawn.groupBy("sid", "epoch", "part").agg(F.sum("tokens").alias("part_tokens"))
     before = Window.partitionBy("sid", "epoch").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -140,10 +153,8 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_repeti
     drawn = drawn.where(F.col("at") < F.col("quota"))
     drawn = drawn.withColumn("block", F.expr(
         f"(CAST(at AS DECIMAL(19,0)) * CAST({blocks} AS DECIMAL(18,0))) div CAST(quota AS DECIMAL(19,0))"))
-    turn = F.md5(F.concat_ws(":", F.lit(seed), F.lit("slot"), "epoch", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-                 .cast("binary"))
     shuffled = Window.partitionBy("block").orderBy("turn", "epoch", F.isnull("doc_id"), "doc_id", KEY1, KEY2, "row")
-    drawn = drawn.withColumn("turn", turn).withColumn("slot", F.row_number().over(shuffled).cast("long") - 1)
+    drawn = drawn.withColumn("turn", _turn(seed, F.lit("slot"), "epoch")).withColumn("slot", F.row_number().over(shuffled).cast("long") - 1)
     return drawn.select("doc_id", "source", "tokens", "weight", "epoch", "block", "slot", KEY1, KEY2)
 
 

@@ -77,6 +77,24 @@ def test_target_entropy(spark):
         mixing.find_exponent(sources, None, 0.5, 1000)
 
 
+def test_mixing_permutes_rows_without_ids(spark):
+    rows = [(None, f"w{i} " * (i % 5 + 1), "s") for i in range(400)] + [(None, "same text", "s")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs.repartition(3), max_repetition=1.0, block_tokens=200).orderBy("block", "slot").collect()
+    assert len(mixed) == 700
+    same = [k for k, r in enumerate(mixed) if r.tokens == 2]
+    halves = sum(k < 350 for k in same)
+    assert len(same) == 380 and abs(halves - 190) < 45  # spread over the order, not in one run
+
+
+def test_parts_of_a_source_follow_its_tokens(spark, monkeypatch):
+    assert [mixing.part_digits(n) for n in (0, 1 << 36, (1 << 36) + 1, 7 * 10 ** 12)] == [3, 3, 4, 5]
+    docs = spark.createDataFrame([(i, "a b c " * (i % 4), f"s{i % 3}") for i in range(500)], "doc_id long, text string, source string")
+    few = sorted(mixing.mix_sources(docs, max_repetition=2.0, block_tokens=300).collect(), key=str)
+    monkeypatch.setattr(mixing, "PART_TOKENS", 0)
+    assert sorted(mixing.mix_sources(docs, max_repetition=2.0, block_tokens=300).collect(), key=str) == few
+
+
 def test_mixing_of_an_empty_table(empty):
     assert mixing.mix_sources(empty, max_repetition=2.0).collect() == []
 
