@@ -62,14 +62,28 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = [url_filter.Rule("allow", "com/"), url_filter.Rule("block", "example.com/en/"),
              url_filter.Rule("allow", "www.example.com/en/"), url_filter.Rule("block", "net/es/"), url_filter.Rule("block", "net/fr/")]
 
-# The small labelled table: every pairing of a topic with these forms of address.
-BLOCK_TOPICS = "cheap-pills casino-bonus free-porn xxx-cams viagra-shop lottery-winner payday-loans hot-singles replica-watches keygen-crack "                "bet-online poker-slots adult-video weight-loss-miracle get-rich-quick".split()
-ALLOW_TOPICS = "news wiki docs library university museum science history recipes weather gardening travel music-school health-clinic city-council "                "forum blog archive encyclopedia textbooks journal research sports film-review language-course community-garden".split()
-FORMS = ["http://www.{}.example.org/", "https://{}.example.com/en/101", "https://blog.{}.example.net/de/7.html", "http://m.example.org/{}/3"]
+# The small labelled table: fixed topics, each in all forms of address, which hold the same neutral words for both labels.
+BLOCK_TOPICS = ("pills diet-pills viagra cialis steroids pharma-discount casino casino-bonus roulette jackpot poker slots betting bets free-spins wager "
+                "lottery porn xxx adult adult-video camgirls nude-chat escorts hookup payday fast-loans get-rich crypto-doubler replica counterfeit "
+                "fake-id keygen warez crackz serials spam spam-mail linkfarm popups adserver ads track-ads clicktrack malware phishing botnet").split()
+ALLOW_TOPICS = ("news wiki docs library university museum science history recipes weather gardening travel music health council archive "
+                "encyclopedia textbooks journal research sports film language school hospital parish orchestra theatre bakery bicycle astronomy botany "
+                "chemistry geology physics mathematics poetry painting pottery railway windfarm market kitchen carpentry knitting birds hiking chess "
+                "athletics software database winter adventure better alphabet track-and-field free-library loanword packages").split()
+NEUTRAL = "north river blue stone maple seven delta green hill lake sunny bright apex omega nova central west amber coast field".split()
+FORMS = ["http://{0}.biz/", "https://www.{1}-{0}.info/index.php?id=7", "http://{0}{1}.co.uk/{2}", "https://{1}.org/~staff/{0}.html", "http://shop.{0}-{1}.de/",
+         "https://{0}.{1}.io/2024/05/{2}", "http://{1}.edu/{0}/{2}", "https://my{0}.net/", "http://www.{0}24.fr/{2}/page/3", "https://{1}{0}.eu/#top",
+         "http://10.0.0.7/{0}/{2}", "https://{0}-{2}.com", "http://cdn.{1}.tv/{2}/{0}.jpg", "https://blog.{0}.us/{1}",
+         "https://m.{1}-{0}.it/"]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    rows = [(form.format(topic), block) for topics, block in ((BLOCK_TOPICS, True), (ALLOW_TOPICS, False)) for topic in topics for form in FORMS]
+    rows = []
+    for topics, block in ((BLOCK_TOPICS, True), (ALLOW_TOPICS, False)):
+        for i, topic in enumerate(topics):
+            for j, form in enumerate(FORMS):
+                k = 3 * i + 7 * j
+                rows.append((form.format(topic, NEUTRAL[k % len(NEUTRAL)], NEUTRAL[(k + 5) % len(NEUTRAL)]), block))
     return spark.createDataFrame(rows, "url string, block boolean")
 
 

@@ -125,9 +125,10 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "block") -
 def judge(pages: DataFrame, rules: list[Rule], model: Model, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``page_id, host, path, rule, verdict, block_score`` of every row of ``pages``.
 
-    The longest rule that fits decides; else the classifier blocks above one half.  NULL and
-    malformed URLs have empty parts, which no rule fits, and go to the classifier.  Repeated
-    rows get equal answers; an empty table gives an empty result."""
+    The longest rule that fits decides; else the classifier blocks above one half, and only then
+    there is a score.  NULL and malformed URLs have empty parts, which no rule fits, and go to
+    the classifier.  A very long URL is read whole.  Repeated rows get equal answers; an empty
+    table gives an empty result; columns other than the two named do not matter."""
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"))
     rows = with_parts(rows).withColumns(rule_columns(rules)).drop("url")
     shared = pages.sparkSession.sparkContext.broadcast(model)
@@ -135,8 +136,9 @@ def judge(pages: DataFrame, rules: list[Rule], model: Model, id_col: str = "page
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
-            score = [shared.value.probability(h, p) for h, p in zip(hosts, paths)]
-            verdict = [r or ("block" if s > 0.5 else "allow") for r, s in zip(batch.column("ruled").to_pylist(), score)]
+            ruled = batch.column("ruled").to_pylist()
+            score = [None if r else shared.value.probability(h, p) for r, h, p in zip(ruled, hosts, paths)]
+            verdict = [r or ("block" if s > 0.5 else "allow") for r, s in zip(ruled, score)]
             names = ["page_id", "host", "path", "rule"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(verdict, pa.string()), pa.array(score, pa.float64())],
                                              names=[*names, "verdict", "block_score"])

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from lakeframe.llm import language_id, queries, secret_scan, sketches, url_filter
 
@@ -336,11 +337,49 @@ def test_url_parts_rules_and_verdicts(spark):
     assert url_filter.judge(pages.limit(0), queries.URL_RULES, model).collect() == []
 
 
-def test_url_classifier_held_out_by_form(spark):
+@pytest.mark.parametrize("mark", [".info", ".biz", "cdn.", ".edu", ".eu"])
+def test_url_classifier_held_out_by_form(spark, mark):
     rows = [tuple(r) for r in url_filter.with_parts(queries.labelled_urls(spark)).select("host", "path", "block").collect()]
-    train, test = [r for r in rows if "blog." not in r[0]], [r for r in rows if "blog." in r[0]]
+    train, test = [r for r in rows if mark not in r[0]], [r for r in rows if mark in r[0]]
     model = url_filter.fit(train)
-    assert sum((model.probability(h, p) > 0.5) == b for h, p, b in test) / len(test) > 0.95
+    assert len(test) > 20 and sum((model.probability(h, p) > 0.5) == b for h, p, b in test) / len(test) > 0.95
+
+
+def test_url_classifier_equals_an_independent_fit(spark):
+    rows = [tuple(r) for r in url_filter.with_parts(queries.labelled_urls(spark)).select("host", "path", "block").collect()][::9]
+
+    def grams(host, path):
+        parts = [(m, ("^" + t + "$").encode()) for m, t in ((b"h", host), (b"p", path))]
+        return {xxhash.xxh32_intdigest(m + t[i:i + n]) % 65536 for m, t in parts for n in (3, 4, 5) for i in range(len(t) - n + 1)}
+    sets = [grams(h, p) for h, p, _ in rows]
+    names = sorted(set().union(*sets))
+    x = np.array([[math.log((len(rows) + 1) / sum(g in s for s in sets)) if g in own else 0.0 for g in names] for own in sets])
+    x = np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.ones((len(rows), 1))])
+    y = np.array([float(b) for *_, b in rows])
+    ridge = np.array([1e-4] * len(names) + [0.0])
+    # Newton's method in the span of the rows: the optimum has no other directions.
+    basis, _ = np.linalg.qr(np.vstack([x, ridge == 0]).T)
+    w = np.zeros(basis.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ basis @ w))
+        slope = basis.T @ (x.T @ (p - y) / len(y) + ridge * (basis @ w))
+        bend = basis.T @ ((x.T * (p * (1 - p) / len(y))) @ x + np.diag(ridge)) @ basis
+        w -= np.linalg.solve(bend + 1e-12 * np.eye(len(w)), slope)
+    best = 1 / (1 + np.exp(-x @ basis @ w))
+    long = url_filter.fit(rows, rounds=100_000)
+    assert max(abs(long.probability(h, p) - b) for (h, p, _), b in zip(rows, best)) < 0.01
+    model = url_filter.fit(rows)
+    assert all((model.probability(h, p) > 0.5) == (b > 0.5) for (h, p, _), b in zip(rows, best))
+
+
+def test_very_long_urls_and_tied_rules(spark):
+    url = "http://" + "a" * 100_000 + ".io/" + "pills/" * 20_000 + "?x"
+    rules = [url_filter.Rule("block", "b.io/x/"), url_filter.Rule("allow", "b.io/x/"), url_filter.Rule("allow", "io/abc/"), url_filter.Rule("block", "a.io/ab/")]
+    pages = spark.createDataFrame([(0, url), (1, "http://b.io/x/y"), (2, "http://a.io/ab/"), (3, "http://a.io/abc/ab/")], "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(pages, rules, url_filter.train(queries.labelled_urls(spark))).collect()}
+    assert len(got[0].host) == 100_003 and len(got[0].path) == 120_001 and got[0].rule is None and got[0].block_score is not None
+    assert (got[1].rule, got[1].verdict) == ("b.io/x/", "block") and got[1].block_score is None
+    assert (got[2].rule, got[2].verdict) == ("a.io/ab/", "block") and (got[3].rule, got[3].verdict) == ("io/abc/", "allow")
 
 
 def test_url_training_bounds_and_empty_table(spark, monkeypatch):
