@@ -182,10 +182,14 @@ def split_publishable(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def delivery_records(envelopes: DataFrame, path: str) -> DataFrame:
     """Per-record delivery report (K9): ``topic, partition, offset, status`` of every record meant for
-    the stored topic at ``path``, by what is found there: ``delivered``, or ``failed`` and why."""
+    the stored topic at ``path``, by what is found there: ``delivered``, or ``failed`` and why.
+
+    Both sides are dealt by position and merged: the positions of a topic are many rows of few bytes,
+    which by the size of its files look small enough to broadcast."""
     sent, refused = split_publishable(envelopes)
     key = ["topic", "partition", "offset"]
-    stored = sent.sparkSession.read.schema(ENVELOPE).parquet(path).select(*key).distinct().withColumn("stored", F.lit(True))
+    stored = sent.sparkSession.read.schema(ENVELOPE).parquet(path).select(*key).repartition("partition", "offset").distinct()
+    stored = stored.withColumn("stored", F.lit(True)).hint("merge")
     status = F.when(F.col("stored"), F.lit("delivered")).otherwise(F.lit("failed: not stored"))
     return (sent.select(*key).join(stored, key, "left").select(*key, status.alias("status"))
             .unionByName(refused.select(*key, F.concat(F.lit("failed: "), "reason").alias("status"))))

@@ -551,3 +551,15 @@ def test_delivery_records_come_from_what_was_stored(spark, tmp_path):
     for bad in (env.where("partition IS NULL"), env.where("partition = 1")):
         with pytest.raises(Exception, match="no position in the topic"):
             publish_observed(bad, str(tmp_path / "bad"), "t", 1)
+
+
+def test_delivery_records_broadcast_no_positions(spark, tmp_path):
+    from lakeframe.schemas import ENVELOPE
+    from lakeframe.sources.envelopes import delivery_records, publish
+    env, topic = spark.createDataFrame([(None, b"v", "t", i % 2, i, None, 0, []) for i in range(20)], ENVELOPE), str(tmp_path / "topic")
+    publish(env.where("offset < 15"), topic)
+    publish(env.where("offset = 3"), topic)  # a record stored twice is one record
+    records = delivery_records(env, topic)
+    assert sorted((r.offset, r.status) for r in records.collect()) == [(i, "delivered" if i < 15 else "failed: not stored") for i in range(20)]
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
