@@ -29,9 +29,14 @@ offset)`` order.  It needs frames keyed by media, and holds numbers only.
 No frame bytes are kept in state.  The frames are landed by a table sink and joined with the
 emitted media by :func:`published_frames`.
 
-The first step is an ``applyInPandasWithState`` (or, with ``engine="tws"``, a
-``transformWithStateInPandas`` processor of the same fold); the second one, always the latter,
-since Spark takes one of the former per query.  Both keep their state in RocksDB.
+The folds run in one of three engines, all with their state in RocksDB.  ``shelves`` (without
+``ttl_ms`` the default) groups by a hash of the key, in ``SHELVES`` groups, with a map state of one
+entry per key: Spark's cost of a group (its Arrow batch, pandas frames, calls) is shared by the
+keys of a shelf, and a key costs a look-up and an update.  ``tws`` is a
+``transformWithStateInPandas`` processor per key, with timers for ``ttl_ms``; ``group_state`` (the
+default with ``ttl_ms``) has an ``applyInPandasWithState`` as its first step, and as its second one
+the other kind, since Spark takes one of the former per query.  A checkpoint belongs to the engine
+that began it.
 """
 
 from __future__ import annotations
@@ -51,6 +56,7 @@ from lakeframe.operators.frames import dedupe_frames, frame_digest
 from lakeframe.schemas import ASSEMBLED
 
 BUCKET_IDS = 1 << 16
+SHELVES = 512  # groups of keys, so the most tasks of a step; a shelf's share of one micro-batch is held at once
 NO_TIME = -(1 << 62)
 APART_MS = 5000  # frames of one publication are sent in one go
 HALF = (1 << 30) - 1
@@ -71,8 +77,17 @@ _STATE = "held binary, spans binary, n long"
 _LAST_STATE = "n long, digest string, until long"
 
 # A fold takes (key, state tuple or None, rows) and gives (state tuple or None, output rows); at
-# eviction rows is None.
-Fold = Callable[[tuple, "tuple | None", "pd.DataFrame | None"], "tuple[tuple | None, list[tuple]]"]
+# eviction rows is None.  Rows are a frame or a dict of arrays.
+Rows = pd.DataFrame | dict[str, np.ndarray]
+Fold = Callable[[tuple, "tuple | None", "Rows | None"], "tuple[tuple | None, list[tuple]]"]
+
+
+def _ints(rows: Rows, column: str) -> np.ndarray:
+    return np.asarray(rows[column], dtype=np.int64)
+
+
+def _is_last(rows: Rows) -> np.ndarray:
+    return np.asarray(rows["last_frame"], dtype=object) == LAST_YES
 
 
 def _time(micros: int):
@@ -145,7 +160,7 @@ def _seen(runs: np.ndarray, ids: np.ndarray, time: np.ndarray) -> np.ndarray:
     return out
 
 
-def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame | None, apart: int = APART_MS * 1000) -> tuple[tuple | None, list[tuple]]:
+def fold_bucket(key: tuple, state: tuple | None, rows: Rows | None, apart: int = APART_MS * 1000) -> tuple[tuple | None, list[tuple]]:
     """One micro-batch of one bucket, or its eviction (``rows`` None)."""
     media, start = key[0], int(key[1]) * BUCKET_IDS
     runs = np.frombuffer(state[0], RUN) if state else np.empty(0, RUN)
@@ -154,22 +169,22 @@ def fold_bucket(key: tuple, state: tuple | None, rows: pd.DataFrame | None, apar
     if rows is None:
         runs = join_runs(runs, None)
     else:
-        ids, time = rows["frame_id"].to_numpy(dtype=np.int64), rows["time"].to_numpy(dtype=np.int64)
-        arrival = np.lexsort((rows["offset"].to_numpy(), rows["partition"].to_numpy(), ids, time))
+        ids, time = _ints(rows, "frame_id"), _ints(rows, "time")
+        arrival = np.lexsort((_ints(rows, "offset"), _ints(rows, "partition"), ids, time))
         ids, time = ids[arrival], time[arrival]
         fresh = np.append(True, (ids[1:] != ids[:-1]) | (time[1:] != time[:-1])) & ~_inside(spans, time) & ~_seen(runs, ids, time)
         own = arrival[fresh]
-        if len(own) < len(rows):
-            out.append((*_only("copies", media, len(rows) - len(own), int(time.max()), None), None))
+        if len(own) < len(ids):
+            out.append((*_only("copies", media, len(ids) - len(own), int(time.max()), None), None))
         if len(own):
-            part = rows["part"].to_numpy(dtype=np.int64)[own]
+            part = _ints(rows, "part")[own]
             new = np.zeros(len(own), RUN)
             new["low"] = new["high"] = ids[fresh]
             new["since"] = new["until"] = time[fresh]
             new["upper"], new["lower"] = part >> 30, part & HALF
-            new["last"] = (rows["last_frame"] == LAST_YES).to_numpy()[own]
+            new["last"] = _is_last(rows)[own]
             for c in ("fps", "height", "width"):
-                new[c] = rows[c].to_numpy()[own]
+                new[c] = np.asarray(rows[c])[own]
             runs = join_runs(_sorted_runs(np.concatenate([runs, join_runs(new, apart)])), apart)
     full = (runs["low"] == start) & (runs["last"] | (runs["high"] == start + BUCKET_IDS - 1))
     for r in runs[full]:
@@ -193,14 +208,24 @@ def _why(run: np.void) -> str:
     return f"incomplete: frames {run['low']} to {run['high']}" + (", the last one" if run["last"] else "") + " arrived without the others"
 
 
-def fold_media(key: tuple, state: tuple | None, rows: pd.DataFrame | None, apart: int = APART_MS * 1000) -> tuple[tuple | None, list[tuple]]:
+def _is_part(rows: Rows) -> np.ndarray:
+    return np.asarray(rows["outcome"], dtype=object) == "part"
+
+
+def _passed(rows: pd.DataFrame, part: np.ndarray) -> pd.DataFrame:
+    """The outcomes that the first step has settled."""
+    passed = rows.loc[~part, _OUT_COLS].astype(object)
+    return passed.where(passed.notna(), None)
+
+
+def fold_media(key: tuple, state: tuple | None, rows: Rows | None, apart: int = APART_MS * 1000) -> tuple[tuple | None, list[tuple]]:
     """Full buckets of one media, emitted once 0 to the last one follow each other in time."""
     held = np.frombuffer(state[0], PART) if state else np.empty(0, PART)
     out: list[tuple] = []
     if rows is not None:
-        own = (rows["outcome"] == "part").to_numpy()
-        passed = rows.loc[~own, _OUT_COLS].astype(object)
-        out = [tuple(r) for r in passed.where(passed.notna(), None).itertuples(index=False)]
+        own = _is_part(rows)
+        if not own.all():
+            out = list(_passed(rows, own).itertuples(index=False, name=None))
         held = np.concatenate([held, *(np.frombuffer(p, PART) for p in rows["part"][own])])
     held = held[np.lexsort((held["bucket"], held["since"]))]
     left = np.ones(len(held), bool)
@@ -226,22 +251,22 @@ def _digest_sum(parts: np.ndarray) -> int:
     return (int((parts >> 30).sum()) << 30) + int((parts & HALF).sum())
 
 
-def fold_on_last(key: tuple, state: tuple | None, rows: pd.DataFrame | None) -> tuple[tuple | None, list[tuple]]:
+def fold_on_last(key: tuple, state: tuple | None, rows: Rows | None) -> tuple[tuple | None, list[tuple]]:
     """Frames in (partition, offset) order; each last frame ends an entry."""
     n, digest, until = (int(state[0]), int(state[1]), int(state[2])) if state else (0, 0, NO_TIME)
     if rows is None:
         return None, ([_only("evicted", key[0], n, until, "incomplete: no last frame arrived")] if n else [])
-    rows = rows.sort_values(["partition", "offset"], kind="stable")
-    part, time = rows["part"].to_numpy(dtype=np.int64), rows["time"].to_numpy(dtype=np.int64)
-    ends = np.nonzero((rows["last_frame"] == LAST_YES).to_numpy())[0]
-    out, props, begin = [], rows[["frame_id", "fps", "height", "width"]].to_numpy(), 0
+    order = np.lexsort((_ints(rows, "offset"), _ints(rows, "partition")))
+    part, time = _ints(rows, "part")[order], _ints(rows, "time")[order]
+    ends = np.nonzero(_is_last(rows)[order])[0]
+    out, props, begin = [], [np.asarray(rows[c])[order] for c in ("frame_id", "fps", "height", "width")], 0
     for e in ends:
         until = max(until, int(time[begin:e + 1].max()))
-        out.append(("assembled", key[0], n + int(e) + 1 - begin, *(int(x) for x in props[e]), str(digest + _digest_sum(part[begin:e + 1])),
+        out.append(("assembled", key[0], n + int(e) + 1 - begin, *(int(x[e]) for x in props), str(digest + _digest_sum(part[begin:e + 1])),
                     None, _time(until), None))
         n, digest, until, begin = 0, 0, NO_TIME, int(e) + 1
-    if begin < len(rows):
-        n, digest, until = n + len(rows) - begin, digest + _digest_sum(part[begin:]), max(until, int(time[begin:].max()))
+    if begin < len(part):
+        n, digest, until = n + len(part) - begin, digest + _digest_sum(part[begin:]), max(until, int(time[begin:].max()))
     return ((n, str(digest), until) if n else None), out
 
 
@@ -282,6 +307,46 @@ class FoldProcessor(StatefulProcessor):
         pass
 
 
+class ShelfProcessor(StatefulProcessor):
+    """``transformWithState`` form of a fold for all keys ``by`` of a group.  With ``settled`` only rows
+    that are parts are folded, the others go on as they are."""
+
+    def __init__(self, fold: Fold, by: list[str], keys: str, state: str, columns: list[str], settled: bool):
+        self.fold, self.by, self.key_schema, self.state_schema, self.columns, self.settled = fold, by, keys, state, columns, settled
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getMapState("state", self.key_schema, self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        own = []
+        for some in rows:
+            if self.settled:
+                part = _is_part(some)
+                if not part.all():
+                    yield _passed(some, part)
+                some = some[part]
+            if len(some):
+                own.append(some)
+        if not own:
+            return
+        frame, out = pd.concat(own, ignore_index=True), []
+        arrays = {c: frame[c].to_numpy() for c in frame.columns}
+        for at in frame.groupby(self.by, sort=False).indices.values():
+            one = tuple(v.item() if isinstance(v, np.generic) else v for v in (arrays[c][at[0]] for c in self.by))
+            current = self.state.getValue(one)
+            after, found = self.fold(one, tuple(current) if current is not None else None, {c: v[at] for c, v in arrays.items()})
+            if after is not None:
+                self.state.updateValue(one, after)
+            elif current is not None:
+                self.state.removeKey(one)
+            out += found
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
 def _group_fn(fold: Fold, columns: list[str], ttl_ms: int | None):
     def run(key, pdfs, state) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -302,6 +367,12 @@ def _group_fn(fold: Fold, columns: list[str], ttl_ms: int | None):
 
 def _stateful(df: DataFrame, by: list[str], fold: Fold, state: str, out, engine: str, ttl_ms: int | None) -> DataFrame:
     grouped, columns = df.groupBy(*by), [f.name for f in out.fields]
+    if engine == "shelves":
+        shelved = df.withColumn("shelf", F.pmod(F.xxhash64(*by), F.lit(SHELVES)).cast("int"))
+        keys = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in by)
+        return shelved.groupBy("shelf").transformWithStateInPandas(
+            statefulProcessor=ShelfProcessor(fold, by, keys, state, columns, fold_media in (fold, getattr(fold, "func", None))),
+            outputStructType=out, outputMode="Append", timeMode="None")
     if engine == "tws":
         return grouped.transformWithStateInPandas(statefulProcessor=FoldProcessor(fold, state, columns, ttl_ms), outputStructType=out,
                                                   outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
@@ -309,7 +380,7 @@ def _stateful(df: DataFrame, by: list[str], fold: Fold, state: str, out, engine:
     return grouped.applyInPandasWithState(_group_fn(fold, columns, ttl_ms), out, state, "append", timeout)
 
 
-def reassemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state", ttl_ms: int | None = None,
+def reassemble_stream(frames: DataFrame, mode: str = "complete", engine: str | None = None, ttl_ms: int | None = None,
                       apart_ms: int = APART_MS) -> DataFrame:
     """Frame stream (``media_name, frame_id, last_frame, fps, height, width, payload, partition,
     offset`` and optionally ``timestamp``) -> what became of the frames, append mode (T1):
@@ -323,9 +394,13 @@ def reassemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "
     ``ttl_ms`` (off by default, as in the reference) evicts state that received nothing for that
     long (processing time).  Timeouts make every trigger run another batch, so use it with a
     processing-time trigger (a long-running stream), not ``availableNow``.  ``apart_ms`` parts two
-    publications of a name: neighbouring frames of one are never further apart in producer time."""
+    publications of a name: neighbouring frames of one are never further apart in producer time.
+    ``engine`` is ``shelves``, ``tws`` or ``group_state`` (see above); the first has no timers, so no ``ttl_ms``."""
+    engine = engine or ("group_state" if ttl_ms else "shelves")
     if mode not in ("complete", "on_last"):
         raise ValueError(mode)
+    if engine not in ("shelves", "tws", "group_state") or (engine == "shelves" and ttl_ms):
+        raise ValueError(f"engine {engine!r}, ttl_ms {ttl_ms}")
     time = F.unix_micros(F.col("timestamp")) if "timestamp" in frames.columns else F.lit(None).cast("long")
     checked = F.when(F.col("media_name").isNull() | ~F.coalesce(F.col("frame_id") >= 0, F.lit(False)) | F.col("payload").isNull(),
                      F.raise_error(F.lit("not a frame: media name, frame id or payload is missing")).cast("string")).otherwise(F.col("media_name"))
@@ -336,11 +411,12 @@ def reassemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "
         return _stateful(slim, ["media_name"], fold_on_last, _LAST_STATE, OUTCOME, engine, ttl_ms)
     slim = slim.withColumn("bucket", F.expr(f"frame_id div {BUCKET_IDS}"))
     parts = _stateful(slim, ["media_name", "bucket"], partial(fold_bucket, apart=apart_ms * 1000), _STATE, _PART_OUT, engine, ttl_ms)
-    # Spark takes one applyInPandasWithState per query, so the second step is the other kind
-    return _stateful(parts, ["media_name"], partial(fold_media, apart=apart_ms * 1000), _STATE, OUTCOME, "tws", ttl_ms)
+    # Spark takes one applyInPandasWithState per query, so there the second step is the other kind
+    return _stateful(parts, ["media_name"], partial(fold_media, apart=apart_ms * 1000), _STATE, OUTCOME,
+                     "tws" if engine == "group_state" else engine, ttl_ms)
 
 
-def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "group_state", ttl_ms: int | None = None,
+def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str | None = None, ttl_ms: int | None = None,
                     apart_ms: int = APART_MS) -> DataFrame:
     """The assembled media of :func:`reassemble_stream`, one row per publication."""
     outcomes = reassemble_stream(frames, mode, engine, ttl_ms, apart_ms)
@@ -349,11 +425,18 @@ def assemble_stream(frames: DataFrame, mode: str = "complete", engine: str = "gr
 
 def pending_frames(spark: SparkSession, checkpoint: str) -> DataFrame:
     """``media_name, n_frames``: frames that wait in the state of a ``complete`` stream (engine
-    ``group_state``) as of its last micro-batch."""
-    store = lambda operator: spark.read.format("statestore").option("operatorId", operator)  # noqa: E731  0: the second step
-    whole = store(0).option("stateVarName", "state").load(checkpoint).select("key.media_name", F.col("value.n").alias("n"))
-    first = store(1).load(checkpoint).select("key.media_name", F.col("value.groupState.n").alias("n"))
-    return whole.unionByName(first).where("n > 0").groupBy("media_name").agg(F.sum("n").alias("n_frames"))
+    ``shelves`` or ``group_state``) as of its last micro-batch."""
+    def store(operator: int, variable: str | None) -> DataFrame:  # 0: the second step
+        reader = spark.read.format("statestore").option("operatorId", operator)
+        return (reader.option("stateVarName", variable) if variable else reader).load(checkpoint)
+
+    second = store(0, "state")
+    if "user_map_key" in second.columns:
+        steps = [s.select("user_map_key.media_name", F.col("user_map_value.n").alias("n")) for s in (second, store(1, "state"))]
+    else:
+        steps = [second.select("key.media_name", F.col("value.n").alias("n")),
+                 store(1, None).select("key.media_name", F.col("value.groupState.n").alias("n"))]
+    return steps[0].unionByName(steps[1]).where("n > 0").groupBy("media_name").agg(F.sum("n").alias("n_frames"))
 
 
 def published_frames(frames: DataFrame, assembled: DataFrame) -> DataFrame:

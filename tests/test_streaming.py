@@ -563,3 +563,37 @@ def test_delivery_records_broadcast_no_positions(spark, tmp_path):
     assert sorted((r.offset, r.status) for r in records.collect()) == [(i, "delivered" if i < 15 else "failed: not stored") for i in range(20)]
     plan = records._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("mode", ["complete", "on_last"])
+def test_shelves_hold_many_media_and_match_the_other_engines(spark, tmp_path, monkeypatch, mode):
+    from lakeframe.streaming import reassembly
+
+    monkeypatch.setattr(reassembly, "SHELVES", 3)
+    media = [_video(f"v{i}.mp4", 1 + i % 7) for i in range(40)]
+    media[5] = media[5][:-1]  # never complete
+    first = [r for i, m in enumerate(media) for r in _stamped(m[:len(m) // 2] if i % 2 else m, i)]
+    second = [r for i, m in enumerate(media) for r in _stamped(m[len(m) // 2:] if i % 2 else m[:1], i)]  # even ones: a copy
+    got = {}
+    for engine in (None, "group_state"):
+        home = tmp_path / str(engine)
+        rows, states, _ = _run_stamped(spark, home, [first, second], mode, engine)
+        got[engine] = sorted(map(tuple, rows), key=str), states
+        if mode == "complete":
+            got[engine] += (sorted(map(tuple, reassembly.pending_frames(spark, str(home / "ck")).collect())),)
+    assert got[None] == got["group_state"]
+    if mode == "complete":
+        assert len(got[None][0]) == 39 and got[None][2] == [("v5.mp4", 5)]
+    shelves = spark.read.format("statestore").option("stateVarName", "state").load(str(tmp_path / "None" / "ck"))
+    assert shelves.select("key").distinct().count() <= 3 and "user_map_key" in shelves.columns
+
+
+def test_shelves_join_the_buckets_of_a_long_media(spark, tmp_path):
+    from lakeframe.streaming import reassembly
+
+    rows, short = _video("long.mp4", 130_000), _video("short.mp4", 3)
+    got, states, _ = _run_stamped(spark, tmp_path, [_stamped(rows[::2] + short, 1), _stamped(rows[1::2] + short[:1], 1)], engine="shelves")
+    assert sorted((r.media_name, r.n_frames) for r in got) == [("long.mp4", 130_000), ("short.mp4", 3)]
+    assert states[-1] == -(-130_000 // reassembly.BUCKET_IDS) + 1
+    with pytest.raises(ValueError, match="shelves"):
+        reassembly.reassemble_stream(spark.readStream.schema(STAMPED).parquet(str(tmp_path / "src")), engine="shelves", ttl_ms=5)
