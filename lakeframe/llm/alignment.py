@@ -14,6 +14,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,8 @@ class Vocabularies:
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.a_length = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        self.a_flat, self.b_flat = (np.frombuffer(b"".join(x), np.uint8) for x in (self.a_bytes, self.b_bytes))
+        self.a_start, self.b_start = (np.cumsum(x) - x for x in (self.a_length, self.b_length))
         most = max(len(self.a_bytes), len(self.b_bytes))
         decimal = [str(i).encode() for i in range(most)]
         self.shown = [d + end for end in (b",", b"|", b";") for d in decimal]
@@ -57,15 +60,40 @@ class Vocabularies:
         if most > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
 
-    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both, or none where their bytes differ from space and text."""
-        if not text:
-            return [], []
-        spaced = " " + text
-        a, b, whole = self.a.encode_ordinary(spaced), self.b.encode(text), spaced.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
-            return [], []
-        return a, b
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both, one text after the other, and their numbers per text; a text has none where
+        their bytes differ from space and text."""
+        spaced = [" " + t if t else "" for t in texts]
+        wholes = [x.encode() for x in spaced]
+        a = [self.a.encode_ordinary(x) if x else () for x in spaced]
+        b = [self.b.encode(t) if t else () for t in texts]
+        a_ids, b_ids = (np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids))) for ids in (a, b))
+        n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (a, b))
+        size, whole = np.array([len(x) for x in wholes], dtype=np.int64), np.frombuffer(b"".join(wholes), np.uint8)
+        good = np.ones(len(texts), bool)
+        for ids, n, length, start, flat in ((a_ids, n_a, self.a_length, self.a_start, self.a_flat),
+                                            (b_ids, n_b, self.b_length, self.b_start, self.b_flat)):
+            good &= _same_bytes(ids, n, length[ids], start, flat, whole, size)
+        if not good.all():
+            a_ids, b_ids = a_ids[np.repeat(good, n_a)], b_ids[np.repeat(good, n_b)]
+            n_a, n_b = n_a * good, n_b * good
+        return a_ids, b_ids, n_a, n_b
+
+
+def _same_bytes(ids: np.ndarray, n: np.ndarray, length: np.ndarray, start: np.ndarray, flat: np.ndarray, whole: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which texts' joined token bytes are the text's own: ``n`` tokens and ``size`` bytes of ``whole`` each."""
+    ends = np.append(0, np.cumsum(length))
+    stop = np.cumsum(n)
+    good = ends[stop] - ends[stop - n] == size
+    if not good.all():  # the others are compared without them
+        ids, length = (x[np.repeat(good, n)] for x in (ids, length))
+        whole = whole[np.repeat(good, size)]
+    first = np.cumsum(length) - length
+    differs = np.flatnonzero(flat[np.repeat(start[ids] - first, length) + np.arange(len(whole))] != whole)
+    if len(differs):
+        kept = np.flatnonzero(good)
+        good[kept[np.searchsorted(np.cumsum(size[kept]), differs, "right")]] = False
+    return good
 
 
 _LOADED: dict[tuple[str, str], Vocabularies] = {}
@@ -172,10 +200,8 @@ def _unpacked(column: pa.Array) -> np.ndarray:
 
 
 def _align_part(voc: Vocabularies, part: pa.RecordBatch) -> pa.RecordBatch:
-    ids = [voc.encode(t) for t in part.column("text").to_pylist()]
-    n_a, n_b = (np.array([len(x[s]) for x in ids], dtype=np.int64) for s in (0, 1))
-    a, b = (np.fromiter((i for x in ids for i in x[s]), dtype=np.int64, count=int(n.sum())) for s, n in ((0, n_a), (1, n_b)))
-    n_groups, n_links, digests = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), [""] * len(ids)
+    a, b, n_a, n_b = voc.encode(part.column("text").to_pylist())
+    n_groups, n_links, digests = np.zeros(len(n_a), np.int64), np.zeros(len(n_a), np.int64), [""] * len(n_a)
     if len(a):
         spans = Spans.of(voc.a_length[a], voc.b_length[b])
         a_group, b_group = pointer_groups(spans)

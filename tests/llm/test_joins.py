@@ -209,3 +209,18 @@ def test_pointer_jumping_labels_components(most):
         common = sorted(set(np.cumsum(tilings[0])) & set(np.cumsum(tilings[1])))
         for parts, label in zip(tilings, (a, b)):
             assert label.tolist() == [sum(c < e for c in common) for e in np.cumsum(parts)]
+
+
+def test_alignment_checks_the_bytes_of_texts_together():
+    voc = alignment.vocabularies(A_PATH, B_PATH)
+    texts = ["ok", None, "two  ", "", "a▁b", "ﬁ ﬀ", "日本 😀", "a\x00b", "<0x41> <|endoftext|>", "x" * 300]
+    a, b, n_a, n_b = voc.encode(texts)
+    at_a, at_b = np.cumsum(n_a), np.cumsum(n_b)
+    for i, text in enumerate(texts):
+        own_a, own_b = a[at_a[i] - n_a[i]:at_a[i]].tolist(), b[at_b[i] - n_b[i]:at_b[i]].tolist()
+        want_a, want_b = (voc.a.encode_ordinary(" " + text), voc.b.encode(text)) if text else ([], [])
+        whole = (" " + text).encode() if text else b""
+        if b"".join(voc.a_bytes[k] for k in want_a) != whole or b"".join(voc.b_bytes[k] for k in want_b) != whole:
+            want_a = want_b = []
+        assert (own_a, own_b) == (want_a, want_b)
+    assert 0 < sum(n_a == 0) < len(texts) and not len(voc.encode([])[0])
